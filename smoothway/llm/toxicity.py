@@ -27,13 +27,13 @@ class Model:
 
     bits: int = 20
     stem: int = 4
-    sample: int = 8_000
-    shards: int = 4
-    epochs: int = 3
-    alpha: float = 0.5
+    sample: int = 4_000
+    shard_rows: int = 4_000
+    epochs: int = 6
+    alpha: float = 2.0
     beta: float = 1.0
-    l1: float = 2.0
-    l2: float = 1.0
+    l1: float = 16.0
+    l2: float = 0.1
 
 
 class _Hashes(dict):
@@ -69,8 +69,11 @@ def _features(codes: np.ndarray, bits: int) -> np.ndarray:
 def _train(texts: list[str], labels: list[int], how: Model) -> tuple[np.ndarray, np.ndarray]:
     """FTRL-proximal over the rows in a fixed shuffled order; the non-zero weights and their slots.
 
-    Slot 0 is the bias. Every feature counts once in a text.
+    Slot 0 is the bias. Every feature counts once in a text; the rarer class weighs as much in all
+    as the other.
     """
+    share = sum(labels) / max(1, len(labels))
+    weight = {1: max(1.0, (1 - share) / max(share, 1e-9)), 0: max(1.0, share / max(1 - share, 1e-9))}
     size, hashes = 1 << how.bits, _Hashes(how.stem)
     z, n = np.zeros(size), np.zeros(size)
     rows = []
@@ -85,6 +88,7 @@ def _train(texts: list[str], labels: list[int], how: Model) -> tuple[np.ndarray,
             l1 = np.where(i == 0, 0.0, how.l1)
             w = np.where(np.abs(zi) <= l1, 0.0, (np.sign(zi) * l1 - zi) / ((how.beta + np.sqrt(ni)) / how.alpha + how.l2))
             g = 1 / (1 + np.exp(-np.clip(w.sum(), -35, 35))) - labels[k]
+            g *= weight[labels[k]]
             z[i] = zi + g - (np.sqrt(ni + g * g) - np.sqrt(ni)) / how.alpha * w
             n[i] = ni + g * g
     l1 = np.full(size, how.l1)
@@ -99,8 +103,9 @@ def fit(docs: DataFrame, labels: DataFrame, how: Model | None = None, doc_id: st
 
     A document is toxic if any of its label rows says so; null labels and labels of unknown
     documents don't count. At most about how.sample rows of each class are fitted, chosen by a hash
-    of the id, on how.shards tasks whose weights are averaged; what reaches the driver is at most
-    2**how.bits numbers. Without rows of both classes every score is the share of label 1, or 0.
+    of the id, on tasks of about how.shard_rows rows whose weights are averaged; what reaches the
+    driver is at most 2**how.bits numbers. Without rows of both classes every score is near the only
+    label there is (0 if there is none).
     """
     how = how or Model()
     marked = labels.filter(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(doc_id).agg(F.max(F.col(label).cast("int")).alias("_y"))
@@ -108,12 +113,11 @@ def fit(docs: DataFrame, labels: DataFrame, how: Model | None = None, doc_id: st
         marked = marked.filter(fold(doc_id, folds) != test_fold)
     totals = {int(r["_y"]): r["n"] for r in marked.groupBy("_y").agg(F.count("*").alias("n")).collect()}
     if not totals.get(0) or not totals.get(1):
-        share = totals.get(1, 0) and 1.0
-        return {"at": np.array([0]), "w": np.array([30.0 if share else -30.0])}
+        return {"at": np.array([0]), "w": np.array([30.0 if totals.get(1) else -30.0])}
     part = F.when(F.col("_y") == 1, min(1.0, how.sample / totals[1])).otherwise(min(1.0, how.sample / totals[0]))
     sample = marked.filter(F.pmod(F.xxhash64(doc_id), F.lit(1_000_000)) < part * 1_000_000)
     rows = docs.select(F.col(doc_id), F.coalesce(F.col(text), F.lit("")).alias("_t")).join(F.broadcast(sample), doc_id)
-    shards = how.shards
+    shards = max(1, -(-(min(totals[0], how.sample) + min(totals[1], how.sample)) // how.shard_rows))
 
     def train(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["_h", "_t"])
@@ -123,8 +127,6 @@ def fit(docs: DataFrame, labels: DataFrame, how: Model | None = None, doc_id: st
     each = rows.select("_t", "_y", F.xxhash64(doc_id).alias("_h"), F.pmod(F.xxhash64(doc_id, F.lit(7)), F.lit(shards)).alias("_shard")).groupBy("_shard").applyInPandas(train, "at long, w double")
     found = each.groupBy("at").agg(F.sum("w").alias("w")).orderBy("at").toPandas()
     at, w = found["at"].to_numpy(), found["w"].to_numpy() / shards
-    shift = np.log(min(1.0, how.sample / totals[1])) - np.log(min(1.0, how.sample / totals[0]))
-    w = np.where(at == 0, w - shift, w)
     return {"at": at, "w": w}
 
 
@@ -146,11 +148,9 @@ def score(docs: DataFrame, weights: dict[str, np.ndarray], how: Model | None = N
             at = _features(codes, how.bits)
             if len(ends):
                 starts = np.concatenate([[0], ends[:-1]])
-                last = ends[ends > starts] - 1
-                at[last, 2] = 0
-                at[last, 3] = 0
-                before = last[last - 1 >= np.repeat(starts, 1)[ends > starts]] - 1
-                at[before, 3] = 0
+                last, first = ends[ends > starts] - 1, starts[ends > starts]
+                at[last, 2:] = 0  # pairs don't cross from one text into the next
+                at[(last - 1)[last > first], 3] = 0
             row, col = np.nonzero(table[at])
             pairs = np.unique(np.stack([np.searchsorted(ends, row, side="right"), at[row, col]], axis=1), axis=0) if len(row) else np.zeros((0, 2), dtype=np.int64)
             margin = bias + np.bincount(pairs[:, 0], weights=table[pairs[:, 1]], minlength=len(each))
