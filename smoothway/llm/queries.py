@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from smoothway.llm import decontam, packing, store, toxicity
+from smoothway.llm import decontam, packing, pii, store, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -26,5 +26,9 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark")).drop("spans")
 
 
-QUERIES = {f.__name__: f for f in (op3_toxicity, op4_packing, op6_decontamination)}
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_report(_read(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op3_toxicity, op4_packing, op6_decontamination, op9_pii)}
 ORACLES: dict[str, str] = {}
