@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from smoothway.llm import decontam, packing, pii, simhash, store, toxicity
+from smoothway.llm import decontam, jaccard, packing, pii, simhash, store, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -30,9 +30,13 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark")).drop("spans")
 
 
+def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(_read(spark, sf_dir, "documents"))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_report(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op3_toxicity, op4_packing, op6_decontamination, op9_pii)}
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op3_toxicity, op4_packing, op6_decontamination, op7_jaccard, op9_pii)}
 ORACLES: dict[str, str] = {}
