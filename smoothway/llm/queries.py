@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from smoothway.llm import decontam, jaccard, packing, pii, simhash, store, toxicity
+from smoothway.llm import decontam, jaccard, langid, packing, pii, simhash, store, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.edited_fingerprints(_read(spark, sf_dir, "documents"))
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.languages(_read(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
@@ -38,5 +42,5 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_report(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op3_toxicity, op4_packing, op6_decontamination, op7_jaccard, op9_pii)}
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_language, op3_toxicity, op4_packing, op6_decontamination, op7_jaccard, op9_pii)}
 ORACLES: dict[str, str] = {}
