@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from smoothway.llm import decontam, html, jaccard, langid, packing, pii, sharding, simhash, store, toxicity
+from smoothway.llm import decontam, html, jaccard, langid, lm, packing, pii, sharding, simhash, store, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -50,5 +50,9 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_report(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_language, op3_toxicity, op4_packing, op5_sharding, op6_decontamination, op7_jaccard, op8_html, op9_pii)}
+def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.backoff_scores(_read(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_language, op3_toxicity, op4_packing, op5_sharding, op6_decontamination, op7_jaccard, op8_html, op9_pii, op10_lm)}
 ORACLES: dict[str, str] = {}
