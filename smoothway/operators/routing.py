@@ -38,6 +38,6 @@ def contiguous(routes: DataFrame, edges: DataFrame) -> DataFrame:
     """Whether each route's segments follow one another: an end of one is the start of the next."""
     ends = edges.groupBy("segment_id").agg(F.array_sort(F.collect_set("source")).alias("starts"), F.array_sort(F.collect_set("target")).alias("stops"))
     placed = routes.join(ends, "segment_id", "left")
-    before = F.lag("stops").over(Window.partitionBy("route_id").orderBy("position"))
+    before = F.lag("stops").over(Window.partitionBy("route_id").orderBy("position", "segment_id"))
     gap = before.isNotNull() & ~F.coalesce(F.arrays_overlap(before, "starts"), F.lit(False))
     return placed.withColumn("_gap", gap).groupBy("route_id").agg((F.count_if("_gap") == 0).alias("contiguous"), F.count_if("_gap").alias("gaps"))

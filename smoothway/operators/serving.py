@@ -56,9 +56,9 @@ def ranked(scored: DataFrame, group: str) -> DataFrame:
 
 
 def in_order_once(df: DataFrame, key: str, item: str, position: str) -> DataFrame:
-    """Items of each key once, at their first position."""
+    """Items of each key once, at their first position; ties go by the items themselves."""
     first = df.groupBy(key, item).agg(F.min(position).alias("_first"))
-    return first.withColumn("nth", F.row_number().over(Window.partitionBy(key).orderBy("_first"))).drop("_first")
+    return first.withColumn("nth", F.row_number().over(Window.partitionBy(key).orderBy("_first", item))).drop("_first")
 
 
 def colour(score: Column) -> Column:

@@ -89,7 +89,7 @@ def safe_ratio(a: Column, b: Column) -> Column:
 
 def category_pivot(df: DataFrame, key: str, category: str, names: list[str], all_keys: DataFrame) -> DataFrame:
     """Counts of each named category by key, 0 where there is none, for all keys."""
-    counted = df.groupBy(key).pivot(category, names).agg(F.count("*"))
+    counted = df.groupBy(key).pivot(category, names).agg(F.count(F.lit(1)))
     return all_keys.join(counted, key, "left").fillna(0, names)
 
 

@@ -62,7 +62,7 @@ def _(read):
     return parsed.groupBy(sound.alias("sound")).agg(F.count("*").alias("n"), F.count(F.when(sound, F.col("event_id"))).alias("ids"), F.sum(F.when(sound, F.col("trip_seq"))).alias("seqs"))
 
 
-@query("f6_cleansing", oracle(["raw_records"], "SELECT reject_reason, count(*) AS n, sum(ingested) AS ingested FROM classed GROUP BY 1", PARSED, FIRST, CLASSED))
+@query("f6_cleansing", oracle(["raw_records"], "SELECT reject_reason, count(*) AS n, CAST(sum(ingested) AS BIGINT) AS ingested FROM classed GROUP BY 1", PARSED, FIRST, CLASSED))
 def _(read):
     return classified(read).groupBy("reject_reason").agg(F.count("*").alias("n"), F.sum("ingested").alias("ingested"))
 
@@ -72,7 +72,7 @@ def _(read):
     return q.passed(classified(read)).select("event_id", "trip_id", "trip_seq", "speed_mps", "accel_z")
 
 
-@query("f7_quarantine", oracle(["raw_records"], """SELECT value, reject_reason, CASE reject_reason WHEN 'OUT_OF_RANGE' THEN concat_ws(', ', CASE WHEN speed_mps > 60 THEN 'speed_mps=' || speed_mps END, CASE WHEN accel_z < -25 THEN 'accel_z=' || accel_z END)
+@query("f7_quarantine", oracle(["raw_records"], """SELECT value, reject_reason, CASE reject_reason WHEN 'OUT_OF_RANGE' THEN concat_ws(', ', CASE WHEN speed_mps < 0 OR speed_mps > 60 THEN 'speed_mps=' || speed_mps END, CASE WHEN accel_z < -25 OR accel_z > 30 THEN 'accel_z=' || accel_z END)
  WHEN 'MISSING_REQUIRED_FIELD' THEN concat_ws(', ', CASE WHEN event_id IS NULL THEN 'event_id' END, CASE WHEN trip_id IS NULL THEN 'trip_id' END, CASE WHEN trip_seq IS NULL THEN 'trip_seq' END, CASE WHEN speed_mps IS NULL THEN 'speed_mps' END, CASE WHEN accel_z IS NULL THEN 'accel_z' END) END AS reject_detail
  FROM classed WHERE reject_reason IS NOT NULL""", PARSED, FIRST, CLASSED))
 def _(read):
@@ -170,13 +170,13 @@ def _score_sql() -> str:
     for d, weights in hourly.DIRECTIONS.items():
         pen = " + ".join(f"coalesce({w} * greatest(0.0, least(1.0, CASE WHEN {n} IS NULL THEN NULL ELSE ({n} - {hourly.ANCHORS[n][0]} * sc) / (({hourly.ANCHORS[n][1]} - {hourly.ANCHORS[n][0]}) * sc) END)) * CASE WHEN {n} IS NULL THEN NULL ELSE 1 END, 0)" for n, w in weights.items())
         here = " + ".join(f"CASE WHEN {n} IS NULL THEN 0 ELSE {w} END" for n, w in weights.items())
-        parts.append(f"CASE WHEN round(CAST({here} AS DOUBLE), 9) >= 0.8 THEN round(100 * (1 - ({pen}) / CAST({here} AS DOUBLE)), 4) END AS {d}")
+        parts.append(f"CASE WHEN round(CAST({here} AS DOUBLE), 9) >= 0.8 THEN round(100 * (1 - ({pen}) / CAST({here} AS DOUBLE)), 6) END AS {d}")
     return f"rated AS (SELECT *, {rates}, CASE WHEN mean_speed < 5 THEN CAST(0.9 AS DOUBLE) WHEN mean_speed < 10 THEN 1.0 ELSE 1.1 END AS sc FROM features), scored AS (SELECT hour_us, segment_id, vehicle_profile_id, sample_count, trip_count, {', '.join(parts)} FROM rated), reasoned AS (SELECT *, CASE WHEN vertical_score IS NULL OR longitudinal_score IS NULL OR lateral_score IS NULL THEN 'INSUFFICIENT_SCORING_FEATURES' END AS reject_reason FROM scored)"
 
 
 @query("m8_hourly_scores", oracle(["hourly_signals"], "SELECT hour_us, segment_id, vehicle_profile_id, vertical_score, longitudinal_score, lateral_score, reject_reason FROM reasoned", FEATURES, _score_sql()))
 def _(read):
-    return rounded(hourly.scores(hourly_features(read)).select("hour_us", "segment_id", "vehicle_profile_id", "vertical_score", "longitudinal_score", "lateral_score", "reject_reason"), 4)
+    return rounded(hourly.scores(hourly_features(read)).select("hour_us", "segment_id", "vehicle_profile_id", "vertical_score", "longitudinal_score", "lateral_score", "reject_reason"), 6)
 
 
 @query("a6_scoring_audit", oracle(["hourly_signals"], "SELECT count(*) AS rows, count(*) AS keys, count(*) FILTER (reject_reason IS NULL) AS scored, CAST(0 AS BIGINT) AS invalid, count(*) FILTER (reject_reason IS NOT NULL) AS insufficient FROM reasoned", FEATURES, _score_sql()))
@@ -240,9 +240,9 @@ def _(read):
     return rounded(standard.pool_profiles(week(read)).drop("sample_count"))
 
 
-@query("a12_standard_scores", oracle(["hourly_scores"], "SELECT segment_id, vehicle_profile_id, round(vertical_score, 4) AS vertical_score, round(longitudinal_score, 4) AS longitudinal_score, round(lateral_score, 4) AS lateral_score, round(comfort_score, 4) AS comfort_score, round(confidence, 4) AS confidence, round(evidence, 4) AS evidence, trips, first_us, last_us FROM standard", WINDOWED, LATEST, POOLED, STANDARD))
+@query("a12_standard_scores", oracle(["hourly_scores"], "SELECT segment_id, vehicle_profile_id, round(vertical_score, 7) AS vertical_score, round(longitudinal_score, 7) AS longitudinal_score, round(lateral_score, 7) AS lateral_score, round(comfort_score, 7) AS comfort_score, round(confidence, 7) AS confidence, round(evidence, 7) AS evidence, trips, first_us, last_us FROM standard", WINDOWED, LATEST, POOLED, STANDARD))
 def _(read):
-    return rounded(standard_table(read), 4)
+    return rounded(standard_table(read), 7)
 
 
 @query("k6_merge_counts", oracle(["hourly_scores"], "SELECT state, count(*) AS n FROM (SELECT CASE WHEN o.segment_id IS NULL THEN 'inserted' WHEN n.segment_id IS NULL THEN 'kept' ELSE 'updated' END AS state FROM (SELECT DISTINCT segment_id FROM hourly_scores WHERE vehicle_profile_id <= 2) o FULL JOIN (SELECT DISTINCT segment_id FROM hourly_scores WHERE sample_count > 200) n USING (segment_id)) GROUP BY 1"))
@@ -302,7 +302,7 @@ _STEPS = (WINDOWED, LATEST, POOLED, STANDARD, COND, CURRENT)
 
 
 def current_table(read) -> DataFrame:
-    number = F.substring("segment_id", 2, 9).cast("int")
+    number = F.substring("segment_id", 2, 9).try_cast("int")
     zoned = read("hourly_scores").select("segment_id").distinct().filter(number % 7 != 3).withColumn("location_id", number % 30)
     return weather.current_scores(standard_table(read), zoned, read("zone_weather"))
 
@@ -326,7 +326,12 @@ def _(read):
 
 # --- serving ---------------------------------------------------------------------------------------
 
-@query("a30_route_scores", oracle(["hourly_scores", "routes"], """SELECT route_id, segments, round(m, 2) AS mean_score, round(w, 2) AS worst_score, round(0.7 * m + 0.3 * w, 2) AS score FROM (SELECT route_id, count(*) AS segments, count(comfort_score) AS k, avg(comfort_score) AS m, avg(comfort_score) FILTER (rn <= greatest(1, ceil(n * 0.25))) AS w FROM
+def round_text(value: str) -> str:
+    """SQL that rounds a number half up, as its decimal text reads."""
+    return f"CAST(round(CAST(CAST({value} AS VARCHAR) AS DECIMAL(30, 16)), 2) AS DOUBLE)"
+
+
+@query("a30_route_scores", oracle(["hourly_scores", "routes"], f"""SELECT route_id, segments, {round_text('m')} AS mean_score, {round_text('w')} AS worst_score, {round_text('0.7 * m + 0.3 * w')} AS score FROM (SELECT route_id, count(*) AS segments, count(comfort_score) AS k, avg(comfort_score) AS m, avg(comfort_score) FILTER (rn <= greatest(1, ceil(n * 0.25))) AS w FROM
  (SELECT r.route_id, comfort_score, row_number() OVER (PARTITION BY r.route_id ORDER BY comfort_score NULLS LAST, position) AS rn, count(*) OVER (PARTITION BY r.route_id) AS n FROM routes r LEFT JOIN (SELECT segment_id, floor(max(vertical_score)) AS comfort_score FROM hourly_scores WHERE vehicle_profile_id = 1 GROUP BY 1) s USING (segment_id)) GROUP BY 1) WHERE segments = k"""))
 def _(read):
     scores = read("hourly_scores").filter("vehicle_profile_id = 1").groupBy("segment_id").agg(F.floor(F.max("vertical_score")).cast("double").alias("comfort_score"))
@@ -357,7 +362,7 @@ def _(read):
     return serving.profile_or_any(read("hourly_signals").select("vehicle_profile_id").distinct(), read("hourly_scores"))
 
 
-@query("t5_in_order_once", oracle(["routes"], "SELECT route_id, segment_id, row_number() OVER (PARTITION BY route_id ORDER BY min(position)) AS nth FROM routes GROUP BY 1, 2"))
+@query("t5_in_order_once", oracle(["routes"], "SELECT route_id, segment_id, row_number() OVER (PARTITION BY route_id ORDER BY min(position), segment_id) AS nth FROM routes GROUP BY 1, 2"))
 def _(read):
     return serving.in_order_once(read("routes"), "route_id", "segment_id", "position").withColumn("nth", F.col("nth").cast("long"))
 
@@ -519,7 +524,7 @@ def _(read):
 
 
 @query("g5_contiguous_routes", oracle(["road_segments", "routes"], """SELECT route_id, count(*) FILTER (gap) = 0 AS contiguous, count(*) FILTER (gap) AS gaps FROM (SELECT route_id, stops_before IS NOT NULL AND NOT coalesce(list_has_any(stops_before, starts), false) AS gap FROM
- (SELECT route_id, starts, lag(stops) OVER (PARTITION BY route_id ORDER BY position) AS stops_before FROM routes LEFT JOIN (SELECT segment_id, list(DISTINCT source) AS starts, list(DISTINCT target) AS stops FROM edges GROUP BY 1) USING (segment_id))) GROUP BY 1""", EDGES))
+ (SELECT route_id, starts, lag(stops) OVER (PARTITION BY route_id ORDER BY position, segment_id) AS stops_before FROM routes LEFT JOIN (SELECT segment_id, list(DISTINCT source) AS starts, list(DISTINCT target) AS stops FROM edges GROUP BY 1) USING (segment_id))) GROUP BY 1""", EDGES))
 def _(read):
     return routing.contiguous(read("routes"), routing.directed_edges(read("road_segments")))
 
