@@ -55,4 +55,34 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_language, op3_toxicity, op4_packing, op5_sharding, op6_decontamination, op7_jaccard, op8_html, op9_pii, op10_lm)}
-ORACLES: dict[str, str] = {}
+
+_WORDS = r"regexp_extract_all(translate({t}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{p}')"
+_PLAIN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def _words(text: str, pattern: str = _PLAIN) -> str:
+    return f"coalesce({_WORDS.format(t=text, p=pattern)}, [])"
+
+
+#: SQL of the queries that SQL can express. The others train models, tokenize or hash as Spark does.
+ORACLES: dict[str, str] = {
+    "op6_decontamination": f"""WITH item AS (SELECT item_id, w, least(10, len(w)) AS k FROM (SELECT item_id, {_words("text")} AS w FROM benchmark) WHERE len(w) > 0),
+ win AS (SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS s FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS i FROM item)),
+ doc AS (SELECT doc_id, {_words("text")} AS w FROM documents), place AS (SELECT doc_id, k, w, unnest(range(1, len(w) - k + 2)) AS i FROM doc, (SELECT DISTINCT k FROM win)),
+ met AS (SELECT doc_id, i, p.k, item_id FROM place p JOIN win ON p.k = win.k AND array_to_string(w[i:i + p.k - 1], ' ') = s),
+ hit AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest(range(i, i + k)) AS j FROM met) GROUP BY 1),
+ of AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM met) GROUP BY 1)
+ SELECT doc_id, len(w) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(of.n, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN of USING (doc_id)""",
+    "op7_jaccard": f"""WITH RECURSIVE doc AS (SELECT doc_id, {_words("text", "[^ \\x09-\\x0D]+")} AS w FROM documents),
+ shingled AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM doc),
+ token AS (SELECT doc_id, len(s) AS n, unnest(s) AS t FROM shingled),
+ link AS (SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, any_value(x.n + y.n) AS sizes, count(*) AS c FROM token x JOIN token y ON x.t = y.t AND x.doc_id <> y.doc_id GROUP BY 1, 2) WHERE 100 * c >= 80 * (sizes - c)),
+ reach AS (SELECT a AS node, b AS other FROM link UNION SELECT reach.node, link.b FROM reach JOIN link ON reach.other = link.a)
+ SELECT doc_id, len(s) AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id FROM shingled LEFT JOIN (SELECT node, min(other) AS m FROM reach GROUP BY 1) ON node = doc_id""",
+    "op10_lm": f"""WITH doc AS (SELECT doc_id, {_words("text")} AS w FROM documents), word AS (SELECT doc_id, w[i] AS b, CASE WHEN i > 1 THEN w[i - 1] END AS a FROM (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM doc)),
+ one AS (SELECT b AS x, count(*) AS n FROM word GROUP BY 1), two AS (SELECT a, b, count(*) AS n FROM word WHERE a IS NOT NULL GROUP BY 1, 2 HAVING count(*) >= 2), whole AS (SELECT count(*) AS n FROM word),
+ each AS (SELECT word.doc_id, CASE WHEN two.n IS NOT NULL THEN ln(two.n) - ln(p.n) ELSE ln(o.n) - ln(whole.n) + CASE WHEN word.a IS NULL THEN 0 ELSE ln(0.4) END END AS s, word.a IS NOT NULL AND two.n IS NULL AS backed
+ FROM word CROSS JOIN whole JOIN one o ON o.x = word.b LEFT JOIN one p ON p.x = word.a LEFT JOIN two ON two.a = word.a AND two.b = word.b),
+ summed AS (SELECT doc_id, sum(s) AS lp, count(*) FILTER (backed) AS backed FROM each GROUP BY 1)
+ SELECT doc_id, len(w) AS n_tokens, coalesce(backed, 0) AS n_backed_off, round(coalesce(lp, 0), 4) AS log_prob, CASE WHEN len(w) > 0 THEN round(exp(-lp / len(w)), 3) END AS perplexity FROM doc LEFT JOIN summed USING (doc_id)""",
+}
