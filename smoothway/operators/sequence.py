@@ -2,25 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-TRIP = Window.partitionBy("trip_id").orderBy("trip_seq", "event_us", "event_id")
-SO_FAR = TRIP.rowsBetween(Window.unboundedPreceding, 0)
-BEFORE = TRIP.rowsBetween(Window.unboundedPreceding, -1)
+
+def trip() -> WindowSpec:
+    """Rows of a trip in order."""
+    return Window.partitionBy("trip_id").orderBy("trip_seq", "event_us", "event_id")
 
 
 def steering_rate(df: DataFrame, max_gap_s: float = 0.5) -> DataFrame:
     """Change of the steering angle per second; null over a gap, out of order or where an angle is null."""
-    seconds = (F.col("event_us") - F.lag("event_us").over(TRIP)) / F.lit(1e6)
-    rate = (F.col("steering_angle") - F.lag("steering_angle").over(TRIP)) / seconds
+    seconds = (F.col("event_us") - F.lag("event_us").over(trip())) / F.lit(1e6)
+    rate = (F.col("steering_angle") - F.lag("steering_angle").over(trip())) / seconds
     return df.withColumn("_s", seconds).withColumn("steering_rate", F.when((F.col("_s") > 0) & (F.col("_s") <= max_gap_s), rate)).drop("_s")
 
 
 def steering_reversal(df: DataFrame, deadband: float = 10.0) -> DataFrame:
     """Whether the rate's sign differs from the last one outside the deadband, gaps apart."""
     sign = F.when(F.abs("steering_rate") > deadband, F.signum("steering_rate"))
-    marked = df.withColumn("_run", F.sum(F.col("steering_rate").isNull().cast("int")).over(SO_FAR)).withColumn("_sign", sign)
+    marked = df.withColumn("_run", F.sum(F.col("steering_rate").isNull().cast("int")).over(trip().rowsBetween(Window.unboundedPreceding, 0))).withColumn("_sign", sign)
     run = Window.partitionBy("trip_id", "_run").orderBy("trip_seq", "event_us", "event_id").rowsBetween(Window.unboundedPreceding, -1)
     last = F.last("_sign", ignorenulls=True).over(run)
     return marked.withColumn("steering_reversal", F.coalesce(F.col("_sign") != last, F.lit(False))).drop("_run", "_sign")
@@ -31,11 +32,11 @@ def episodes(df: DataFrame, conditions: dict[str, tuple[Column, float]], max_gap
 
     A run ends where the condition flips or the gap to the row before is not in (0, max_gap_s].
     """
-    gap = F.col("event_us") - F.lag("event_us").over(TRIP)
+    gap = F.col("event_us") - F.lag("event_us").over(trip())
     broken = F.coalesce((gap <= 0) | (gap > int(max_gap_s * 1e6)), F.lit(True))
     out = df.withColumn("_broken", broken).withColumns({f"_is_{n}": F.coalesce(c, F.lit(False)) for n, (c, _) in conditions.items()})
-    out = out.withColumns({f"_new_{n}": F.col("_broken") | (F.col(f"_is_{n}") != F.lag(f"_is_{n}").over(TRIP)) for n in conditions})
-    out = out.withColumns({f"_run_{n}": F.sum(F.col(f"_new_{n}").cast("int")).over(SO_FAR) for n in conditions})
+    out = out.withColumns({f"_new_{n}": F.col("_broken") | (F.col(f"_is_{n}") != F.lag(f"_is_{n}").over(trip())) for n in conditions})
+    out = out.withColumns({f"_run_{n}": F.sum(F.col(f"_new_{n}").cast("int")).over(trip().rowsBetween(Window.unboundedPreceding, 0)) for n in conditions})
     for n, (_, least) in conditions.items():
         run = Window.partitionBy("trip_id", f"_run_{n}")
         lasts = F.max("event_us").over(run) - F.min("event_us").over(run)
