@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from smoothway.llm.decontam import words_of
 from smoothway.llm.store import written
 
-#: order 2 is the production setting: order 3 moves more than the disk budget (see README).
-ORDER, BACKOFF, LEAST_COUNT = 2, 0.4, 2
+#: Any n-gram that occurs counts, as stupid backoff has it.
+ORDER, BACKOFF, LEAST_COUNT = 3, 0.4, 1
 #: Bytes of text that one task holds at a time, and that set the number of count tables.
 CHUNK_BYTES = 16 << 20
 #: Bits of an n-gram's hash; the tables are cut by its first bits.
