@@ -1,163 +1,102 @@
-"""Language-model scores: stupid backoff over n-gram counts of the whole corpus."""
+"""Language-model scores: stupid backoff over n-gram counts of the whole corpus.
+
+DataFrame expressions only.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from functools import reduce
 
-import numpy as np
-import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from smoothway.llm.decontam import words_of
 from smoothway.llm.store import written
 
 #: Any n-gram that occurs counts, as stupid backoff has it.
 ORDER, BACKOFF, LEAST_COUNT = 3, 0.4, 1
-#: Bytes of text that one task holds at a time, and that set the number of count tables.
-CHUNK_BYTES = 16 << 20
-#: Bits of an n-gram's hash; the tables are cut by its first bits.
-BITS = 56
-BLOCK = "order int, hash_width int, hashes binary, count_width int, counts binary"
-
-
-def ngrams(words: list[bytes], order: int) -> list[np.ndarray]:
-    """Hashes of the n-grams of each length; entry k starts at word k."""
-    code = np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
-    out, rolled = [], np.zeros(len(words), dtype=np.uint64)
-    for n in range(1, order + 1):
-        rolled = rolled[: max(0, len(words) - n + 1)] * np.uint64(0x9FB21C651E98DF25) + code[n - 1 :]
-        rolled ^= rolled >> np.uint64(32)
-        rolled *= np.uint64(0x9E3779B97F4A7C15)
-        out.append(rolled >> np.uint64(64 - BITS))
-    return out
-
-
-def _packed(numbers: np.ndarray) -> tuple[int, bytes]:
-    """Numbers in as few bytes each as the largest needs."""
-    width = max(1, (int(numbers.max()).bit_length() + 7) // 8) if len(numbers) else 1
-    return width, np.ascontiguousarray(numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
-
-
-def _unpacked(width: int, data: bytes) -> np.ndarray:
-    out = np.zeros((len(data) // width, 8), dtype=np.uint8)
-    out[:, :width] = np.frombuffer(data, dtype=np.uint8).reshape(-1, width)
-    return out.reshape(-1).view("<u8")
-
-
-def _block(hashes: np.ndarray, counts: np.ndarray) -> tuple[int, bytes, int, bytes]:
-    """Sorted distinct hashes as differences, and their counts."""
-    return *_packed(np.diff(hashes, prepend=np.uint64(0))), *_packed(counts)
-
-
-def _read(table: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    for order, hw, h, cw, c in zip(*(table.column(x).to_pylist() for x in ("order", "hash_width", "hashes", "count_width", "counts")), strict=True):
-        yield order, np.cumsum(_unpacked(hw, h), dtype=np.uint64), _unpacked(cw, c)
-
-
-def _flat(texts: list[bytes | None], order: int) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
-    """Of all texts of a chunk: ends of the texts, n-gram hashes, and whether each n-gram lies within one text."""
-    each = [words_of(t) for t in texts]
-    ends = np.cumsum([len(w) for w in each], dtype=np.int64)
-    grams = ngrams([w for words in each for w in words], order)
-    left = np.repeat(ends, [len(w) for w in each]) - np.arange(len(grams[0]))
-    return ends, grams, [left[: len(g)] > k for k, g in enumerate(grams)]
-
-
-def chunked(docs: DataFrame, doc_id: str, text: str, chunk_bytes: int) -> tuple[DataFrame, int]:
-    """Rows (chunk, doc_id, text) dealt evenly by a hash, and the number of chunks."""
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    chunks = max(1, -(-total // chunk_bytes))
-    return rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int")), chunks
-
-
-def asked(rows: DataFrame, chunks: int, order: int) -> DataFrame:
-    """The distinct n-grams of each chunk with their counts there, dealt to the count tables by hash."""
-
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        _, grams, whole = _flat(table.column("text").cast(pa.binary()).to_pylist(), order)
-        out: dict[str, list] = {k: [] for k in ("chunk", "part", "order", "hash_width", "hashes", "count_width", "counts")}
-        edges = np.array([(p << BITS) // chunks for p in range(1, chunks)], dtype=np.uint64)
-        for n, (g, w) in enumerate(zip(grams, whole, strict=True), 1):
-            hashes, counts = np.unique(g[w], return_counts=True)
-            cuts = [0, *np.searchsorted(hashes, edges).tolist(), len(hashes)]
-            for p, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
-                if b > a:
-                    for k, v in zip(out, (key[0].as_py(), p, n, *_block(hashes[a:b], counts[a:b])), strict=True):
-                        out[k].append(v)
-        return pa.table(out, schema=pa.schema([("chunk", pa.int32()), ("part", pa.int32()), ("order", pa.int32()), ("hash_width", pa.int32()), ("hashes", pa.binary()), ("count_width", pa.int32()), ("counts", pa.binary())]))
-
-    return rows.groupBy("chunk").applyInArrow(run, f"chunk int, part int, {BLOCK}")
-
-
-def counted(requests: DataFrame, least: int) -> DataFrame:
-    """Corpus counts of the n-grams that each chunk asked for, where they reach the least count."""
-
-    def run(table: pa.Table) -> pa.Table:
-        out: dict[str, list] = {k: [] for k in ("chunk", "order", "hash_width", "hashes", "count_width", "counts")}
-        blocks = list(zip(table.column("chunk").to_pylist(), _read(table), strict=True))
-        for n in sorted({order for _, (order, _, _) in blocks}):
-            mine = [(chunk, h, c) for chunk, (order, h, c) in blocks if order == n]
-            every = np.concatenate([h for _, h, _ in mine])
-            known, at = np.unique(every, return_inverse=True)
-            totals = np.bincount(at, weights=np.concatenate([c for _, _, c in mine]), minlength=len(known)).astype(np.uint64)
-            start = 0
-            for chunk, h, _ in mine:
-                total = totals[at[start : start + len(h)]]
-                start += len(h)
-                often = total >= least
-                if often.any():
-                    for k, v in zip(out, (chunk, n, *_block(h[often], total[often])), strict=True):
-                        out[k].append(v)
-        return pa.table(out, schema=pa.schema([("chunk", pa.int32()), ("order", pa.int32()), ("hash_width", pa.int32()), ("hashes", pa.binary()), ("count_width", pa.int32()), ("counts", pa.binary())]))
-
-    return requests.groupBy("part").applyInArrow(run, f"chunk int, {BLOCK}")
-
-
-def backoff_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: int = ORDER, backoff: float = BACKOFF, least: int = LEAST_COUNT, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+APART = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: An n-gram in so many documents goes to each task with its score instead of into one task.
+OFTEN = 5_000
+
+
+def words(text: Column) -> Column:
+    return F.filter(F.split(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), APART), lambda w: w != "")
+
+
+def _size(gram: Column) -> Column:
+    return F.length(gram) - F.length(F.replace(gram, F.lit(" "))) + 1
+
+
+def _last(gram: Column, n: int) -> Column:
+    """The last n words; an n-gram is its words with a space between, which no word has in it."""
+    return F.substring_index(gram, " ", -n)
+
+
+def _before(gram: Column) -> Column:
+    """All words but the last."""
+    return F.substring(gram, F.lit(1), F.length(gram) - F.length(F.substring_index(gram, " ", -1)) - 1)
+
+
+def document_grams(split: DataFrame, order: int) -> DataFrame:
+    """Rows (row, gram, times): the longest n-gram up to order that ends in each word of a document."""
+    places = F.transform(F.col("words"), lambda w, i: F.array_join(F.slice("words", F.greatest(i + 2 - order, F.lit(1)), F.least(i + 1, F.lit(order))), " "))
+    return split.select("row", F.explode(places).alias("gram")).groupBy("row", "gram").agg(F.count("*").alias("times"))
+
+
+def gram_counts(longest: DataFrame, order: int) -> DataFrame:
+    """Rows (gram, n) of all n-grams of fewer words than order, from the longest that end in each word."""
+    ends = F.array_compact(F.array(*[F.when(_size(F.col("gram")) >= k, _last(F.col("gram"), k)) for k in range(1, order)]))
+    return longest.select(F.explode(ends).alias("gram"), "n").groupBy("gram").agg(F.sum("n").alias("n"))
+
+
+def gram_scores(longest: DataFrame, shorter: DataFrame, total: int, order: int, backoff: float, least: int) -> DataFrame:
+    """Rows (gram, score, alone) for each longest n-gram: that of its last word.
+
+    Lengths are tried from order down; an n-gram below the least count goes on as the one without
+    its first word. With a least of 1 none does, as all n-grams come from the corpus itself.
+    """
+    left = longest.select("gram", F.col("gram").alias("end"), F.col("n").alias("own"))
+    known, prior, out = shorter.select(F.col("gram").alias("end"), "n"), shorter.select(F.col("gram").alias("prefix"), F.col("n").alias("of")), []
+    for k in range(order, 0, -1):
+        here = left.filter(_size(F.col("end")) == k)
+        here = here.withColumn("n", F.col("own")) if k == order else here.join(known, "end")
+        lost = F.lit(math.log(backoff)) * (_size(F.col("gram")) - k)
+        if k == 1:
+            out.append(here.select("gram", (F.log("n") - F.log(F.lit(float(total))) + lost).alias("score"), (_size(F.col("gram")) > 1).alias("alone")))
+            break
+        met = here.filter(F.col("n") >= least).withColumn("prefix", _before(F.col("end"))).join(prior, "prefix")
+        out.append(met.select("gram", (F.log("n") - F.log("of") + lost).alias("score"), F.lit(False).alias("alone")))
+        left = left.filter(_size(F.col("end")) < k)
+        if least > 1:
+            left = left.unionByName(here.filter(F.col("n") < least).select("gram", _last(F.col("end"), k - 1).alias("end"), "own"))
+    return reduce(DataFrame.unionByName, out)
+
+
+def backoff_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: int = ORDER, backoff: float = BACKOFF, least: int = LEAST_COUNT, often: int = OFTEN) -> DataFrame:
     """One row per document: doc_id, n_tokens, n_backed_off, log_prob, perplexity.
 
     Counts come from all documents. The score of a word is the count of the longest n-gram up to
     order that ends in it, lies in the text and occurs least times or more, over the count of that
     n-gram without the word; each shorter length costs a factor backoff. Single words need no least
     count and are taken over all words. n_backed_off counts words scored alone that had a word
-    before them. Each chunk of documents asks hashed count tables for its distinct n-grams, so a
-    common n-gram is one entry for a chunk however often it occurs. Null and empty texts have 0
-    words, log_prob 0 and no perplexity.
+    before them. An n-gram is one row for a document, however often it occurs there, and is scored
+    once for the corpus; scores are joined back, those of common n-grams by broadcast. Null and
+    empty texts have 0 words, log_prob 0 and no perplexity. order is 2 or more.
     """
-    kind = docs.schema[doc_id].dataType.simpleString()
-    rows, chunks = chunked(docs, doc_id, text, chunk_bytes)
-    answers = counted(asked(rows, chunks, order), least)
-
-    def run(key: tuple, table: pa.Table, counts: pa.Table) -> pa.Table:
-        ends, grams, whole = _flat(table.column("text").cast(pa.binary()).to_pylist(), order)
-        found = []
-        parts = list(_read(counts))
-        for n, g in enumerate(grams, 1):
-            mine = sorted((p for p in parts if p[0] == n and len(p[1])), key=lambda p: p[1][0])
-            hashes = np.concatenate([p[1] for p in mine]) if mine else np.zeros(0, dtype=np.uint64)
-            totals = np.concatenate([p[2] for p in mine]) if mine else np.zeros(0, dtype=np.uint64)
-            at = np.minimum(np.searchsorted(hashes, g), max(0, len(hashes) - 1))
-            hit = (hashes[at] == g) & whole[n - 1] if len(hashes) else np.zeros(len(g), dtype=bool)
-            found.append(np.where(hit, totals[at] if len(hashes) else 0, 0).astype(np.float64))
-        size = len(grams[0])
-        starts = np.concatenate([[0], ends[:-1]]).astype(np.int64) if len(ends) else np.zeros(0, dtype=np.int64)
-        place = np.arange(size) - np.repeat(starts, np.diff(np.concatenate([[0], ends])).astype(np.int64))
-        log = np.log(np.maximum(found[0], 1.0)) + np.log(backoff) * np.minimum(place, order - 1)
-        alone = np.ones(size, dtype=bool)
-        for n in range(2, order + 1):
-            last = np.nonzero(found[n - 1] > 0)[0] + n - 1
-            log[last] = np.log(found[n - 1][last - n + 1]) - np.log(found[n - 2][last - n + 1]) + np.log(backoff) * (np.minimum(place[last], order - 1) - (n - 1))
-            alone[last] = False
-        total = lambda v: np.diff(np.concatenate([[0.0], np.cumsum(v)])[np.concatenate([[0], ends]).astype(np.int64)])
-        each = np.add.reduceat(np.append(log, 0.0), starts) if len(starts) else np.zeros(0)
-        lengths = np.diff(np.concatenate([[0], ends])).astype(np.int64)
-        return pa.table({"doc_id": table.column("doc_id"), "n_tokens": pa.array(lengths, type=pa.int64()), "n_alone": pa.array(total(alone).astype(np.int64)), "n_backed_off": pa.array(total(alone & (place > 0)).astype(np.int64)), "log_counts": pa.array(np.where(lengths > 0, each, 0.0))})
-
-    scored = rows.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run, f"doc_id {kind}, n_tokens long, n_alone long, n_backed_off long, log_counts double")
-    scored = written(scored, "lm")
-    words = scored.agg(F.sum("n_tokens")).first()[0] or 1
-    log_prob = F.col("log_counts") - F.col("n_alone") * F.lit(float(np.log(words)))
-    return scored.select(F.col("doc_id").alias(doc_id), "n_tokens", "n_backed_off", F.round(log_prob, 4).alias("log_prob"), F.when(F.col("n_tokens") > 0, F.round(F.exp(-log_prob / F.col("n_tokens")), 3)).alias("perplexity"))
+    split = docs.select(F.col(doc_id).alias("doc_id"), words(F.col(text)).alias("words")).withColumn("row", F.monotonically_increasing_id())
+    rows = written(split.select("row", "doc_id", F.size("words").cast("long").alias("n_tokens"), F.array_join("words", " ").alias("joined")), "lm-rows")
+    total = rows.agg(F.sum("n_tokens")).first()[0] or 1
+    kept = rows.filter("n_tokens > 0").select("row", "joined").repartition("row").select("row", F.split("joined", " ").alias("words"))
+    grams = document_grams(kept, order)
+    longest = written(grams.groupBy("gram").agg(F.sum("times").alias("n"), F.count("*").alias("rows")), "lm-grams")
+    scores = written(gram_scores(longest, gram_counts(longest, order), total, order, backoff, least), "lm-scores")
+    common = longest.filter(F.col("rows") >= max(often, total // 100_000)).select("gram")
+    few = F.broadcast(common)
+    rare = grams.join(few, "gram", "left_anti").join(scores, "gram")
+    wide = grams.join(F.broadcast(scores.join(few, "gram", "left_semi")), "gram")
+    summed = rare.unionByName(wide).groupBy("row").agg(F.sum(F.col("times") * F.col("score")).alias("log_sum"), F.sum(F.when(F.col("alone"), F.col("times")).otherwise(0)).alias("backed"))
+    log_prob = F.coalesce("log_sum", F.lit(0.0))
+    found = rows.drop("joined").join(summed, "row", "left")
+    return found.select(F.col("doc_id").alias(doc_id), "n_tokens", F.coalesce("backed", F.lit(0)).cast("long").alias("n_backed_off"), F.round(log_prob, 4).alias("log_prob"), F.when(F.col("n_tokens") > 0, F.round(F.exp(-log_prob / F.col("n_tokens")), 3)).alias("perplexity"))

@@ -59,3 +59,19 @@ def test_op10_on_the_given_table(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
     found = {r["doc_id"]: r for r in queries.op10_lm(spark, sf_dir).collect()}
     _same([found[r["doc_id"]] for r in rows], [r["text"] for r in rows])
+
+
+def test_ngrams_are_rows_that_spark_counts(spark):
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "row long, text string")
+    grams = lm.document_grams(docs.select("row", lm.words(docs["text"]).alias("words")), ORDER).collect()
+    split = [_words(t) for t in TEXTS]
+    assert {(r["row"], r["gram"]): r["times"] for r in grams} == Counter((k, " ".join(w[max(0, i - ORDER) : i])) for k, w in enumerate(split) for i in range(1, len(w) + 1))
+    longest = spark.createDataFrame([(r["gram"], r["times"]) for r in grams], "gram string, n long")
+    shorter = {r["gram"]: r["n"] for r in lm.gram_counts(longest, ORDER).collect()}
+    assert shorter == Counter(" ".join(w[i - n : i]) for w in split for n in range(1, ORDER) for i in range(n, len(w) + 1))
+
+
+def test_common_ngrams_are_joined_apart_with_the_same_result(spark):
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
+    found = lm.backoff_scores(docs, often=2)
+    _same({r["doc_id"]: r for r in found.collect()}, TEXTS)
