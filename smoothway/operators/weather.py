@@ -67,7 +67,7 @@ def current_scores(standard: DataFrame, segment_zones: DataFrame, weather: DataF
     signature. weather must hold one row a zone; the dimension tables are joined as Spark sees fit.
     """
     known = weather.select("location_id", conditions().alias("conditions"), F.lit(True).alias("_known"))
-    joined = standard.join(segment_zones, "segment_id").join(known, "location_id", "left")
+    joined = standard.join(segment_zones.filter("location_id is not null"), "segment_id").join(known, "location_id", "left")
     found = F.coalesce("conditions", F.array().cast("array<string>"))
     joined = joined.withColumn("_found", found)
     off = deductions(F.col("_found"))
@@ -108,6 +108,12 @@ def changed_zones(old: DataFrame, new: DataFrame) -> DataFrame:
     return both.filter(~F.col("_old").eqNullSafe(F.col("_new"))).select("location_id").distinct()
 
 
+def unzoned(standard: DataFrame, zoned: DataFrame) -> DataFrame:
+    """How many segments and rows the current scores skip, as the segment has no zone."""
+    known = zoned.filter("location_id is not null").select("segment_id")
+    return standard.join(known, "segment_id", "left_anti").agg(F.countDistinct("segment_id").alias("segments"), F.count("*").alias("rows"))
+
+
 def score_quarantine(df: DataFrame, tolerance: float = 0.01) -> DataFrame:
     """Add the broken rules of current scores: their ranges, and that the parts make the whole.
 

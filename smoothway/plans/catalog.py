@@ -138,8 +138,7 @@ def _(read):
 
 @query("w13_task_gaps", oracle(["trips"], "SELECT trip_id, lead(request_us) OVER (PARTITION BY pickup_zone ORDER BY request_us, trip_id) - dropoff_us AS wait FROM trips WHERE trip_id % 2 = 0"))
 def _(read):
-    trips = read("trips").filter("trip_id % 2 = 0")
-    return sequence.gaps_between(trips, "pickup_zone", ["request_us", "trip_id"], "request_us", "dropoff_us").select("trip_id", "wait")
+    return sequence.gaps_between(read("trips"), "pickup_zone", ["request_us", "trip_id"], "request_us", "dropoff_us").select("trip_id", "wait")
 
 
 @query("w15_order_check", oracle(["trips"], "SELECT pickup_zone, count(*) FILTER (fell) AS falls FROM (SELECT pickup_zone, request_us < lag(request_us) OVER (PARTITION BY pickup_zone ORDER BY trip_id) AS fell FROM trips) GROUP BY 1 HAVING count(*) FILTER (fell) > 0"))
@@ -301,10 +300,13 @@ CURRENT = """zoned AS (SELECT DISTINCT segment_id, CAST(CAST(substr(segment_id,
 _STEPS = (WINDOWED, LATEST, POOLED, STANDARD, COND, CURRENT)
 
 
-def current_table(read) -> DataFrame:
+def segment_zones(read) -> DataFrame:
     number = F.substring("segment_id", 2, 9).try_cast("int")
-    zoned = read("hourly_scores").select("segment_id").distinct().filter(number % 7 != 3).withColumn("location_id", number % 30)
-    return weather.current_scores(standard_table(read), zoned, read("zone_weather"))
+    return read("hourly_scores").select("segment_id").distinct().withColumn("location_id", number % 30)
+
+
+def current_table(read) -> DataFrame:
+    return weather.current_scores(standard_table(read), segment_zones(read), read("zone_weather"))
 
 
 @query("j13_current_scores", oracle(["hourly_scores", "zone_weather"], "SELECT segment_id, vehicle_profile_id, location_id, round(vertical_score, 4) AS vertical_score, round(longitudinal_score, 4) AS longitudinal_score, round(lateral_score, 4) AS lateral_score, impact_signature, round(comfort_score, 4) AS comfort_score FROM current", *_STEPS))
@@ -312,6 +314,11 @@ def _(read):
     return rounded(current_table(read), 4)
 
 
+@query("j13_unzoned_segments")
+def _(read):
+    return weather.unzoned(standard_table(read), segment_zones(read))
+
+
 @query("j14_changed_zones", oracle(["zone_weather"], "SELECT location_id FROM signed WHERE impact_signature <> 'v1|clear' AND location_id % 3 <> 0 UNION SELECT location_id FROM signed WHERE location_id % 3 = 0", COND))
 def _(read):
     new = read("zone_weather").select("location_id", weather.signature(weather.conditions()).alias("impact_signature"))
@@ -433,6 +440,10 @@ PRIORITY = """joined AS (SELECT od.*, (1 + a.location_id % 4) / 4.0 AS f, (1 + b
  ranked AS (SELECT *, (rank() OVER (ORDER BY trips) + (count(*) OVER (PARTITION BY trips) - 1) / 2.0) / count(*) OVER () AS demand FROM joined), prior AS (SELECT pickup_zone, dropoff_zone, trips, demand, demand * (f + t) / 2 AS priority FROM ranked)"""
 
 
+#: Zone pairs that are kept, as in the reference.
+TOP_OD = 1000
+
+
 def od_priorities(read) -> DataFrame:
     od = zones.od_counts(zones.valid_trips(read("trips"))).drop("months")
     relevance = read("zones").select("location_id", ((1 + F.col("location_id") % 4) / 4.0).cast("double").alias("relevance"))
@@ -446,7 +457,7 @@ def _(read):
 
 @query("t1_top_od", oracle(["trips", "zones"], "SELECT pickup_zone, dropoff_zone, row_number() OVER (ORDER BY round(priority, 6) DESC, trips DESC, pickup_zone, dropoff_zone) AS rank FROM prior ORDER BY rank LIMIT 100", VALID, OD, PRIORITY))
 def _(read):
-    best = zones.top(od_priorities(read), 100, [F.desc(F.round("priority", 6)), F.desc("trips"), F.asc("pickup_zone"), F.asc("dropoff_zone")])
+    best = zones.top(od_priorities(read), TOP_OD, [F.desc(F.round("priority", 6)), F.desc("trips"), F.asc("pickup_zone"), F.asc("dropoff_zone")])
     return best.select("pickup_zone", "dropoff_zone", F.col("rank").cast("long").alias("rank"))
 
 
