@@ -14,24 +14,50 @@ def directed_edges(roads: DataFrame) -> DataFrame:
     return each.select("segment_id", "reverse", F.when(F.col("reverse"), F.col("to_node")).otherwise(F.col("from_node")).alias("source"), F.when(F.col("reverse"), F.col("from_node")).otherwise(F.col("to_node")).alias("target"), "length")
 
 
-def shortest_distances(edges: DataFrame, sources: DataFrame, most_hops: int = 64, every: int = 5) -> DataFrame:
-    """Shortest distance from each source node to each node it reaches (rows source, target, distance).
+def shortest_paths(edges: DataFrame, sources: DataFrame, every: int = 5) -> DataFrame:
+    """Shortest path from each source node to each node it reaches, by its length and last edge.
 
-    Bellman-Ford over tables: each round extends the paths that became shorter by one edge and keeps
-    the least; it ends when nothing changed. Lineage is cut every few rounds by a checkpoint.
+    Rows (source, target, distance, previous, segment_id, reverse): the last edge comes from the node
+    previous, whose own row has the edge before it, so path() can follow it back; a source's own row
+    has no edge. Bellman-Ford over tables: each round extends the paths that became shorter by one
+    edge and keeps the least; it ends when nothing changed. Lengths must not be negative. Lineage is
+    cut every few rounds by a checkpoint.
     """
-    best_edge = edges.groupBy("source", "target").agg(F.min("length").alias("length"))
-    hop = best_edge.select(F.col("source").alias("_at"), F.col("target").alias("_to"), "length")
-    best = sources.select(F.col("node").alias("source"), F.col("node").alias("target"), F.lit(0.0).alias("distance")).distinct()
-    new = best
-    for turn in range(most_hops):
-        reached = new.join(hop, F.col("target") == F.col("_at")).groupBy("source", F.col("_to").alias("target")).agg(F.min(F.round(F.col("distance") + F.col("length"), 9)).alias("_d"))
-        merged = best.join(reached, ["source", "target"], "full").select("source", "target", F.least("distance", "_d").alias("distance"), (F.col("distance").isNull() | (F.col("_d") < F.col("distance"))).alias("_new"))
-        merged = merged.checkpoint() if turn % every == every - 1 else merged.persist()
+    best_edge = edges.groupBy("source", "target").agg(F.min(F.struct("length", "segment_id", "reverse")).alias("_edge"))
+    hop = best_edge.select(F.col("source").alias("_at"), F.col("target").alias("_to"), "_edge")
+    kinds = {f.name: f.dataType for f in edges.schema}
+    none = lambda name: F.lit(None).cast(kinds[name])
+    last = F.struct(none("source").alias("previous"), none("segment_id").alias("segment_id"), none("reverse").alias("reverse"))
+    best = sources.select(F.col("node").alias("source"), F.col("node").alias("target"), F.lit(0.0).alias("distance"), last.alias("last")).distinct()
+    new, held, turn = best, [], 0
+    while True:
+        step = F.struct(F.round(F.col("distance") + F.col("_edge.length"), 9).alias("distance"), F.col("_at").alias("previous"), F.col("_edge.segment_id").alias("segment_id"), F.col("_edge.reverse").alias("reverse"))
+        reached = new.join(hop, F.col("target") == F.col("_at")).groupBy("source", F.col("_to").alias("target")).agg(F.min(step).alias("_s"))
+        better = F.col("_s").isNotNull() & (F.col("distance").isNull() | (F.col("_s.distance") < F.col("distance")))
+        merged = best.join(reached, ["source", "target"], "full").withColumn("_new", F.coalesce(better, F.lit(False)))
+        merged = merged.select("source", "target", F.when(F.col("_new"), F.col("_s.distance")).otherwise(F.col("distance")).alias("distance"), F.when(F.col("_new"), F.struct("_s.previous", "_s.segment_id", "_s.reverse")).otherwise(F.col("last")).alias("last"), "_new")
+        if turn % every == every - 1:
+            merged = merged.checkpoint()
+            for old in held:
+                old.unpersist()
+            held = []
+        else:
+            merged = merged.persist()
+            held.append(merged)
+        turn += 1
         new, best = merged.filter("_new").drop("_new"), merged.drop("_new")
         if new.isEmpty():
-            return best
-    raise RuntimeError("paths are longer than most_hops")
+            return best.select("source", "target", "distance", "last.*")
+
+
+def path(found: dict[tuple[str, str], tuple[str, str, bool]], source: str, target: str) -> list[tuple[str, bool]]:
+    """The edges (segment_id, reverse) from source to target, from (source, target) -> last edge."""
+    out = []
+    while target != source:
+        previous, segment, reverse = found[source, target]
+        out.append((segment, reverse))
+        target = previous
+    return out[::-1]
 
 
 def contiguous(routes: DataFrame, edges: DataFrame) -> DataFrame:

@@ -545,5 +545,5 @@ def _(read):
  SELECT source, target, round(min(distance), 6) AS distance FROM walk GROUP BY 1, 2""", EDGES).replace("WITH ", "WITH RECURSIVE ", 1).replace(") , walk", "), walk"))
 def _(read):
     edges = routing.directed_edges(read("road_segments"))
-    nodes = edges.filter(F.col("source").isin("n1", "n5", "n9")).select(F.col("source").alias("node")).distinct()
-    return rounded(routing.shortest_distances(edges, nodes))
+    nodes = edges.select(F.col("source").alias("node")).union(edges.select("target")).distinct()
+    return rounded(routing.shortest_paths(edges, nodes))
