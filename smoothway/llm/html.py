@@ -35,6 +35,11 @@ HINT = re.compile(
     re.I,
 )
 
+#: What a page is said to have or lack as a whole (no-sidebar, has-header) is no container of that kind.
+STATED = re.compile(r"(?<![^\s_-])(?:no|has|with)[_-]\S*", re.I)
+#: Elements that hold the page or its article; names of classes say nothing of all in them.
+WHOLE = {"html", "body", "main", "article"}
+
 #: Labelled blocks, fixed values: boiler (inside a container of that kind), article (1 inside the
 #: page's article, 0 the page has none, -1 outside it), words, link density, words and link density
 #: of the block before and of the block after, and whether the block is main text.
@@ -143,32 +148,56 @@ class Block:
     article: bool
 
 
-def _is_boiler(name: str, attrs: str) -> bool:
+def _is_boiler(name: str, attrs: str) -> tuple[bool, bool]:
+    """Whether an element is boiler for sure, and whether its class, id, role or label hints at it."""
     if name in BOILER:
-        return True
-    if not attrs:
-        return False
+        return True, False
+    hinted = False
     for key, a, b, c in ATTRIBUTE.findall(attrs):
         key, value = key.lower(), a or b or c
-        if key == "hidden" or (key in ("class", "id", "role", "aria-label") and HINT.search(value)):
-            return True
-        if (key == "style" and re.search(r"display\s*:\s*none", value)) or (key == "aria-hidden" and value.lower() == "true"):
-            return True
-    return False
+        if key == "hidden" or (key == "style" and re.search(r"display\s*:\s*none", value)) or (key == "aria-hidden" and value.lower() == "true"):
+            return True, False
+        if name not in WHOLE and key in ("class", "id", "role", "aria-label") and HINT.search(STATED.sub("", value)):
+            hinted = True
+    return False, hinted
 
 
 def _is_article(name: str, attrs: str) -> bool:
     return name in ARTICLE or ("main" in attrs or "articleBody" in attrs) and bool(re.search(r"role\s*=\s*[\"']?main|itemprop\s*=\s*[\"']?articleBody", attrs))
 
 
+def _around_article(found: list[tuple[Block, tuple[int, ...], tuple[int, ...]]], hints_of: dict[int, tuple[int, ...]]) -> set[int]:
+    """The hinted elements that contain the page's article: these hints are wrong.
+
+    The article is the article element of most words, or one in it that has more than half of them,
+    if it has more words than all unhinted text outside; so a list of related articles is none.
+    """
+    words: dict[int, int] = dict.fromkeys(hints_of, 0)
+    inside: dict[int, set[int]] = {a: set() for a in hints_of}
+    for block, _, articles in found:
+        if not block.boiler:
+            for k, a in enumerate(articles):
+                words[a] += block.words
+                inside[a].update(articles[k + 1 :])
+    if not words:
+        return set()
+    best = max(words, key=lambda a: (words[a], -a))
+    if words[best] <= sum(b.words for b, hints, articles in found if not b.boiler and not hints and best not in articles):
+        return set()
+    while more := [a for a in inside[best] if 2 * words[a] > words[best]]:
+        best = max(more, key=lambda a: (words[a], -a))
+    return set(hints_of[best])
+
+
 def blocks(page: str) -> list[Block]:
     """Flat blocks of a page in order; markup, scripts, styles and comments are gone."""
-    out: list[Block] = []
-    stack: list[tuple[str, bool, bool, bool]] = []  # name, boiler, article, link; each with all around it
+    out: list[tuple[Block, tuple[int, ...], tuple[int, ...]]] = []  # with the hinted and article elements around
+    stack: list[tuple[str, bool, tuple[int, ...], tuple[int, ...], bool]] = []  # name, boiler, hinted, article, link; each with all around it
     parts: list[tuple[str, bool]] = []
+    hints_of: dict[int, tuple[int, ...]] = {}  # article element -> hinted elements around it and itself
 
-    def around() -> tuple[bool, bool, bool]:
-        return stack[-1][1:] if stack else (False, False, False)
+    def around() -> tuple[bool, tuple[int, ...], tuple[int, ...], bool]:
+        return stack[-1][1:] if stack else (False, (), (), False)
 
     def flush() -> None:
         if parts:
@@ -176,17 +205,18 @@ def blocks(page: str) -> list[Block]:
             if text:
                 linked = len(SPACE.sub(" ", references.unescape("".join(p for p, link in parts if link))).split())
                 words = text.count(" ") + 1
-                out.append(Block(text, words, min(1.0, linked / words), *around()[:2]))
+                boiler, hints, articles, _ = around()
+                out.append((Block(text, words, min(1.0, linked / words), boiler, bool(articles)), hints, articles))
             parts.clear()
 
     at, end = 0, len(page)
     while at < end:
         tag = TAG.search(page, at)
         if tag is None:
-            parts.append((page[at:], around()[2]))
+            parts.append((page[at:], around()[3]))
             break
         if tag.start() > at:
-            parts.append((page[at : tag.start()], around()[2]))
+            parts.append((page[at : tag.start()], around()[3]))
         at = tag.end()
         if tag["name"] is None:
             continue
@@ -197,7 +227,7 @@ def blocks(page: str) -> list[Block]:
                 at = stop.end() if stop else end
             continue
         if name == "br":
-            parts.append((" ", around()[2]))
+            parts.append((" ", around()[3]))
             continue
         block = name not in INLINE
         if block:
@@ -223,10 +253,19 @@ def blocks(page: str) -> list[Block]:
                     break
                 if stack[k][0] in ("ul", "ol", "dl", "table"):
                     break
-        boiler, article, link = around()
-        stack.append((name, boiler or _is_boiler(name, attrs), article or _is_article(name, attrs), link or name == "a"))
+        boiler, hints, articles, link = around()
+        sure, hinted = _is_boiler(name, attrs)
+        if hinted:
+            hints += (at,)
+        if _is_article(name, attrs):
+            articles += (at,)
+            hints_of[at] = hints
+        stack.append((name, boiler or sure, hints, articles, link or name == "a"))
     flush()
-    return out
+    wrong = _around_article(out, hints_of)
+    for block, hints, _ in out:
+        block.boiler = block.boiler or any(h not in wrong for h in hints)
+    return [block for block, _, _ in out]
 
 
 def main_text(page: str | None, tree: Tree) -> str:
