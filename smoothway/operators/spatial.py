@@ -88,6 +88,15 @@ def inside_polygon(x: Column, y: Column, ring: Column) -> Column:
     return on_edge | (crossings % 2 == 1)
 
 
+def in_polygons(points: DataFrame, zones: DataFrame, size: float = 500.0) -> DataFrame:
+    """Points with the first zone whose ring (edges included) covers them, or null."""
+    side = lambda f, c: f(F.transform("ring", lambda p: p[c]))
+    wide = _covering(zones, side(F.array_min, "x"), side(F.array_min, "y"), side(F.array_max, "x"), side(F.array_max, "y"), size).select("_cx", "_cy", "location_id", F.col("ring").alias("_ring"))
+    here = points.withColumns({"_px": _cell(F.col("x"), size), "_py": _cell(F.col("y"), size)})
+    on = (F.col("_px") == F.col("_cx")) & (F.col("_py") == F.col("_cy")) & inside_polygon(F.col("x"), F.col("y"), F.col("_ring"))
+    return here.join(wide, on, "left").groupBy(*points.columns).agg(F.min("location_id").alias("location_id"))
+
+
 def street_key(street: Column) -> Column:
     """Upper case without all but letters and digits."""
     return F.regexp_replace(F.upper(street), "[^A-Z0-9]", "")

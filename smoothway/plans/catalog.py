@@ -408,6 +408,15 @@ def _(read):
     return spatial.in_zones(read("pavement").select("street", "x", "y").distinct(), read("zones"))
 
 
+@query("j10_midpoint_polygons")
+def _(read):
+    """Midpoints of roads in zones with a cut corner."""
+    at = lambda dx, dy: F.struct((F.col("x0") + dx * F.col("width")).alias("x"), (F.col("y0") + dy * F.col("height")).alias("y"))
+    rings = read("zones").select("location_id", F.array(at(0.0, 0.0), at(1.0, 0.0), at(1.0, 0.5), at(0.5, 1.0), at(0.0, 1.0), at(0.0, 0.0)).alias("ring"))
+    middle = read("road_segments").selectExpr("segment_id", "(x0 + x1) / 2 AS x", "(y0 + y1) / 2 AS y")
+    return spatial.in_polygons(middle, rings).select("segment_id", "location_id")
+
+
 @query("j11_pavement", oracle(["road_segments", "pavement"], """SELECT segment_id, rating AS pavement_rating, CASE WHEN rating >= 8 THEN 'Good' WHEN rating >= 6 THEN 'Fair' WHEN rating IS NOT NULL THEN 'Poor' END AS pavement_condition FROM road_segments LEFT JOIN (SELECT segment_id, rating FROM
  (SELECT segment_id, rating, row_number() OVER (PARTITION BY segment_id ORDER BY round(far, 6), inspected DESC NULLS LAST, rating DESC) AS rn FROM (SELECT r.segment_id, p.rating, p.inspected, sqrt(power(p.x - (x0 + greatest(0, least(1, ((p.x - x0) * (x1 - x0) + (p.y - y0) * (y1 - y0)) / ((x1 - x0) * (x1 - x0) + (y1 - y0) * (y1 - y0)))) * (x1 - x0)), 2)
  + power(p.y - (y0 + greatest(0, least(1, ((p.x - x0) * (x1 - x0) + (p.y - y0) * (y1 - y0)) / ((x1 - x0) * (x1 - x0) + (y1 - y0) * (y1 - y0)))) * (y1 - y0)), 2)) AS far FROM road_segments r JOIN pavement p ON regexp_replace(upper(r.street), '[^A-Z0-9]', '', 'g') = regexp_replace(upper(p.street), '[^A-Z0-9]', '', 'g') WHERE p.inspected IS NULL OR p.inspected <= 20250600) WHERE far <= 39) WHERE rn = 1) USING (segment_id)"""))

@@ -5,6 +5,8 @@ import hashlib
 from pyspark.sql import functions as F
 
 from smoothway.operators import spatial, weather, zones
+from smoothway.plans import catalog
+from smoothway.plans.adapters import spark_view
 from smoothway.streaming import raw
 
 
@@ -34,3 +36,13 @@ def test_categories_representatives_and_shares(spark):
 def test_windowed_counts(spark):
     df = spark.sql("SELECT * FROM VALUES (TIMESTAMP '2026-01-05 00:10:00', 'a'), (TIMESTAMP '2026-01-05 00:50:00', 'a'), (TIMESTAMP '2026-01-05 01:10:00', 'a') AS v(t, k)")
     assert sorted(r["n"] for r in raw.windowed_counts(df, "t", ["k"]).collect()) == [1, 2]
+
+
+def test_j10_midpoints_in_polygons(spark, sf_dir):
+    sf_dir = sf_dir.replace("sf0.001", "sf0.01")  # the smallest table has few roads
+    areas = sorted(spark_view(spark, sf_dir, "zones").collect(), key=lambda z: z["location_id"])
+    want = {}
+    for r in spark_view(spark, sf_dir, "road_segments").collect():
+        at = [(z["location_id"], ((r["x0"] + r["x1"]) / 2 - z["x0"]) / z["width"], ((r["y0"] + r["y1"]) / 2 - z["y0"]) / z["height"]) for z in areas]
+        want[r["segment_id"]] = next((i for i, u, v in at if 0 <= u <= 1 and 0 <= v <= 1 and u + v <= 1.5), None)
+    assert {r["segment_id"]: r["location_id"] for r in catalog.QUERIES["j10_midpoint_polygons"](spark, sf_dir).collect()} == want
