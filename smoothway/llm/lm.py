@@ -1,102 +1,182 @@
-"""Language-model scores: stupid backoff over n-gram counts of the whole corpus.
+"""Language-model scores: stupid backoff over n-gram counts of a whole corpus.
 
-DataFrame expressions only.
+An n-gram is a row of its document, its context (the words before its last) and its last word, the
+two as 64-bit hashes. Spark deals the rows by context, so the counts of an n-gram and of its context
+meet in one place; those of contexts too frequent for one place are count tables that are joined.
 """
 
 from __future__ import annotations
 
-import math
+import re
+from collections.abc import Iterator
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from smoothway.llm.store import written
 
-#: Any n-gram that occurs counts, as stupid backoff has it.
-ORDER, BACKOFF, LEAST_COUNT = 3, 0.4, 1
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-APART = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: An n-gram in so many documents goes to each task with its score instead of into one task.
-OFTEN = 5_000
+ORDER, BACKOFF = 3, 0.4
+WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+#: What stands before the first word of a text, as a hash.
+START = np.uint64(0x5851F42D4C957F2D)
+#: Parts of the contexts that are dealt one after another; each needs so much less room on disk.
+SLICES = 2
+LOW = 0x7FFFFFFF
+#: A context or n-gram with more than this share of all rows is too frequent for one place.
+OFTEN = 0.001
+#: Counters by which frequent contexts are found, and one text in so many that is looked at for that.
+SLOTS, LOOKED_AT = 1 << 16, 16
+#: Rows in a batch that a task hands to Spark.
+BATCH = 1 << 19
+#: Logarithms are whole numbers of this unit, so that sums don't depend on the order of rows.
+UNIT = 1e-9
 
 
-def words(text: Column) -> Column:
-    return F.filter(F.split(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), APART), lambda w: w != "")
+def words_of(text: bytes | None) -> list[bytes]:
+    """Words of a text: A-Z in lower case, runs of digits, letters and all beyond ASCII."""
+    return WORD.findall(text.lower()) if text else []
 
 
-def _size(gram: Column) -> Column:
-    return F.length(gram) - F.length(F.replace(gram, F.lit(" "))) + 1
+def _hashed(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of the texts, and how many each text has."""
+    each = [words_of(t) for t in texts]
+    sizes = np.fromiter(map(len, each), dtype=np.int64, count=len(each))
+    return np.fromiter((xxhash.xxh3_64_intdigest(w) for words in each for w in words), dtype=np.uint64, count=int(sizes.sum())), sizes
 
 
-def _last(gram: Column, n: int) -> Column:
-    """The last n words; an n-gram is its words with a space between, which no word has in it."""
-    return F.substring_index(gram, " ", -n)
+def _contexts(words: np.ndarray, sizes: np.ndarray, order: int) -> np.ndarray:
+    """The hash of the order - 1 words before each word; before a text's first word is its start."""
+    starts = (np.cumsum(sizes) - sizes)[sizes > 0]
+    place = np.arange(len(words)) - np.repeat(starts, sizes[sizes > 0])
+    out = np.full(len(words), order, dtype=np.uint64)
+    for back in range(order - 1, 0, -1):
+        before = np.where(place >= back, np.roll(words, back), START)
+        out = (out ^ before) * np.uint64(0x9FB21C651E98DF25)
+        out ^= out >> np.uint64(32)
+    return out
 
 
-def _before(gram: Column) -> Column:
-    """All words but the last."""
-    return F.substring(gram, F.lit(1), F.length(gram) - F.length(F.substring_index(gram, " ", -1)) - 1)
+def _slot(context: np.ndarray) -> np.ndarray:
+    return (context >> np.uint64(48)).astype(np.int64)
 
 
-def document_grams(split: DataFrame, order: int) -> DataFrame:
-    """Rows (row, gram, times): the longest n-gram up to order that ends in each word of a document."""
-    places = F.transform(F.col("words"), lambda w, i: F.array_join(F.slice("words", F.greatest(i + 2 - order, F.lit(1)), F.least(i + 1, F.lit(order))), " "))
-    return split.select("row", F.explode(places).alias("gram")).groupBy("row", "gram").agg(F.count("*").alias("times"))
-
-
-def gram_counts(longest: DataFrame, order: int) -> DataFrame:
-    """Rows (gram, n) of all n-grams of fewer words than order, from the longest that end in each word."""
-    ends = F.array_compact(F.array(*[F.when(_size(F.col("gram")) >= k, _last(F.col("gram"), k)) for k in range(1, order)]))
-    return longest.select(F.explode(ends).alias("gram"), "n").groupBy("gram").agg(F.sum("n").alias("n"))
+def _frequent(rows: DataFrame, order: int) -> tuple[int, ...]:
+    """Slots of contexts that may be too frequent for one place; at most 2 / OFTEN.
 
+    Looked for in one text of LOOKED_AT, as range partitioning does, since it only decides where
+    rows go: the counts cover all rows and are the same whatever is found here.
+    """
 
-def gram_scores(longest: DataFrame, shorter: DataFrame, total: int, order: int, backoff: float, least: int) -> DataFrame:
-    """Rows (gram, score, alone) for each longest n-gram: that of its last word.
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(SLOTS, dtype=np.int64)
+        for batch in batches:
+            counts += np.bincount(_slot(_contexts(*_hashed(batch.column(0).cast(pa.binary()).to_pylist()), order)), minlength=SLOTS)
+        at = np.nonzero(counts)[0]
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(counts[at])], names=["slot", "n"])
+
+    looked = rows.filter(F.pmod(F.xxhash64("row", F.lit(11)), F.lit(LOOKED_AT)) == 0).select("text")
+    slots = looked.mapInArrow(tally, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    total = slots.select((F.sum("n").over(Window.partitionBy()) * OFTEN / 2).alias("least"), "slot", "n")
+    return tuple(sorted(r["slot"] for r in total.filter("n > least").collect()))
+
+
+def gram_rows(rows: DataFrame, order: int, part: int | None, parts: int, frequent: tuple[int, ...], shorter: bool = False) -> DataFrame:
+    """Rows (row, context, word) of all n-grams of a part of the contexts, part None for the frequent
+    ones; with shorter also the hashes of the contexts of fewer words, longest first."""
+    kind = "row long, context long, word long" + (", shorter array<long>" if shorter else "")
+
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often = np.zeros(SLOTS, dtype=bool)
+        often[list(frequent)] = True
+        for batch in batches:
+            words, sizes = _hashed(batch.column(1).cast(pa.binary()).to_pylist())
+            context, row = _contexts(words, sizes, order), np.repeat(batch.column(0).to_numpy(), sizes)
+            at = often[_slot(context)]
+            at = np.nonzero(at if part is None else ~at & ((context & np.uint64(LOW)).astype(np.int64) % parts == part))[0]
+            fewer = [_contexts(words, sizes, k).view(np.int64) for k in range(order - 1, 0, -1)] if shorter else []
+            for k in range(0, len(at), BATCH):
+                i = at[k : k + BATCH]
+                out = [row[i], context[i].view(np.int64), words[i].view(np.int64)]
+                if shorter:
+                    flat = np.stack([c[i] for c in fewer], axis=1).ravel() if fewer else np.zeros(0, dtype=np.int64)
+                    out.append(pa.ListArray.from_arrays(pa.array(np.arange(len(i) + 1, dtype=np.int32) * len(fewer)), pa.array(flat)))
+                yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in out], names=kind.replace(" long", "").replace(" array<long>", "").split(", "))
+
+    return rows.select("row", "text").mapInArrow(explode, kind)
+
+
+def _counted(grams: DataFrame) -> DataFrame:
+    """Each row with the counts of its n-gram and its context, one shuffle by context."""
+    gram, context = Window.partitionBy("context", "word"), Window.partitionBy("context")
+    return grams.repartition("context").withColumn("n", F.sum("counts").over(gram)).withColumn("of", F.sum("counts").over(context))
+
+
+def _joined(grams: DataFrame) -> DataFrame:
+    """The same for frequent contexts: count tables, summed in the tasks before they are shuffled, are
+    joined to the rows; those of n-grams with more than a share OFTEN of the rows by broadcast."""
+    grams = written(grams, "lm-frequent")
+    table = grams.groupBy("context", "word").agg(F.sum("counts").alias("n"))
+    table = written(table.join(table.groupBy("context").agg(F.sum("n").alias("of")), "context"), "lm-table")
+    least = max(1.0, OFTEN * (table.agg(F.sum("n")).first()[0] or 0))
+    hot = F.broadcast(table.filter(F.col("n") > least))  # fewer than 1 / OFTEN rows
+    few = grams.join(hot.select("context", "word"), ["context", "word"], "left_anti").join(table.filter(F.col("n") <= least), ["context", "word"])
+    return few.unionByName(grams.join(hot, ["context", "word"]))
+
+
+def _log(n: Column) -> Column:
+    return F.round(F.log(n) / UNIT).cast("long")
+
+
+def backoff_scores(docs: DataFrame, corpus: DataFrame | None = None, doc_id: str = "doc_id", text: str = "text", order: int = ORDER, backoff: float = BACKOFF, slices: int = SLICES) -> DataFrame:
+    """One row per document: doc_id, n_tokens, n_backed_off, log_prob, perplexity.
 
-    Lengths are tried from order down; an n-gram below the least count goes on as the one without
-    its first word. With a least of 1 none does, as all n-grams come from the corpus itself.
+    The model counts every n-gram of corpus (all docs where none is given), whatever its count. A
+    word's score is the share of its n-gram of order words among all n-grams of the same context; a
+    text starts after order - 1 start signs. Where corpus hasn't the n-gram, the context loses its
+    first word, at the cost of a factor backoff, down to the word's share of all words; a word that
+    corpus doesn't have counts as one in them all. n_backed_off is the number of words that lost a
+    part of their context (0 where docs are the corpus). Null and empty texts have 0 words, log_prob
+    0 and no perplexity. Repeated rows and ids are documents of their own, null ids too; an empty
+    table gives no rows; other columns are not looked at.
     """
-    left = longest.select("gram", F.col("gram").alias("end"), F.col("n").alias("own"))
-    known, prior, out = shorter.select(F.col("gram").alias("end"), "n"), shorter.select(F.col("gram").alias("prefix"), F.col("n").alias("of")), []
+    rows = written(docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "lm-rows", "zstd")
+    known = rows if corpus is None else written(corpus.select(F.lit(0).cast("long").alias("row"), F.col(text).alias("text")), "lm-corpus", "zstd")
+    sums, left = [], None
     for k in range(order, 0, -1):
-        here = left.filter(_size(F.col("end")) == k)
-        here = here.withColumn("n", F.col("own")) if k == order else here.join(known, "end")
-        lost = F.lit(math.log(backoff)) * (_size(F.col("gram")) - k)
-        if k == 1:
-            out.append(here.select("gram", (F.log("n") - F.log(F.lit(float(total))) + lost).alias("score"), (_size(F.col("gram")) > 1).alias("alone")))
+        frequent = _frequent(known, k) if k > 1 else (0,)  # without a context all n-grams have the same
+        more = []
+        for part in [*range(slices), None]:
+            counts = _counted if part is not None else _joined
+            grams = gram_rows(known, k, part, slices, frequent).withColumn("counts", F.lit(1))
+            if corpus is None:
+                sums.append(written(_summed(counts(grams), order - k), "lm-sums"))
+                continue
+            asked = gram_rows(rows, k, part, slices, frequent, True) if k == order else left.filter(_in_part(part, slices, frequent))
+            both = asked.withColumn("counts", F.lit(0)).unionByName(grams.withColumn("shorter", F.lit(None).cast("array<long>")))
+            scored = written(counts(both).filter("counts = 0"), "lm-scored")
+            met = scored.filter("n > 0") if k > 1 else scored.withColumns({c: F.greatest(c, F.lit(1)) for c in ("n", "of")})
+            sums.append(_summed(met, order - k, backoff))
+            more.append(scored.filter("n = 0").select("row", F.get("shorter", F.lit(0)).alias("context"), "word", F.slice("shorter", 2, order).alias("shorter")))
+        if corpus is None:
             break
-        met = here.filter(F.col("n") >= least).withColumn("prefix", _before(F.col("end"))).join(prior, "prefix")
-        out.append(met.select("gram", (F.log("n") - F.log("of") + lost).alias("score"), F.lit(False).alias("alone")))
-        left = left.filter(_size(F.col("end")) < k)
-        if least > 1:
-            left = left.unionByName(here.filter(F.col("n") < least).select("gram", _last(F.col("end"), k - 1).alias("end"), "own"))
-    return reduce(DataFrame.unionByName, out)
+        left = written(reduce(DataFrame.unionByName, more), "lm-left")
+    whole = reduce(DataFrame.unionByName, sums).groupBy("row").agg(*[F.sum(c).alias(c) for c in ("score", "backed", "n_tokens")])
+    found = rows.drop("text").join(whole, "row", "left").fillna(0, ["score", "backed", "n_tokens"])
+    log_prob = F.col("score") * UNIT
+    return found.select(F.col("doc_id").alias(doc_id), "n_tokens", F.col("backed").alias("n_backed_off"), F.round(log_prob, 6).alias("log_prob"), F.when(F.col("n_tokens") > 0, F.round(F.exp(-log_prob / F.col("n_tokens")), 6)).alias("perplexity"))
 
 
-def backoff_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: int = ORDER, backoff: float = BACKOFF, least: int = LEAST_COUNT, often: int = OFTEN) -> DataFrame:
-    """One row per document: doc_id, n_tokens, n_backed_off, log_prob, perplexity.
+def _in_part(part: int | None, parts: int, frequent: tuple[int, ...]) -> Column:
+    """Contexts of a part as in gram_rows."""
+    often = F.shiftrightunsigned("context", 48).isin(*frequent) if frequent else F.lit(False)
+    return often if part is None else ~often & (F.col("context").bitwiseAND(F.lit(LOW)) % parts == part)
 
-    Counts come from all documents. The score of a word is the count of the longest n-gram up to
-    order that ends in it, lies in the text and occurs least times or more, over the count of that
-    n-gram without the word; each shorter length costs a factor backoff. Single words need no least
-    count and are taken over all words. n_backed_off counts words scored alone that had a word
-    before them. An n-gram is one row for a document, however often it occurs there, and is scored
-    once for the corpus; scores are joined back, those of common n-grams by broadcast. Null and
-    empty texts have 0 words, log_prob 0 and no perplexity. order is 2 or more.
-    """
-    split = docs.select(F.col(doc_id).alias("doc_id"), words(F.col(text)).alias("words")).withColumn("row", F.monotonically_increasing_id())
-    rows = written(split.select("row", "doc_id", F.size("words").cast("long").alias("n_tokens"), F.array_join("words", " ").alias("joined")), "lm-rows")
-    total = rows.agg(F.sum("n_tokens")).first()[0] or 1
-    kept = rows.filter("n_tokens > 0").select("row", "joined").repartition("row").select("row", F.split("joined", " ").alias("words"))
-    grams = document_grams(kept, order)
-    longest = written(grams.groupBy("gram").agg(F.sum("times").alias("n"), F.count("*").alias("rows")), "lm-grams")
-    scores = written(gram_scores(longest, gram_counts(longest, order), total, order, backoff, least), "lm-scores")
-    common = longest.filter(F.col("rows") >= max(often, total // 100_000)).select("gram")
-    few = F.broadcast(common)
-    rare = grams.join(few, "gram", "left_anti").join(scores, "gram")
-    wide = grams.join(F.broadcast(scores.join(few, "gram", "left_semi")), "gram")
-    summed = rare.unionByName(wide).groupBy("row").agg(F.sum(F.col("times") * F.col("score")).alias("log_sum"), F.sum(F.when(F.col("alone"), F.col("times")).otherwise(0)).alias("backed"))
-    log_prob = F.coalesce("log_sum", F.lit(0.0))
-    found = rows.drop("joined").join(summed, "row", "left")
-    return found.select(F.col("doc_id").alias(doc_id), "n_tokens", F.coalesce("backed", F.lit(0)).cast("long").alias("n_backed_off"), F.round(log_prob, 4).alias("log_prob"), F.when(F.col("n_tokens") > 0, F.round(F.exp(-log_prob / F.col("n_tokens")), 3)).alias("perplexity"))
+
+def _summed(counted: DataFrame, lost: int, backoff: float = BACKOFF) -> DataFrame:
+    """Sums of each row's words: their scores, how many lost a part of their context, and how many there are."""
+    score = _log(F.col("n")) - _log(F.col("of")) + lost * _log(F.lit(backoff))
+    return counted.groupBy("row").agg(F.sum(score).alias("score"), F.sum(F.lit(int(lost > 0)).cast("long")).alias("backed"), F.count("*").alias("n_tokens"))

@@ -79,10 +79,8 @@ ORACLES: dict[str, str] = {
  link AS (SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, any_value(x.n + y.n) AS sizes, count(*) AS c FROM token x JOIN token y ON x.t = y.t AND x.doc_id <> y.doc_id GROUP BY 1, 2) WHERE 100 * c >= 80 * (sizes - c)),
  reach AS (SELECT a AS node, b AS other FROM link UNION SELECT reach.node, link.b FROM reach JOIN link ON reach.other = link.a)
  SELECT doc_id, len(s) AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id FROM shingled LEFT JOIN (SELECT node, min(other) AS m FROM reach GROUP BY 1) ON node = doc_id""",
-    "op10_lm": f"""WITH doc AS (SELECT doc_id, {_words("text")} AS w FROM documents), word AS (SELECT doc_id, w[i] AS b, CASE WHEN i > 1 THEN w[i - 1] END AS a FROM (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM doc)),
- one AS (SELECT b AS x, count(*) AS n FROM word GROUP BY 1), two AS (SELECT a, b, count(*) AS n FROM word WHERE a IS NOT NULL GROUP BY 1, 2 HAVING count(*) >= 2), whole AS (SELECT count(*) AS n FROM word),
- each AS (SELECT word.doc_id, CASE WHEN two.n IS NOT NULL THEN ln(two.n) - ln(p.n) ELSE ln(o.n) - ln(whole.n) + CASE WHEN word.a IS NULL THEN 0 ELSE ln(0.4) END END AS s, word.a IS NOT NULL AND two.n IS NULL AS backed
- FROM word CROSS JOIN whole JOIN one o ON o.x = word.b LEFT JOIN one p ON p.x = word.a LEFT JOIN two ON two.a = word.a AND two.b = word.b),
- summed AS (SELECT doc_id, sum(s) AS lp, count(*) FILTER (backed) AS backed FROM each GROUP BY 1)
- SELECT doc_id, len(w) AS n_tokens, coalesce(backed, 0) AS n_backed_off, round(coalesce(lp, 0), 4) AS log_prob, CASE WHEN len(w) > 0 THEN round(exp(-lp / len(w)), 3) END AS perplexity FROM doc LEFT JOIN summed USING (doc_id)""",
+    "op10_lm": f"""WITH doc AS (SELECT doc_id, {_words("text")} AS w FROM documents), word AS (SELECT doc_id, s[i] AS a, s[i + 1] AS b, s[i + 2] AS c FROM (SELECT doc_id, list_concat(['', ''], w) AS s, unnest(range(1, len(w) + 1)) AS i FROM doc)),
+ three AS (SELECT a, b, c, count(*) AS n FROM word GROUP BY 1, 2, 3), two AS (SELECT a, b, CAST(sum(n) AS BIGINT) AS n FROM three GROUP BY 1, 2),
+ summed AS (SELECT doc_id, CAST(sum(CAST(round(ln(three.n) / CAST(1e-9 AS DOUBLE)) AS BIGINT) - CAST(round(ln(two.n) / CAST(1e-9 AS DOUBLE)) AS BIGINT)) AS BIGINT) * CAST(1e-9 AS DOUBLE) AS lp FROM word JOIN three USING (a, b, c) JOIN two USING (a, b) GROUP BY 1)
+ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_tokens, CAST(0 AS BIGINT) AS n_backed_off, round(coalesce(lp, 0), 6) AS log_prob, CASE WHEN len(w) > 0 THEN round(exp(-lp / len(w)), 6) END AS perplexity FROM doc LEFT JOIN summed USING (doc_id)""",
 }

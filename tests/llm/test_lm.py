@@ -1,12 +1,15 @@
-"""op10_lm against plain Python: every n-gram counts, up to three words."""
+"""op10_lm against plain Python: every n-gram counts, with start signs, up to three words."""
 
 import math
 import re
 from collections import Counter
 
+import pytest
+
 from smoothway.llm import lm, queries
 
 ORDER, BACKOFF = 3, 0.4
+TEXTS = ["a b c a b d", "b c e, a b c", "z", None, "", "Once only here", "a b c a b d", "?!", "Ä b c"]
 
 
 def _words(text):
@@ -14,64 +17,71 @@ def _words(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
 
 
-def plain(texts, least=1):
+def plain(texts, corpus):
     """(n_tokens, n_backed_off, log_prob) of each text."""
-    split = [_words(t) for t in texts]
-    counts = Counter(tuple(w[i - n : i]) for w in split for n in range(1, ORDER + 1) for i in range(n, len(w) + 1))
-    size, out = sum(map(len, split)), []
-    for w in split:
-        total, backed = 0.0, 0
-        for i in range(1, len(w) + 1):
-            longest = min(i, ORDER)
-            n = next((n for n in range(longest, 1, -1) if counts[tuple(w[i - n : i])] >= least), 1)
-            of = size if n == 1 else counts[tuple(w[i - n : i - 1])]
-            total += math.log(counts[tuple(w[i - n : i])] / of) + (longest - n) * math.log(BACKOFF)
-            backed += n == 1 and longest > 1
-        out.append((len(w), backed, total))
+    grams, contexts = Counter(), Counter()
+    for t in corpus:
+        w = ["<s>"] * (ORDER - 1) + _words(t)
+        for i in range(ORDER - 1, len(w)):
+            for n in range(1, ORDER + 1):
+                grams[tuple(w[i - n + 1 : i + 1])] += 1
+                contexts[tuple(w[i - n + 1 : i])] += 1
+    out = []
+    for t in texts:
+        w, total, backed = ["<s>"] * (ORDER - 1) + _words(t), 0.0, 0
+        for i in range(ORDER - 1, len(w)):
+            n = next((n for n in range(ORDER, 0, -1) if grams[tuple(w[i - n + 1 : i + 1])]), 1)
+            total += math.log(max(1, grams[tuple(w[i - n + 1 : i + 1])]) / max(1, contexts[tuple(w[i - n + 1 : i])])) + (ORDER - n) * math.log(BACKOFF)
+            backed += n < ORDER
+        out.append((len(w) - ORDER + 1, backed, total))
     return out
 
 
-def _same(found, texts, least=1):
-    for i, (tokens, backed, log_prob) in enumerate(plain(texts, least)):
+def _same(found, texts, corpus):
+    for i, (tokens, backed, log_prob) in enumerate(plain(texts, corpus)):
         r = found[i]
-        assert (r["n_tokens"], r["n_backed_off"]) == (tokens, backed)
-        assert abs(r["log_prob"] - log_prob) < 1e-3, i
+        assert (r["n_tokens"], r["n_backed_off"]) == (tokens, backed), i
+        assert abs(r["log_prob"] - log_prob) < 2e-6, i
         if tokens:
-            assert abs(r["perplexity"] - math.exp(-log_prob / tokens)) < 2e-3 * max(1, math.exp(-log_prob / tokens) / 100)
+            assert abs(r["perplexity"] / math.exp(-log_prob / tokens) - 1) < 1e-6
         else:
             assert r["perplexity"] is None
 
 
-TEXTS = ["a b c a b d", "b c e, a b c", "z", None, "", "Once only here", "a b c a b d", "?!"]
+def _docs(spark, texts):
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
 
 
-def test_every_ngram_of_three_words_counts(spark):
-    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
-    _same({r["doc_id"]: r for r in lm.backoff_scores(docs).collect()}, TEXTS)
+@pytest.mark.parametrize("slices", [1, 3])
+def test_every_ngram_of_three_words_counts(spark, slices):
+    _same({r["doc_id"]: r for r in lm.backoff_scores(_docs(spark, TEXTS), slices=slices).collect()}, TEXTS, TEXTS)
 
 
-def test_a_least_count_still_backs_off(spark):
-    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
-    _same({r["doc_id"]: r for r in lm.backoff_scores(docs, least=2).collect()}, TEXTS, 2)
+def test_another_corpus_backs_off(spark):
+    corpus = ["a b c d", "c a b", "z z z", "b c a", None]
+    found = lm.backoff_scores(_docs(spark, TEXTS), corpus=_docs(spark, corpus))
+    _same({r["doc_id"]: r for r in found.collect()}, TEXTS, corpus)
 
 
 def test_op10_on_the_given_table(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
     found = {r["doc_id"]: r for r in queries.op10_lm(spark, sf_dir).collect()}
-    _same([found[r["doc_id"]] for r in rows], [r["text"] for r in rows])
+    texts = [r["text"] for r in rows]
+    _same([found[r["doc_id"]] for r in rows], texts, texts)
 
 
-def test_ngrams_are_rows_that_spark_counts(spark):
-    docs = spark.createDataFrame(list(enumerate(TEXTS)), "row long, text string")
-    grams = lm.document_grams(docs.select("row", lm.words(docs["text"]).alias("words")), ORDER).collect()
-    split = [_words(t) for t in TEXTS]
-    assert {(r["row"], r["gram"]): r["times"] for r in grams} == Counter((k, " ".join(w[max(0, i - ORDER) : i])) for k, w in enumerate(split) for i in range(1, len(w) + 1))
-    longest = spark.createDataFrame([(r["gram"], r["times"]) for r in grams], "gram string, n long")
-    shorter = {r["gram"]: r["n"] for r in lm.gram_counts(longest, ORDER).collect()}
-    assert shorter == Counter(" ".join(w[i - n : i]) for w in split for n in range(1, ORDER) for i in range(n, len(w) + 1))
+def test_repeated_and_null_ids_are_documents_of_their_own(spark):
+    rows = [(1, "a b", 7), (1, "a b", 7), (None, "a c", None), (None, None, None), (2, None, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row long")
+    found = sorted(((r["doc_id"] or -1, r["n_tokens"], round(r["log_prob"], 5)) for r in lm.backoff_scores(docs).collect()))
+    two = round(math.log(2 / 3), 5)
+    assert found == [(-1, 0, 0.0), (-1, 2, round(math.log(1 / 3), 5)), (1, 2, two), (1, 2, two), (2, 0, 0.0)]
 
 
-def test_common_ngrams_are_joined_apart_with_the_same_result(spark):
-    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
-    found = lm.backoff_scores(docs, often=2)
-    _same({r["doc_id"]: r for r in found.collect()}, TEXTS)
+def test_frequent_contexts_are_joined_with_the_same_result(spark, monkeypatch):
+    texts = ["a b c"] * 40 + ["a b d", "x y z"] * 3
+    monkeypatch.setattr(lm, "LOOKED_AT", 1)
+    monkeypatch.setattr(lm, "OFTEN", 0.05)
+    docs = _docs(spark, texts)
+    assert lm._frequent(docs.selectExpr("doc_id AS row", "text"), 3)
+    _same({r["doc_id"]: r for r in lm.backoff_scores(docs).collect()}, texts, texts)
