@@ -1,4 +1,7 @@
-"""Main text of web pages: flat blocks with word counts and link densities, and a decision tree."""
+"""Main text of web pages: flat blocks with word counts and link densities, and a decision tree.
+
+The tree is grown from the blocks of a few hand-marked pages, parsed as all others are.
+"""
 
 from __future__ import annotations
 
@@ -21,78 +24,56 @@ TAG = re.compile(
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 SPACE = re.compile(r"\s+")
 
-# HTML element names by what they mean for blocks.
-RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "template", "svg", "math", "object", "select", "audio", "video", "canvas"}
+# HTML element names by what they mean for blocks, and words of class names.
+RAW = {"script", "style"}
+TEXT_ONLY = {"textarea", "title"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
-BOILER = {"nav", "header", "footer", "aside", "form", "head", "button", "dialog", "menu", "fieldset"}
+INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label", "mark", "math", "mfrac", "mi", "mn", "mo", "mrow", "msqrt", "msub", "msup", "mtext", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
+BOILER = {"nav", "footer", "aside", "form", "button", "dialog", "menu", "fieldset", "select", "svg", "noscript", "iframe", "template", "object", "audio", "video", "canvas"}
 ARTICLE = {"article", "main"}
 ENDS_P = {"address", "article", "aside", "blockquote", "details", "div", "dl", "fieldset", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "menu", "nav", "ol", "p", "pre", "section", "table", "ul"}
-SAME_ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-HINT = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|promo\w*|sponsor\w*|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|sidebar|menu|nav|navbar|navigation|breadcrumbs?|footer|header|masthead"
-    r"|comments?|repl(?:y|ies)|respond|disqus|share|sharing|social|related|recommended|newsletter|subscribe|subscription|signup|login|widget|toolbar|pagination|pager|complementary|contentinfo)(?:$|[\s_-])",
-    re.I,
-)
-
-#: What a page is said to have or lack as a whole (no-sidebar, has-header) is no container of that kind.
-STATED = re.compile(r"(?<![^\s_-])(?:no|has|with)[_-]\S*", re.I)
+SAME_ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
+LISTS = ("ul", "ol", "dl", "table")
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+HINTS = {"ad", "ads", "advert", "adverts", "advertisement", "alert", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "complementary", "consent", "contentinfo", "cookie", "cookies", "disqus", "footer", "gdpr", "header", "login", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "overlay", "pager", "pagination", "popup", "promo", "promotion", "recommended", "related", "replies", "reply", "respond", "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "subscription", "toolbar", "widget"}
 #: Elements that hold the page or its article; names of classes say nothing of all in them.
 WHOLE = {"html", "body", "main", "article"}
-
-#: Labelled blocks, fixed values: boiler (inside a container of that kind), article (1 inside the
-#: page's article, 0 the page has none, -1 outside it), words, link density, words and link density
-#: of the block before and of the block after, and whether the block is main text.
-LABELLED = [
-    # boiler, article, words, links, words before, links before, words after, links after, main
-    (1, 0, 1, 1.0, 0, 0.0, 1, 1.0, 0),
-    (1, 0, 2, 1.0, 1, 1.0, 2, 1.0, 0),
-    (1, 0, 12, 0.0, 3, 1.0, 40, 0.0, 0),
-    (1, 0, 25, 0.1, 40, 0.0, 8, 0.5, 0),
-    (1, 0, 60, 0.0, 80, 0.0, 30, 0.0, 0),
-    (1, 1, 8, 0.0, 60, 0.0, 50, 0.0, 0),
-    (1, 1, 2, 1.0, 60, 0.0, 2, 1.0, 0),
-    (1, 1, 45, 0.0, 70, 0.0, 0, 0.0, 0),
-    (1, 1, 30, 0.2, 20, 0.0, 35, 0.0, 0),
-    (1, -1, 1, 1.0, 0, 0.0, 1, 1.0, 0),
-    (1, -1, 3, 1.0, 1, 1.0, 12, 0.0, 0),
-    (1, -1, 14, 0.0, 1, 1.0, 9, 0.0, 0),
-    (1, -1, 9, 0.1, 120, 0.0, 0, 0.0, 0),
-    (1, -1, 70, 0.0, 150, 0.0, 20, 0.0, 0),
-    (0, -1, 4, 1.0, 0, 0.0, 3, 1.0, 0),
-    (0, -1, 15, 0.0, 90, 0.0, 0, 0.0, 0),
-    (0, -1, 40, 0.0, 10, 1.0, 80, 0.0, 0),
-    (0, -1, 6, 0.0, 3, 1.0, 50, 0.0, 0),
-    (0, 1, 1, 0.0, 80, 0.0, 60, 0.0, 1),
-    (0, 1, 3, 0.0, 0, 0.0, 90, 0.0, 1),
-    (0, 1, 9, 0.0, 14, 0.0, 120, 0.0, 1),
-    (0, 1, 2, 1.0, 50, 0.0, 70, 0.0, 1),
-    (0, 1, 20, 0.3, 60, 0.0, 6, 0.0, 1),
-    (0, 1, 55, 0.0, 4, 0.0, 2, 0.0, 1),
-    (0, 1, 110, 0.1, 70, 0.0, 12, 0.0, 1),
-    (0, 1, 300, 0.0, 9, 0.0, 0, 0.0, 1),
-    (0, 1, 5, 0.0, 1, 1.0, 8, 1.0, 1),
-    (0, 0, 1, 1.0, 1, 1.0, 1, 1.0, 0),
-    (0, 0, 3, 1.0, 0, 0.0, 4, 1.0, 0),
-    (0, 0, 8, 0.9, 5, 1.0, 7, 0.8, 0),
-    (0, 0, 14, 0.7, 6, 1.0, 60, 0.0, 0),
-    (0, 0, 35, 0.6, 30, 0.6, 28, 0.7, 0),
-    (0, 0, 4, 0.0, 2, 1.0, 3, 1.0, 0),
-    (0, 0, 6, 0.0, 5, 0.0, 4, 0.0, 0),
-    (0, 0, 3, 0.0, 4, 0.0, 0, 0.0, 0),
-    (0, 0, 7, 0.2, 3, 0.5, 5, 0.6, 0),
-    (0, 0, 5, 0.0, 3, 0.0, 45, 0.0, 1),
-    (0, 0, 6, 0.0, 60, 0.0, 75, 0.0, 1),
-    (0, 0, 2, 0.0, 40, 0.0, 38, 0.0, 1),
-    (0, 0, 18, 0.0, 6, 0.0, 50, 0.0, 1),
-    (0, 0, 22, 0.1, 12, 0.0, 9, 0.0, 1),
-    (0, 0, 30, 0.2, 45, 0.0, 3, 1.0, 1),
-    (0, 0, 45, 0.0, 2, 1.0, 55, 0.1, 1),
-    (0, 0, 60, 0.1, 0, 0.0, 0, 0.0, 1),
-    (0, 0, 90, 0.0, 80, 0.0, 70, 0.0, 1),
-    (0, 0, 150, 0.2, 4, 0.9, 5, 0.9, 1),
-]
-FEATURES = ("boiler", "article", "words", "links", "words_before", "links_before", "words_after", "links_after")
+#: What a page is said to have or lack as a whole (no-sidebar, has-header) is no container of that kind.
+STATED = ("no-", "no_", "has-", "has_", "with-", "with_", "without-")
+
+#: Hand-marked pages: {n} stands for n words, and + in a tag marks the blocks of
+#: main text in it, - those in it that are none after all.
+LABELLED = (
+    "<body><nav><ul><li><a>{1}</a><li><a>{1}</a><li><a>{2}</a></ul></nav><div class=ad>{8}</div><article +><h1>{6}</h1><p>{40}</p><p>{2}</p><p>{90} <a>{2}</a> {20}</p></article><footer>{7} <a>{1}</a></footer>",
+    "<body class=no-sidebar><header><a>{2}</a><p>{5}</p></header><main +><h1>{9}</h1><p>{15}</p><p>{70}</p><ul><li>{4}</li><li>{6}</li></ul><h2>{3}</h2><p>{28}</p></main><aside><h3>{2}</h3><a>{6}</a><a>{8}</a></aside><footer>{20}</footer>",
+    "<div class='site-header'><a>{1}</a> <a>{1}</a> <a>{1}</a></div><h1 +>{5}</h1><p +>{15}</p><p +>{14}</p><div class=footer>{9}</div>",
+    "<div><a>{1}</a> | <a>{1}</a> | <a>{2}</a></div><div +><h1>{7}</h1><p>{33}</p><p>{52} <a>{3}</a></p><p>{12}</p></div><div class=related><h3>{2}</h3><a>{7}</a><br><a>{9}</a></div><p>{4}</p>",
+    "<div class=menu><a>{1}</a><a>{1}</a></div><h2 +>{4}</h2><p +>{60}</p><p +>{8}</p><p +>{45}</p><section class=comments><h3>{2}</h3><p>{25}</p><p>{18}</p><p>{40}</p></section><footer>{5}</footer>",
+    "<article +><header><h1>{8}</h1><p>{4}</p></header><p>{80}</p><blockquote>{22}</blockquote><table><tr><td>{2}</td><td>{1}</td></tr></table><p>{64}</p></article><div class='comment-list'><p>{30}</p><p>{12}</p></div><div>{21}</div><div><a>{4}</a><a>{5}</a></div>",
+    "<div>{25}</div><article +><h1>{5}</h1><p>{120}</p><div class='share' -><a>{1}</a> <a>{1}</a></div><div class='notice-board-history'>{30}</div><p>{18}</p></article><p>{35}</p><p>{12} <a>{2}</a></p>",
+    "<header><h1><a>{2}</a></h1></header><div class=cookie-banner><p>{24}</p><button>{1}</button></div><article +><h1>{11}</h1><p>{9}</p><p>{7}</p></article><div class=newsletter><p>{16}</p><form><label>{2}</label></form></div>",
+    "<main +><h1>{3}</h1><p>{20}</p><div class='header-image-caption'>{12}</div><p>{50}</p><p><a>{6}</a></p></main><div>{3}</div><div class=sidebar><h4>{2}</h4><p>{26}</p></div><div>{44}</div>",
+    "<p><a>{3}</a> <a>{2}</a> <a>{2}</a></p><p><a>{12}</a></p><p +>{110}</p><p +>{75}</p><p +>{30} <a>{4}</a></p><p>{3}</p><p><a>{2}</a></p>",
+    "<ul><li><a>{1}</a><li><a>{2}</a><li><a>{1}</a></ul><h1 +>{6}</h1><p +>{22}</p><p +>{17}</p><p +>{26}</p><div class='social'>{5}</div><div id=respond><h3>{3}</h3><p>{14}</p></div>",
+    "<h1 +>{4}</h1><p +>{13}</p><p +>{19}</p><p +>{11}</p>",
+    "<div class=widget><p>{19}</p></div><div class='related-posts'><p>{15}</p><p>{17}</p></div><h1 +>{7}</h1><div class='banner-history' +>{42}</div><p +>{38}</p><div class=promo>{11}</div>",
+    "<article +><h2>{3}</h2><p>{26}</p><section class=comments -><h3>{2}</h3><p>{33}</p><p>{21}</p><p>{8}</p></section></article><article +><h2>{4}</h2><p>{31}</p><footer ->{6}</footer><aside ->{13}</aside></article>",
+    "<article +><h1>{4}</h1><p><a>{5}</a></p><p>{30}</p><p><a>{9}</a></p><ul><li><a>{2}</a></li><li><a>{3}</a> {1}</li></ul><p>{12}</p><p><a>{1}</a></p><p>{3}</p></article><div><a>{3}</a><a>{2}</a></div><div>{6}</div>",
+    "<main +><h2>{2}</h2><p><a>{4}</a></p><p><a>{7}</a> <a>{8}</a></p><p>{1}</p><p>{14} <a>{9}</a></p></main><p><a>{4}</a></p><p>{30}</p>",
+    "<article +><h1>{2}</h1><p>{3}</p></article>",
+    "<nav><a>{2}</a></nav><article +>{2}</article>",
+    "<article +>{1}</article><footer>{3}</footer>",
+    "<main +><p>{1}</p><p>{6}</p></main>",
+    "<article +><p>{30}</p><p><a>{4}</a></p></article>",
+    "<article +><p>{44}</p><p>{2}</p></article>",
+    "<main +><p>{28}</p><p>{12} <a>{8}</a></p><p>{5}</p></main>",
+    "<h1 +>{2}</h1><p +>{24}</p><p +>{31}</p><div>{2}</div>",
+    "<div>{4}</div><h2 +>{3}</h2><p +>{18}</p><h3 +>{2}</h3><p +>{40}</p><div><a>{3}</a></div>",
+    "<div>{3}</div><div>{2}</div><h1 +>{1}</h1><p +>{55}</p><h2 +>{2}</h2><p +>{20}</p><p>{4}</p>",
+    "<div class=sidebar><h3>{2}</h3><p>{20}</p></div><h1 +>{3}</h1><p +>{35}</p><div class='menu-history' +>{25}</div><p +>{16}</p>",
+    "<div><a>{2}</a></div><div>{2}</div><p>{3}</p><h1 +>{9}</h1><p +>{16}</p><p>{2} <a>{2}</a></p><div><a>{4}</a> {1}</div>",
+)
+FEATURES = ("boiler", "hint", "place", "heading", "words", "links", "words_before", "links_before", "words_after", "links_after")
 
 
 @dataclass
@@ -111,7 +92,7 @@ class Tree:
         return node.share
 
 
-def grow(x: np.ndarray, y: np.ndarray, depth: int = 6, least: int = 2) -> Tree:
+def grow(x: np.ndarray, y: np.ndarray, depth: int = 10, least: int = 1) -> Tree:
     """A CART classifier: the cut with the lowest Gini impurity, first feature and bound in ties."""
     share = float(y.mean()) if len(y) else 0.0
     if depth == 0 or len(y) < 2 * least or share in (0.0, 1.0):
@@ -132,11 +113,6 @@ def grow(x: np.ndarray, y: np.ndarray, depth: int = 6, least: int = 2) -> Tree:
     return Tree(share, best[1], best[2], [grow(x[~right], y[~right], depth - 1, least), grow(x[right], y[right], depth - 1, least)])
 
 
-def train(labelled: list[tuple] = LABELLED) -> Tree:
-    rows = np.array(labelled, dtype=float)
-    return grow(rows[:, :-1], rows[:, -1])
-
-
 @dataclass
 class Block:
     """A run of text between block-level tags."""
@@ -145,148 +121,215 @@ class Block:
     words: int
     links: float
     boiler: bool
-    article: bool
+    heading: bool
+    marked: bool
+    hint: int = 0
+    article: int = 0
 
 
-def _is_boiler(name: str, attrs: str) -> tuple[bool, bool]:
-    """Whether an element is boiler for sure, and whether its class, id, role or label hints at it."""
-    if name in BOILER:
-        return True, False
-    hinted = False
+@dataclass
+class Element:
+    """An open element: what holds for all in it, and its place among open ones."""
+
+    name: str
+    boiler: bool
+    hint: int  # number of the nearest element whose names hint at boiler
+    article: int  # number of the nearest article
+    link: bool
+    heading: bool
+    marked: bool
+
+
+def _attributes(attrs: str) -> Iterator[tuple[str, str]]:
     for key, a, b, c in ATTRIBUTE.findall(attrs):
-        key, value = key.lower(), a or b or c
-        if key == "hidden" or (key == "style" and re.search(r"display\s*:\s*none", value)) or (key == "aria-hidden" and value.lower() == "true"):
-            return True, False
-        if name not in WHOLE and key in ("class", "id", "role", "aria-label") and HINT.search(STATED.sub("", value)):
-            hinted = True
-    return False, hinted
+        yield key.lower(), a or b or c
+
+
+def _hidden(attrs: str) -> bool:
+    found = dict(_attributes(attrs))
+    return "hidden" in found or found.get("aria-hidden", "").lower() == "true" or bool(re.search(r"display\s*:\s*none", found.get("style", "")))
+
+
+def _hint(attrs: str) -> int:
+    """2 if a class, id, role or label names boiler, 1 if a part of such a name does, else 0."""
+    names = [n for key, value in _attributes(attrs) if key in ("class", "id", "role", "aria-label") for n in value.lower().split() if not n.startswith(STATED)]
+    if any(n in HINTS for n in names):
+        return 2
+    return int(any(part in HINTS for n in names for part in re.split("[-_]+", n)))
 
 
 def _is_article(name: str, attrs: str) -> bool:
-    return name in ARTICLE or ("main" in attrs or "articleBody" in attrs) and bool(re.search(r"role\s*=\s*[\"']?main|itemprop\s*=\s*[\"']?articleBody", attrs))
+    return name in ARTICLE or ("main" in attrs or "articleBody" in attrs) and any((k, v) in (("role", "main"), ("itemprop", "articleBody")) for k, v in _attributes(attrs))
 
 
-def _around_article(found: list[tuple[Block, tuple[int, ...], tuple[int, ...]]], hints_of: dict[int, tuple[int, ...]]) -> set[int]:
-    """The hinted elements that contain the page's article: these hints are wrong.
+class _Page:
+    """Reads a page from its first tag to its last, in time linear in its length."""
 
-    The article is the article element of most words, or one in it that has more than half of them,
-    if it has more words than all unhinted text outside; so a list of related articles is none.
-    """
-    words: dict[int, int] = dict.fromkeys(hints_of, 0)
-    inside: dict[int, set[int]] = {a: set() for a in hints_of}
-    for block, _, articles in found:
-        if not block.boiler:
-            for k, a in enumerate(articles):
-                words[a] += block.words
-                inside[a].update(articles[k + 1 :])
-    if not words:
-        return set()
-    best = max(words, key=lambda a: (words[a], -a))
-    if words[best] <= sum(b.words for b, hints, articles in found if not b.boiler and not hints and best not in articles):
-        return set()
-    while more := [a for a in inside[best] if 2 * words[a] > words[best]]:
-        best = max(more, key=lambda a: (words[a], -a))
-    return set(hints_of[best])
-
-
-def blocks(page: str) -> list[Block]:
-    """Flat blocks of a page in order; markup, scripts, styles and comments are gone."""
-    out: list[tuple[Block, tuple[int, ...], tuple[int, ...]]] = []  # with the hinted and article elements around
-    stack: list[tuple[str, bool, tuple[int, ...], tuple[int, ...], bool]] = []  # name, boiler, hinted, article, link; each with all around it
-    parts: list[tuple[str, bool]] = []
-    hints_of: dict[int, tuple[int, ...]] = {}  # article element -> hinted elements around it and itself
-
-    def around() -> tuple[bool, tuple[int, ...], tuple[int, ...], bool]:
-        return stack[-1][1:] if stack else (False, (), (), False)
-
-    def flush() -> None:
-        if parts:
-            text = SPACE.sub(" ", references.unescape("".join(p for p, _ in parts))).strip()
+    def __init__(self, marks: bool = False) -> None:
+        self.marks = marks
+        self.stack: list[Element] = []
+        self.open: dict[str, list[int]] = {}  # name -> places of its open elements
+        self.solid: list[int] = []  # places of open elements that aren't inline
+        self.parts: list[tuple[str, bool]] = []
+        self.blocks: list[Block] = []
+        self.hints: list[tuple[int, int]] = [(0, 0)]  # strength, number of the hinted element around it
+        self.articles: list[tuple[int, int]] = [(0, 0)]  # the article around it, the nearest hinted element
+
+    def around(self) -> Element:
+        return self.stack[-1] if self.stack else Element("", False, 0, 0, False, False, False)
+
+    def flush(self) -> None:
+        """End a block."""
+        if self.parts:
+            text = SPACE.sub(" ", references.unescape("".join(p for p, _ in self.parts))).strip()
             if text:
-                linked = len(SPACE.sub(" ", references.unescape("".join(p for p, link in parts if link))).split())
-                words = text.count(" ") + 1
-                boiler, hints, articles, _ = around()
-                out.append((Block(text, words, min(1.0, linked / words), boiler, bool(articles)), hints, articles))
-            parts.clear()
-
-    at, end = 0, len(page)
-    while at < end:
-        tag = TAG.search(page, at)
-        if tag is None:
-            parts.append((page[at:], around()[3]))
-            break
-        if tag.start() > at:
-            parts.append((page[at : tag.start()], around()[3]))
-        at = tag.end()
-        if tag["name"] is None:
-            continue
-        name, attrs = tag["name"].lower(), tag["attrs"] or tag["loose"] or ""
-        if name in RAW:
-            if not tag["close"] and not attrs.endswith("/"):
-                stop = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(page, at)
-                at = stop.end() if stop else end
-            continue
-        if name == "br":
-            parts.append((" ", around()[3]))
-            continue
-        block = name not in INLINE
-        if block:
-            flush()
-        if name in VOID:
-            continue
-        if tag["close"]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    if not block and any(s[0] not in INLINE for s in stack[k:]):
-                        break
-                    del stack[k:]
-                    break
-            continue
-        if name in ENDS_P and any(s[0] == "p" for s in stack):
-            k = max(k for k, s in enumerate(stack) if s[0] == "p")
-            if all(s[0] in INLINE for s in stack[k + 1 :]):
-                del stack[k:]
-        elif name in SAME_ENDS:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] in SAME_ENDS[name]:
-                    del stack[k:]
-                    break
-                if stack[k][0] in ("ul", "ol", "dl", "table"):
-                    break
-        boiler, hints, articles, link = around()
-        sure, hinted = _is_boiler(name, attrs)
-        if hinted:
-            hints += (at,)
+                words, linked = text.count(" ") + 1, len(references.unescape("".join(p for p, link in self.parts if link)).split())
+                at = self.around()
+                self.blocks.append(Block(text, words, min(1.0, linked / words), at.boiler, at.heading, at.marked, at.hint, at.article))
+            self.parts.clear()
+
+    def cut(self, place: int) -> None:
+        """Close all elements from a place on."""
+        for e in self.stack[place:]:
+            self.open[e.name].pop()
+        while self.solid and self.solid[-1] >= place:
+            self.solid.pop()
+        del self.stack[place:]
+
+    def last(self, *names: str) -> int:
+        return max((self.open[n][-1] for n in names if self.open.get(n)), default=-1)
+
+    def end(self, name: str) -> None:
+        place = self.last(name)
+        if place >= 0 and not (name in INLINE and self.solid and self.solid[-1] > place):
+            self.cut(place)
+
+    def begin(self, name: str, attrs: str) -> None:
+        if name in ENDS_P and (odd := self.last("svg", "select")) >= 0:
+            self.cut(odd)  # no text stands in these, so their end is missing
+        if name in ENDS_P and (p := self.last("p")) >= 0 and self.solid[-1] == p:
+            self.cut(p)
+        elif name in SAME_ENDS and (same := self.last(*SAME_ENDS[name])) > self.last(*LISTS):
+            self.cut(same)
+        up = self.around()
+        hint, article = up.hint, up.article
+        strength = _hint(attrs) if attrs and name not in WHOLE else 0
+        if strength:
+            self.hints.append((strength, hint))
+            hint = len(self.hints) - 1
         if _is_article(name, attrs):
-            articles += (at,)
-            hints_of[at] = hints
-        stack.append((name, boiler or sure, hints, articles, link or name == "a"))
-    flush()
-    wrong = _around_article(out, hints_of)
-    for block, hints, _ in out:
-        block.boiler = block.boiler or any(h not in wrong for h in hints)
-    return [block for block, _, _ in out]
+            self.articles.append((article, hint))
+            article = len(self.articles) - 1
+        boiler = up.boiler or name in BOILER or (name == "header" and not article) or (bool(attrs) and _hidden(attrs))
+        marked = up.marked
+        if self.marks:
+            marked = (marked or "+" in attrs.split()) and "-" not in attrs.split()
+        if name not in INLINE:
+            self.solid.append(len(self.stack))
+        self.open.setdefault(name, []).append(len(self.stack))
+        self.stack.append(Element(name, boiler, hint, article, up.link or name == "a", up.heading or name in HEADINGS, marked))
+
+    def read(self, page: str) -> list[Block]:
+        at, end, head = 0, len(page), False
+        while at < end:
+            tag = TAG.search(page, at)
+            stop = tag.start() if tag else end
+            if stop > at and not head:
+                self.parts.append((page[at:stop], self.around().link))
+            if tag is None:
+                break
+            at, head = tag.end(), False
+            if tag["name"] is None:
+                continue
+            name, attrs = tag["name"].lower(), tag["attrs"] or tag["loose"] or ""
+            if name in RAW or name in TEXT_ONLY:
+                if not tag["close"] and not attrs.endswith("/"):
+                    close = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(page, at)
+                    if close or name in RAW:
+                        at = close.end() if close else end
+                    else:
+                        head = True  # of an element that never ends, only the text up to the next tag goes
+                continue
+            if name == "br":
+                self.parts.append((" ", self.around().link))
+                continue
+            if name not in INLINE:
+                self.flush()
+            if name in VOID:
+                continue
+            if tag["close"]:
+                self.end(name)
+            else:
+                self.begin(name, attrs)
+        self.flush()
+        return self.blocks
+
+    def misled(self) -> set[int]:
+        """Hinted elements around the page's article: these hints are wrong.
+
+        The article is the article element of most words, or one in it that has more than half of
+        them, if it has more words than all unhinted text outside; a list of related articles is none.
+        """
+        words = [0] * len(self.articles)
+        for b in self.blocks:
+            if not b.boiler:
+                words[b.article] += b.words
+        for a in range(len(words) - 1, 0, -1):
+            words[self.articles[a][0]] += words[a]
+        if len(words) == 1:
+            return set()
+        best = max(range(1, len(words)), key=lambda a: (words[a], -a))
+        below = [False] * len(words)
+        for a in range(1, len(words)):
+            below[a] = a == best or below[self.articles[a][0]]
+        if words[best] <= sum(b.words for b in self.blocks if not b.boiler and not b.hint and not below[b.article]):
+            return set()
+        for a in range(best + 1, len(words)):  # articles are numbered in page order, so those inside come later
+            if self.articles[a][0] == best and 2 * words[a] > words[best]:
+                best = a
+        wrong, hint = set(), self.articles[best][1]
+        while hint:
+            wrong.add(hint)
+            hint = self.hints[hint][1]
+        return wrong
+
+
+def described(page: str, marks: bool = False) -> tuple[list[Block], list[tuple[float, ...]]]:
+    """A page's blocks and the features of each."""
+    read = _Page(marks)
+    found = read.read(page)
+    wrong, strength = read.misled(), [0] * len(read.hints)
+    for k, (own, up) in enumerate(read.hints[1:], 1):
+        strength[k] = 0 if k in wrong else max(own, strength[up])
+    some = any(b.article and not b.boiler and strength[b.hint] < 2 for b in found)
+    none = (0, 0.0)
+    sizes = [none, *[(b.words, b.links) for b in found], none]
+    return found, [(b.boiler, strength[b.hint], (1 if b.article else -1) if some else 0, b.heading, b.words, b.links, *sizes[k], *sizes[k + 2]) for k, b in enumerate(found)]
+
+
+def train(labelled: tuple[str, ...] = LABELLED) -> Tree:
+    """The tree of the hand-marked pages."""
+    x, y = [], []
+    for page in labelled:
+        found, rows = described(re.sub(r"\{(\d+)\}", lambda m: " ".join(["w"] * int(m[1])), page), marks=True)
+        x += rows
+        y += [b.marked for b in found]
+    return grow(np.array(x, dtype=float), np.array(y, dtype=float))
 
 
 def main_text(page: str | None, tree: Tree) -> str:
     """The page's blocks that the tree takes for main text, one a line."""
-    found = blocks(page) if page else []
-    some = any(b.article and not b.boiler for b in found)
-    kept = []
-    for k, b in enumerate(found):
-        before = found[k - 1] if k else Block("", 0, 0.0, False, False)
-        after = found[k + 1] if k + 1 < len(found) else Block("", 0, 0.0, False, False)
-        place = (1 if b.article else -1) if some else 0
-        if tree((b.boiler, place, b.words, b.links, before.words, before.links, after.words, after.links)) > 0.5:
-            kept.append(b.text)
-    return "\n".join(kept)
+    found, rows = described(page) if page else ([], [])
+    return "\n".join(b.text for b, row in zip(found, rows, strict=True) if tree(row) > 0.5)
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """One row per page: page_id, url, text, n_chars.
 
     A null or empty page, and one without main text, has an empty text. Any text is taken, however
-    broken the markup: an unclosed tag ends with the page, an unclosed script swallows the rest.
+    broken the markup: an open tag ends with the page, and only an unclosed script or style hides the
+    rest. Repeated rows and null ids are pages of their own; an empty table gives no rows; other
+    columns are not looked at.
     """
     tree = train()
 
