@@ -55,6 +55,12 @@ def written(df: DataFrame, name: str, compression: str | None = None) -> DataFra
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spare(df: DataFrame, *names: str) -> list[str]:
+    """Names for columns of a job's own that none of df's columns has, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    return [next(n for k in range(len(taken) + 1) if (n := f"_{name}{k or ''}") not in taken) for name in names]
+
+
 def fold(id_column: str, parts: int) -> Column:
     """crc32 of the id as text, modulo parts; a null id is in no fold (null)."""
     return F.crc32(F.col(id_column).cast("string")) % parts
