@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -14,11 +15,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from smoothway.llm.store import spare
+
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 WINDOW = 10
 #: Bytes of test text in one broadcast block; a larger test set is scanned in several blocks.
-BLOCK_BYTES = 32 << 20
-SLOTS = 1 << 20
+BLOCK_BYTES = 8 << 20
 LEAK = T.StructType([
     T.StructField("n_words", T.LongType()),
     T.StructField("hits", T.ArrayType(T.StructType([T.StructField("first", T.IntegerType()), T.StructField("last", T.IntegerType())]))),
@@ -32,17 +34,6 @@ def words_of(text: bytes | None) -> list[bytes]:
     return WORD.findall(text.lower()) if text else []
 
 
-def _windows(items: list[tuple[str, bytes]], size: int) -> dict[int, dict[tuple[bytes, ...], set[str]]]:
-    """Window length -> window -> ids of the items that contain it."""
-    found: dict[int, dict[tuple[bytes, ...], set[str]]] = defaultdict(lambda: defaultdict(set))
-    for item, text in items:
-        words = words_of(text)
-        length = min(size, len(words))
-        for i in range(len(words) - length + 1 if length else 0):
-            found[length][tuple(words[i : i + length])].add(item)
-    return found
-
-
 def _rolled(codes: np.ndarray, length: int) -> np.ndarray:
     """A 64-bit code of each run of length words."""
     out = np.zeros(max(0, len(codes) - length + 1), dtype=np.uint64)
@@ -56,28 +47,78 @@ def _codes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(zlib.crc32, words), dtype=np.uint64, count=len(words))
 
 
+@dataclass
+class Windows:
+    """Windows of one length in a block: sorted codes, the item of each, and its place in the words."""
+
+    codes: np.ndarray
+    items: np.ndarray
+    places: np.ndarray
+
+
+@dataclass
+class Index:
+    """A block of test items: their ids, their words in one text (a space after each), where each word
+    begins, and the windows by length. Some 25 bytes for a word, none of them Python objects."""
+
+    ids: list[str]
+    text: bytes
+    begins: np.ndarray
+    windows: dict[int, Windows]
+
+
+def index(items: list[tuple[str, bytes]], size: int = WINDOW) -> Index:
+    """Items of fewer words than size, but not none, are one window."""
+    each = [words_of(text) for _, text in items]
+    text = b"".join(w + b" " for words in each for w in words)
+    begins = np.concatenate([[0], np.cumsum([len(w) + 1 for words in each for w in words], dtype=np.int64)]).astype(np.int64)
+    found: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = defaultdict(list)
+    first = 0
+    for k, words in enumerate(each):
+        if words:
+            length = min(size, len(words))
+            codes = _rolled(_codes(words), length)
+            found[length].append((codes, np.full(len(codes), k, dtype=np.int32), np.arange(first, first + len(codes), dtype=np.int64)))
+        first += len(words)
+    windows = {}
+    for length, parts in found.items():
+        codes, of, places = (np.concatenate(p) for p in zip(*parts, strict=True))
+        order = np.argsort(codes, kind="stable")
+        windows[length] = Windows(codes[order], of[order], places[order])
+    return Index([i for i, _ in items], text, begins, windows)
+
+
 class _Scan:
-    """Finds every occurrence of the block's windows in texts; used inside tasks."""
-
-    def __init__(self, items: list[tuple[str, bytes]], size: int) -> None:
-        self.windows = _windows(items, size)
-        self.maybe = {}
-        for length, known in self.windows.items():
-            table = np.zeros(SLOTS, dtype=bool)
-            table[(_rolled(_codes([w for run in known for w in run]), length)[::length] % np.uint64(SLOTS)).astype(np.int64)] = True
+    """Finds every occurrence of a block's windows in texts; used inside tasks."""
+
+    def __init__(self, block: Index) -> None:
+        self.block, self.maybe = block, {}
+        for length, known in block.windows.items():
+            slots = 1 << max(16, (8 * len(known.codes) - 1).bit_length())  # at most an eighth of them is taken
+            table = np.zeros(slots, dtype=bool)
+            table[(known.codes % np.uint64(slots)).astype(np.int64)] = True
             self.maybe[length] = table
 
+    def items_at(self, code: np.uint64, words: list[bytes], length: int) -> set[str]:
+        """Ids of the items that have these very words as a window."""
+        block, known = self.block, self.block.windows[length]
+        low, high = np.searchsorted(known.codes, code, "left"), np.searchsorted(known.codes, code, "right")
+        if low == high:
+            return set()
+        said = b" ".join(words) + b" "
+        return {block.ids[known.items[k]] for k in range(low, high) if block.text[block.begins[known.places[k]] : block.begins[known.places[k] + length]] == said}
+
     def __call__(self, texts: list[bytes | None]) -> Iterator[dict]:
         each = [words_of(t) for t in texts]
         ends = np.cumsum([len(w) for w in each], dtype=np.int64)
         flat = [w for words in each for w in words]
         codes, hit = _codes(flat), np.zeros(len(flat), dtype=bool)
         items: dict[int, set[str]] = defaultdict(set)
-        for length, known in self.windows.items():
+        for length, maybe in self.maybe.items():
             rolled = _rolled(codes, length)
-            for i in np.nonzero(self.maybe[length][(rolled % np.uint64(SLOTS)).astype(np.int64)])[0]:
+            for i in np.nonzero(maybe[(rolled % np.uint64(len(maybe))).astype(np.int64)])[0]:
                 doc = int(np.searchsorted(ends, i, side="right"))
-                if i + length <= ends[doc] and (of := known.get(tuple(flat[i : i + length]))):
+                if i + length <= ends[doc] and (of := self.items_at(rolled[i], flat[i : i + length], length)):
                     hit[i : i + length] = True
                     items[doc] |= of
         for doc, (text, words) in enumerate(zip(texts, each, strict=True)):
@@ -87,8 +128,12 @@ class _Scan:
                 edge = np.diff(np.concatenate([[0], hit[begin : begin + len(words)].astype(np.int8), [0]]))
                 runs = list(zip(np.nonzero(edge == 1)[0].tolist(), (np.nonzero(edge == -1)[0] - 1).tolist(), strict=True))
                 at = [m.span() for m in WORD.finditer(text.lower())]
-                points = lambda k, t=text: len(t[:k].decode("utf-8", "replace"))
-                spans = [(points(at[a][0]), points(at[b][1])) for a, b in runs]
+                points, upto = 0, 0
+                for a, b in runs:  # spans in code points, each text counted through once
+                    points, upto = points + len(text[upto : at[a][0]].decode("utf-8", "replace")), at[a][0]
+                    start = points
+                    points, upto = points + len(text[upto : at[b][1]].decode("utf-8", "replace")), at[b][1]
+                    spans.append((start, points))
             yield {"n_words": len(words), "hits": [{"first": a, "last": b} for a, b in runs], "spans": [{"start": a, "end": b} for a, b in spans], "items": sorted(items.get(doc, ()))}
 
 
@@ -114,28 +159,33 @@ def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_id: s
     leak.n_words: words of the text; leak.hits: word runs covered by matching windows;
     leak.spans: the same as code points, end exclusive; leak.items: ids (as strings) of the items.
     A null or empty text has no words and no hits; items with a null id or text have no windows;
-    repeated items count once; an input column of the same name as the result is replaced. Test
-    items of more than block_bytes are scanned in blocks, each broadcast by itself, so what is
-    broadcast never grows with the test set.
+    repeated items count once; repeated rows and null ids of docs are documents of their own; an
+    empty table stays empty; an input column of the same name as the result is replaced, all others
+    stay, whatever their names. Test items of more than block_bytes are scanned in blocks, each
+    broadcast by itself, so what is broadcast never grows with the test set.
     """
     spark = docs.sparkSession
     rows = items.select(F.col(item_id).cast("string").alias("i"), F.col(item_text).cast("binary").alias("t")).dropna().distinct()
-    blocks: list[list[tuple[str, bytes]]] = [[]]
-    held = 0
-    for row in rows.orderBy("i", "t").toLocalIterator():
-        if held and held + len(row["t"]) > block_bytes:
-            blocks.append([])
-            held = 0
-        blocks[-1].append((row["i"], bytes(row["t"])))
-        held += len(row["t"])
+
+    def blocks() -> Iterator[list[tuple[str, bytes]]]:
+        """The items in order, so many at a time; no more than one block is held here."""
+        block, held = [], 0
+        for row in rows.orderBy("i", "t").toLocalIterator():
+            if held and held + len(row["t"]) > block_bytes:
+                yield block
+                block, held = [], 0
+            block.append((row["i"], bytes(row["t"])))
+            held += len(row["t"])
+        yield block
+
     found = docs.drop(into)
     schema = T.StructType([*found.schema.fields, T.StructField(into, LEAK)])
     kind = pa.struct([("n_words", pa.int64()), ("hits", pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), ("items", pa.list_(pa.string()))])
-    for block in blocks:
-        shared = spark.sparkContext.broadcast(block)
+    for block in blocks():
+        shared = spark.sparkContext.broadcast(index(block, size))
 
         def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            scanner = _Scan(shared.value, size)
+            scanner = _Scan(shared.value)
             for batch in batches:
                 texts = batch.column(text).cast(pa.binary()).to_pylist()
                 marks = list(scanner(texts))
@@ -151,7 +201,11 @@ def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_id: s
 
 
 def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """One row per document: n_words, n_hit, n_items, items_sha256, contaminated."""
+    """One row per document: n_words, n_hit, n_items, items_sha256, contaminated.
+
+    Null and empty texts have no words; repeated rows and null ids are documents of their own; an
+    empty table gives no rows, and without items nothing is hit; other columns are not looked at.
+    """
     marked = find_leaks(docs.select(doc_id, text), items, text=text, **options)
     n_hit = F.aggregate("leak.hits", F.lit(0).cast("long"), lambda n, h: n + (h["last"] - h["first"] + 1).cast("long"))
     return marked.select(
@@ -168,23 +222,25 @@ def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
 def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", remove: str = "documents", **options) -> DataFrame:
     """Remove contaminated documents, or (remove="spans") only the matching spans of their texts.
 
-    Columns stay as they are; with spans, n_chars (if there) is counted anew.
+    Null and empty texts stay, repeated rows and null ids too; an empty table stays empty. Columns
+    stay as they are, whatever their names; with spans, n_chars (if there) is counted anew.
     """
-    marked = find_leaks(docs, items, text=text, into="_leak", **options)
+    leak, cut = spare(docs, "leak", "cut")
+    marked = find_leaks(docs, items, text=text, into=leak, **options)
     if remove == "documents":
-        return marked.filter(F.size("_leak.hits") == 0).drop("_leak")
+        return marked.filter(F.size(f"{leak}.hits") == 0).drop(leak)
     if remove != "spans":
         raise ValueError(f"remove: documents or spans, not {remove}")
     whole = F.col(text)
     state = F.aggregate(
-        "_leak.spans",
+        f"{leak}.spans",
         F.struct(F.lit("").alias("kept"), F.lit(0).alias("at")),
         lambda acc, s: F.struct(F.concat(acc["kept"], whole.substr(acc["at"] + 1, s["start"] - acc["at"])).alias("kept"), s["end"].alias("at")),
     )
-    cut = marked.withColumn("_cut", state).withColumn(text, F.when(F.size("_leak.spans") == 0, whole).otherwise(F.concat("_cut.kept", whole.substr(F.col("_cut.at") + 1, F.char_length(whole)))))
+    without = marked.withColumn(cut, state).withColumn(text, F.when(F.size(f"{leak}.spans") == 0, whole).otherwise(F.concat(f"{cut}.kept", whole.substr(F.col(f"{cut}.at") + 1, F.char_length(whole)))))
     if "n_chars" in docs.columns:
-        cut = cut.withColumn("n_chars", F.char_length(text).cast(docs.schema["n_chars"].dataType))
-    return cut.select(*docs.columns)
+        without = without.withColumn("n_chars", F.char_length(text).cast(docs.schema["n_chars"].dataType))
+    return without.select(*docs.columns)
 
 
 def digest(items: list[str]) -> str:

@@ -15,7 +15,8 @@ from pyspark.sql import types as T
 from smoothway.llm.store import fold
 
 NOT_LETTERS = re.compile(r"[\W\d_]+")
-CACHE_GRAMS = 20_000
+#: N-gram vectors and letter vectors that a task keeps, and n-grams that are summed at a time.
+CACHE_GRAMS, CACHE_LETTERS, AT_ONCE = 16_384, 32_768, 2_048
 
 
 @dataclass(frozen=True)
@@ -36,37 +37,51 @@ class Vectors:
     """
 
     def __init__(self, space: Space) -> None:
-        self.space, self.letters, self.rows = space, {}, {}
-        self.table = np.zeros((1024, space.dim), dtype=np.float32)
+        self.space = space
+        self.letters: dict[int, np.ndarray] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        self.rows: dict[int, int] = {}
+        self.table = np.zeros((AT_ONCE, self.space.dim), dtype=np.float32)
 
     def letter(self, point: int) -> np.ndarray:
         if point not in self.letters:
+            if len(self.letters) >= CACHE_LETTERS:
+                self.letters.clear()
             self.letters[point] = np.random.default_rng(7919 * point + 17).integers(0, 2, self.space.dim, dtype=np.int8) * 2 - 1
         return self.letters[point]
 
-    def row(self, gram: int) -> int:
-        """Place in the table of an n-gram given as a number of 21 bits for each letter."""
-        found = self.rows.get(gram)
-        if found is None:
-            if len(self.rows) == len(self.table):
+    def bound(self, grams: np.ndarray) -> np.ndarray:
+        """Vectors of n-grams, each given as a number of 21 bits for each letter."""
+        out = np.ones((len(grams), self.space.dim), dtype=np.int8)
+        for place in range(self.space.gram):
+            points, at = np.unique(grams >> 21 * place & 0x1FFFFF, return_inverse=True)
+            out *= np.roll(np.stack([self.letter(p) for p in points.tolist()]), place, axis=1)[at]
+        return out
+
+    def rows_of(self, grams: np.ndarray) -> np.ndarray:
+        """Places in the table of at most AT_ONCE n-grams."""
+        if len(self.rows) + len(grams) > CACHE_GRAMS:
+            self.forget()
+        new = np.array([g for g in grams.tolist() if g not in self.rows], dtype=np.int64)
+        if len(new):
+            first = len(self.rows)
+            while first + len(new) > len(self.table):
                 self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-            vector = np.ones(self.space.dim, dtype=np.int8)
-            for place in range(self.space.gram):
-                vector = vector * np.roll(self.letter(gram >> 21 * place & 0x1FFFFF), place)
-            found = self.rows[gram] = len(self.rows)
-            self.table[found] = vector
-        return found
+            self.table[first : first + len(new)] = self.bound(new)
+            self.rows.update(zip(new.tolist(), range(first, first + len(new)), strict=True))
+        return np.fromiter(map(self.rows.__getitem__, grams.tolist()), dtype=np.int64, count=len(grams))
 
     def bundle(self, text: str | None) -> np.ndarray | None:
         """The sum of a whole text's n-gram vectors, each weighted by the root of its count.
 
         None if the text has no letter. Runs of all but letters are one blank; so are both ends.
+        Distinct n-grams are summed AT_ONCE at a time, so memory doesn't grow with the text's letters.
         """
         plain = NOT_LETTERS.sub(" ", text.lower()).strip() if text else ""
         if not plain:
             return None
-        if len(self.rows) > CACHE_GRAMS:
-            self.rows.clear()
         pad = " " * max(1, self.space.gram - 1)
         points = np.frombuffer((pad[:1] + plain + pad).encode("utf-32-le", "replace"), dtype="<u4").astype(np.int64)
         n = len(points) - self.space.gram + 1
@@ -74,8 +89,11 @@ class Vectors:
         for place in range(self.space.gram):
             grams |= points[place : place + n] << 21 * place
         kinds, counts = np.unique(grams, return_counts=True)
-        at = np.fromiter(map(self.row, kinds.tolist()), dtype=np.int64, count=len(kinds))
-        return np.sqrt(counts).astype(np.float32) @ self.table[at]
+        out = np.zeros(self.space.dim, dtype=np.float32)
+        for k in range(0, len(kinds), AT_ONCE):
+            at = self.rows_of(kinds[k : k + AT_ONCE])  # may replace the table
+            out += np.sqrt(counts[k : k + AT_ONCE]).astype(np.float32) @ self.table[at]
+        return out
 
 
 def prototypes(docs: DataFrame, space: Space | None = None, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", test_fold: int | None = 2, folds: int = 4) -> dict[str, np.ndarray]:
@@ -116,7 +134,8 @@ def identify(docs: DataFrame, known: dict[str, np.ndarray], space: Space | None
 
     Only the text is looked at, the whole of it. A null text or one without letters is und with
     score 0, and so is every text if nothing was learned; a negative cosine counts as 0; ties go to
-    the first language in order of names. Input columns of these names are replaced.
+    the first language in order of names. Input columns of these names are replaced, all others stay;
+    repeated rows and null ids are rows as any other; an empty table stays empty.
     """
     space = space or Space()
     shared = docs.sparkSession.sparkContext.broadcast(known)
@@ -144,7 +163,13 @@ def identify(docs: DataFrame, known: dict[str, np.ndarray], space: Space | None
 
 
 def languages(docs: DataFrame, space: Space | None = None, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", folds: int = 4, test_fold: int = 2) -> DataFrame:
-    """Predictions for all documents by prototypes that never saw the test fold."""
+    """Predictions for all documents by prototypes that never saw the test fold.
+
+    One row per document: doc_id, held_out, lang_pred, score. A null id is in no fold, so it isn't
+    held out, but no prototype learns from it; null texts and languages are not learned from either.
+    Repeated rows are documents of their own; an empty table gives no rows; other columns are not
+    looked at.
+    """
     known = prototypes(docs, space, doc_id, text, lang, test_fold, folds)
     found = identify(docs.select(doc_id, text), known, space, text)
     return found.select(doc_id, F.coalesce(fold(doc_id, folds) == test_fold, F.lit(False)).alias("held_out"), "lang_pred", "score")

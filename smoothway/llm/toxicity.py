@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from smoothway.llm.store import fold
+from smoothway.llm.store import fold, spare
 
 WORD = re.compile(r"\w+")
 THRESHOLD = 0.7
@@ -131,7 +131,11 @@ def fit(docs: DataFrame, labels: DataFrame, how: Model | None = None, doc_id: st
 
 
 def score(docs: DataFrame, weights: dict[str, np.ndarray], how: Model | None = None, text: str = "text", into: str = "score") -> DataFrame:
-    """Add the probability of label 1 of each whole text; null and empty texts have the bias's."""
+    """Add the probability of label 1 of each whole text; null and empty texts have the bias's.
+
+    An input column of the result's name is replaced, all others stay; repeated rows and null ids are
+    rows as any other; an empty table stays empty.
+    """
     how = how or Model()
     shared = docs.sparkSession.sparkContext.broadcast(weights)
     kept = docs.drop(into)
@@ -161,13 +165,22 @@ def score(docs: DataFrame, weights: dict[str, np.ndarray], how: Model | None = N
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, how: Model | None = None, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, folds: int = 3, test_fold: int = 1) -> DataFrame:
-    """Scores and predictions of all documents by a model that never saw the test fold's labels."""
+    """Scores and predictions of all documents by a model that never saw the test fold's labels.
+
+    One row per document: doc_id, held_out, score, predicted. A null id is in no fold and has no
+    label; repeated rows are documents of their own, and one with repeated labels is toxic if any
+    says so; an empty table gives no rows; other columns are not looked at.
+    """
     weights = fit(docs, labels, how, doc_id, text, test_fold=test_fold, folds=folds)
     scored = score(docs.select(doc_id, text), weights, how, text)
     return scored.select(doc_id, F.coalesce(fold(doc_id, folds) == test_fold, F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, how: Model | None = None, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The documents below the threshold, with their own columns."""
-    weights = fit(docs, labels, how, doc_id, text)
-    return score(docs, weights, how, text, "_score").filter(F.col("_score") < threshold).drop("_score")
+    """The documents below the threshold, with their own columns, whatever their names.
+
+    Null and empty texts have the bias's score; repeated rows and null ids are rows as any other; an
+    empty table stays empty.
+    """
+    (mark,) = spare(docs, "score")
+    return score(docs, fit(docs, labels, how, doc_id, text), how, text, mark).filter(F.col(mark) < threshold).drop(mark)
