@@ -173,7 +173,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             offset += n * take[n]
         base += times
     bins = spark.createDataFrame(pd.DataFrame(rows, columns=["_n", "_from", "_to", "_k", "_base", "_offset"], dtype="int64"), "_n long, _from long, _to long, _k long, _base long, _offset long")
-    ranked = numbered(pieces, ["length"], ["doc_id", "piece", "ids_crc32"], "_rank")
+    ranked = numbered(pieces, ["length"], [c for c in ("doc_id", "piece", "ids_crc32", "_piece") if c in pieces.columns], "_rank")
     found = ranked.join(F.broadcast(bins), (F.col("length") == F.col("_n")) & (F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to")))
     nth = F.col("_rank") - F.col("_from")
     found = found.withColumn("sequence_id", F.col("_base") + F.floor(nth / F.col("_k")).cast("long")).withColumn("offset", F.col("_offset") + nth % F.col("_k") * F.col("length"))
@@ -181,8 +181,13 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def packed(docs: DataFrame, tokenizer_path: str, ranks_path: str | None = None, capacity: int = CAPACITY, doc_id: str = "doc_id", text: str = "text", keep_ids: bool = False) -> DataFrame:
-    """All documents as pieces placed in sequences of at most capacity ids.
+    """All documents as pieces placed in sequences of at most capacity ids; with keep_ids, their ids too.
 
-    Repeated ids and texts are documents of their own; an empty table gives no rows.
+    Null and empty texts are the end sign alone; repeated ids and texts and null ids are documents of
+    their own; an empty table gives no rows; other columns are not looked at.
     """
-    return pack(written(tokenized(docs, tokenizer_path, ranks_path, capacity, doc_id, text, keep_ids), "pieces"), capacity)
+    whole = written(tokenized(docs, tokenizer_path, ranks_path, capacity, doc_id, text, keep_ids).withColumn("_piece", F.monotonically_increasing_id()), "pieces", "zstd" if keep_ids else None)
+    placed = pack(whole.drop("ids"), capacity)
+    if keep_ids:  # the ids move once, when all is decided
+        placed = written(placed, "placed").join(whole.select("_piece", "ids"), "_piece")
+    return placed.drop("_piece")

@@ -13,7 +13,12 @@ from pyspark.sql import functions as F
 
 from smoothway.llm.store import written
 
-BITS, RADIUS, BLOCKS = 64, 3, 6
+#: Bits of a fingerprint, the radius in which others are near, and the blocks that the tables permute.
+#: Of true near copies (five-word Jaccard of 0.8 or more) some 0.7 lie within 6 bits, 0.2 within 3; texts
+#: that have nothing in common differ in 15 or more.
+BITS, RADIUS, BLOCKS = 64, 6, 9
+#: Bytes of text in a range of ids, and cuts that one step of finding them makes.
+RANGE_BYTES, MOST_CUTS = 16 << 20, 1000
 TOKEN = r"[^\p{L}\p{N}]+"
 #: A term weighs as many votes as its first word has letters, up to this; longer words are rarer.
 MOST_WEIGHT = 8
@@ -89,34 +94,63 @@ def near_counts(prints: DataFrame, queries: DataFrame, fingerprint: str = "finge
     return met.groupBy(F.col("_q").alias(fingerprint)).agg(F.sum("_n").alias("near_count"))
 
 
-def _range_of(ident: Column, cuts: list[int]) -> tuple[Column, Column]:
-    """The number of cuts up to an id, found in two steps, and whether the id is a cut itself."""
-    bounds, step = F.lit(cuts).cast("array<bigint>"), max(1, round(len(cuts) ** 0.5))
-    upto = lambda cs: F.coalesce(F.size(F.filter(cs, lambda b: b <= ident)), F.lit(0))
-    coarse = upto(F.lit(cuts[step - 1 :: step]).cast("array<bigint>")) * step
-    own = coarse + upto(F.slice(bounds, coarse + 1, step))
-    return own, F.coalesce(F.get(bounds, own - 1) == ident, F.lit(False))
+def _upto(cuts: Column, ident: Column) -> Column:
+    """How many of the sorted cuts are up to an id, found in two steps of about the root of their number."""
+    step = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(cuts))).cast("int"))
+    coarse = F.size(F.filter(F.transform(F.sequence(F.lit(1), step), lambda k: F.get(cuts, k * step - 1)), lambda b: b <= ident)) * step
+    return coarse + F.size(F.filter(F.slice(cuts, coarse + 1, step), lambda b: b <= ident))
 
 
-def with_next(docs: DataFrame, doc_id: str, text: str, pieces: int) -> DataFrame:
-    """Rows (range, late, place, doc_id, text) in which the next row of a range is the next document.
+def _cuts(ids: DataFrame, pieces: int, by: list[str]) -> DataFrame:
+    """Ids that cut the rows of each `by` into pieces of about even weight, as a column cuts."""
+    shares = [k / pieces for k in range(1, pieces)] or [0.5]
+    return ids.groupBy(*by).agg(F.percentile_approx("id", shares, 20 * pieces).alias("cuts"))
 
-    Ids are dealt in ranges of about even size, cut at ids of the table; the first rows of a range
-    are also sent, as guests with late = 1, to the range before it, and the first row of all, with
-    late = 2, to the last. So no task holds more than a range and the texts are shuffled once.
+
+def ranges(rows: DataFrame, ident: str, text: str, pieces: int | None) -> tuple[DataFrame, tuple[int, int | None, int]]:
+    """rows with the columns _range (a number, ascending with the id, 0 for a null id) and _starts
+    (whether the id is the least of its range), and the last range, the least id and how many are null.
+
+    Ranges hold about RANGE_BYTES of text, whatever the number of rows or shuffle partitions. They are
+    cut in two steps of at most MOST_CUTS each, so a plan or broadcast holds no more than these.
+    """
+    ids = rows.select(F.col(ident).cast("long").alias("id"), F.octet_length(text).cast("long").alias("bytes"))
+    told = ids.agg(F.sum("bytes").alias("bytes"), F.count("*").alias("rows"), F.min("id").alias("least"), F.count_if(F.col("id").isNull()).alias("nulls")).first()
+    pieces = min(MOST_CUTS**2, pieces or max(2, -(-(told["bytes"] or 0) // RANGE_BYTES)))
+    mean = max(1, (told["bytes"] or 0) // max(1, told["rows"]))
+    # an id counts once, and once more for each mean length of its text
+    weighted = ids.filter("id is not null").select("id", F.explode(F.sequence(F.lit(1), F.lit(1) + F.least(F.lit(1_000), F.floor(F.col("bytes") / mean)).cast("int"))))
+    first = sorted(set(_cuts(weighted, min(pieces, MOST_CUTS), []).first()["cuts"] or []))
+    finer, fine = -(-pieces // MOST_CUTS), {}
+    where = _upto(F.lit(first).cast("array<bigint>"), F.col("id"))
+    if finer > 1:
+        fine = {r["part"]: r["cuts"] for r in _cuts(weighted.withColumn("part", where), finer, ["part"]).collect()}
+    table, number = [], 0
+    for part in range(len(first) + 1):
+        own = sorted({c for c in fine.get(part, []) if not part or c > first[part - 1]})
+        table.append((part, own, number, first[part - 1] if part else None))
+        number += len(own) + 1
+    cuts = F.broadcast(rows.sparkSession.createDataFrame(table, "_part int, _cuts array<bigint>, _first int, _low bigint"))
+    at = F.coalesce(_upto(F.lit(first).cast("array<bigint>"), F.col(ident).cast("long")), F.lit(0))
+    placed = rows.withColumn("_part", at).join(cuts, "_part").withColumn("_k", F.coalesce(_upto(F.col("_cuts"), F.col(ident).cast("long")), F.lit(0)))
+    lowest = F.when(F.col("_k") > 0, F.get("_cuts", F.col("_k") - 1)).otherwise(F.col("_low"))
+    placed = placed.withColumns({"_range": F.col("_first") + F.col("_k"), "_starts": F.coalesce(lowest == F.col(ident).cast("long"), F.lit(False))})
+    return placed.drop("_part", "_cuts", "_first", "_low", "_k"), (number - 1, told["least"], told["nulls"])
+
+
+def with_next(docs: DataFrame, doc_id: str, text: str, pieces: int | None = None) -> DataFrame:
+    """Rows (range, late, doc_id, text) in which the next row of a range is the next document.
+
+    The first rows of a range are also sent, as guests with late = 1, to the range before it, and the
+    first row of all, with late = 2, to the last. So no task need hold more than a range, and the
+    texts are shuffled once.
     """
-    rows = docs.select(F.col(doc_id), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    found = rows.agg(F.percentile_approx(doc_id, [k / pieces for k in range(1, pieces)], 20 * pieces).alias("cuts")).first()["cuts"]
-    cuts = sorted({int(c) for c in found or []})
-    places = [F.struct(F.lit(0).alias("range"), F.lit(0).alias("late"))]
-    if cuts:
-        own, starts = _range_of(F.col(doc_id).cast("long"), cuts)
-        rows = rows.withColumn("_own", own).withColumn("_starts", starts)
-        places = [F.struct(F.col("_own").alias("range"), F.lit(0).alias("late")), F.when(F.col("_starts"), F.struct((F.col("_own") - 1).alias("range"), F.lit(1).alias("late")))]
-    dealt = rows.select(doc_id, "text", F.explode(F.array_compact(F.array(*places))).alias("_at")).select("_at.range", "_at.late", doc_id, "text")
-    least = docs.agg(F.min(doc_id).alias("least"), F.count_if(F.col(doc_id).isNull()).alias("nulls")).first()
-    first = rows.filter(F.col(doc_id).isNull() if least["nulls"] else F.col(doc_id) == F.lit(least["least"]))
-    head = first.select(F.lit(len(cuts)).alias("range"), F.lit(2).alias("late"), doc_id, "text").orderBy("text").limit(1)
+    rows = docs.select(F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    placed, (last, least, nulls) = ranges(rows, "id", "text", pieces)
+    places = F.array_compact(F.array(F.struct(F.col("_range").alias("range"), F.lit(0).alias("late")), F.when(F.col("_starts"), F.struct((F.col("_range") - 1).alias("range"), F.lit(1).alias("late")))))
+    dealt = placed.select("id", "text", F.explode(places).alias("_at")).select("_at.range", "_at.late", "id", "text")
+    first = rows.filter(F.col("id").isNull() if nulls else F.col("id") == F.lit(least))
+    head = first.select(F.lit(last).alias("range"), F.lit(2).alias("late"), "id", "text").orderBy("text").limit(1)
     return dealt.unionByName(head)
 
 
@@ -126,29 +160,29 @@ def edited_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
     The edited text has its last half replaced by the start of the next document's text (ascending
     integer id, then text; after the last document comes the first). Rows with a null id come first;
     a null text is empty; repeated rows are documents of their own. near_count, for ids divisible by
-    every, is the number of documents (itself included) within the radius; it is null for others.
+    every, is the number of documents (itself included) within the radius; it is null for others. An
+    empty table gives no rows; other columns are not looked at.
     """
-    pieces = pieces or max(2, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    order = Window.partitionBy("range").orderBy("late", F.asc_nulls_first(doc_id), "text")
+    order = Window.partitionBy("range").orderBy("late", F.asc_nulls_first("id"), "text")
     chars = F.char_length("text")
     cut = F.floor(chars / 2).cast("int")
     edited = F.concat(F.substr("text", F.lit(1), chars - cut), F.substr("next", F.lit(1), cut))
     placed = with_next(docs, doc_id, text, pieces).withColumn("next", F.coalesce(F.lead("text").over(order), F.lit(""))).withColumn("place", F.row_number().over(order))
-    texts = placed.select("range", "late", "place", doc_id, chars.cast("long").alias("n_chars"), "text", edited.alias("edited")).withColumn("sha", F.sha2("edited", 256))
+    texts = placed.select("range", "late", "place", "id", chars.cast("long").alias("n_chars"), "text", edited.alias("edited")).withColumn("sha", F.sha2("edited", 256))
     parts = [F.conv(F.substr("sha", F.lit(1 + 16 * k), F.lit(16)), 16, -10).cast("long").alias(f"_s{k}") for k in range(4)]
-    both = texts.select("range", "late", "place", doc_id, "n_chars", *parts, F.explode(F.array(F.struct(F.lit(0).alias("of"), F.col("text").alias("t")), F.struct(F.lit(1).alias("of"), F.col("edited").alias("t")))).alias("_x"))
-    kept = [F.max(c).alias(c) for c in (doc_id, "n_chars", *[f"_s{k}" for k in range(4)])]
-    facts = ["range", "late", "place", doc_id, "n_chars", *[f"_s{k}" for k in range(4)]]
+    both = texts.select("range", "late", "place", "id", "n_chars", *parts, F.explode(F.array(F.struct(F.lit(0).alias("of"), F.col("text").alias("t")), F.struct(F.lit(1).alias("of"), F.col("edited").alias("t")))).alias("_x"))
+    kept = [F.max(c).alias(c) for c in ("id", "n_chars", *[f"_s{k}" for k in range(4)])]
+    facts = ["range", "late", "place", "id", "n_chars", *[f"_s{k}" for k in range(4)]]
     split = both.select(*facts, "_x.of", words(F.col("_x.t")).alias("_words"))
     votes = split.select(*facts, "of", F.explode_outer(terms(F.col("_words"))).alias("_t"))
     prints = votes.groupBy("range", "late", "place", "of").agg(*kept, *_votes(F.col("_t.h"), F.col("_t.w"))).withColumn("print", _fingerprint())
     of = lambda k, c: F.max(F.when(F.col("of") == k, F.col(c)))
-    each = prints.groupBy("range", "late", "place").agg(of(0, doc_id).alias(doc_id), of(0, "n_chars").alias("n_chars"), *[of(0, f"_s{k}").alias(f"_s{k}") for k in range(4)], of(0, "print").alias("own"), of(1, "print").alias("changed"))
+    each = prints.groupBy("range", "late", "place").agg(of(0, "id").alias("id"), of(0, "n_chars").alias("n_chars"), *[of(0, f"_s{k}").alias(f"_s{k}") for k in range(4)], of(0, "print").alias("own"), of(1, "print").alias("changed"))
     after = each.withColumn("following", F.lead("own").over(Window.partitionBy("range").orderBy("late", "place"))).filter("late = 0")
     hexed = lambda c: F.lower(F.lpad(F.hex(c), 16, "0"))
     table = written(
         after.select(
-            doc_id,
+            F.col("id").alias(doc_id),
             "n_chars",
             F.concat(*[hexed(f"_s{k}") for k in range(4)]).alias("edited_sha256"),
             F.col("own").alias("print"),

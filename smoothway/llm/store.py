@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Rows and bytes that reach a Python worker at once; very long texts then can't fill its memory.
-BATCH_ROWS, BATCH_BYTES = "512", "16m"
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "512", "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
 
 
 #: Shuffle files of a job that has ended are of no use to any other, as lineage ends with its table.
@@ -31,9 +31,12 @@ def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
 
 
 def tune(spark: SparkSession) -> None:
-    """Bound what Arrow hands to a Python worker in one batch."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    """Bound what Arrow hands to a Python worker in one batch, for the session.
+
+    For results that Spark makes only when the caller asks for them; written tables have these bounds anyway.
+    """
+    for k, v in BATCHES.items():
+        spark.conf.set(k, v)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -46,11 +49,24 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def clean(spark: SparkSession) -> None:
+    """Delete all tables that operators of this process have written; what they returned is void then."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    while _TABLES:
+        table = path(_TABLES.pop())
+        table.getFileSystem(spark._jsc.hadoopConfiguration()).delete(table, True)
+
+
+#: Tables that this process has written, for clean().
+_TABLES: list[str] = []
+
+
 def written(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write df as Parquet into the shared folder and read it back: lineage and shuffle files end there."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    with _settings(spark, {CLEANUP: "true"}):
+    _TABLES.append(path)
+    with _settings(spark, {CLEANUP: "true", **BATCHES}):
         (df.write.option("compression", compression) if compression else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
