@@ -22,32 +22,36 @@ def missing_columns(required: list[str]) -> Column:
     return F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in required]))
 
 
-def out_of_range(ranges: dict[str, tuple[float | None, float | None]]) -> Column:
-    """name=value of each column outside [low, high]; a null is in range, NaN above every maximum."""
-    def broken(c: str, low: float | None, high: float | None) -> Column:
+def out_of_range(ranges: dict[str, tuple]) -> Column:
+    """name=value of each column outside [low, high], or [low, high) where a third value says so.
+
+    A bound of None is none; a null is in range, NaN above every maximum. Bounds may be times as well.
+    """
+    def broken(c: str, low=None, high=None, exclusive: bool = False) -> Column:
         bad = F.lit(False)
         if low is not None:
-            bad = bad | (F.col(c) < low)
+            bad = bad | (F.col(c) < F.lit(low))
         if high is not None:
-            bad = bad | (F.col(c) > high)
+            bad = bad | (F.col(c) >= F.lit(high) if exclusive else F.col(c) > F.lit(high))
         return F.when(bad, F.concat(F.lit(f"{c}="), F.col(c).cast("string")))
 
     return F.array_compact(F.array(*[broken(c, *r) for c, r in ranges.items()]))
 
 
-def classify(df: DataFrame, required: list[str], ranges: dict[str, tuple[float | None, float | None]], key: list[str], latest: list[str], corrupt: str = "_corrupt") -> DataFrame:
+def classify(df: DataFrame, required: list[str], ranges: dict[str, tuple], key: list[str], latest: list[str], corrupt: str = "_corrupt") -> DataFrame:
     """Add reject_reason (null for good rows) and reject_detail.
 
     The first reason that applies counts. Of good rows with equal keys the one with the greatest
-    `latest` columns stays good; rows that were rejected before take no part in that. One shuffle,
-    by key; every input row comes out once.
+    `latest` columns stays good; rows that were rejected before take no part in that and aren't
+    moved: only the good ones are dealt by key. Every input row comes out once.
     """
     missing, ranged = missing_columns(required), out_of_range(ranges)
     reason = F.when(F.col(corrupt).isNotNull(), MALFORMED).when(F.size(missing) > 0, MISSING).when(F.size(ranged) > 0, OUT_OF_RANGE)
     detail = F.when(F.col(corrupt).isNotNull(), F.lit(None)).when(F.size(missing) > 0, F.concat_ws(", ", missing)).when(F.size(ranged) > 0, F.concat_ws(", ", ranged))
-    first = df.withColumn("_reason", reason).withColumn("reject_detail", detail)
-    rank = F.row_number().over(Window.partitionBy(F.col("_reason").isNull(), *[F.when(F.col("_reason").isNull(), F.col(k)) for k in key], F.when(F.col("_reason").isNotNull(), F.xxhash64(*df.columns))).orderBy(*[F.desc(c) for c in latest]))
-    return first.withColumn("reject_reason", F.when(F.col("_reason").isNull() & (rank > 1), DUPLICATE).otherwise(F.col("_reason"))).drop("_reason")
+    first = df.withColumn("reject_reason", reason).withColumn("reject_detail", detail)
+    rank = F.row_number().over(Window.partitionBy(*key).orderBy(*[F.desc(c) for c in latest]))
+    good = first.filter("reject_reason is null").withColumn("reject_reason", F.when(rank > 1, DUPLICATE))
+    return good.unionByName(first.filter("reject_reason is not null"))
 
 
 def passed(df: DataFrame) -> DataFrame:

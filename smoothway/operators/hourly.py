@@ -37,13 +37,20 @@ def statistics() -> list[Column]:
 
 
 def counts() -> list[Column]:
-    """True flags (null counts as false), samples and distinct trips."""
-    return [*[F.count_if(F.coalesce(F.col(c), F.lit(False))).alias(f"{c}_count") for c in FLAGS], F.count("*").alias("sample_count"), F.count_distinct("trip_id").alias("trip_count")]
+    """True flags (null counts as false) and samples."""
+    return [*[F.count_if(F.coalesce(F.col(c), F.lit(False))).alias(f"{c}_count") for c in FLAGS], F.count("*").alias("sample_count")]
 
 
 def features(df: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
-    """All statistics and counts of an hour, segment and profile, in one aggregation."""
-    return df.groupBy(*keys).agg(*statistics(), *counts())
+    """All statistics and counts of an hour, segment and profile, and its distinct trips.
+
+    Trips are counted by an aggregation of their own, whose rows are small, so that the percentiles'
+    sketches aren't carried through a second one; both are dealt by the same keys.
+    """
+    trips = df.groupBy(*keys, "trip_id").agg(F.lit(1).alias("_one")).groupBy(*keys).agg(F.count("trip_id").alias("trip_count"))
+    both = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    named = trips.select(*[F.col(k).alias(f"_{k}") for k in keys], "trip_count")
+    return df.groupBy(*keys).agg(*statistics(), *counts()).join(named, both).drop(*[f"_{k}" for k in keys])
 
 
 def event_rates(df: DataFrame) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from smoothway.sources.scratch import written
+
 
 def directed_edges(roads: DataFrame) -> DataFrame:
     """Edges with their length: W along the road, A against it, T both ways."""
@@ -14,14 +16,14 @@ def directed_edges(roads: DataFrame) -> DataFrame:
     return each.select("segment_id", "reverse", F.when(F.col("reverse"), F.col("to_node")).otherwise(F.col("from_node")).alias("source"), F.when(F.col("reverse"), F.col("from_node")).otherwise(F.col("to_node")).alias("target"), "length")
 
 
-def shortest_paths(edges: DataFrame, sources: DataFrame, every: int = 5) -> DataFrame:
+def shortest_paths(edges: DataFrame, sources: DataFrame) -> DataFrame:
     """Shortest path from each source node to each node it reaches, by its length and last edge.
 
     Rows (source, target, distance, previous, segment_id, reverse): the last edge comes from the node
     previous, whose own row has the edge before it, so path() can follow it back; a source's own row
     has no edge. Bellman-Ford over tables: each round extends the paths that became shorter by one
-    edge and keeps the least; it ends when nothing changed. Lengths must not be negative. Lineage is
-    cut every few rounds by a checkpoint.
+    edge and keeps the least; it ends when nothing changed. Lengths must not be negative. Each round
+    is a written table, so a lost executor costs one round at most.
     """
     best_edge = edges.groupBy("source", "target").agg(F.min(F.struct("length", "segment_id", "reverse")).alias("_edge"))
     hop = best_edge.select(F.col("source").alias("_at"), F.col("target").alias("_to"), "_edge")
@@ -29,24 +31,15 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, every: int = 5) -> Data
     none = lambda name: F.lit(None).cast(kinds[name])
     last = F.struct(none("source").alias("previous"), none("segment_id").alias("segment_id"), none("reverse").alias("reverse"))
     best = sources.select(F.col("node").alias("source"), F.col("node").alias("target"), F.lit(0.0).alias("distance"), last.alias("last")).distinct()
-    new, held, turn = best, [], 0
+    best = written(best.withColumn("_new", F.lit(True)), "paths")
     while True:
         step = F.struct(F.round(F.col("distance") + F.col("_edge.length"), 9).alias("distance"), F.col("_at").alias("previous"), F.col("_edge.segment_id").alias("segment_id"), F.col("_edge.reverse").alias("reverse"))
-        reached = new.join(hop, F.col("target") == F.col("_at")).groupBy("source", F.col("_to").alias("target")).agg(F.min(step).alias("_s"))
-        better = F.col("_s").isNotNull() & (F.col("distance").isNull() | (F.col("_s.distance") < F.col("distance")))
-        merged = best.join(reached, ["source", "target"], "full").withColumn("_new", F.coalesce(better, F.lit(False)))
+        reached = best.filter("_new").join(hop, F.col("target") == F.col("_at")).groupBy("source", F.col("_to").alias("target")).agg(F.min(step).alias("_s"))
+        better = F.coalesce(F.col("_s").isNotNull() & (F.col("distance").isNull() | (F.col("_s.distance") < F.col("distance"))), F.lit(False))
+        merged = best.drop("_new").join(reached, ["source", "target"], "full").withColumn("_new", better)
         merged = merged.select("source", "target", F.when(F.col("_new"), F.col("_s.distance")).otherwise(F.col("distance")).alias("distance"), F.when(F.col("_new"), F.struct("_s.previous", "_s.segment_id", "_s.reverse")).otherwise(F.col("last")).alias("last"), "_new")
-        if turn % every == every - 1:
-            merged = merged.checkpoint()
-            for old in held:
-                old.unpersist()
-            held = []
-        else:
-            merged = merged.persist()
-            held.append(merged)
-        turn += 1
-        new, best = merged.filter("_new").drop("_new"), merged.drop("_new")
-        if new.isEmpty():
+        best = written(merged, "paths")
+        if best.filter("_new").isEmpty():
             return best.select("source", "target", "distance", "last.*")
 
 

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 RADIUS_M, DISTANCE_WEIGHT, HEADING_WEIGHT, STREET_RADIUS_M = 30.0, 0.7, 0.3, 39.0
+#: Rows of roads or zones, by cells, that are broadcast at most: some tens of MB.
+MOST_BROADCAST = 500_000
 
 
 def bearing(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
@@ -36,18 +38,29 @@ def _covering(df: DataFrame, left: Column, bottom: Column, right: Column, top: C
     return df.select("*", xs).select("*", ys)
 
 
+def in_grid(points: DataFrame, wide: DataFrame, size: float, test: Column, most_rows: int = MOST_BROADCAST) -> DataFrame:
+    """Points joined (left) to rows that cover cells, where the test holds: an equality join on cells.
+
+    Up to most_rows of the covering rows are broadcast, so the points aren't moved and no cell is too
+    full; beyond that both sides are dealt by cell. The rows that come out are the same.
+    """
+    here = points.withColumns({"_px": _cell(F.col("x"), size), "_py": _cell(F.col("y"), size)})
+    few = wide.limit(most_rows + 1).count() <= most_rows
+    on = (F.col("_px") == F.col("_cx")) & (F.col("_py") == F.col("_cy")) & test
+    return here.join(F.broadcast(wide) if few else wide, on, "left").drop("_px", "_py", "_cx", "_cy")
+
+
 def candidates(points: DataFrame, roads: DataFrame, radius: float = RADIUS_M) -> DataFrame:
-    """Points with each road within the radius; a point without any stays once, with nulls.
+    """Points with each road within the radius; a point without any stays once, with nulls, and so does
+    one without coordinates.
 
-    Roads are copied to the cells their widened box touches and a point lies in one cell, so the
-    join is an equality join on cells with the exact distance as its filter; a pair comes out once.
+    Roads are copied to the cells their widened box touches and a point lies in one cell, so a pair
+    comes out once.
     """
     size = max(radius, 50.0)
     wide = _covering(roads, F.least("x0", "x1") - radius, F.least("y0", "y1") - radius, F.greatest("x0", "x1") + radius, F.greatest("y0", "y1") + radius, size)
-    here = points.withColumns({"_px": _cell(F.col("x"), size), "_py": _cell(F.col("y"), size)})
     distance = segment_distance(F.col("x"), F.col("y"), F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"))
-    on = (F.col("_px") == F.col("_cx")) & (F.col("_py") == F.col("_cy")) & (distance <= radius)
-    return here.join(wide, on, "left").withColumn("distance_m", F.when(F.col("segment_id").isNotNull(), distance)).drop("_px", "_py", "_cx", "_cy")
+    return in_grid(points, wide, size, distance <= radius).withColumn("distance_m", F.when(F.col("segment_id").isNotNull(), distance))
 
 
 def match_scores(df: DataFrame, radius: float = RADIUS_M) -> DataFrame:
@@ -70,13 +83,17 @@ def best_match(df: DataFrame, key: str = "event_id") -> DataFrame:
     return ranked.filter("_rank = 1").drop("_rank")
 
 
+def _first_zone(points: DataFrame, wide: DataFrame, size: float, test: Column) -> DataFrame:
+    """Each point once, repeated ones too, with the least location_id among the rows that cover it."""
+    keyed = points.withColumn("_row", F.monotonically_increasing_id())
+    first = [F.first(c).alias(c) for c in points.columns]
+    return in_grid(keyed, wide, size, test).groupBy("_row").agg(*first, F.min("location_id").alias("location_id")).drop("_row")
+
+
 def in_zones(points: DataFrame, zones: DataFrame, size: float = 500.0) -> DataFrame:
     """Points with the first zone (box, edges included) that covers them, or null."""
     wide = _covering(zones, F.col("x0"), F.col("y0"), F.col("x0") + F.col("width"), F.col("y0") + F.col("height"), size).select("_cx", "_cy", F.col("location_id"), F.col("x0").alias("_x0"), F.col("y0").alias("_y0"), (F.col("x0") + F.col("width")).alias("_x1"), (F.col("y0") + F.col("height")).alias("_y1"))
-    here = points.withColumns({"_px": _cell(F.col("x"), size), "_py": _cell(F.col("y"), size)})
-    on = (F.col("_px") == F.col("_cx")) & (F.col("_py") == F.col("_cy")) & F.col("x").between(F.col("_x0"), F.col("_x1")) & F.col("y").between(F.col("_y0"), F.col("_y1"))
-    found = here.join(wide, on, "left")
-    return found.groupBy(*points.columns).agg(F.min("location_id").alias("location_id"))
+    return _first_zone(points, wide, size, F.col("x").between(F.col("_x0"), F.col("_x1")) & F.col("y").between(F.col("_y0"), F.col("_y1")))
 
 
 def inside_polygon(x: Column, y: Column, ring: Column) -> Column:
@@ -88,13 +105,16 @@ def inside_polygon(x: Column, y: Column, ring: Column) -> Column:
     return on_edge | (crossings % 2 == 1)
 
 
+def ring_box(ring: str) -> list[Column]:
+    """Left, bottom, right and top of a ring."""
+    side = lambda f, c: f(F.transform(ring, lambda p: p[c]))
+    return [side(F.array_min, "x"), side(F.array_min, "y"), side(F.array_max, "x"), side(F.array_max, "y")]
+
+
 def in_polygons(points: DataFrame, zones: DataFrame, size: float = 500.0) -> DataFrame:
     """Points with the first zone whose ring (edges included) covers them, or null."""
-    side = lambda f, c: f(F.transform("ring", lambda p: p[c]))
-    wide = _covering(zones, side(F.array_min, "x"), side(F.array_min, "y"), side(F.array_max, "x"), side(F.array_max, "y"), size).select("_cx", "_cy", "location_id", F.col("ring").alias("_ring"))
-    here = points.withColumns({"_px": _cell(F.col("x"), size), "_py": _cell(F.col("y"), size)})
-    on = (F.col("_px") == F.col("_cx")) & (F.col("_py") == F.col("_cy")) & inside_polygon(F.col("x"), F.col("y"), F.col("_ring"))
-    return here.join(wide, on, "left").groupBy(*points.columns).agg(F.min("location_id").alias("location_id"))
+    wide = _covering(zones, *ring_box("ring"), size).select("_cx", "_cy", "location_id", F.col("ring").alias("_ring"))
+    return _first_zone(points, wide, size, inside_polygon(F.col("x"), F.col("y"), F.col("_ring")))
 
 
 def street_key(street: Column) -> Column:
@@ -103,18 +123,19 @@ def street_key(street: Column) -> Column:
 
 
 def pavement(roads: DataFrame, ratings: DataFrame, as_of: int, radius: float = STREET_RADIUS_M) -> DataFrame:
-    """Roads with the nearest rating of the same street, inspected up to as_of or at no known time.
+    """Roads with the nearest rating of the same street within the radius, inspected up to as_of or at no
+    known time. Of equally near ratings the latest counts, then the higher one.
 
-    Of equally near ratings the latest counts, then the higher one.
+    The join is by street and grid cell, so a long street costs what lies near, not all its pairs.
     """
-    r = ratings.filter(F.col("inspected").isNull() | (F.col("inspected") <= as_of)).select(street_key(F.col("street")).alias("_key"), F.col("x").alias("_x"), F.col("y").alias("_y"), "inspected", "rating")
-    joined = roads.withColumn("_street", street_key(F.col("street"))).join(r, F.col("_street") == F.col("_key"), "left")
+    size = max(radius, 50.0)
+    r = ratings.filter(F.col("inspected").isNull() | (F.col("inspected") <= as_of)).select(street_key(F.col("street")).alias("_key"), F.col("x").alias("_x"), F.col("y").alias("_y"), "inspected", "rating", _cell(F.col("x"), size).alias("_px"), _cell(F.col("y"), size).alias("_py"))
+    wide = _covering(roads.withColumn("_street", street_key(F.col("street"))), F.least("x0", "x1") - radius, F.least("y0", "y1") - radius, F.greatest("x0", "x1") + radius, F.greatest("y0", "y1") + radius, size)
     far = segment_distance(F.col("_x"), F.col("_y"), F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"))
-    near = joined.withColumn("_far", far).withColumn("_ok", F.coalesce(F.col("_far") <= radius, F.lit(False)))
-    order = Window.partitionBy("segment_id").orderBy(F.desc("_ok"), F.round("_far", 6), F.desc_nulls_last("inspected"), F.desc("rating"))
-    best = near.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1")
-    rating = F.when(F.col("_ok"), F.col("rating"))
-    return best.select("segment_id", rating.alias("pavement_rating"), pavement_class(rating).alias("pavement_condition"))
+    met = wide.join(r, (F.col("_street") == F.col("_key")) & (F.col("_cx") == F.col("_px")) & (F.col("_cy") == F.col("_py"))).withColumn("_far", far).filter(F.col("_far") <= radius)
+    best = met.groupBy("segment_id").agg(F.min_by("rating", F.struct(F.round("_far", 6), F.coalesce(-F.col("inspected"), F.lit(0)), -F.col("rating"))).alias("pavement_rating"))
+    found = roads.select("segment_id").join(best, "segment_id", "left")
+    return found.select("segment_id", "pavement_rating", pavement_class(F.col("pavement_rating")).alias("pavement_condition"))
 
 
 def pavement_class(rating: Column) -> Column:

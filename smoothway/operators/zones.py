@@ -27,16 +27,22 @@ def od_statistics(trips: DataFrame) -> DataFrame:
     return trips.groupBy("pickup_zone", "dropoff_zone").agg(F.count("*").alias("trips"), F.median("miles").alias("median_miles"))
 
 
-def percent_rank_average(df: DataFrame, column: str, into: str, positive_only: bool = False) -> DataFrame:
+def percent_rank_average(df: DataFrame, column: str, into: str, positive_only: bool = False, pieces: int = 32) -> DataFrame:
     """Rank as a share of the ranked rows, ties at their mean rank; zeros stay 0 where asked for.
 
-    Ranks come from counts of equal values, so only distinct values meet in the running sum.
+    Ranks come from counts of equal values. These are cut into ranges of values, summed up inside
+    each, and shifted by the sums of the ranges before, so no task holds all distinct values.
     """
     ranked = df.filter(F.col(column) > 0) if positive_only else df.filter(F.col(column).isNotNull())
     counts = ranked.groupBy(F.col(column).alias("_v")).agg(F.count("*").alias("_n"))
-    running = Window.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    total = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ranks = counts.select("_v", ((F.sum("_n").over(running) - (F.col("_n") - 1) / 2) / F.sum("_n").over(total)).alias("_rank"))
+    cuts = F.broadcast(counts.agg(F.percentile_approx("_v", [k / pieces for k in range(1, pieces)], 20 * pieces).alias("_cuts")))  # one row
+    piece = F.coalesce(F.size(F.filter("_cuts", lambda c: c <= F.col("_v"))), F.lit(0))
+    cut = counts.crossJoin(cuts).withColumn("_piece", piece).drop("_cuts")
+    sums = cut.groupBy("_piece").agg(F.sum("_n").alias("_in"))  # at most as many rows as pieces
+    before = Window.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = F.broadcast(sums.select("_piece", F.coalesce(F.sum("_in").over(before), F.lit(0)).alias("_shift"), F.sum("_in").over(Window.partitionBy()).alias("_all")))
+    running = Window.partitionBy("_piece").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranks = cut.join(shifts, "_piece").select("_v", ((F.col("_shift") + F.sum("_n").over(running) - (F.col("_n") - 1) / 2) / F.col("_all")).alias("_rank"))
     joined = df.join(ranks, F.col(column) == F.col("_v"), "left")
     value = F.when(F.col(column) == 0, F.lit(0.0)).otherwise(F.col("_rank")) if positive_only else F.col("_rank")
     return joined.withColumn(into, value).drop("_v", "_rank")

@@ -2,39 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from smoothway.functions import quality as q
 from smoothway.operators import hourly, routing, sequence, serving, spatial, standard, weather, zones
-from smoothway.plans.adapters import BASE_US, HOUR_US, oracle, spark_view
+from smoothway.plans.adapters import BASE_US, HOUR_US, oracle
+from smoothway.plans.registry import ORACLES, QUERIES, query, rounded
 
 FLAGSHIP = "a3_hourly_segment_features"
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None):
-    """Register a query of (read) -> DataFrame, where read gives a view by name."""
-
-    def add(f: Callable[[Callable[[str], DataFrame]], DataFrame]):
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return f(lambda view: spark_view(spark, sf_dir, view))
-
-        QUERIES[name] = run
-        if sql:
-            ORACLES[name] = sql
-        return f
-
-    return add
-
-
-def rounded(df: DataFrame, places: int = 6) -> DataFrame:
-    """All fractions to some places, as sums over partitions have no fixed order."""
-    return df.select(*[F.round(c, places).alias(c) if k == "double" else F.col(c) for c, k in df.dtypes])
 
 
 # --- cleansing -------------------------------------------------------------------------------------
@@ -55,7 +32,7 @@ def classified(read) -> DataFrame:
     return q.classify(q.parse_envelope(read("raw_records"), RAW_SCHEMA), REQUIRED, RANGES, ["event_id"], ["ingested", "trip_seq"])
 
 
-@query("s4_parse_envelope", oracle(["raw_records"], "SELECT sound, count(*) AS n, count(event_id) AS ids, sum(trip_seq) AS seqs FROM parsed GROUP BY 1", PARSED))
+@query("s4_parse_envelope", oracle(["raw_records"], "SELECT sound, count(*) AS n, count(event_id) AS ids, CAST(sum(trip_seq) AS BIGINT) AS seqs FROM parsed GROUP BY 1", PARSED))
 def _(read):
     parsed = q.parse_envelope(read("raw_records"), RAW_SCHEMA)
     sound = F.col("_corrupt").isNull()
@@ -90,9 +67,9 @@ def _(read):
     return q.expectations(read("zone_weather"), {"temperature": F.col("temperature_2m").isNotNull(), "gusts": F.col("wind_gusts_10m") < 15, "rain": F.col("rain") >= 0})
 
 
-@query("a20_duplicate_keys", oracle(["trips"], "SELECT pickup_zone, dropoff_zone, request_us, count(*) AS rows FROM trips GROUP BY ALL HAVING count(*) > 1"))
+@query("a20_duplicate_keys", oracle(["trips"], "SELECT pickup_zone, dropoff_zone, month, count(*) AS rows FROM trips GROUP BY ALL HAVING count(*) > 1"))
 def _(read):
-    return q.duplicate_keys(read("trips"), ["pickup_zone", "dropoff_zone", "request_us"])
+    return q.duplicate_keys(read("trips"), ["pickup_zone", "dropoff_zone", "month"])
 
 
 @query("a19_distinct_values", oracle(["road_segments"], "SELECT 'traffic_direction' AS name, traffic_direction AS item, count(*) AS rows FROM road_segments GROUP BY 2 UNION ALL SELECT 'street', street, count(*) FROM road_segments GROUP BY 2"))
@@ -136,7 +113,7 @@ def _(read):
     return found.groupBy("trip_id").agg(F.count_if("hard_accel").alias("accels"), F.count_if("hard_brake").alias("brakes"))
 
 
-@query("w13_task_gaps", oracle(["trips"], "SELECT trip_id, lead(request_us) OVER (PARTITION BY pickup_zone ORDER BY request_us, trip_id) - dropoff_us AS wait FROM trips WHERE trip_id % 2 = 0"))
+@query("w13_task_gaps", oracle(["trips"], "SELECT trip_id, lead(request_us) OVER (PARTITION BY pickup_zone ORDER BY request_us, trip_id) - dropoff_us AS wait FROM trips"))
 def _(read):
     return sequence.gaps_between(read("trips"), "pickup_zone", ["request_us", "trip_id"], "request_us", "dropoff_us").select("trip_id", "wait")
 
@@ -178,9 +155,12 @@ def _(read):
     return rounded(hourly.scores(hourly_features(read)).select("hour_us", "segment_id", "vehicle_profile_id", "vertical_score", "longitudinal_score", "lateral_score", "reject_reason"), 6)
 
 
-@query("a6_scoring_audit", oracle(["hourly_signals"], "SELECT count(*) AS rows, count(*) AS keys, count(*) FILTER (reject_reason IS NULL) AS scored, CAST(0 AS BIGINT) AS invalid, count(*) FILTER (reject_reason IS NOT NULL) AS insufficient FROM reasoned", FEATURES, _score_sql()))
+@query("a6_scoring_audit", oracle(["hourly_signals"], """SELECT count(*) AS rows, count(DISTINCT (hour_us, vehicle_profile_id)) AS keys, count(*) FILTER (why IS NULL) AS scored, count(*) FILTER (why = 'INVALID_SCORING_INPUT') AS invalid, count(*) FILTER (why = 'INSUFFICIENT_SCORING_FEATURES') AS insufficient
+ FROM (SELECT *, CASE WHEN sample_count <= 2 THEN 'INVALID_SCORING_INPUT' ELSE reject_reason END AS why FROM reasoned)""", FEATURES, _score_sql()))
 def _(read):
-    return hourly.audit(hourly.scores(hourly_features(read)), ["hour_us", "segment_id", "vehicle_profile_id"])
+    """Features of two samples or fewer are made invalid, as none is by itself."""
+    found = hourly_features(read).withColumn("trip_count", F.when(F.col("sample_count") <= 2, 0).otherwise(F.col("trip_count")))
+    return hourly.audit(hourly.scores(found), ["hour_us", "vehicle_profile_id"])
 
 
 _DIST = [f"SELECT '{n}' AS name, count({n}) AS n, round(avg({n}), 6) AS mean, round(min({n}), 6) AS least, round(max({n}), 6) AS greatest, " + ", ".join(f"round(quantile_cont({n}, {p}), 6) AS q{round(100 * p)}" for p in (0.1, 0.25, 0.5, 0.75, 0.9, 0.95)) + " FROM hourly_signals" for n in ("accel_z", "jerk_y", "speed")]
@@ -244,19 +224,35 @@ def _(read):
     return rounded(standard_table(read), 7)
 
 
-@query("k6_merge_counts", oracle(["hourly_scores"], "SELECT state, count(*) AS n FROM (SELECT CASE WHEN o.segment_id IS NULL THEN 'inserted' WHEN n.segment_id IS NULL THEN 'kept' ELSE 'updated' END AS state FROM (SELECT DISTINCT segment_id FROM hourly_scores WHERE vehicle_profile_id <= 2) o FULL JOIN (SELECT DISTINCT segment_id FROM hourly_scores WHERE sample_count > 200) n USING (segment_id)) GROUP BY 1"))
-def _(read):
+_SIDES = """old AS (SELECT segment_id, max(vertical_score) AS score FROM hourly_scores WHERE vehicle_profile_id <= 2 AND trip_count < 5 AND segment_id <> 's7' GROUP BY 1), new AS (SELECT segment_id, min(vertical_score) AS score FROM hourly_scores WHERE sample_count > 200 AND segment_id <> 's9' GROUP BY 1)"""
+
+
+def _sides(read) -> tuple[DataFrame, DataFrame]:
     scores = read("hourly_scores")
-    old = scores.filter("vehicle_profile_id <= 2").groupBy("segment_id").agg(F.max("vertical_score").alias("score"))
-    new = scores.filter("sample_count > 200").groupBy("segment_id").agg(F.max("vertical_score").alias("score"))
-    return standard.merge(old, new, ["segment_id"]).groupBy("state").agg(F.count("*").alias("n"))
+    old = scores.filter("vehicle_profile_id <= 2 and trip_count < 5 and segment_id <> 's7'").groupBy("segment_id").agg(F.max("vertical_score").alias("score"))
+    return old, scores.filter("sample_count > 200 and segment_id <> 's9'").groupBy("segment_id").agg(F.min("vertical_score").alias("score"))
 
 
-@query("k8_newest_by_time", oracle(["hourly_scores"], "SELECT segment_id, max(period_us) AS period_us FROM hourly_scores GROUP BY 1"))
+@query("k6_merge_counts", oracle(["hourly_scores"], "SELECT CASE WHEN old.segment_id IS NULL THEN 'inserted' WHEN new.segment_id IS NULL THEN 'kept' ELSE 'updated' END AS state, count(*) AS n FROM old FULL JOIN new USING (segment_id) GROUP BY 1", _SIDES))
 def _(read):
-    scores = read("hourly_scores").groupBy("segment_id", "vehicle_profile_id").agg(F.max("period_us").alias("period_us"))
-    old, new = scores.filter("vehicle_profile_id <= 2").drop("vehicle_profile_id"), scores.filter("vehicle_profile_id > 2").drop("vehicle_profile_id")
-    return standard.newest(old, new, ["segment_id"], "period_us")
+    return standard.merge(*_sides(read), ["segment_id"]).groupBy("state").agg(F.count("*").alias("n"))
+
+
+@query("k6_merged_rows", oracle(["hourly_scores"], "SELECT segment_id, round(coalesce(new.score, old.score), 6) AS score, CASE WHEN old.segment_id IS NULL THEN 'inserted' WHEN new.segment_id IS NULL THEN 'kept' ELSE 'updated' END AS state FROM old FULL JOIN new USING (segment_id)", _SIDES))
+def _(read):
+    return rounded(standard.merge(*_sides(read), ["segment_id"]))
+
+
+@query("k8_newest_by_time", oracle(["hourly_scores"], """SELECT segment_id, coalesce(CASE WHEN n.period_us >= o.period_us THEN n.period_us END, o.period_us, n.period_us) AS period_us, CASE WHEN o.segment_id IS NULL OR n.period_us >= o.period_us THEN 'new' ELSE 'old' END AS side
+ FROM (SELECT segment_id, max(period_us) AS period_us FROM hourly_scores WHERE vehicle_profile_id <= 2 GROUP BY 1) o FULL JOIN (SELECT segment_id, max(period_us) AS period_us FROM hourly_scores WHERE vehicle_profile_id > 2 GROUP BY 1
+ UNION ALL SELECT segment_id, max(period_us) FROM hourly_scores WHERE vehicle_profile_id <= 2 AND segment_id < 's2' AND segment_id NOT IN (SELECT segment_id FROM hourly_scores WHERE vehicle_profile_id > 2) GROUP BY 1) n USING (segment_id)"""))
+def _(read):
+    """Old rows that are later, new rows that are, and ties, in which the new row counts."""
+    scores = read("hourly_scores")
+    top = lambda df, side: df.groupBy("segment_id").agg(F.max("period_us").alias("period_us")).withColumn("side", F.lit(side))
+    old, new = scores.filter("vehicle_profile_id <= 2"), scores.filter("vehicle_profile_id > 2")
+    tied = old.filter("segment_id < 's2'").join(new.select("segment_id").distinct(), "segment_id", "left_anti")
+    return standard.newest(top(old, "old"), top(new, "new").unionByName(top(tied, "new")), ["segment_id"], "period_us")
 
 
 # --- weather and current scores --------------------------------------------------------------------
@@ -292,7 +288,7 @@ def _(read):
     return read("zone_weather").select("location_id", F.array_join(weather.violations(), ",").alias("broken"))
 
 
-CURRENT = """zoned AS (SELECT DISTINCT segment_id, CAST(CAST(substr(segment_id, 2) AS INT) % 30 AS INT) AS location_id FROM hourly_scores WHERE CAST(substr(segment_id, 2) AS INT) % 7 <> 3),
+CURRENT = """zoned AS (SELECT DISTINCT segment_id, CAST(CAST(substr(segment_id, 2) AS INT) % 30 AS INT) AS location_id FROM hourly_scores),
  adjusted AS (SELECT t.segment_id, t.vehicle_profile_id, z.location_id, round(greatest(0, least(100, vertical_score - CASE WHEN c_snow THEN 5 ELSE 0 END)), 6) AS vertical_score,
  round(greatest(0, least(100, longitudinal_score - greatest(CASE WHEN c_rain THEN 6 ELSE 0 END, CASE WHEN c_ice THEN 18 ELSE 0 END, CASE WHEN c_snow THEN 10 ELSE 0 END))), 6) AS longitudinal_score, round(greatest(0, least(100, lateral_score - CASE WHEN c_wind THEN 6 ELSE 0 END)), 6) AS lateral_score,
  CASE WHEN c_dim THEN 4 ELSE 0 END AS final, impact_signature FROM standard t JOIN zoned z ON z.segment_id = t.segment_id LEFT JOIN signed w ON w.location_id = z.location_id),
@@ -326,9 +322,30 @@ def _(read):
     return weather.changed_zones(old, new)
 
 
-@query("f17_current_quarantine", oracle(["hourly_scores", "zone_weather"], "SELECT CAST(count(*) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS quarantined, false AS stop FROM current", *_STEPS))
+_BROKEN = """hurt AS (SELECT segment_id, vehicle_profile_id, impact_signature, longitudinal_score, CASE WHEN location_id = 3 THEN NULL ELSE vertical_score END AS vertical_score, CASE WHEN location_id = 5 THEN lateral_score + 101 ELSE lateral_score END AS lateral_score, CASE WHEN location_id IN (7, 12) THEN comfort_score + 0.5 ELSE comfort_score END AS comfort_score FROM current),
+ judged AS (SELECT segment_id, vehicle_profile_id, concat_ws(',', CASE WHEN NOT coalesce(vertical_score BETWEEN 0 AND 100, false) THEN 'vertical_score_range' END, CASE WHEN NOT coalesce(longitudinal_score BETWEEN 0 AND 100, false) THEN 'longitudinal_score_range' END, CASE WHEN NOT coalesce(lateral_score BETWEEN 0 AND 100, false) THEN 'lateral_score_range' END, CASE WHEN NOT coalesce(comfort_score BETWEEN 0 AND 100, false) THEN 'comfort_score_range' END,
+ CASE WHEN NOT coalesce(impact_signature LIKE '%low_visibility%', false) AND NOT coalesce(abs(0.5 * vertical_score + 0.3 * longitudinal_score + 0.2 * lateral_score - comfort_score) <= 0.01, false) THEN 'identity' END) AS broken FROM hurt)"""
+
+
+def judged_table(read) -> DataFrame:
+    """Current scores, some of them hurt, with the rules that each breaks."""
+    now, at = current_table(read), F.col("location_id")
+    hurt = {"vertical_score": F.when(at != 3, F.col("vertical_score")), "lateral_score": F.col("lateral_score") + F.when(at == 5, 101).otherwise(0), "comfort_score": F.col("comfort_score") + F.when(at.isin(7, 12), 0.5).otherwise(0)}
+    return weather.score_quarantine(now.withColumns(hurt))
+
+
+@query("f17_current_quarantine", oracle(["hourly_scores", "zone_weather"], "SELECT segment_id, vehicle_profile_id, broken FROM judged WHERE broken <> ''", *_STEPS, _BROKEN))
+def _(read):
+    return judged_table(read).filter("size(broken) > 0").select("segment_id", "vehicle_profile_id", F.array_join("broken", ",").alias("broken"))
+
+
+@query("f18_circuit_breaker", oracle(["hourly_scores", "zone_weather"], """SELECT 'all' AS batch, count(*) AS rows, count(*) FILTER (broken <> '') AS quarantined, count(*) FILTER (broken <> '') > 0.25 * count(*) AS stop FROM judged
+ UNION ALL SELECT 'broken', count(*) FILTER (broken <> ''), count(*) FILTER (broken <> ''), true FROM judged UNION ALL SELECT 'none', 0, 0, false""", *_STEPS, _BROKEN))
 def _(read):
-    return weather.circuit_breaker(weather.score_quarantine(current_table(read)))
+    found = judged_table(read)
+    batches = {"all": found, "broken": found.filter("size(broken) > 0"), "none": found.filter("false")}
+    each = [weather.circuit_breaker(df).select(F.lit(n).alias("batch"), "rows", "quarantined", "stop") for n, df in batches.items()]
+    return each[0].unionByName(each[1]).unionByName(each[2])
 
 
 # --- serving ---------------------------------------------------------------------------------------
@@ -359,9 +376,9 @@ def _(read):
     return serving.lookup(read("road_segments").select("segment_id"), current, base)
 
 
-@query("u6_not_found", oracle(["routes", "road_segments"], "SELECT DISTINCT segment_id FROM routes WHERE segment_id NOT IN (SELECT segment_id FROM road_segments)"))
+@query("u6_not_found", oracle(["routes", "road_segments"], "SELECT DISTINCT segment_id FROM routes WHERE segment_id NOT IN (SELECT segment_id FROM road_segments WHERE traffic_direction <> 'A')"))
 def _(read):
-    return serving.not_found(read("routes"), read("road_segments"))
+    return serving.not_found(read("routes"), read("road_segments").filter("traffic_direction <> 'A'"))
 
 
 @query("j18_profile_or_any", oracle(["hourly_signals", "hourly_scores"], "SELECT DISTINCT vehicle_profile_id, CASE WHEN vehicle_profile_id IN (SELECT vehicle_profile_id FROM hourly_scores) THEN vehicle_profile_id ELSE 0 END AS resolved_profile_id FROM hourly_signals"))
@@ -464,7 +481,7 @@ def _(read):
     return rounded(od_priorities(read).select("pickup_zone", "dropoff_zone", "trips", "demand", "priority"))
 
 
-@query("t1_top_od", oracle(["trips", "zones"], "SELECT pickup_zone, dropoff_zone, row_number() OVER (ORDER BY round(priority, 6) DESC, trips DESC, pickup_zone, dropoff_zone) AS rank FROM prior ORDER BY rank LIMIT 100", VALID, OD, PRIORITY))
+@query("t1_top_od", oracle(["trips", "zones"], "SELECT pickup_zone, dropoff_zone, row_number() OVER (ORDER BY round(priority, 6) DESC, trips DESC, pickup_zone, dropoff_zone) AS rank FROM prior ORDER BY rank LIMIT 1000", VALID, OD, PRIORITY))
 def _(read):
     best = zones.top(od_priorities(read), TOP_OD, [F.desc(F.round("priority", 6)), F.desc("trips"), F.asc("pickup_zone"), F.asc("dropoff_zone")])
     return best.select("pickup_zone", "dropoff_zone", F.col("rank").cast("long").alias("rank"))
@@ -549,9 +566,7 @@ def _(read):
     return routing.contiguous(read("routes"), routing.directed_edges(read("road_segments")))
 
 
-@query("g2_shortest_paths", oracle(["road_segments"], """, walk AS (SELECT n AS source, n AS target, CAST(0 AS DOUBLE) AS distance, 0 AS hops FROM (SELECT DISTINCT source AS n FROM edges WHERE source IN ('n1', 'n5', 'n9'))
- UNION SELECT w.source, e.target, round(w.distance + e.length, 9), hops + 1 FROM walk w JOIN (SELECT source, target, min(length) AS length FROM edges GROUP BY 1, 2) e ON w.target = e.source WHERE hops < 7)
- SELECT source, target, round(min(distance), 6) AS distance FROM walk GROUP BY 1, 2""", EDGES).replace("WITH ", "WITH RECURSIVE ", 1).replace(") , walk", "), walk"))
+@query("g2_shortest_paths")
 def _(read):
     edges = routing.directed_edges(read("road_segments"))
     nodes = edges.select(F.col("source").alias("node")).union(edges.select("target")).distinct()

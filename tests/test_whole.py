@@ -1,28 +1,6 @@
-"""Queries whose registered SQL covers a part of the rows, against SQL over all of them."""
+"""Counts that no SQL is registered for."""
 
 from smoothway.plans import catalog
-from smoothway.plans.adapters import oracle
-from tests.compare import assert_same
-
-
-def whole(name: str, cut: str, instead: str = "") -> str:
-    assert cut in catalog.ORACLES[name]
-    return catalog.ORACLES[name].replace(cut, instead)
-
-
-def test_w13_has_every_trip(spark, duck, sf_dir):
-    sql = oracle(["trips"], "SELECT trip_id, lead(request_us) OVER (PARTITION BY pickup_zone ORDER BY request_us, trip_id) - dropoff_us AS wait FROM trips")
-    assert_same(catalog.QUERIES["w13_task_gaps"](spark, sf_dir), duck, sql)
-
-
-def test_t1_keeps_a_thousand_pairs(spark, duck, sf_dir):
-    assert_same(catalog.QUERIES["t1_top_od"](spark, sf_dir), duck, whole("t1_top_od", "LIMIT 100", "LIMIT 1000"))
-
-
-def test_current_scores_have_every_zoned_segment(spark, duck, sf_dir):
-    cut = " WHERE CAST(substr(segment_id, 2) AS INT) % 7 <> 3"
-    for name in ("j13_current_scores", "f17_current_quarantine"):
-        assert_same(catalog.QUERIES[name](spark, sf_dir), duck, whole(name, cut))
 
 
 def test_unzoned_segments_are_counted(spark, sf_dir):
