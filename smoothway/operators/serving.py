@@ -63,3 +63,24 @@ def in_order_once(df: DataFrame, key: str, item: str, position: str) -> DataFram
 
 def colour(score: Column) -> Column:
     return F.when(score.isNull(), "gray").when(score >= 80, "green").when(score >= 60, "yellow").otherwise("red")
+
+
+def latest_only(df: DataFrame, key: list[str], time: str) -> DataFrame:
+    """Rows of the latest time of their key; all of them if several have it."""
+    latest = df.groupBy(*key).agg(F.max(time).alias("_latest"))
+    return df.join(latest, key).filter(F.col(time) == F.col("_latest")).drop("_latest")
+
+
+def is_version(text: Column) -> Column:
+    """Whether a text is three numbers without leading zeros, with dots between."""
+    return text.rlike(r"^(0|[1-9][0-9]*)(\.(0|[1-9][0-9]*)){2}$")
+
+
+def with_window(df: DataFrame, first_us: int, as_of_us: int) -> DataFrame:
+    """The batch's window where a row has no period of its own, and the time that it holds for."""
+    return df.withColumns({"first_us": F.coalesce("first_us", F.lit(first_us)), "as_of_us": F.lit(as_of_us)})
+
+
+def percentiles(df: DataFrame, key: str, value: str, shares: dict[str, float], places: int) -> DataFrame:
+    """Exact percentiles between neighbours, rounded half to even."""
+    return df.filter(F.col(value).isNotNull()).groupBy(key).agg(*[F.bround(F.percentile(value, p), places).alias(n) for n, p in shares.items()])

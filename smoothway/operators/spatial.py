@@ -83,6 +83,18 @@ def best_match(df: DataFrame, key: str = "event_id") -> DataFrame:
     return ranked.filter("_rank = 1").drop("_rank")
 
 
+def match_quarantine(matched: DataFrame, raw: DataFrame, run: str) -> DataFrame:
+    """Events without a road, with what was tried as JSON (nulls written out) and their raw record.
+
+    raw (event_id, raw_record) may repeat events. It is cut down to the failed ones before anything
+    else, and joined as Spark sees fit: failed events may be many.
+    """
+    tried = F.struct(F.lit("distance+heading").alias("match_method"), F.col("distance_m").alias("map_match_distance_m"), F.col("heading_diff_deg").alias("map_match_heading_diff_deg"), F.col("match_score").alias("map_match_score"), "candidate_count")
+    failed = matched.filter("segment_id is null").select("event_id", "trip_id", "event_us", F.lit("MAP_MATCH_FAILED").alias("reject_reason"), F.to_json(tried, {"ignoreNullFields": "false"}).alias("reject_detail"), F.lit(run).alias("_run_id"))
+    records = raw.join(failed.select("event_id"), "event_id", "left_semi").groupBy("event_id").agg(F.min("raw_record").alias("raw_record"))
+    return failed.join(records, "event_id", "left")
+
+
 def _first_zone(points: DataFrame, wide: DataFrame, size: float, test: Column) -> DataFrame:
     """Each point once, repeated ones too, with the least location_id among the rows that cover it."""
     keyed = points.withColumn("_row", F.monotonically_increasing_id())

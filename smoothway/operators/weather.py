@@ -130,3 +130,20 @@ def circuit_breaker(df: DataFrame, most: float = 0.25) -> DataFrame:
     """Whether a batch must stop: all rows or more than the given share are broken; not if there are none."""
     bad = F.count_if(F.size("broken") > 0)
     return df.agg(F.count("*").alias("rows"), bad.alias("quarantined")).withColumn("stop", (F.col("rows") > 0) & ((F.col("quarantined") == F.col("rows")) | (F.col("quarantined") > most * F.col("rows"))))
+
+
+def fan_out(zones: DataFrame, readings: DataFrame, key: str = "region") -> DataFrame:
+    """The reading of each zone's region: state ok, failed (with error), or no reading."""
+    told = readings.withColumn("_told", F.lit(True))
+    state = F.when(F.col("_told").isNull(), "no reading").when(F.col("error").isNotNull(), "failed").otherwise("ok")
+    return zones.join(F.broadcast(told), key, "left").withColumn("state", state).drop("_told")
+
+
+def zone_targets(segments: DataFrame, zones: DataFrame) -> DataFrame:
+    """Distinct segments of the given zones."""
+    return segments.select("segment_id", "location_id").join(zones.select("location_id"), "location_id", "left_semi").distinct().select("segment_id", "location_id")
+
+
+def on_quarter(time: Column) -> Column:
+    """Whether a time is a whole quarter of an hour."""
+    return F.unix_micros(time) % 900_000_000 == 0

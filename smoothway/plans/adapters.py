@@ -28,6 +28,11 @@ VIEWS: dict[str, tuple[str, dict[str, str]]] = {
         "y": "CAST((event_id * 53) % 1500 AS DOUBLE)",
         "heading": "CASE WHEN event_id % 31 = 0 THEN NULL ELSE CAST((event_id * 29) % 360 AS DOUBLE) END",
     }),
+    "hour_events": ("events", {
+        "event_id": "event_id",
+        "event_us": f"CAST({BASE_US} AS BIGINT) + event_id % 5 * {HOUR_US} + event_id * 7919000 % {HOUR_US}",
+        "speed_mps": "CAST(event_id % 18 AS DOUBLE)",
+    }),
     "raw_records": ("events", {
         "value": "CASE WHEN event_id % 41 = 0 THEN '{\"event_id\": \"broken' WHEN event_id % 43 = 0 THEN concat('{\"event_id\": \"e', CAST(event_id AS VARCHAR(20)), '\", \"speed_mps\": 3.5}') "
         "ELSE concat('{\"event_id\": \"e', CAST(event_id - event_id % 7 % 2 AS VARCHAR(20)), '\", \"trip_id\": \"t', CAST(user_id AS VARCHAR(20)), '\", \"trip_seq\": ', CAST(event_id AS VARCHAR(20)), ', \"speed_mps\": ', CAST(CASE WHEN event_id % 47 = 0 THEN 75 ELSE event_id % 50 END AS VARCHAR(20)), '.5, \"accel_z\": ', CAST(event_id % 60 - 29 AS VARCHAR(20)), '.25}') END",
@@ -116,6 +121,78 @@ VIEWS: dict[str, tuple[str, dict[str, str]]] = {
         "position": "l_linenumber",
         "segment_id": "concat('s', CAST(l_suppkey % 300 AS VARCHAR(20)))",
     }),
+    "road_features": ("supplier", {
+        "segment_id": "CASE WHEN s_suppkey % 17 = 0 THEN '  ' ELSE concat('s', CAST(s_suppkey @div 2 AS VARCHAR(20))) END",
+        "object_id": "s_suppkey * 7919 % 100003",
+        "feature_type": "CASE s_suppkey % 7 WHEN 0 THEN '0' WHEN 1 THEN '6' WHEN 2 THEN 'A' WHEN 3 THEN 'C' WHEN 4 THEN '5' ELSE '0' END",
+        "status": "CASE WHEN s_suppkey % 13 = 0 THEN '9' ELSE '2' END",
+        "rw_type": "CAST(1 + s_suppkey % 14 AS VARCHAR(20))",
+        "traffic": "CASE s_suppkey % 5 WHEN 0 THEN 'W' WHEN 1 THEN 'A' WHEN 3 THEN 'P' ELSE 'T' END",
+        "street": "CASE WHEN s_suppkey % 19 = 0 THEN ' ' ELSE concat(' Main-', CAST(s_suppkey % 25 AS VARCHAR(20)), ' st. ') END",
+        "length_ft": "CASE WHEN s_suppkey % 11 = 0 THEN '' WHEN s_suppkey % 7 = 0 THEN '1,250.5' WHEN s_suppkey % 23 = 0 THEN 'n/a' ELSE CAST(s_suppkey % 90 AS VARCHAR(20)) END",
+        "built": "CASE s_suppkey % 4 WHEN 0 THEN '03/15/2024' WHEN 1 THEN '2024-03-15T00:00:00' WHEN 2 THEN 'unknown' ELSE '2024-03-15' END",
+        "parts": "CAST(CASE WHEN s_suppkey % 29 = 0 THEN 2 ELSE 1 END AS INT)",
+    }),
+    "road_shapes": ("supplier", {
+        "shape_id": "CASE WHEN s_suppkey % 31 = 0 THEN concat('z', CAST(s_suppkey AS VARCHAR(20))) ELSE concat('s', CAST(s_suppkey AS VARCHAR(20))) END",
+        "x0": "CAST((s_suppkey * 61) % 2000 AS DOUBLE)",
+        "y0": "CAST((s_suppkey * 97) % 1500 AS DOUBLE)",
+        "x1": "CAST((s_suppkey * 61) % 2000 + 40 AS DOUBLE)",
+        "y1": "CAST((s_suppkey * 97) % 1500 - 25 AS DOUBLE)",
+        "x2": "CAST((s_suppkey * 61) % 2000 + 90 AS DOUBLE)",
+        "y2": "CAST((s_suppkey * 97) % 1500 + 30 AS DOUBLE)",
+    }),
+    "humps": ("part", {
+        "hump_id": "p_partkey",
+        "street": "concat('MAIN ', CAST(p_partkey % 30 AS VARCHAR(20)), ' ST')",
+        "x": "CAST((p_partkey * 43) % 2000 AS DOUBLE)",
+        "y": "CAST((p_partkey * 29) % 1500 AS DOUBLE)",
+        "installed": "CASE WHEN p_partkey % 9 = 0 THEN NULL ELSE CAST(20250000 + p_partkey % 900 AS INT) END",
+        "humps": "CAST(p_size % 4 AS INT)",
+    }),
+    "facilities": ("customer", {
+        "facility_id": "CAST(c_custkey AS VARCHAR(20))",
+        "location_id": "CAST(c_custkey % 27 AS INT)",
+        "kind": "CASE c_custkey % 6 WHEN 0 THEN 'Hospital' WHEN 1 THEN 'Hospital Extension Clinic' WHEN 2 THEN 'Public School' WHEN 3 THEN 'Day Care' WHEN 4 THEN 'Museum and Cafe' ELSE NULL END",
+        "latitude": "CASE WHEN c_custkey % 8 = 0 THEN NULL WHEN c_custkey % 15 = 1 THEN 'north' ELSE CAST(40 + c_custkey % 9 AS VARCHAR(20)) END",
+        "inner_latitude": "CASE WHEN c_custkey % 16 = 0 THEN NULL ELSE CAST(30 + c_custkey % 9 AS VARCHAR(20)) END",
+        "shop": "CASE WHEN c_custkey % 4 = 0 THEN 'yes' ELSE '' END",
+        "amenity": "CASE c_custkey % 7 WHEN 0 THEN 'restaurant' WHEN 1 THEN 'cafe' WHEN 2 THEN 'bar' WHEN 3 THEN 'nightclub' WHEN 4 THEN 'bench' ELSE NULL END",
+        "tourism": "CASE c_custkey % 9 WHEN 0 THEN 'hotel' WHEN 1 THEN 'museum' WHEN 2 THEN 'attraction' ELSE NULL END",
+    }),
+    "beds": ("orders", {
+        "facility_id": "CAST(o_custkey AS VARCHAR(20))",
+        "attribute": "CASE WHEN o_orderkey % 3 = 0 THEN 'Bed' WHEN o_orderkey % 3 = 1 THEN 'bed' ELSE 'Service' END",
+        "sub_type": "CASE WHEN o_orderkey % 5 = 0 THEN NULL WHEN o_orderkey % 2 = 0 THEN 'Permanent' ELSE 'Temporary' END",
+        "measure": "CAST(o_orderkey % 40 AS BIGINT)",
+    }),
+    "blocks": ("customer", {
+        "state": "CAST(c_custkey % 3 + 34 AS INT)",
+        "county": "CAST(c_custkey % 7 AS INT)",
+        "tract": "CAST(c_custkey AS INT)",
+        "location_id": "CAST(c_custkey % 25 AS INT)",
+        "share": "CAST((1 + c_custkey % 4) / 4.0 AS DOUBLE)",
+        "population": "CASE WHEN c_custkey % 10 = 0 THEN -666666666 ELSE CAST(c_custkey % 500 AS BIGINT) END",
+        "households": "CASE WHEN c_custkey % 12 = 0 THEN NULL ELSE CAST(c_custkey % 200 AS BIGINT) END",
+        "income": "CASE WHEN c_custkey % 14 = 0 THEN NULL ELSE CAST(20000 + c_custkey * 37 % 90000 AS BIGINT) END",
+        "men": "CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE CAST(c_custkey % 60 AS BIGINT) END",
+        "women": "CASE WHEN c_custkey % 15 = 0 THEN NULL ELSE CAST(c_custkey % 70 AS BIGINT) END",
+    }),
+    "zone_numbers": ("nation", {
+        "location_id": "CAST(n_nationkey AS INT)",
+        "residential_score": "CAST((n_nationkey * 37) % 101 AS DOUBLE)",
+        "business_score": "CAST((n_nationkey * 53) % 97 AS DOUBLE)",
+        "tourism_score": "CASE WHEN n_nationkey % 6 = 1 THEN NULL ELSE CAST((n_nationkey * 29) % 89 AS DOUBLE) END",
+        "income_norm": "CASE WHEN n_nationkey % 11 = 2 THEN NULL ELSE ((n_nationkey * 7) % 25) / 25.0 END",
+        "jobs_norm": "((n_nationkey * 11) % 25) / 25.0",
+    }),
+    "builds": ("orders", {
+        "build_id": "o_orderkey",
+        "month": "CAST(o_orderkey % 30 AS INT)",
+        "day": "CAST(1 + o_orderkey % 28 AS INT)",
+        "written": "o_orderkey * 7 % 10007",
+    }),
+    "shares": ("region", {"vehicle_profile_id": "CAST(1 + r_regionkey AS INT)", "configured": "CAST(0.2 AS DOUBLE)"}),
 }
 
 

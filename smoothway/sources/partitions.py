@@ -41,15 +41,3 @@ def replace_hours(df: DataFrame, path: str, may_be_empty: bool = True) -> None:
     if not may_be_empty and df.isEmpty():
         raise ValueError("no rows to write")
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DATE, HOUR).parquet(path)
-
-
-def compact(spark: SparkSession, source: str, target: str, files_per_hour: int = 1) -> DataFrame:
-    """Rewrite a table with few files an hour under a new path; returns rows before and after by hour.
-
-    An hour's rows are dealt to files_per_hour tasks, so a large hour needn't pass through one.
-    """
-    table = spark.read.parquet(source)
-    piece = F.pmod(F.xxhash64(*[c for c in table.columns if c not in (DATE, HOUR)]), F.lit(files_per_hour))
-    table.repartition(DATE, HOUR, piece).write.partitionBy(DATE, HOUR).parquet(target)
-    counts = lambda path, name: spark.read.parquet(path).groupBy(DATE, HOUR).agg(F.count("*").alias(name))
-    return counts(source, "rows_before").join(counts(target, "rows_after"), [DATE, HOUR], "full")

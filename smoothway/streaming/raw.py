@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from smoothway.sources.partitions import DATE, HOUR, with_hours
@@ -21,11 +22,58 @@ def envelopes(stream: DataFrame, time_field: str = "event_time") -> DataFrame:
     return with_hours(rows, "_at").drop("_at")
 
 
+def decoded(stream: DataFrame) -> DataFrame:
+    """Key and value as text, with where and when they came."""
+    return stream.withColumns({"key": F.col("key").cast("string"), "value": F.col("value").cast("string")})
+
+
+def enriched(stream: DataFrame, schema: T.StructType, ingested: str = "timestamp", into: str = "_ingested_at") -> DataFrame:
+    """Sound JSON is written anew with the fields of the schema and the time it came; all else stays word for word."""
+    value = F.col("value").cast("string")
+    fields = F.from_json(value, schema)
+    whole = F.struct(*[fields[f.name].alias(f.name) for f in schema.fields], F.col(ingested).alias(into))
+    return stream.withColumn("value", F.when(F.try_parse_json(value).isNotNull(), F.to_json(whole, {"ignoreNullFields": "false"})).otherwise(value))
+
+
+def observed(stream: DataFrame, time: str, name: str = "events") -> DataFrame:
+    """Each batch reports its rows and its latest event, to listeners and in the query's progress."""
+    return stream.observe(name, F.count(F.lit(1)).alias("rows"), F.max(time).alias("latest"))
+
+
+def progress_figures(progress: dict, now_s: float, name: str = "events") -> dict[str, float | None]:
+    """Figures of one batch from its progress: rows, rates, milliseconds, and lags in seconds and offsets."""
+    seen = progress.get("observedMetrics", {}).get(name, {})
+    offsets = [(s.get("endOffset"), s.get("latestOffset")) for s in progress.get("sources", [])]
+    total = lambda x: sum(map(total, x.values())) if isinstance(x, dict) else int(x)
+    known = [(a, b) for a, b in offsets if isinstance(a, dict) and isinstance(b, dict)]
+    return {
+        "rows": progress.get("numInputRows"),
+        "rows_per_second": progress.get("processedRowsPerSecond"),
+        "batch_ms": progress.get("durationMs", {}).get("triggerExecution"),
+        "event_lag_s": now_s - seen["latest"] if seen.get("latest") is not None else None,
+        "offset_lag": sum(total(b) - total(a) for a, b in known) if known else None,
+        "end_offset": sum(total(a) for a, _ in known) if known else None,
+    }
+
+
+def source_options(least: int | None = None, most: int | None = None, delay: str | None = None) -> dict[str, str]:
+    """Options that bound a batch of an offset source; the least needs the delay after which it is waived."""
+    if (least is None) != (delay is None):
+        raise ValueError("the least number of offsets and the delay go together")
+    named = {"minOffsetsPerTrigger": least, "maxOffsetsPerTrigger": most, "maxTriggerDelay": delay}
+    return {k: str(v) for k, v in named.items() if v}
+
+
 def windowed_counts(stream: DataFrame, time: str, keys: list[str], window: str = "1 hour", late: str = "10 minutes") -> DataFrame:
     """Counts by window and keys; rows that come later than the watermark allows are left out."""
     return stream.withWatermark(time, late).groupBy(F.window(time, window).alias("window"), *keys).agg(F.count("*").alias("n"))
 
 
-def into_hours(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Append envelopes to the table at path, cut by hour; the checkpoint makes each file count once."""
-    return envelopes(stream).writeStream.format("parquet").option("checkpointLocation", checkpoint).partitionBy(DATE, HOUR).outputMode("append").trigger(**(trigger or {"availableNow": True})).start(path)
+def into_hours(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, files: int | None = None) -> StreamingQuery:
+    """Append envelopes to the table at path, cut by hour; the checkpoint makes each file count once.
+
+    files bounds the tasks, so the files of an hour, that write a batch. Late rows go to the hour of
+    their event, which readers filter by time again.
+    """
+    rows = envelopes(stream)
+    return (rows.coalesce(files) if files else rows).writeStream.format("parquet").option("checkpointLocation", checkpoint).partitionBy(DATE, HOUR).outputMode("append").trigger(**(trigger or {"availableNow": True})).start(path)

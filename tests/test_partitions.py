@@ -13,8 +13,6 @@ def test_an_hour_is_replaced_and_others_stay(spark, tmp_path):
     assert ids("2026-01-05 03", "2026-01-05 05") == [1, 20]
     assert ids("2026-01-05 04", "2026-01-06 01") == [3, 20]
     assert partitions.read_hours(spark, path + "-none", rows.schema, "2026-01-05 00", "2026-01-06 00").count() == 0
-    told = partitions.compact(spark, path, path + "-compact", 2).collect()
-    assert [r["rows_before"] for r in told] == [r["rows_after"] for r in told] == [1, 1, 1]
 
 
 def test_a_stream_loses_no_row(spark, tmp_path):
