@@ -18,7 +18,7 @@ from smoothway.llm.store import written
 #: that have nothing in common differ in 15 or more.
 BITS, RADIUS, BLOCKS = 64, 6, 9
 #: Bytes of text in a range of ids, and cuts that one step of finding them makes.
-RANGE_BYTES, MOST_CUTS = 16 << 20, 1000
+RANGE_BYTES, MOST_CUTS = 4 << 20, 1000
 TOKEN = r"[^\p{L}\p{N}]+"
 #: A term weighs as many votes as its first word has letters, up to this; longer words are rarer.
 MOST_WEIGHT = 8
@@ -87,7 +87,7 @@ def near_counts(prints: DataFrame, queries: DataFrame, fingerprint: str = "finge
     tables = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(m).alias("m")) for t, m in enumerate(masks)])
     keyed = lambda df, name: df.select("*", F.explode(tables).alias("_k")).select("*", F.col("_k.t").alias(f"{name}_t"), F.col(name).bitwiseAND(F.col("_k.m")).alias(f"{name}_key")).drop("_k")
     known = keyed(prints.filter(F.col(fingerprint).isNotNull()).groupBy(F.col(fingerprint).alias("_fp")).agg(F.count("*").alias("_n")), "_fp")
-    asked = keyed(queries.select(F.col(fingerprint).alias("_q")).dropna().distinct(), "_q")
+    asked = keyed(queries.select(F.col(fingerprint).alias("_q")).dropna().distinct(), "_q").hint("merge")  # grows with the table: never broadcast
     apart = F.col("_fp").bitwiseXOR(F.col("_q"))
     first = reduce(lambda rest, tm: F.when(apart.bitwiseAND(F.lit(tm[1])) == 0, F.lit(tm[0])).otherwise(rest), reversed(list(enumerate(masks))), F.lit(-1))
     met = known.join(asked, (F.col("_fp_t") == F.col("_q_t")) & (F.col("_fp_key") == F.col("_q_key")) & (F.bit_count(apart) <= radius) & (first == F.col("_q_t")))
