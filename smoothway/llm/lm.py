@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from smoothway.llm.store import written
+from smoothway.llm.store import discard, written
 
 ORDER, BACKOFF = 3, 0.4
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -117,8 +117,7 @@ def _counted(grams: DataFrame) -> DataFrame:
 
 def _joined(grams: DataFrame) -> DataFrame:
     """The same for frequent contexts: count tables, summed in the tasks before they are shuffled, are
-    joined to the rows; those of n-grams with more than a share OFTEN of the rows by broadcast."""
-    grams = written(grams, "lm-frequent")
+    joined to the rows (a stored table); those of n-grams with more than a share OFTEN by broadcast."""
     table = grams.groupBy("context", "word").agg(F.sum("counts").alias("n"))
     table = written(table.join(table.groupBy("context").agg(F.sum("n").alias("of")), "context"), "lm-table")
     least = max(1.0, OFTEN * (table.agg(F.sum("n")).first()[0] or 0))
@@ -153,10 +152,14 @@ def backoff_scores(docs: DataFrame, corpus: DataFrame | None = None, doc_id: str
             counts = _counted if part is not None else _joined
             grams = gram_rows(known, k, part, slices, frequent).withColumn("counts", F.lit(1))
             if corpus is None:
+                grams = grams if part is not None else written(grams, "lm-frequent")
                 sums.append(written(_summed(counts(grams), order - k), "lm-sums"))
+                if part is None:
+                    discard(grams)
                 continue
             asked = gram_rows(rows, k, part, slices, frequent, True) if k == order else left.filter(_in_part(part, slices, frequent))
             both = asked.withColumn("counts", F.lit(0)).unionByName(grams.withColumn("shorter", F.lit(None).cast("array<long>")))
+            both = both if part is not None else written(both, "lm-frequent")
             scored = written(counts(both).filter("counts = 0"), "lm-scored")
             met = scored.filter("n > 0") if k > 1 else scored.withColumns({c: F.greatest(c, F.lit(1)) for c in ("n", "of")})
             sums.append(_summed(met, order - k, backoff))

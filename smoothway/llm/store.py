@@ -51,10 +51,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 def clean(spark: SparkSession) -> None:
     """Delete all tables that operators of this process have written; what they returned is void then."""
-    path = spark._jvm.org.apache.hadoop.fs.Path
     while _TABLES:
-        table = path(_TABLES.pop())
-        table.getFileSystem(spark._jsc.hadoopConfiguration()).delete(table, True)
+        _delete(spark, _TABLES.pop())
 
 
 #: Tables that this process has written, for clean().
@@ -68,7 +66,21 @@ def written(df: DataFrame, name: str, compression: str | None = None) -> DataFra
     _TABLES.append(path)
     with _settings(spark, {CLEANUP: "true", **BATCHES}):
         (df.write.option("compression", compression) if compression else df.write).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found.written_at = path
+    return found
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete written tables from which all that is needed has been written in turn."""
+    for table in tables:
+        _delete(table.sparkSession, table.written_at)
+        _TABLES.remove(table.written_at)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def spare(df: DataFrame, *names: str) -> list[str]:
@@ -118,7 +130,8 @@ def components(edges: DataFrame, a: str, b: str, rounds: int = 40) -> DataFrame:
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         small_least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(small_least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
-        now = written(small.unionByName(small_least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        before, now = now, written(small.unionByName(small_least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        discard(before)
         last, seen = seen, digest(now)
         if seen == last:
             break
