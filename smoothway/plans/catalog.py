@@ -297,6 +297,11 @@ CURRENT = """zoned AS (SELECT DISTINCT segment_id, CAST(CAST(substr(segment_id,
 _STEPS = (WINDOWED, LATEST, POOLED, STANDARD, COND, CURRENT)
 
 
+def round_text(value: str, places: int = 2) -> str:
+    """SQL that rounds a number half up, as its decimal text reads."""
+    return f"CAST(round(CAST(CAST({value} AS VARCHAR) AS DECIMAL(30, 16)), {places}) AS DOUBLE)"
+
+
 def segment_zones(read) -> DataFrame:
     number = F.substring("segment_id", 2, 9).try_cast("int")
     return read("hourly_scores").select("segment_id").distinct().withColumn("location_id", number % 30)
@@ -306,7 +311,7 @@ def current_table(read) -> DataFrame:
     return weather.current_scores(standard_table(read), segment_zones(read), read("zone_weather"))
 
 
-@query("j13_current_scores", oracle(["hourly_scores", "zone_weather"], "SELECT segment_id, vehicle_profile_id, location_id, round(vertical_score, 4) AS vertical_score, round(longitudinal_score, 4) AS longitudinal_score, round(lateral_score, 4) AS lateral_score, impact_signature, round(comfort_score, 4) AS comfort_score FROM current", *_STEPS))
+@query("j13_current_scores", oracle(["hourly_scores", "zone_weather"], f"SELECT segment_id, vehicle_profile_id, location_id, {', '.join(f'{round_text(c, 4)} AS {c}' for c in ('vertical_score', 'longitudinal_score', 'lateral_score', 'comfort_score'))}, impact_signature FROM current", *_STEPS))
 def _(read):
     return rounded(current_table(read), 4)
 
@@ -351,11 +356,6 @@ def _(read):
 
 # --- serving ---------------------------------------------------------------------------------------
 
-def round_text(value: str) -> str:
-    """SQL that rounds a number half up, as its decimal text reads."""
-    return f"CAST(round(CAST(CAST({value} AS VARCHAR) AS DECIMAL(30, 16)), 2) AS DOUBLE)"
-
-
 @query("a30_route_scores", oracle(["hourly_scores", "routes"], f"""SELECT route_id, segments, {round_text('m')} AS mean_score, {round_text('w')} AS worst_score, {round_text('0.7 * m + 0.3 * w')} AS score FROM (SELECT route_id, count(*) AS segments, count(comfort_score) AS k, avg(comfort_score) AS m, avg(comfort_score) FILTER (rn <= greatest(1, ceil(n * 0.25))) AS w FROM
  (SELECT r.route_id, comfort_score, row_number() OVER (PARTITION BY r.route_id ORDER BY comfort_score NULLS LAST, position) AS rn, count(*) OVER (PARTITION BY r.route_id) AS n FROM routes r LEFT JOIN (SELECT segment_id, floor(max(vertical_score)) AS comfort_score FROM hourly_scores WHERE vehicle_profile_id = 1 GROUP BY 1) s USING (segment_id)) GROUP BY 1) WHERE segments = k"""))
 def _(read):
