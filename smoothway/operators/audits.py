@@ -5,6 +5,8 @@ Where a caller must stop, `refuse` turns the counts into an error.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -123,3 +125,17 @@ def missing_groups(table: DataFrame, key: str, groups: dict[str, list[str]]) ->
     none = lambda cs: F.coalesce(*[F.col(c).cast("string") for c in cs]).isNull()
     named = F.array_compact(F.array(*[F.when(none(cs), F.lit(n)) for n, cs in groups.items()]))
     return table.select(F.explode(named).alias("source"), key)
+
+
+def ranked_output(table: DataFrame, key: list[str], scores: list[str], rank: str, positive: str, excluded: list[int]) -> DataFrame:
+    """What breaks the rules of a ranked table, in one row: keys that are repeated, null or excluded, scores
+    outside 0 to 1 (an unknown score breaks nothing), counts that aren't above 0, and whether the ranks are
+    1 to the number of rows."""
+    outside = lambda c: F.coalesce(~F.col(c).between(0, 1), F.lit(False))
+    some = lambda cs: reduce(lambda a, b: a | b, cs)
+    return table.agg(
+        F.count("*").alias("rows"),
+        (F.count("*") - F.count_distinct(F.struct(*key))).alias("repeated"),
+        *count_where(null_keys=some([F.col(k).isNull() for k in key]), excluded=some([F.coalesce(F.col(k).isin(*excluded), F.lit(False)) for k in key]), outside=some([outside(c) for c in scores]), not_positive=~F.coalesce(F.col(positive) > 0, F.lit(False))),
+        F.coalesce((F.min(rank) == 1) & (F.max(rank) == F.count("*")) & (F.count_distinct(rank) == F.count("*")), F.count("*") == 0).alias("ranks_whole"),
+    )

@@ -53,6 +53,25 @@ def features(df: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
     return df.groupBy(*keys).agg(*statistics(), *counts()).join(named, both).drop(*[f"_{k}" for k in keys])
 
 
+def canonical(df: DataFrame, version: str, run: str, at_us: int) -> DataFrame:
+    """The stored form of hourly features: the hour as its start and end, plain types, and where a row
+    comes from (version of the features, run, time of processing in microseconds)."""
+    start = F.timestamp_micros("hour_us")
+    figures = ["mean_speed", *[f"rms_{c}" for c in RMS], *[f"p95_abs_{c}" for c in P95]]
+    whole = [*[f"{c}_count" for c in FLAGS], "sample_count", "trip_count"]
+    return df.select(
+        F.col("segment_id").cast("string").alias("segment_id"),
+        F.col("vehicle_profile_id").cast("int").alias("vehicle_profile_id"),
+        start.alias("data_period_start"),
+        (start + F.expr("INTERVAL 1 HOUR")).alias("data_period_end"),
+        *[F.col(c).cast("double").alias(c) for c in figures],
+        *[F.col(c).cast("long").alias(c) for c in whole],
+        F.lit(version).alias("feature_version"),
+        F.lit(run).alias("_run_id"),
+        F.timestamp_micros(F.lit(at_us)).alias("processed_at"),
+    )
+
+
 def event_rates(df: DataFrame) -> DataFrame:
     """Events per trip; null without trips."""
     return df.withColumns({f"{c}_rate": F.when(F.col("trip_count") > 0, F.col(f"{c}_count") / F.col("trip_count")) for c in FLAGS})

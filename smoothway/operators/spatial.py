@@ -134,18 +134,21 @@ def street_key(street: Column) -> Column:
     return F.regexp_replace(F.upper(street), "[^A-Z0-9]", "")
 
 
-def pavement(roads: DataFrame, ratings: DataFrame, as_of: int, radius: float = STREET_RADIUS_M) -> DataFrame:
+def pavement(roads: DataFrame, ratings: DataFrame, as_of: int | None, radius: float = STREET_RADIUS_M, size: float | None = None, places: int = 6) -> DataFrame:
     """Roads with the nearest rating of the same street within the radius, inspected up to as_of or at no
-    known time. Of equally near ratings the latest counts, then the higher one.
+    known time; all ratings without as_of. Of equally near ratings (to some places) the latest counts, then
+    an unknown one, then the higher one.
 
-    The join is by street and grid cell, so a long street costs what lies near, not all its pairs.
+    The join is by street and grid cell, so a long street costs what lies near, not all its pairs. size is
+    the side of a cell in the unit of the coordinates, which may be metres or degrees.
     """
-    size = max(radius, 50.0)
-    r = ratings.filter(F.col("inspected").isNull() | (F.col("inspected") <= as_of)).select(street_key(F.col("street")).alias("_key"), F.col("x").alias("_x"), F.col("y").alias("_y"), "inspected", "rating", _cell(F.col("x"), size).alias("_px"), _cell(F.col("y"), size).alias("_py"))
+    size = size or max(radius, 50.0)
+    some = F.lit(True) if as_of is None else F.col("inspected").isNull() | (F.col("inspected") <= as_of)
+    r = ratings.filter(some).select(street_key(F.col("street")).alias("_key"), F.col("x").alias("_x"), F.col("y").alias("_y"), "inspected", "rating", _cell(F.col("x"), size).alias("_px"), _cell(F.col("y"), size).alias("_py"))
     wide = _covering(roads.withColumn("_street", street_key(F.col("street"))), F.least("x0", "x1") - radius, F.least("y0", "y1") - radius, F.greatest("x0", "x1") + radius, F.greatest("y0", "y1") + radius, size)
     far = segment_distance(F.col("_x"), F.col("_y"), F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"))
     met = wide.join(r, (F.col("_street") == F.col("_key")) & (F.col("_cx") == F.col("_px")) & (F.col("_cy") == F.col("_py"))).withColumn("_far", far).filter(F.col("_far") <= radius)
-    best = met.groupBy("segment_id").agg(F.min_by("rating", F.struct(F.round("_far", 6), F.coalesce(-F.col("inspected"), F.lit(0)), -F.col("rating"))).alias("pavement_rating"))
+    best = met.groupBy("segment_id").agg(F.min_by("rating", F.struct(F.round("_far", places), F.coalesce(-F.col("inspected"), F.lit(0)), -F.col("rating"))).alias("pavement_rating"))
     found = roads.select("segment_id").join(best, "segment_id", "left")
     return found.select("segment_id", "pavement_rating", pavement_class(F.col("pavement_rating")).alias("pavement_condition"))
 

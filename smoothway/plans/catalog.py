@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from smoothway.functions import quality as q
-from smoothway.operators import hourly, routing, sequence, serving, spatial, standard, weather, zones
+from smoothway.operators import audits, hourly, routing, sequence, serving, spatial, standard, weather, zones
 from smoothway.plans import reference_catalog, storage_catalog  # noqa: F401  (their queries register themselves)
 from smoothway.plans.adapters import BASE_US, HOUR_US, oracle
 from smoothway.plans.registry import ORACLES, QUERIES, query, rounded
@@ -141,6 +141,13 @@ def _(read):
     return hourly_features(read)
 
 
+@query("a4_canonical_features", oracle(["hourly_signals"], f"SELECT CAST(hour_us AS BIGINT) AS start_us, CAST(hour_us + {HOUR_US} AS BIGINT) AS end_us, {BASE_US} AS processed_us, segment_id, vehicle_profile_id, mean_speed, p95_abs_accel_z, CAST(sample_count AS BIGINT) AS sample_count, CAST(trip_count AS BIGINT) AS trip_count, 'v1' AS feature_version, 'run-1' AS _run_id FROM features", FEATURES))
+def _(read):
+    stored = hourly.canonical(hourly_features(read), "v1", "run-1", BASE_US)
+    micros = {"start_us": "data_period_start", "end_us": "data_period_end", "processed_us": "processed_at"}
+    return stored.select(*[F.unix_micros(c).alias(n) for n, c in micros.items()], "segment_id", "vehicle_profile_id", "mean_speed", "p95_abs_accel_z", "sample_count", "trip_count", "feature_version", "_run_id")
+
+
 def _score_sql() -> str:
     rates = ", ".join(f"CASE WHEN trip_count > 0 THEN {c}_count / trip_count END AS {c}_rate" for c in hourly.FLAGS)
     parts = []
@@ -442,6 +449,20 @@ def _(read):
     return spatial.pavement(read("road_segments"), read("pavement"), 20250600)
 
 
+# Fixed value: degrees that a rating may be away where coordinates aren't projected.
+STREET_RADIUS_DEGREES = 0.00035
+
+
+@query("j32_degree_pavement", oracle(["road_segments", "pavement"], f"""SELECT segment_id, rating AS pavement_rating, CASE WHEN rating >= 8 THEN 'Good' WHEN rating >= 6 THEN 'Fair' WHEN rating IS NOT NULL THEN 'Poor' END AS pavement_condition FROM road_segments LEFT JOIN (SELECT segment_id, rating FROM
+ (SELECT segment_id, rating, row_number() OVER (PARTITION BY segment_id ORDER BY round(far, 10), inspected DESC NULLS LAST, rating DESC NULLS FIRST) AS rn FROM (SELECT r.segment_id, nullif(p.rating, 1) AS rating, p.inspected, sqrt(power(p.x - (x0 + greatest(0, least(1, ((p.x - x0) * (x1 - x0) + (p.y - y0) * (y1 - y0)) / ((x1 - x0) * (x1 - x0) + (y1 - y0) * (y1 - y0)))) * (x1 - x0)), 2)
+ + power(p.y - (y0 + greatest(0, least(1, ((p.x - x0) * (x1 - x0) + (p.y - y0) * (y1 - y0)) / ((x1 - x0) * (x1 - x0) + (y1 - y0) * (y1 - y0)))) * (y1 - y0)), 2)) / 100000 AS far FROM road_segments r JOIN pavement p ON regexp_replace(upper(r.street), '[^A-Z0-9]', '', 'g') = regexp_replace(upper(p.street), '[^A-Z0-9]', '', 'g')) WHERE far <= {STREET_RADIUS_DEGREES}) WHERE rn = 1) USING (segment_id)"""))
+def _(read):
+    """All ratings, whenever inspected, by degrees; an unknown nearest one is none."""
+    degrees = lambda df, *names: df.withColumns({c: F.col(c) / 100_000 for c in names})
+    ratings = degrees(read("pavement"), "x", "y").withColumn("rating", F.nullif("rating", F.lit(1.0)))
+    return spatial.pavement(degrees(read("road_segments"), "x0", "y0", "x1", "y1"), ratings, None, STREET_RADIUS_DEGREES, size=0.0005, places=10)
+
+
 # --- zones, trips, sampling ------------------------------------------------------------------------
 
 VALID = "valid AS (SELECT * FROM trips WHERE miles > 0 AND request_us <= pickup_us AND pickup_us < dropoff_us AND pickup_zone IS NOT NULL AND dropoff_zone IS NOT NULL)"
@@ -488,6 +509,24 @@ def _(read):
     return best.select("pickup_zone", "dropoff_zone", F.col("rank").cast("long").alias("rank"))
 
 
+@query("f30_ranked_output", oracle(["trips", "zones"], """SELECT count(*) AS rows, count(*) - count(DISTINCT (pickup_zone, dropoff_zone)) AS repeated, count(*) FILTER (pickup_zone IS NULL OR dropoff_zone IS NULL) AS null_keys, count(*) FILTER (pickup_zone IN (4, 9) OR dropoff_zone IN (4, 9)) AS excluded,
+ count(*) FILTER (demand NOT BETWEEN 0 AND 1 OR priority NOT BETWEEN 0 AND 1) AS outside, count(*) FILTER (trips <= 0) AS not_positive, false AS ranks_whole FROM (SELECT CASE WHEN rank % 20 = 0 THEN NULL WHEN rank % 10 = 0 THEN 4 ELSE pickup_zone END AS pickup_zone, CASE WHEN rank % 15 = 0 THEN 9 ELSE dropoff_zone END AS dropoff_zone,
+ CASE WHEN rank % 7 = 0 THEN 0 ELSE trips END AS trips, demand, CASE WHEN rank % 11 = 0 THEN 1.5 ELSE priority END AS priority FROM (SELECT *, row_number() OVER (ORDER BY round(priority, 6) DESC, trips DESC, pickup_zone, dropoff_zone) AS rank FROM prior))""", VALID, OD, PRIORITY))
+def _(read):
+    """The ranked pairs with some rows broken: null and excluded zones, no trips, scores above 1, a rank twice."""
+    best = zones.top(od_priorities(read), TOP_OD, [F.desc(F.round("priority", 6)), F.desc("trips"), F.asc("pickup_zone"), F.asc("dropoff_zone")])
+    each = lambda n: F.col("rank") % n == 0
+    broken = best.select(
+        F.when(each(20), None).when(each(10), 4).otherwise(F.col("pickup_zone")).alias("pickup_zone"),
+        F.when(each(15), 9).otherwise(F.col("dropoff_zone")).alias("dropoff_zone"),
+        F.when(each(7), 0).otherwise(F.col("trips")).alias("trips"),
+        "demand",
+        F.when(each(11), 1.5).otherwise(F.col("priority")).alias("priority"),
+        F.when(F.col("rank") == 3, 2).otherwise(F.col("rank")).alias("rank"),
+    )
+    return audits.ranked_output(broken, ["pickup_zone", "dropoff_zone"], ["demand", "priority"], "rank", "trips", [4, 9])
+
+
 @query("w11_percentile_rank", oracle(["routes"], "SELECT segment_id, n, CASE WHEN n = 0 THEN 0 ELSE round((rank() OVER (ORDER BY n) + (count(*) OVER (PARTITION BY n) - 1) / 2.0) / count(*) OVER (), 6) END AS share FROM (SELECT segment_id, count(*) AS n FROM routes GROUP BY 1)"))
 def _(read):
     counted = read("routes").groupBy("segment_id").agg(F.count("*").alias("n"))

@@ -503,3 +503,22 @@ def _(read):
     """Of OnStreetName and street, in any case of letters, the first that is there."""
     name = F.when(F.col("object_id") % 3 == 0, F.create_map(F.lit("ONSTREETNAME"), "street")).when(F.col("object_id") % 3 == 1, F.create_map(F.lit("Street"), "street")).otherwise(F.create_map(F.lit("other"), "street"))
     return read("road_features").select("object_id", roads.first_property(name, "onstreetname", "street").alias("street"))
+
+
+_SINE = "sqrt(2 * f - f * f) * sin(radians({a}))"
+_M = f"cos(radians({{a}})) / sqrt(1 - power({_SINE}, 2))"
+_T0 = f"tan(pi() / 4 - radians({{a}}) / 2) / power((1 - {_SINE}) / (1 + {_SINE}), sqrt(2 * f - f * f) / 2)"
+_PLANE = [
+    "globe AS (SELECT CAST(6378137 AS DOUBLE) AS axis, 1 / CAST(298.257222101 AS DOUBLE) AS f, CAST(40 AS DOUBLE) + CAST(40 AS DOUBLE) / 60 AS lat1, CAST(41 AS DOUBLE) + CAST(2 AS DOUBLE) / 60 AS lat2, CAST(40 AS DOUBLE) + CAST(10 AS DOUBLE) / 60 AS lat0)",
+    f"cone AS (SELECT *, (ln({_M.format(a='lat1')}) - ln({_M.format(a='lat2')})) / (ln({_T0.format(a='lat1')}) - ln({_T0.format(a='lat2')})) AS n FROM globe)",
+    f"scaled AS (SELECT *, axis * ({_M.format(a='lat1')}) / (n * power({_T0.format(a='lat1')}, n)) AS scale FROM cone)",
+    "spots AS (SELECT shape_id, CAST(-74 AS DOUBLE) + x0 / 4000 - 0.2 AS lon, CAST(40 AS DOUBLE) + y0 / 2000 + 0.4 AS lat FROM road_shapes)",
+    f"polar AS (SELECT shape_id, n * radians(lon + 74) AS turn, scale * power({_T0.format(a='lat')}, n) AS radius, scale * power({_T0.format(a='lat0')}, n) AS far FROM spots, scaled)",
+]
+
+
+@query("m6_projection", oracle(["road_shapes"], "SELECT shape_id, round(300000 + radius * sin(turn), 3) AS east, round(far - radius * cos(turn), 3) AS north FROM polar", *_PLANE))
+def _(read):
+    """Degrees to metres of the state plane."""
+    x, y = roads.projected(F.lit(-74.0) + F.col("x0") / 4000 - 0.2, F.lit(40.0) + F.col("y0") / 2000 + 0.4)
+    return read("road_shapes").select("shape_id", F.round(x, 3).alias("east"), F.round(y, 3).alias("north"))

@@ -139,6 +139,16 @@ def _(read):
     return scans.rotated(read("trips"), "request_us", START, CYCLE, ["request_us", "pickup_us", "dropoff_us"]).select("trip_id", "wrapped", "request_us")
 
 
+@query("m34_weekday_anchor", oracle(["trips"], """SELECT trip_id, CASE WHEN len(same) > 0 THEN same[least((day(wall) - 1) // 7, len(same) - 1) + 1] END AS anchor FROM (SELECT *, [d FOR d IN days IF dayofweek(d) = dayofweek(wall)] AS same FROM
+ (SELECT trip_id, DATE '2026-01-01' + CAST(trip_id % 400 AS INT) AS wall, [DATE '2026-03-04' + CAST(k AS INT) FOR k IN range(CASE WHEN trip_id % 9 = 0 THEN 4 ELSE 31 END)] AS days FROM trips))"""))
+def _(read):
+    """Days that stand for a wall day, in a cycle of 31 days and in one of 4, which lacks some weekdays."""
+    wall = F.date_add(F.lit("2026-01-01").cast("date"), (F.col("trip_id") % 400).cast("int"))
+    first = F.lit("2026-03-04").cast("date")
+    last = F.date_add(first, F.when(F.col("trip_id") % 9 == 0, 3).otherwise(30))
+    return read("trips").select("trip_id", scans.weekday_anchor(wall, first, last).alias("anchor"))
+
+
 @query("s9_geojson_round_trip", oracle(["road_shapes"], "SELECT shape_id, CAST(3 AS INT) AS points, round(x0, 6) AS x, round(y2, 6) AS y FROM road_shapes"))
 def _(read):
     """Lines go out as features, a line each, and come back by the collection reader and the line reader."""

@@ -70,6 +70,14 @@ def rotated(trips: DataFrame, time: str, start: int, cycle: int, times: list[str
     return trips.filter(F.col(time) >= start).withColumn("wrapped", F.lit(False)).unionByName(moved)
 
 
+def weekday_anchor(wall: Column, first: Column, last: Column) -> Column:
+    """The day from first to last that stands for a wall day: of the same weekday, and as many weeks into
+    the days as the wall day is into its month, or the last of that weekday; null if there is none."""
+    start = F.date_add(first, F.pmod(F.weekday(wall) - F.weekday(first), F.lit(7)))
+    weeks = F.least(F.floor((F.day(wall) - 1) / 7), F.floor(F.date_diff(last, start) / 7)).cast("int")
+    return F.when(start <= last, F.date_add(start, 7 * weeks))
+
+
 def zone_of_segments(table: DataFrame, date: str) -> DataFrame:
     """Segments of one snapshot with their zone; rows of another date or without a zone are left out."""
     return table.filter((F.col("snapshot_date") == date) & F.col("location_id").isNotNull()).select("segment_id", "location_id")
