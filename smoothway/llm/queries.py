@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from smoothway.llm import decontam, html, jaccard, langid, lm, packing, pii, sharding, simhash, store, toxicity
+from smoothway.llm import decontam, html, huffman, jaccard, langid, lm, packing, periodic, pii, sharding, simhash, store, toxicity, whitening
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -54,7 +55,26 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.backoff_scores(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_language, op3_toxicity, op4_packing, op5_sharding, op6_decontamination, op7_jaccard, op8_html, op9_pii, op10_lm)}
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(_read(spark, sf_dir, "embeddings"))
+    return found.withColumns({"deviation": F.col("deviation").try_cast("long"), "deviation_exact": F.col("deviation")})
+
+
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.collapse(periodic.planted(_read(spark, sf_dir, "documents")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("back"), (-r["period"]).alias("short"))))
+    lines = F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"]))
+    rows = found.select("doc_id", "n_words", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    own = {"start": -F.col("best.back"), "length": F.col("best.length"), "period": -F.col("best.short"), "exponent_milli": F.expr("1000 * best.length div -best.short")}
+    return rows.select("doc_id", "n_runs", *[c.alias(n) for n, c in own.items()], "runs_sha256", "collapsed_sha256", "n_words")
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = [public_tokenizers.path(f"byte_bpe_50k.{x}") for x in ("json", "tiktoken")]
+    return huffman.stored(_read(spark, sf_dir, "documents"), store.place(spark, "token-files"), *paths)
+
+
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_language, op3_toxicity, op4_packing, op5_sharding, op6_decontamination, op7_jaccard, op8_html, op9_pii, op10_lm, op11_whitening, op12_runs, op13_token_files)}
 
 _WORDS = r"regexp_extract_all(translate({t}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{p}')"
 _PLAIN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"

@@ -8,6 +8,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Rows and bytes that reach a Python worker at once; very long texts then can't fill its memory.
 BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "512", "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
@@ -59,11 +60,17 @@ def clean(spark: SparkSession) -> None:
 _TABLES: list[str] = []
 
 
+def place(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, which clean() will delete."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _TABLES.append(path)
+    return path
+
+
 def written(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write df as Parquet into the shared folder and read it back: lineage and shuffle files end there."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    _TABLES.append(path)
+    path = place(spark, name)
     with _settings(spark, {CLEANUP: "true", **BATCHES}):
         (df.write.option("compression", compression) if compression else df.write).parquet(path)
     found = spark.read.schema(df.schema).parquet(path)
@@ -83,6 +90,11 @@ def _delete(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def fields(rest: str, **given: T.DataType) -> T.StructType:
+    """A schema: the given columns with their types, then those of a DDL string."""
+    return T.StructType([T.StructField(n, k) for n, k in given.items()] + T.DataType.fromDDL(rest).fields)
+
+
 def spare(df: DataFrame, *names: str) -> list[str]:
     """Names for columns of a job's own that none of df's columns has, in any case of letters."""
     taken = {c.lower() for c in df.columns}
