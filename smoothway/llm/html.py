@@ -1,6 +1,8 @@
 """Main text of web pages: flat blocks with word counts and link densities, and a decision tree.
 
-The tree is grown from the blocks of a few hand-marked pages, parsed as all others are.
+Blocks in menus, footers, side notes, forms and hidden elements go first, on every page. The tree then
+judges each of the rest by its own words, links, text density and place and by those of the two blocks
+on either side. It is grown from the blocks of the hand-marked pages in labelled_pages.txt, parsed as all others are.
 """
 
 from __future__ import annotations
@@ -9,6 +11,7 @@ import html as references
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from importlib import resources
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +32,11 @@ RAW = {"script", "style"}
 TEXT_ONLY = {"textarea", "title"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label", "mark", "math", "mfrac", "mi", "mn", "mo", "mrow", "msqrt", "msub", "msup", "mtext", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
-BOILER = {"nav", "footer", "aside", "form", "button", "dialog", "menu", "fieldset", "select", "svg", "noscript", "iframe", "template", "object", "audio", "video", "canvas"}
+BOILER = {"nav", "footer", "aside", "button", "dialog", "menu", "select", "svg", "noscript", "iframe", "template", "object", "audio", "video", "canvas"}
 ARTICLE = {"article", "main"}
+#: Boiler too, unless the page's article or most of its words are inside.
+FORMS = {"form", "fieldset"}
+ITEMS = {"li", "td", "th", "dt", "dd"}
 ENDS_P = {"address", "article", "aside", "blockquote", "details", "div", "dl", "fieldset", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "menu", "nav", "ol", "p", "pre", "section", "table", "ul"}
 SAME_ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 LISTS = ("ul", "ol", "dl", "table")
@@ -41,39 +47,13 @@ WHOLE = {"html", "body", "main", "article"}
 #: What a page is said to have or lack as a whole (no-sidebar, has-header) is no container of that kind.
 STATED = ("no-", "no_", "has-", "has_", "with-", "with_", "without-")
 
-#: Hand-marked pages: {n} stands for n words, and + in a tag marks the blocks of
-#: main text in it, - those in it that are none after all.
-LABELLED = (
-    "<body><nav><ul><li><a>{1}</a><li><a>{1}</a><li><a>{2}</a></ul></nav><div class=ad>{8}</div><article +><h1>{6}</h1><p>{40}</p><p>{2}</p><p>{90} <a>{2}</a> {20}</p></article><footer>{7} <a>{1}</a></footer>",
-    "<body class=no-sidebar><header><a>{2}</a><p>{5}</p></header><main +><h1>{9}</h1><p>{15}</p><p>{70}</p><ul><li>{4}</li><li>{6}</li></ul><h2>{3}</h2><p>{28}</p></main><aside><h3>{2}</h3><a>{6}</a><a>{8}</a></aside><footer>{20}</footer>",
-    "<div class='site-header'><a>{1}</a> <a>{1}</a> <a>{1}</a></div><h1 +>{5}</h1><p +>{15}</p><p +>{14}</p><div class=footer>{9}</div>",
-    "<div><a>{1}</a> | <a>{1}</a> | <a>{2}</a></div><div +><h1>{7}</h1><p>{33}</p><p>{52} <a>{3}</a></p><p>{12}</p></div><div class=related><h3>{2}</h3><a>{7}</a><br><a>{9}</a></div><p>{4}</p>",
-    "<div class=menu><a>{1}</a><a>{1}</a></div><h2 +>{4}</h2><p +>{60}</p><p +>{8}</p><p +>{45}</p><section class=comments><h3>{2}</h3><p>{25}</p><p>{18}</p><p>{40}</p></section><footer>{5}</footer>",
-    "<article +><header><h1>{8}</h1><p>{4}</p></header><p>{80}</p><blockquote>{22}</blockquote><table><tr><td>{2}</td><td>{1}</td></tr></table><p>{64}</p></article><div class='comment-list'><p>{30}</p><p>{12}</p></div><div>{21}</div><div><a>{4}</a><a>{5}</a></div>",
-    "<div>{25}</div><article +><h1>{5}</h1><p>{120}</p><div class='share' -><a>{1}</a> <a>{1}</a></div><div class='notice-board-history'>{30}</div><p>{18}</p></article><p>{35}</p><p>{12} <a>{2}</a></p>",
-    "<header><h1><a>{2}</a></h1></header><div class=cookie-banner><p>{24}</p><button>{1}</button></div><article +><h1>{11}</h1><p>{9}</p><p>{7}</p></article><div class=newsletter><p>{16}</p><form><label>{2}</label></form></div>",
-    "<main +><h1>{3}</h1><p>{20}</p><div class='header-image-caption'>{12}</div><p>{50}</p><p><a>{6}</a></p></main><div>{3}</div><div class=sidebar><h4>{2}</h4><p>{26}</p></div><div>{44}</div>",
-    "<p><a>{3}</a> <a>{2}</a> <a>{2}</a></p><p><a>{12}</a></p><p +>{110}</p><p +>{75}</p><p +>{30} <a>{4}</a></p><p>{3}</p><p><a>{2}</a></p>",
-    "<ul><li><a>{1}</a><li><a>{2}</a><li><a>{1}</a></ul><h1 +>{6}</h1><p +>{22}</p><p +>{17}</p><p +>{26}</p><div class='social'>{5}</div><div id=respond><h3>{3}</h3><p>{14}</p></div>",
-    "<h1 +>{4}</h1><p +>{13}</p><p +>{19}</p><p +>{11}</p>",
-    "<div class=widget><p>{19}</p></div><div class='related-posts'><p>{15}</p><p>{17}</p></div><h1 +>{7}</h1><div class='banner-history' +>{42}</div><p +>{38}</p><div class=promo>{11}</div>",
-    "<article +><h2>{3}</h2><p>{26}</p><section class=comments -><h3>{2}</h3><p>{33}</p><p>{21}</p><p>{8}</p></section></article><article +><h2>{4}</h2><p>{31}</p><footer ->{6}</footer><aside ->{13}</aside></article>",
-    "<article +><h1>{4}</h1><p><a>{5}</a></p><p>{30}</p><p><a>{9}</a></p><ul><li><a>{2}</a></li><li><a>{3}</a> {1}</li></ul><p>{12}</p><p><a>{1}</a></p><p>{3}</p></article><div><a>{3}</a><a>{2}</a></div><div>{6}</div>",
-    "<main +><h2>{2}</h2><p><a>{4}</a></p><p><a>{7}</a> <a>{8}</a></p><p>{1}</p><p>{14} <a>{9}</a></p></main><p><a>{4}</a></p><p>{30}</p>",
-    "<article +><h1>{2}</h1><p>{3}</p></article>",
-    "<nav><a>{2}</a></nav><article +>{2}</article>",
-    "<article +>{1}</article><footer>{3}</footer>",
-    "<main +><p>{1}</p><p>{6}</p></main>",
-    "<article +><p>{30}</p><p><a>{4}</a></p></article>",
-    "<article +><p>{44}</p><p>{2}</p></article>",
-    "<main +><p>{28}</p><p>{12} <a>{8}</a></p><p>{5}</p></main>",
-    "<h1 +>{2}</h1><p +>{24}</p><p +>{31}</p><div>{2}</div>",
-    "<div>{4}</div><h2 +>{3}</h2><p +>{18}</p><h3 +>{2}</h3><p +>{40}</p><div><a>{3}</a></div>",
-    "<div>{3}</div><div>{2}</div><h1 +>{1}</h1><p +>{55}</p><h2 +>{2}</h2><p +>{20}</p><p>{4}</p>",
-    "<div class=sidebar><h3>{2}</h3><p>{20}</p></div><h1 +>{3}</h1><p +>{35}</p><div class='menu-history' +>{25}</div><p +>{16}</p>",
-    "<div><a>{2}</a></div><div>{2}</div><p>{3}</p><h1 +>{9}</h1><p +>{16}</p><p>{2} <a>{2}</a></p><div><a>{4}</a> {1}</div>",
-)
-FEATURES = ("boiler", "hint", "place", "heading", "words", "links", "words_before", "links_before", "words_after", "links_after")
+#: Hand-marked pages, one a line between lines of =; data-main marks the blocks of main text in an
+#: element, data-not those in it that are none after all.
+LABELLED = "labelled_pages.txt"
+#: A wrapped line has so many characters; words in a line are a block's text density.
+LINE = 80
+SCALES = (1.0, 0.5, 2.0)
+FEATURES = ("hint", "place", "heading", "item", "density", "words", "links", "words_before", "links_before", "words_after", "links_after", "words_before2", "links_before2", "words_after2", "links_after2")
 
 
 @dataclass
@@ -92,9 +72,10 @@ class Tree:
         return node.share
 
 
-def grow(x: np.ndarray, y: np.ndarray, depth: int = 10, least: int = 1) -> Tree:
-    """A CART classifier: the cut with the lowest Gini impurity, first feature and bound in ties."""
-    share = float(y.mean()) if len(y) else 0.0
+def grow(x: np.ndarray, y: np.ndarray, w: np.ndarray, depth: int = 8, least: int = 12) -> Tree:
+    """A CART classifier of rows with weights w: the cut with the lowest Gini impurity, first feature and
+    bound in ties; no leaf has fewer than least rows."""
+    share = float((w * y).sum() / w.sum()) if len(y) else 0.0
     if depth == 0 or len(y) < 2 * least or share in (0.0, 1.0):
         return Tree(share)
     best = None
@@ -104,13 +85,13 @@ def grow(x: np.ndarray, y: np.ndarray, depth: int = 10, least: int = 1) -> Tree:
             right = x[:, f] > bound
             n = right.sum()
             if least <= n <= len(y) - least:
-                impurity = sum(len(s) * s.mean() * (1 - s.mean()) for s in (y[right], y[~right]))
+                impurity = sum(w[s].sum() * (m := (w[s] * y[s]).sum() / w[s].sum()) * (1 - m) for s in (right, ~right))
                 if best is None or impurity < best[0] - 1e-9:
                     best = (impurity, f, float(bound))
     if best is None:
         return Tree(share)
     right = x[:, best[1]] > best[2]
-    return Tree(share, best[1], best[2], [grow(x[~right], y[~right], depth - 1, least), grow(x[right], y[right], depth - 1, least)])
+    return Tree(share, best[1], best[2], [grow(x[s], y[s], w[s], depth - 1, least) for s in (~right, right)])
 
 
 @dataclass
@@ -122,10 +103,14 @@ class Block:
     links: float
     boiler: bool
     heading: bool
+    item: bool
     marked: bool
     hint: int = 0
     article: int = 0
 
+    def own(self) -> tuple[float, float]:
+        return self.words, self.links
+
 
 @dataclass
 class Element:
@@ -137,6 +122,7 @@ class Element:
     article: int  # number of the nearest article
     link: bool
     heading: bool
+    item: bool
     marked: bool
 
 
@@ -174,9 +160,10 @@ class _Page:
         self.blocks: list[Block] = []
         self.hints: list[tuple[int, int]] = [(0, 0)]  # strength, number of the hinted element around it
         self.articles: list[tuple[int, int]] = [(0, 0)]  # the article around it, the nearest hinted element
+        self.endless: set[str] = set()  # names of which no close tag follows
 
     def around(self) -> Element:
-        return self.stack[-1] if self.stack else Element("", False, 0, 0, False, False, False)
+        return self.stack[-1] if self.stack else Element("", False, 0, 0, False, False, False, False)
 
     def flush(self) -> None:
         """End a block."""
@@ -185,7 +172,7 @@ class _Page:
             if text:
                 words, linked = text.count(" ") + 1, len(references.unescape("".join(p for p, link in self.parts if link)).split())
                 at = self.around()
-                self.blocks.append(Block(text, words, min(1.0, linked / words), at.boiler, at.heading, at.marked, at.hint, at.article))
+                self.blocks.append(Block(text, words, min(1.0, linked / words), at.boiler, at.heading, at.item, at.marked, at.hint, at.article))
             self.parts.clear()
 
     def cut(self, place: int) -> None:
@@ -213,7 +200,7 @@ class _Page:
             self.cut(same)
         up = self.around()
         hint, article = up.hint, up.article
-        strength = _hint(attrs) if attrs and name not in WHOLE else 0
+        strength = 3 if name in FORMS else _hint(attrs) if attrs and name not in WHOLE else 0
         if strength:
             self.hints.append((strength, hint))
             hint = len(self.hints) - 1
@@ -223,11 +210,11 @@ class _Page:
         boiler = up.boiler or name in BOILER or (name == "header" and not article) or (bool(attrs) and _hidden(attrs))
         marked = up.marked
         if self.marks:
-            marked = (marked or "+" in attrs.split()) and "-" not in attrs.split()
+            marked = (marked or "data-main" in attrs.split()) and "data-not" not in attrs.split()
         if name not in INLINE:
             self.solid.append(len(self.stack))
         self.open.setdefault(name, []).append(len(self.stack))
-        self.stack.append(Element(name, boiler, hint, article, up.link or name == "a", up.heading or name in HEADINGS, marked))
+        self.stack.append(Element(name, boiler, hint, article, up.link or name == "a", up.heading or name in HEADINGS, name in ITEMS or (up.item and name not in ("p", "div", "section")), marked))
 
     def read(self, page: str) -> list[Block]:
         at, end, head = 0, len(page), False
@@ -244,7 +231,9 @@ class _Page:
             name, attrs = tag["name"].lower(), tag["attrs"] or tag["loose"] or ""
             if name in RAW or name in TEXT_ONLY:
                 if not tag["close"] and not attrs.endswith("/"):
-                    close = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(page, at)
+                    close = None if name in self.endless else re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(page, at)
+                    if close is None:
+                        self.endless.add(name)  # so no end of this kind is looked for again
                     if close or name in RAW:
                         at = close.end() if close else end
                     else:
@@ -265,11 +254,20 @@ class _Page:
         return self.blocks
 
     def misled(self) -> set[int]:
-        """Hinted elements around the page's article: these hints are wrong.
+        """Hinted elements around the page's article, and forms around most words: these hints are wrong.
 
         The article is the article element of most words, or one in it that has more than half of
         them, if it has more words than all unhinted text outside; a list of related articles is none.
         """
+        held = [0] * len(self.hints)
+        for b in self.blocks:
+            if not b.boiler:
+                held[b.hint] += b.words
+        for k in range(len(held) - 1, 0, -1):
+            held[self.hints[k][1]] += held[k]
+        return {k for k in range(1, len(held)) if self.hints[k][0] == 3 and 2 * held[k] > held[0]} | self._around_article()
+
+    def _around_article(self) -> set[int]:
         words = [0] * len(self.articles)
         for b in self.blocks:
             if not b.boiler:
@@ -295,26 +293,54 @@ class _Page:
 
 
 def described(page: str, marks: bool = False) -> tuple[list[Block], list[tuple[float, ...]]]:
-    """A page's blocks and the features of each."""
+    """A page's blocks and the features of each: without those that are boiler by their tags and, where
+    articles hold a third of the rest or more, without those outside."""
     read = _Page(marks)
     found = read.read(page)
     wrong, strength = read.misled(), [0] * len(read.hints)
     for k, (own, up) in enumerate(read.hints[1:], 1):
         strength[k] = 0 if k in wrong else max(own, strength[up])
-    some = any(b.article and not b.boiler and strength[b.hint] < 2 for b in found)
+    found = [b for b in found if not b.boiler and strength[b.hint] < 3]
+    inside = [b for b in found if b.article]
+    if sum(b.words for b in inside if strength[b.hint] < 2) * 3 >= sum(b.words for b in found if strength[b.hint] < 2) and inside:
+        found = inside
+    return found, _features(found, strength, len(found) == len(inside))
+
+
+def _features(found: list[Block], strength: list[int], place: bool) -> list[tuple[float, ...]]:
     none = (0, 0.0)
-    sizes = [none, *[(b.words, b.links) for b in found], none]
-    return found, [(b.boiler, strength[b.hint], (1 if b.article else -1) if some else 0, b.heading, b.words, b.links, *sizes[k], *sizes[k + 2]) for k, b in enumerate(found)]
+    sizes = [none, none, *[b.own() for b in found], none, none]
+    rows = []
+    for k, b in enumerate(found):
+        own = (strength[b.hint], place, b.heading, b.item, b.words / -(-len(b.text) // LINE), *b.own())
+        rows.append((*own, *sizes[k + 1], *sizes[k + 3], *sizes[k], *sizes[k + 4]))
+    return rows
+
+
+def labelled() -> list[str]:
+    """The hand-marked pages."""
+    return re.split(r"\n=+\n", resources.files(__package__).joinpath(LABELLED).read_text(encoding="utf-8").strip())
 
 
-def train(labelled: tuple[str, ...] = LABELLED) -> Tree:
-    """The tree of the hand-marked pages."""
+def train(pages: list[str] | None = None) -> Tree:
+    """The tree of the hand-marked pages; a block weighs as much as the root of its words.
+
+    A page without an article counts twice: as it is, and as if its main text were in one. Each block
+    counts with its own and its neighbours' words, and with SCALES times as many.
+    """
     x, y = [], []
-    for page in labelled:
-        found, rows = described(re.sub(r"\{(\d+)\}", lambda m: " ".join(["w"] * int(m[1])), page), marks=True)
+    for page in labelled() if pages is None else pages:
+        found, rows = described(page, marks=True)
+        marked = [b for b in found if b.marked]
         x += rows
         y += [b.marked for b in found]
-    return grow(np.array(x, dtype=float), np.array(y, dtype=float))
+        if not any(b.article for b in found):
+            x += _features(marked, [0] * (1 + max(b.hint for b in found)), True)
+            y += [True] * len(marked)
+    rows = np.array(x, dtype=float)
+    counts = ["words" in n for n in FEATURES]
+    rows = np.concatenate([np.where(counts, np.ceil(rows * s), rows) for s in SCALES])
+    return grow(rows, np.array(y * len(SCALES), dtype=float), np.sqrt(rows[:, FEATURES.index("words")]))
 
 
 def main_text(page: str | None, tree: Tree) -> str:

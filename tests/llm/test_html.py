@@ -24,24 +24,74 @@ def test_the_given_pages(spark, sf_dir):
         assert found[r["page_id"]] == "\n".join(want)
 
 
-# marked as in html.LABELLED, but none of its pages
-OTHERS = [
-    "<header class=masthead><a>{2}</a></header><nav><a>{1}</a><a>{1}</a></nav><main +><h1>{5}</h1><p>{3}</p><p>{48}</p><p>{66}</p></main><section id=comments><p>{22}</p><p>{9}</p></section>",
-    "<ul><li><a>{1}</a><li><a>{1}</a><li><a>{1}</a></ul><h1 +>{6}</h1><p +>{29}</p><p +>{41}</p><div class=sidebar>{17}</div><p><a>{3}</a></p>",
-    "<body class='has-sidebar'><div class=cookie>{15}</div><article +><h1>{4}</h1><p>{23}</p><table><tr><td>{3}<td>{2}</table></article><aside>{30}</aside>",
-    "<h1 +>{5}</h1><p +>{14}</p><p +>{18}</p><p +>{12}</p>",
-    "<article +><header><h2>{6}</h2></header><p>{31}</p><p>{2} <a>{3}</a></p><form ->{4}</form></article><footer>{12}</footer><div>{28}</div>",
-]
+# pages of other shapes that the tree never saw, marked as the labelled ones
+OTHERS = """
+<body><header class=masthead><a>Town News</a></header><nav><a>A</a><a>B</a></nav><main data-main><h1>Fair draws record crowd</h1><p>By Jo</p><p>More than nine thousand people came to the fair on its last day, twice as many as in any year before.</p><p>The organisers thank all helpers and ask for patience with the cleaning of the meadow, which will take a week.</p></main><section id=comments><p>Great fun for us all</p><p>Too loud</p></section></body>
+=====
+<div><ul><li><a>Top</a><li><a>New</a><li><a>Old</a></ul></div><h1 data-main>Sharpening a chisel</h1><p data-main>Start with the flat side. It must be as smooth as a mirror for the last inch, or all that follows is in vain.</p><p data-main>Then hold the bevel on the stone, at the angle that it has, and draw it back with even pressure until you feel a burr along the whole edge on the other side.</p><p data-main>Take off the burr with two strokes on the flat side.</p><div class=sidebar>Stones and guides are on sale in our shop until Sunday</div><p><a>Back to top</a></p>
+=====
+<body class=has-sidebar><div class=cookie>We and our partners store cookies on your device to count visits.</div><article data-main><h1>New clinic opens</h1><p>The clinic on Hill Street will see its first patients on Monday morning at eight.</p><table><tr><td>Beds</td><td>40</td></tr><tr><td>Doctors</td><td>12</td></tr></table></article><aside>Most read this week and other things</aside></body>
+=====
+<h1 data-main>Plain page</h1><p data-main>There is nothing here but a few lines of text that someone wrote by hand.</p><p data-main>No menu, no footer, nothing to click on.</p><p data-main>That is all, and it has been like this since 1997.</p>
+=====
+<article data-main><header><h2>Chess club wins</h2></header><p>The club beat the league leaders by five boards to three on Sunday, after six hours of play.</p><p>Next round: <a>in May</a></p><form data-not><p>Join the club</p><input><button>Send</button></form></article><footer>Chess club, Bath Road 3</footer><div>Contact the club for lessons, sets and clocks, which we sell at cost</div>
+=====
+<form id=aspnetForm><div id=menu><a>Home</a> <a>Login</a></div><div data-main><h1>Water rates</h1><p>From January on, a cubic metre of water costs two coins and ten cents, which is eight cents more than now.</p><p>The waste water fee stays the same for all houses that are connected to the new plant.</p></div></form>
+=====
+<div class=top><a>Blog</a> <a>Archive</a> <a>About</a></div><div data-main><h2>A week without a phone</h2><p>On the first day I reached for it forty times. I know because I made a mark for each.</p><p>On the third day I missed a train and had a long talk with a man who repairs clocks.</p><p>On the seventh I did not want it back.</p></div><div><p><a>Older</a></p><p><a>Newer</a></p></div><div><p>Copyright by the writer</p></div>
+=====
+<section><a>Sign in</a></section><section data-main><h1>Eclipse on Thursday</h1><p>The moon will cover four fifths of the sun on Thursday shortly before noon.</p><p>Do not look at it without a filter. Sunglasses are not enough, however dark they are, and nor is a sooty pane of glass.</p></section><section><h3>More stories</h3><ul><li><a>Where to see the northern lights</a></li><li><a>A comet for the spring</a></li><li><a>The oldest star chart</a></li></ul></section>
+=====
+<main><p><a>Home</a> / <a>Help</a></p><div data-main><h1>Change your address</h1><p>Open the page of your account and choose the pencil next to your name.</p><p>Type in the new address and save it. We will send a letter with a code to the new address, which you have to enter within thirty days.</p></div><p>Related</p><ul><li><a>Change your name</a></li><li><a>Close your account</a></li></ul></main>
+=====
+<div id=wrap><div class=nav><a>Start</a></div><div class=post data-main><h1>Rye loaf</h1><p>Mix the sour dough with half of the flour in the evening and leave it in a warm place.</p><p>In the morning add the rest, salt and a little honey, knead it for ten minutes and let it rise in its form until the top begins to crack.</p><p>Bake it for an hour.</p></div><div class=widget>Follow the baker</div></div>
+""".strip().split("\n=====\n")
 
 
 def test_precision_and_recall_on_other_pages():
     right = found = wanted = 0
     for page in OTHERS:
-        blocks, rows = html.described(re.sub(r"\{(\d+)\}", lambda m: W(int(m[1])), page), marks=True)
-        for b, row in zip(blocks, rows, strict=True):
-            kept = TREE(row) > 0.5
-            right, found, wanted = right + b.words * (kept and b.marked), found + b.words * kept, wanted + b.words * b.marked
-    assert right / found > 0.97 and right / wanted > 0.97
+        whole = html._Page(marks=True).read(page)
+        blocks, rows = html.described(page, marks=True)
+        kept = [b for b, row in zip(blocks, rows, strict=True) if TREE(row) > 0.5]
+        right += sum(b.words for b in kept if b.marked)
+        found += sum(b.words for b in kept)
+        wanted += sum(b.words for b in whole if b.marked)
+    assert right / found >= 0.9 and right / wanted >= 0.9, (right / found, right / wanted)
+
+
+def _used(tree):
+    return set() if tree.feature is None else {html.FEATURES[tree.feature]}.union(*map(_used, tree.sides))
+
+
+def test_the_tree_asks_neighbours():
+    assert len([n for n in _used(TREE) if "before" in n or "after" in n]) >= 3
+    # the same block among links and among text
+    block, text, link = "<p>one two three</p>", f"<p>{W(30)}</p>", "<p><a>more of it</a></p>"
+    assert "one two three" in html.main_text("<h1>a b</h1>" + text * 2 + block + text * 2, TREE)
+    assert "one two three" not in html.main_text("<h1>a b</h1>" + text * 2 + link * 2 + block + link * 2, TREE)
+
+
+@pytest.mark.parametrize("tag", ["footer", "nav", "aside", "form", "header", "fieldset", "button", "noscript", "p hidden", "p style='display: none'", "p aria-hidden=true"])
+@pytest.mark.parametrize("n", [1, 6, 9, 25])
+def test_boiler_goes_by_its_tag_on_pages_without_an_article(tag, n):
+    page = f"<h1>T</h1><p>{W(30)}</p><{tag}>{W(n, 'gone')}</{tag.split()[0]}><p>{W(40)}</p>"
+    assert html.main_text(page, TREE) == f"T\n{W(30)}\n{W(40)}"
+
+
+def test_short_and_linked_paragraphs_stay_between_long_ones():
+    page = f"<h1>{W(4)}</h1><p>{W(30)}</p><p>{W(4)}</p><p>{W(30)}</p><p>{W(6)} <a>{W(4)}</a></p><p>{W(30)}</p>"
+    assert html.main_text(page, TREE) == "\n".join(W(n) for n in (4, 30, 4, 30, 10, 30))
+
+
+@pytest.mark.parametrize("tag", ["title", "textarea", "script", "style", "div", "p", "a href='", "!--"])
+def test_time_is_linear_in_unclosed_tags(tag):
+    took = []
+    for n in (5_000, 20_000):
+        page, began = f"<{tag}> word " * n, time.process_time()
+        html.main_text(page, TREE)
+        took.append(time.process_time() - began)
+    assert took[1] < 10 * took[0] + 0.2
 
 
 @pytest.mark.parametrize(
@@ -73,6 +123,8 @@ def test_hints_still_hold_without_an_article_in_them():
         (f"<article><header><h1>{W(4)}</h1></header><p>{W(60)}</p></article>", f"{W(4)}\n{W(60)}"),
         ("<article><p>Energy is <math><mi>E</mi> <mo>=</mo> <mi>c</mi></math> here</p></article>", "Energy is E = c here"),
         (f"<title>name<body><article><p>{W(20)}</p></article>", W(20)),
+        (f"<article><div class='header'><h1>{W(2)}</h1></div><p>{W(20)}</p></article>", f"{W(2)}\n{W(20)}"),
+        (f"<form><div><h1>{W(2)}</h1><p>{W(20)}</p><p>{W(30)}</p></div></form>", f"{W(2)}\n{W(20)}\n{W(30)}"),
         (f"<article><svg><path><p>{W(20)}</p></article>", W(20)),
         (f"<article><select><option>a<option>b<p>{W(22)}</p></article>", W(22)),
         (f"<article><p>{W(20)}</p><p><a href=x>{W(4)}</a></p></article>", f"{W(20)}\n{W(4)}"),
