@@ -8,6 +8,8 @@ import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from smoothway.llm.store import spare
+from smoothway.llm.store import spare, written
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 WINDOW = 10
@@ -28,6 +30,9 @@ LEAK = T.StructType([
     T.StructField("items", T.ArrayType(T.StringType())),
 ])
 
+#: The same in Arrow.
+KIND = pa.struct([("n_words", pa.int64()), ("hits", pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), ("items", pa.list_(pa.string()))])
+
 
 def words_of(text: bytes | None) -> list[bytes]:
     """Words of a text: A-Z in lower case, runs of digits, letters and all beyond ASCII."""
@@ -161,8 +166,9 @@ def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_id: s
     A null or empty text has no words and no hits; items with a null id or text have no windows;
     repeated items count once; repeated rows and null ids of docs are documents of their own; an
     empty table stays empty; an input column of the same name as the result is replaced, all others
-    stay, whatever their names. Test items of more than block_bytes are scanned in blocks, each
-    broadcast by itself, so what is broadcast never grows with the test set.
+    stay, whatever their names. Test items of more than block_bytes are scanned in blocks, one after
+    another: the hits of a block are written before the next is broadcast, so a task holds one block
+    and one Python process however many there are, and the driver as much.
     """
     spark = docs.sparkSession
     rows = items.select(F.col(item_id).cast("string").alias("i"), F.col(item_text).cast("binary").alias("t")).dropna().distinct()
@@ -178,26 +184,37 @@ def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_id: s
             held += len(row["t"])
         yield block
 
-    found = docs.drop(into)
-    schema = T.StructType([*found.schema.fields, T.StructField(into, LEAK)])
-    kind = pa.struct([("n_words", pa.int64()), ("hits", pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), ("items", pa.list_(pa.string()))])
-    for block in blocks():
-        shared = spark.sparkContext.broadcast(index(block, size))
-
-        def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            scanner = _Scan(shared.value)
-            for batch in batches:
-                texts = batch.column(text).cast(pa.binary()).to_pylist()
-                marks = list(scanner(texts))
-                columns, names = list(batch.columns), list(batch.schema.names)
-                if into in names:
-                    k = names.index(into)
-                    marks = [_joined(a, b) for a, b in zip(columns.pop(k).to_pylist(), marks, strict=True)]
-                    names.pop(k)
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(marks, type=kind)], names=[*names, into])
-
-        found = found.mapInArrow(scan, schema)
-    return found
+    found, each = docs.drop(into), blocks()
+    first, second = next(each), next(each, None)
+    if second is None:
+        return _scanned(found, first, size, text, into)
+    (row,) = spare(found, "row")
+    keyed = written(found.withColumn(row, F.monotonically_increasing_id()), "leak-docs", "zstd")
+    parts = []
+    for block in chain([first, second], each):
+        hits = _scanned(keyed.select(row, text), block, size, text, into).select(row, into)
+        parts.append(written(hits if not parts else hits.filter(F.size(f"{into}.items") > 0), "leak-hits", "zstd"))  # the first has a row for each document
+    met = reduce(DataFrame.unionByName, parts).groupBy(row).agg(F.collect_list(into).alias(into))
+    kinds = T.StructType([T.StructField(row, T.LongType()), T.StructField(into, LEAK)])
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([reduce(_joined, marks) for marks in batch.column(1).to_pylist()], type=KIND)], names=kinds.fieldNames())
+
+    return keyed.join(met.mapInArrow(join, kinds), row).drop(row)
+
+
+def _scanned(docs: DataFrame, block: list[tuple[str, bytes]], size: int, text: str, into: str) -> DataFrame:
+    """docs with the hits of one block of test items."""
+    shared = docs.sparkSession.sparkContext.broadcast(index(block, size))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scanner = _Scan(shared.value)
+        for batch in batches:
+            marks = pa.array(list(scanner(batch.column(text).cast(pa.binary()).to_pylist())), type=KIND)
+            yield pa.RecordBatch.from_arrays([*batch.columns, marks], names=[*batch.schema.names, into])
+
+    return docs.mapInArrow(scan, T.StructType([*docs.schema.fields, T.StructField(into, LEAK)]))
 
 
 def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:

@@ -1,8 +1,10 @@
-"""Language-model scores: stupid backoff over n-gram counts of a whole corpus.
+"""Language-model scores: stupid backoff over n-gram counts of a corpus.
 
-An n-gram is a row of its document, its context (the words before its last) and its last word, the
-two as 64-bit hashes. Spark deals the rows by context, so the counts of an n-gram and of its context
-meet in one place; those of contexts too frequent for one place are count tables that are joined.
+An n-gram of a document is a row: its context (the words before its last) and its last word, the two
+as 64-bit hashes, and how often the document has it. Spark deals the rows by context, so the counts of
+an n-gram and of its context meet in one place; those of contexts too frequent for one place are count
+tables that are joined. What has no count goes on to a shorter context, for which the corpus' n-grams
+are counted in the tasks before they are dealt.
 """
 
 from __future__ import annotations
@@ -26,8 +28,8 @@ START = np.uint64(0x5851F42D4C957F2D)
 #: Parts of the contexts that are dealt one after another; each needs so much less room on disk.
 SLICES = 2
 LOW = 0x7FFFFFFF
-#: A context or n-gram with more than this share of all rows is too frequent for one place.
-OFTEN = 0.001
+#: A context with more rows than this, or than this share of all rows, is too frequent for one place.
+MOST_ROWS, OFTEN = 4_000_000, 0.001
 #: Counters by which frequent contexts are found, and one text in so many that is looked at for that.
 SLOTS, LOOKED_AT = 1 << 16, 16
 #: Rows in a batch that a task hands to Spark.
@@ -65,7 +67,7 @@ def _slot(context: np.ndarray) -> np.ndarray:
 
 
 def _frequent(rows: DataFrame, order: int) -> tuple[int, ...]:
-    """Slots of contexts that may be too frequent for one place; at most 2 / OFTEN.
+    """Slots of contexts that may be too frequent for one place; at most SLOTS.
 
     Looked for in one text of LOOKED_AT, as range partitioning does, since it only decides where
     rows go: the counts cover all rows and are the same whatever is found here.
@@ -80,33 +82,44 @@ def _frequent(rows: DataFrame, order: int) -> tuple[int, ...]:
 
     looked = rows.filter(F.pmod(F.xxhash64("row", F.lit(11)), F.lit(LOOKED_AT)) == 0).select("text")
     slots = looked.mapInArrow(tally, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
-    total = slots.select((F.sum("n").over(Window.partitionBy()) * OFTEN / 2).alias("least"), "slot", "n")
-    return tuple(sorted(r["slot"] for r in total.filter("n > least").collect()))
+    found = slots.collect()
+    least = min(MOST_ROWS / LOOKED_AT, sum(r["n"] for r in found) * OFTEN) / 2
+    return tuple(sorted(r["slot"] for r in found if r["n"] > least))
 
 
-def gram_rows(rows: DataFrame, order: int, part: int | None, parts: int, frequent: tuple[int, ...], shorter: bool = False) -> DataFrame:
-    """Rows (row, context, word) of all n-grams of a part of the contexts, part None for the frequent
-    ones; with shorter also the hashes of the contexts of fewer words, longest first."""
-    kind = "row long, context long, word long" + (", shorter array<long>" if shorter else "")
+def gram_rows(rows: DataFrame, order: int, part: int | None, parts: int, frequent: tuple[int, ...] | None, summed: bool = False) -> DataFrame:
+    """Rows (row, context, word, times, counts, shorter) of all n-grams of a part of the contexts, part None
+    for the frequent ones (all, if these are None): how often the text has one, and how often it counts (0 where the text isn't known).
+
+    shorter has the hashes of the contexts of fewer words, longest first, for texts that aren't known; others
+    never need them. With summed only known texts matter, and a row has the sum of many (row is null).
+    """
+    kind = "row long, context long, word long, times int, counts int, shorter array<long>"
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often = np.zeros(SLOTS, dtype=bool)
-        often[list(frequent)] = True
+        often = np.full(SLOTS, frequent is None)
+        often[list(frequent or ())] = True
         for batch in batches:
             words, sizes = _hashed(batch.column(1).cast(pa.binary()).to_pylist())
             context, row = _contexts(words, sizes, order), np.repeat(batch.column(0).to_numpy(), sizes)
+            known = np.repeat(batch.column(2).to_numpy(zero_copy_only=False), sizes)
             at = often[_slot(context)]
-            at = np.nonzero(at if part is None else ~at & ((context & np.uint64(LOW)).astype(np.int64) % parts == part))[0]
-            fewer = [_contexts(words, sizes, k).view(np.int64) for k in range(order - 1, 0, -1)] if shorter else []
+            at = np.nonzero((at if part is None else ~at & ((context & np.uint64(LOW)).astype(np.int64) % parts == part)) & (known | (not summed)))[0]
+            key = (context[at] * np.uint64(0x9E3779B97F4A7C15) ^ words[at]) * np.uint64(0x9FB21C651E98DF25)
+            if not summed:
+                key ^= row[at].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+            _, first, times = np.unique(key, return_index=True, return_counts=True)
+            at = at[first]
+            fewer = [_contexts(words, sizes, k).view(np.int64) for k in range(order - 1, 0, -1)] if not summed else []
             for k in range(0, len(at), BATCH):
-                i = at[k : k + BATCH]
-                out = [row[i], context[i].view(np.int64), words[i].view(np.int64)]
-                if shorter:
-                    flat = np.stack([c[i] for c in fewer], axis=1).ravel() if fewer else np.zeros(0, dtype=np.int64)
-                    out.append(pa.ListArray.from_arrays(pa.array(np.arange(len(i) + 1, dtype=np.int32) * len(fewer)), pa.array(flat)))
-                yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in out], names=kind.replace(" long", "").replace(" array<long>", "").split(", "))
+                i, n = at[k : k + BATCH], times[k : k + BATCH].astype(np.int32)
+                lists = np.where(known[i], 0, len(fewer))
+                flat = np.stack([c[i][lists > 0] for c in fewer], axis=1).ravel() if fewer else np.zeros(0, dtype=np.int64)
+                shorter = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lists)]).astype(np.int32)), pa.array(flat))
+                out = [pa.nulls(len(i), pa.int64()) if summed else pa.array(row[i]), pa.array(context[i].view(np.int64)), pa.array(words[i].view(np.int64)), pa.array(n), pa.array(n * known[i]), shorter]
+                yield pa.RecordBatch.from_arrays(out, names=["row", "context", "word", "times", "counts", "shorter"])
 
-    return rows.select("row", "text").mapInArrow(explode, kind)
+    return rows.select("row", "text", "known").mapInArrow(explode, kind)
 
 
 def _counted(grams: DataFrame) -> DataFrame:
@@ -130,56 +143,60 @@ def _log(n: Column) -> Column:
     return F.round(F.log(n) / UNIT).cast("long")
 
 
-def backoff_scores(docs: DataFrame, corpus: DataFrame | None = None, doc_id: str = "doc_id", text: str = "text", order: int = ORDER, backoff: float = BACKOFF, slices: int = SLICES) -> DataFrame:
+def backoff_scores(docs: DataFrame, corpus: DataFrame | None = None, learn: Column | None = None, doc_id: str = "doc_id", text: str = "text", order: int = ORDER, backoff: float = BACKOFF, slices: int = SLICES) -> DataFrame:
     """One row per document: doc_id, n_tokens, n_backed_off, log_prob, perplexity.
 
-    The model counts every n-gram of corpus (all docs where none is given), whatever its count. A
-    word's score is the share of its n-gram of order words among all n-grams of the same context; a
-    text starts after order - 1 start signs. Where corpus hasn't the n-gram, the context loses its
-    first word, at the cost of a factor backoff, down to the word's share of all words; a word that
-    corpus doesn't have counts as one in them all. n_backed_off is the number of words that lost a
-    part of their context (0 where docs are the corpus). Null and empty texts have 0 words, log_prob
-    0 and no perplexity. Repeated rows and ids are documents of their own, null ids too; an empty
-    table gives no rows; other columns are not looked at.
+    The model counts every n-gram of the documents for which learn is true, or of corpus (of all docs
+    where neither is given), whatever its count. A word's score is the share of its n-gram of order
+    words among all n-grams of the same context; a text starts after order - 1 start signs. Where the
+    model hasn't the n-gram, the context loses its first word, at the cost of a factor backoff, down to
+    the word's share of all words; a word that it doesn't have counts as one in them all. n_backed_off
+    is the number of words that lost a part of their context. Null and empty texts have 0 words,
+    log_prob 0 and no perplexity. Repeated rows and ids are documents of their own, null ids too; a
+    null learn is false; an empty table gives no rows; other columns are not looked at.
     """
-    rows = written(docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "lm-rows", "zstd")
-    known = rows if corpus is None else written(corpus.select(F.lit(0).cast("long").alias("row"), F.col(text).alias("text")), "lm-corpus", "zstd")
-    sums, left = [], None
-    for k in range(order, 0, -1):
-        frequent = _frequent(known, k) if k > 1 else (0,)  # without a context all n-grams have the same
-        more = []
-        for part in [*range(slices), None]:
-            counts = _counted if part is not None else _joined
-            grams = gram_rows(known, k, part, slices, frequent).withColumn("counts", F.lit(1))
-            if corpus is None:
-                grams = grams if part is not None else written(grams, "lm-frequent")
-                sums.append(written(_summed(counts(grams), order - k), "lm-sums"))
-                if part is None:
-                    discard(grams)
-                continue
-            asked = gram_rows(rows, k, part, slices, frequent, True) if k == order else left.filter(_in_part(part, slices, frequent))
-            both = asked.withColumn("counts", F.lit(0)).unionByName(grams.withColumn("shorter", F.lit(None).cast("array<long>")))
-            both = both if part is not None else written(both, "lm-frequent")
-            scored = written(counts(both).filter("counts = 0"), "lm-scored")
-            met = scored.filter("n > 0") if k > 1 else scored.withColumns({c: F.greatest(c, F.lit(1)) for c in ("n", "of")})
-            sums.append(_summed(met, order - k, backoff))
-            more.append(scored.filter("n = 0").select("row", F.get("shorter", F.lit(0)).alias("context"), "word", F.slice("shorter", 2, order).alias("shorter")))
-        if corpus is None:
+    own = F.lit(corpus is None) if learn is None else F.coalesce(learn, F.lit(False))
+    read = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), own.alias("known"))
+    rows = written(read, "lm-rows", "zstd")
+    if corpus is not None:  # its texts come without a row, so they are counted and never scored
+        rows = rows.unionByName(written(corpus.select(F.lit(-1).cast("long").alias("row"), F.lit(None).cast(docs.schema[doc_id].dataType).alias("doc_id"), F.col(text).alias("text"), F.lit(True).alias("known")), "lm-corpus", "zstd"))
+    sums, more, frequent = [], [], _frequent(rows, order) if order > 1 else (0,)
+    for part in [*range(slices), None]:
+        grams = gram_rows(rows, order, part, slices, frequent)
+        if part is None:
+            grams = written(grams, "lm-frequent")
+        scored = written(_summed((_counted if part is not None else _joined)(grams).filter("row >= 0"), 0, backoff, last=order == 1), "lm-scored")
+        if part is None:
+            discard(grams)
+        sums.append(scored.filter("shorter is null"))
+        more.append(_shortened(scored))
+    for k in range(order - 1, 0, -1):
+        left = reduce(DataFrame.unionByName, more)
+        if left.isEmpty():
             break
-        left = written(reduce(DataFrame.unionByName, more), "lm-left")
-    whole = reduce(DataFrame.unionByName, sums).groupBy("row").agg(*[F.sum(c).alias(c) for c in ("score", "backed", "n_tokens")])
-    found = rows.drop("text").join(whole, "row", "left").fillna(0, ["score", "backed", "n_tokens"])
+        table = written(gram_rows(rows, k, None, 1, None, summed=True).groupBy("context", "word").agg(F.sum("counts").alias("n")), "lm-table")
+        of = table.groupBy("context").agg(F.sum("n").alias("of"))  # without a context, one row
+        scored = written(_summed(left.join(table, ["context", "word"], "left").join(of if k > 1 else F.broadcast(of), "context", "left"), order - k, backoff, last=k == 1), "lm-scored")
+        discard(table)
+        sums.append(scored.filter("shorter is null"))
+        more = [_shortened(scored)]
+    totals = [F.sum(c).alias(c) for c in ("score", "backed", "n_tokens")]
+    whole = reduce(DataFrame.unionByName, sums).groupBy("row").agg(*totals)
+    found = rows.filter("row >= 0").drop("text", "known").join(whole, "row", "left").fillna(0, ["score", "backed", "n_tokens"])
     log_prob = F.col("score") * UNIT
     return found.select(F.col("doc_id").alias(doc_id), "n_tokens", F.col("backed").alias("n_backed_off"), F.round(log_prob, 6).alias("log_prob"), F.when(F.col("n_tokens") > 0, F.round(F.exp(-log_prob / F.col("n_tokens")), 6)).alias("perplexity"))
 
 
-def _in_part(part: int | None, parts: int, frequent: tuple[int, ...]) -> Column:
-    """Contexts of a part as in gram_rows."""
-    often = F.shiftrightunsigned("context", 48).isin(*frequent) if frequent else F.lit(False)
-    return often if part is None else ~often & (F.col("context").bitwiseAND(F.lit(LOW)) % parts == part)
+def _shortened(scored: DataFrame) -> DataFrame:
+    """The n-grams without a count, each with the next shorter context."""
+    return scored.filter("shorter is not null").select("row", F.get("shorter", F.lit(0)).alias("context"), "word", "times", F.slice("shorter", 2, F.size("shorter")).alias("shorter"))
 
 
-def _summed(counted: DataFrame, lost: int, backoff: float = BACKOFF) -> DataFrame:
-    """Sums of each row's words: their scores, how many lost a part of their context, and how many there are."""
-    score = _log(F.col("n")) - _log(F.col("of")) + lost * _log(F.lit(backoff))
-    return counted.groupBy("row").agg(F.sum(score).alias("score"), F.sum(F.lit(int(lost > 0)).cast("long")).alias("backed"), F.count("*").alias("n_tokens"))
+def _summed(counted: DataFrame, lost: int, backoff: float, last: bool) -> DataFrame:
+    """Sums of each row's words that have a count: their scores, how many lost a part of their context, and
+    how many there are; each other word as it is, with its shorter contexts. Of the last context all have one."""
+    met = F.lit(True) if last else F.coalesce(F.col("n") > 0, F.lit(False))
+    count = lambda c: _log(F.greatest(F.col(c), F.lit(1)))  # noqa: E731  (greatest skips nulls)
+    score = count("n") - count("of") + lost * _log(F.lit(backoff))
+    key = [F.when(~met, F.col(c)).alias(c) for c in ("word", "shorter")]
+    return counted.groupBy("row", *key).agg(F.sum(F.when(met, score * F.col("times"))).alias("score"), F.sum(F.col("times") * int(lost > 0)).alias("backed"), F.sum("times").alias("n_tokens"), F.sum("times").cast("int").alias("times"))

@@ -52,7 +52,8 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm.backoff_scores(_read(spark, sf_dir, "documents"))
+    """The model learns from three folds of four and scores all documents."""
+    return lm.backoff_scores(_read(spark, sf_dir, "documents"), learn=store.fold("doc_id", 4) != 2)
 
 
 def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,6 +85,11 @@ def _words(text: str, pattern: str = _PLAIN) -> str:
     return f"coalesce({_WORDS.format(t=text, p=pattern)}, [])"
 
 
+#: crc32 of the decimal doc_id, and a logarithm as a whole number of 1e-9.
+_CRC = "xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda d: CAST(unicode(d) AS BIGINT)), lambda c, d: list_reduce(range(8), lambda x, k: xor(x >> 1, 3988292384 * (x & 1)), xor(c, d)), CAST(4294967295 AS BIGINT)), 4294967295)"
+_LN = "CAST(round(ln({}) / CAST(1e-9 AS DOUBLE)) AS BIGINT)"
+
+
 #: SQL of the queries that SQL can express. The others train models, tokenize or hash as Spark does.
 ORACLES: dict[str, str] = {
     "op6_decontamination": f"""WITH item AS (SELECT item_id, w, least(10, len(w)) AS k FROM (SELECT item_id, {_words("text")} AS w FROM benchmark) WHERE len(w) > 0),
@@ -99,8 +105,11 @@ ORACLES: dict[str, str] = {
  link AS (SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, any_value(x.n + y.n) AS sizes, count(*) AS c FROM token x JOIN token y ON x.t = y.t AND x.doc_id <> y.doc_id GROUP BY 1, 2) WHERE 100 * c >= 80 * (sizes - c)),
  reach AS (SELECT a AS node, b AS other FROM link UNION SELECT reach.node, link.b FROM reach JOIN link ON reach.other = link.a)
  SELECT doc_id, len(s) AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id FROM shingled LEFT JOIN (SELECT node, min(other) AS m FROM reach GROUP BY 1) ON node = doc_id""",
-    "op10_lm": f"""WITH doc AS (SELECT doc_id, {_words("text")} AS w FROM documents), word AS (SELECT doc_id, s[i] AS a, s[i + 1] AS b, s[i + 2] AS c FROM (SELECT doc_id, list_concat(['', ''], w) AS s, unnest(range(1, len(w) + 1)) AS i FROM doc)),
- three AS (SELECT a, b, c, count(*) AS n FROM word GROUP BY 1, 2, 3), two AS (SELECT a, b, CAST(sum(n) AS BIGINT) AS n FROM three GROUP BY 1, 2),
- summed AS (SELECT doc_id, CAST(sum(CAST(round(ln(three.n) / CAST(1e-9 AS DOUBLE)) AS BIGINT) - CAST(round(ln(two.n) / CAST(1e-9 AS DOUBLE)) AS BIGINT)) AS BIGINT) * CAST(1e-9 AS DOUBLE) AS lp FROM word JOIN three USING (a, b, c) JOIN two USING (a, b) GROUP BY 1)
- SELECT doc_id, CAST(len(w) AS BIGINT) AS n_tokens, CAST(0 AS BIGINT) AS n_backed_off, round(coalesce(lp, 0), 6) AS log_prob, CASE WHEN len(w) > 0 THEN round(exp(-lp / len(w)), 6) END AS perplexity FROM doc LEFT JOIN summed USING (doc_id)""",
+    "op10_lm": f"""WITH doc AS (SELECT doc_id, {_CRC} % 4 <> 2 AS known, {_words("text")} AS w FROM documents),
+ word AS (SELECT doc_id, known, s[i] AS a, s[i + 1] AS b, s[i + 2] AS c FROM (SELECT doc_id, known, list_concat(['', ''], w) AS s, unnest(range(1, len(w) + 1)) AS i FROM doc)),
+ three AS (SELECT a, b, c, count(*) AS n3 FROM word WHERE known GROUP BY 1, 2, 3), of3 AS (SELECT a, b, sum(n3) AS o3 FROM three GROUP BY 1, 2), two AS (SELECT b, c, sum(n3) AS n2 FROM three GROUP BY 1, 2), of2 AS (SELECT b, sum(n2) AS o2 FROM two GROUP BY 1), one AS (SELECT c, sum(n2) AS n1 FROM two GROUP BY 1),
+ scored AS (SELECT doc_id, n3 IS NULL AS lost, CASE WHEN n3 IS NOT NULL THEN {_LN.format("n3")} - {_LN.format("o3")} WHEN n2 IS NOT NULL THEN {_LN.format("n2")} - {_LN.format("o2")} + {_LN.format("0.4")} ELSE {_LN.format("coalesce(n1, 1)")} - {_LN.format("greatest(1, (SELECT coalesce(sum(n1), 0) FROM one))")} + 2 * {_LN.format("0.4")} END AS s
+ FROM word LEFT JOIN three USING (a, b, c) LEFT JOIN of3 USING (a, b) LEFT JOIN two USING (b, c) LEFT JOIN of2 USING (b) LEFT JOIN one USING (c)),
+ summed AS (SELECT doc_id, count(*) FILTER (lost) AS backed, CAST(sum(s) AS BIGINT) * CAST(1e-9 AS DOUBLE) AS lp FROM scored GROUP BY 1)
+ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_tokens, coalesce(backed, 0) AS n_backed_off, round(coalesce(lp, 0), 6) AS log_prob, CASE WHEN len(w) > 0 THEN round(exp(-lp / len(w)), 6) END AS perplexity FROM doc LEFT JOIN summed USING (doc_id)""",
 }

@@ -7,7 +7,7 @@ import zlib
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from smoothway.llm import packing, pii, queries, simhash
+from smoothway.llm import decontam, packing, pii, queries, simhash
 
 PATHS = [public_tokenizers.path(f"byte_bpe_50k.{x}") for x in ("json", "tiktoken")]
 
@@ -137,3 +137,25 @@ def test_op8_article_of_a_page(spark):
     assert found[1]["text"] == "Name & place\nFirst words of the article that say enough to count as text."
     assert found[2]["text"] == "" and found[4]["n_chars"] == 0
     assert all(r["n_chars"] == len(r["text"]) for r in found.values())
+
+
+def test_op6_in_any_number_of_blocks(spark, sf_dir):
+    """Blocks of test items change no row; each is scanned by itself, so a stage has one Python process a task."""
+    docs, items = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
+    rows = lambda df: sorted(map(repr, df.collect()))
+    whole = decontam.contamination(docs, items)
+    bytes_all = items.agg(F.sum(F.octet_length("text"))).first()[0]
+    blocks = []
+    scanned = decontam._scanned
+    decontam._scanned = lambda d, block, *a: blocks.append(block) or scanned(d, block, *a)
+    try:
+        parted = decontam.contamination(docs, items, block_bytes=bytes_all // 30)
+    finally:
+        decontam._scanned = scanned
+    assert len(blocks) > 20
+    plan = parted._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") <= 2  # the merge of the written hits, not a chain of scans
+    assert rows(parted) == rows(whole)
+    assert parted.filter("contaminated").count() >= 3
+    kept = lambda **o: rows(decontam.decontaminate(docs, items, remove="spans", **o))
+    assert kept(block_bytes=bytes_all // 4) == kept()
