@@ -112,4 +112,15 @@ ORACLES: dict[str, str] = {
  FROM word LEFT JOIN three USING (a, b, c) LEFT JOIN of3 USING (a, b) LEFT JOIN two USING (b, c) LEFT JOIN of2 USING (b) LEFT JOIN one USING (c)),
  summed AS (SELECT doc_id, count(*) FILTER (lost) AS backed, CAST(sum(s) AS BIGINT) * CAST(1e-9 AS DOUBLE) AS lp FROM scored GROUP BY 1)
  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_tokens, coalesce(backed, 0) AS n_backed_off, round(coalesce(lp, 0), 6) AS log_prob, CASE WHEN len(w) > 0 THEN round(exp(-lp / len(w)), 6) END AS perplexity FROM doc LEFT JOIN summed USING (doc_id)""",
+    "op12_runs": f"""WITH doc AS (SELECT doc_id, {_CRC} AS h, coalesce(regexp_extract_all(text, '[^ \\x09-\\x0D]+'), []) AS w, len(w) AS n FROM documents),
+ cut AS (SELECT *, h // 10 % n AS a, 1 + (n - h // 10 % n) // (3 + h // 10 % 8) AS p FROM doc),
+ said AS (SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(0, n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) ELSE w END AS w FROM cut),
+ place AS (SELECT doc_id, i, array_to_string(w[i + 1:i + 6], ' ') AS k FROM (SELECT *, unnest(range(0, n - 5)) AS i FROM said)),
+ pair AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM place x JOIN place y ON x.doc_id = y.doc_id AND x.k = y.k AND x.i < y.i),
+ stretch AS (SELECT doc_id, q, min(i) AS s, max(i) + 6 + q - min(i) AS n FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS same FROM pair) GROUP BY doc_id, q, same),
+ run AS (SELECT doc_id, s, n, min(q) AS q FROM stretch WHERE n >= greatest(12, 2 * q) GROUP BY 1, 2, 3),
+ gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + n)) AS i FROM run),
+ kept AS (SELECT doc_id, string_agg(t, ' ' ORDER BY i) AS t FROM (SELECT doc_id, unnest(w) AS t, unnest(range(0, n)) AS i FROM said WHERE doc_id IN (SELECT doc_id FROM run)) ANTI JOIN gone USING (doc_id, i) GROUP BY 1),
+ told AS (SELECT doc_id, count(*) AS n_runs, arg_min({{'s': s, 'n': n, 'q': q}}, (-n, s, q)) AS best, string_agg(s || ',' || n || ',' || q || chr(10), '' ORDER BY s, q) AS lines FROM run GROUP BY 1)
+ SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, best.n AS length, best.q AS period, 1000 * best.n // best.q AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(t, array_to_string(w, ' '))) AS collapsed_sha256, n AS n_words FROM said LEFT JOIN told USING (doc_id) LEFT JOIN kept USING (doc_id)""",
 }
