@@ -174,6 +174,31 @@ def chosen_routes(asked: DataFrame, ends: DataFrame, paths: DataFrame) -> DataFr
     return told.select("pickup_zone", "dropoff_zone", "_b.start_node", "_b.end_node", reason.alias("skip_reason"))
 
 
+def accepted_routes(asked: DataFrame, nodes: DataFrame, paths: DataFrame, most: int = 20, share: float = 0.15) -> DataFrame:
+    """The route of each trip between nodes of its two zones: the first whose length is within a share of
+    the asked one, else the one that is nearest to it.
+
+    asked: trip_id, pickup_zone, dropoff_zone, length; nodes: location_id, node; paths: source, target,
+    distance. Each zone's nodes in order are turned round by a number that the trip's id gives, and the
+    first most of them are tried, starts before ends. Ties of the nearest go by start, then end.
+    """
+    seed = F.conv(F.substring(F.sha2(F.col("trip_id").cast("string"), 256), 1, 16), 16, 10).cast("decimal(20,0)")
+    listed = nodes.groupBy("location_id").agg(F.array_sort(F.collect_set("node")).alias("nodes"))  # of one zone, so some hundreds
+    side = lambda p: listed.withColumnsRenamed({"location_id": f"{p}_zone", "nodes": f"_{p}"})
+    rows = asked.join(side("pickup"), "pickup_zone", "left").join(side("dropoff"), "dropoff_zone", "left").withColumn("_seed", seed)
+    of = lambda p: F.greatest(F.size(f"_{p}"), F.lit(1)).cast("decimal(20,0)")
+    turned = lambda p, by: F.slice(F.concat(F.slice(f"_{p}", by + 1, F.size(f"_{p}")), F.slice(f"_{p}", F.lit(1), by)), 1, most)
+    rows = rows.withColumns({"_from": turned("pickup", (F.col("_seed") % of("pickup")).cast("int")), "_to": turned("dropoff", (F.floor(F.col("_seed") / of("pickup")) % of("dropoff")).cast("int"))})
+    each = rows.select("trip_id", "length", F.posexplode("_from").alias("_i", "start_node"), "_to").select("trip_id", "length", "_i", "start_node", F.posexplode("_to").alias("_j", "end_node"))
+    known = paths.filter("source <> target").select(F.col("source").alias("start_node"), F.col("target").alias("end_node"), "distance")
+    met = each.join(known, ["start_node", "end_node"]).withColumn("_off", F.abs(F.col("distance") - F.col("length")) / F.col("length"))
+    near = F.round("_off", 9) <= share
+    chosen = met.groupBy("trip_id").agg(F.min(F.when(near, F.struct("_i", "_j", "start_node", "end_node", "distance"))).alias("_first"), F.min(F.struct(F.round("_off", 9).alias("_off"), "start_node", "end_node", "distance")).alias("_best"))
+    found = rows.select("trip_id", F.size("_pickup").alias("_p"), F.size("_dropoff").alias("_d")).join(chosen, "trip_id", "left")
+    reason = F.when(F.coalesce(F.col("_p"), F.lit(0)) < 1, "PICKUP_ZONE_NO_ROUTABLE_NODES").when(F.coalesce(F.col("_d"), F.lit(0)) < 1, "DROPOFF_ZONE_NO_ROUTABLE_NODES").when(F.col("_best").isNull(), "NO_DIRECTED_ROUTE")
+    return found.select("trip_id", *[F.coalesce(f"_first.{c}", f"_best.{c}").alias(c) for c in ("start_node", "end_node", "distance")], F.col("_first").isNotNull().alias("accepted"), reason.alias("skip_reason"))
+
+
 def route_summary(routes: DataFrame, trips: DataFrame) -> DataFrame:
     """Pairs and trips by the reason that they have no route; null where they have one."""
     counted = trips.groupBy("pickup_zone", "dropoff_zone").agg(F.count("*").alias("trips"))

@@ -87,15 +87,40 @@ def line_distance(x: Column, y: Column, line: Column) -> Column:
     return F.array_min(F.transform(legs, lambda s: segment_distance(x, y, s["a"]["x"], s["a"]["y"], s["b"]["x"], s["b"]["y"])))
 
 
+def leg_lengths(line: Column) -> Column:
+    return F.zip_with(F.slice(line, 1, F.size(line) - 1), F.slice(line, 2, F.size(line) - 1), lambda a, b: F.hypot(b["x"] - a["x"], b["y"] - a["y"]))
+
+
 def line_length(line: Column) -> Column:
-    legs = F.zip_with(F.slice(line, 1, F.size(line) - 1), F.slice(line, 2, F.size(line) - 1), lambda a, b: F.hypot(b["x"] - a["x"], b["y"] - a["y"]))
-    return F.aggregate(legs, F.lit(0.0), lambda total, leg: total + leg)
+    return F.aggregate(leg_lengths(line), F.lit(0.0), lambda total, leg: total + leg)
+
+
+def point_along(line: Column, share: float) -> tuple[Column, Column]:
+    """The point at a share (0 to 1) of a line's length; null for a line of fewer than two points."""
+    lengths = leg_lengths(line)
+    target = F.aggregate(lengths, F.lit(0.0), lambda s, v: s + v) * share
+    # walks the legs: what is left to go, and the number of the leg in which it ends
+    start = F.struct(target.alias("rest"), F.lit(0).alias("leg"), F.lit(False).alias("done"))
+
+    def step(acc: Column, v: Column) -> Column:
+        here = acc["done"] | (acc["rest"] <= v)
+        return F.struct(F.when(here, acc["rest"]).otherwise(acc["rest"] - v).alias("rest"), F.when(here, acc["leg"]).otherwise(acc["leg"] + 1).alias("leg"), here.alias("done"))
+
+    at = F.aggregate(lengths, start, step)
+    leg = F.least(at["leg"], F.size(line) - 2)
+    a, b = F.get(line, leg), F.get(line, leg + 1)
+    t = F.coalesce(F.try_divide(at["rest"], F.get(lengths, leg)), F.lit(0.0))
+    t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), t))
+    return a["x"] + t * (b["x"] - a["x"]), a["y"] + t * (b["y"] - a["y"])
 
 
-def midpoint(line: Column) -> tuple[Column, Column]:
-    """The point half way along the box of a line's ends."""
-    first, last = F.element_at(line, 1), F.element_at(line, -1)
-    return (first["x"] + last["x"]) / 2, (first["y"] + last["y"]) / 2
+def one_line(parts: Column) -> Column:
+    """The line of a geometry given as its parts; null unless it has one part, of two points or more that
+    aren't all the same, with finite coordinates. Parts aren't joined, as their direction isn't known."""
+    line = F.get(parts, F.lit(0))
+    finite = F.forall(line, lambda p: F.coalesce(F.abs(p["x"]) + F.abs(p["y"]) < float("inf"), F.lit(False)))
+    moves = F.exists(line, lambda p: (p["x"] != line[0]["x"]) | (p["y"] != line[0]["y"]))
+    return F.when((F.size(parts) == 1) & (F.size(line) > 1) & finite & moves, line)
 
 
 def projected(longitude: Column, latitude: Column) -> tuple[Column, Column]:
@@ -114,19 +139,20 @@ def projected(longitude: Column, latitude: Column) -> tuple[Column, Column]:
     return east + radius * F.sin(turn), north + scale * t(lat0) ** n - radius * F.cos(turn)
 
 
-def speed_humps(roads: DataFrame, humps: DataFrame, as_of: int, radius: float = STREET_RADIUS_M) -> DataFrame:
+def speed_humps(roads: DataFrame, humps: DataFrame, as_of: int, radius: float = STREET_RADIUS_M, size: float | None = None, places: int = 6, legs: DataFrame | None = None) -> DataFrame:
     """Roads with the humps of their street for which they are the nearest road within the radius,
     installed up to as_of or at no known time: how many, and where along the road, as sorted shares.
 
-    The join is by street and grid cell. Of equally near roads the least id has the hump.
+    The join is by street and grid cell, whose side size is in the unit of the coordinates. Of equally near
+    roads (to some places) the least id has the hump. legs are the straight pieces of roads that aren't straight.
     """
-    size = max(radius, 50.0)
+    size = size or max(radius, 50.0)
     cell = lambda v: F.floor(v / size).cast("int")
     known = humps.filter(F.col("installed").isNull() | (F.col("installed") <= as_of)).select("hump_id", street_key(F.col("street")).alias("_key"), F.col("x").alias("_x"), F.col("y").alias("_y"), "humps", cell(F.col("x")).alias("_px"), cell(F.col("y")).alias("_py"))
     span = lambda a, b: F.explode(F.sequence(cell(F.least(a, b) - radius), cell(F.greatest(a, b) + radius)))
-    wide = roads.select("segment_id", street_key(F.col("street")).alias("_street"), "x0", "y0", "x1", "y1", span("x0", "x1").alias("_cx")).select("*", span("y0", "y1").alias("_cy"))
+    wide = (roads if legs is None else legs).select("segment_id", street_key(F.col("street")).alias("_street"), "x0", "y0", "x1", "y1", span("x0", "x1").alias("_cx")).select("*", span("y0", "y1").alias("_cy"))
     far = segment_distance(F.col("_x"), F.col("_y"), F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"))
-    met = wide.join(known, (F.col("_street") == F.col("_key")) & (F.col("_cx") == F.col("_px")) & (F.col("_cy") == F.col("_py"))).withColumn("_far", F.round(far, 6)).filter(F.col("_far") <= radius)
+    met = wide.join(known, (F.col("_street") == F.col("_key")) & (F.col("_cx") == F.col("_px")) & (F.col("_cy") == F.col("_py"))).withColumn("_far", F.round(far, places)).filter(F.col("_far") <= radius)
     nearest = met.groupBy("hump_id").agg(F.min(F.struct("_far", "segment_id")).alias("_near"), F.first("humps").alias("humps"))
     count = F.greatest(F.col("humps"), F.lit(0))
     shares = F.when(count > 0, F.transform(F.sequence(F.lit(1), count), lambda i: i / (count + 1))).otherwise(F.array().cast("array<double>"))
@@ -142,6 +168,6 @@ def build_roads(features: DataFrame, shapes: DataFrame, zones: DataFrame) -> Dat
     typed = typed_roads(representative(vehicle_roads(features), "segment_id", "object_id"))
     sound = road_violations(typed).filter("size(broken) = 0").drop("broken", "parts", "object_id")
     shaped, _ = with_shapes(sound, shapes)
-    x, y = midpoint(F.col("line"))
+    x, y = point_along(F.col("line"), 0.5)
     placed = in_polygons(shaped.select("segment_id", x.alias("x"), y.alias("y")), zones).select("segment_id", "location_id")
     return shaped.join(placed, "segment_id")

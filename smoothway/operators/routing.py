@@ -1,11 +1,16 @@
-"""Directed road graphs: edges, shortest paths, contiguity of routes."""
+"""Directed road graphs: edges, shortest paths, routes to targets, contiguity of routes."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from smoothway.sources.scratch import written
+from smoothway.sources.scratch import discard, written
+
+#: Steps of a walk back along paths between two written tables.
+STEPS = 8
 
 
 def directed_edges(roads: DataFrame) -> DataFrame:
@@ -38,11 +43,62 @@ def shortest_paths(edges: DataFrame, sources: DataFrame) -> DataFrame:
         better = F.coalesce(F.col("_s").isNotNull() & (F.col("distance").isNull() | (F.col("_s.distance") < F.col("distance"))), F.lit(False))
         merged = best.drop("_new").join(reached, ["source", "target"], "full").withColumn("_new", better)
         merged = merged.select("source", "target", F.when(F.col("_new"), F.col("_s.distance")).otherwise(F.col("distance")).alias("distance"), F.when(F.col("_new"), F.struct("_s.previous", "_s.segment_id", "_s.reverse")).otherwise(F.col("last")).alias("last"), "_new")
-        best = written(merged, "paths")
+        best, before = written(merged, "paths"), best
+        discard(before)
         if best.filter("_new").isEmpty():
             return best.select("source", "target", "distance", "last.*")
 
 
+def paths_to(edges: DataFrame, asked: DataFrame) -> DataFrame:
+    """Shortest paths for the asked pairs (source, target): distance, hops and the path's edges in order.
+
+    Rows (source, target, distance, hops, segments: array<struct<segment_id, reverse>>); a pair without a
+    path has no row, one of a node with itself has no edges. Of equally long paths the one counts whose
+    last edge has the least (node before it, segment, direction).
+
+    Each hop extends only the nodes that the hop before has improved, and writes only what it improves in
+    turn. A source has a bound, the distance of its farthest target as known so far: nothing at or beyond
+    it can shorten a path to any of its targets, so the search of a source ends once all are settled,
+    however large the graph. Lengths must not be negative. A lost executor costs a hop at most.
+    """
+    hop = edges.groupBy(F.col("source").alias("previous"), F.col("target").alias("_to")).agg(F.min(F.struct("length", "segment_id", "reverse")).alias("_e"))
+    hop = written(hop, "hops")
+    asked = written(asked.select("source", "target").distinct(), "asked")
+    none = hop.select(F.lit(0.0).alias("distance"), "previous", F.col("_e.segment_id"), F.col("_e.reverse")).schema
+    start = asked.select("source", F.col("source").alias("node"), F.lit(0.0).alias("distance"), *[F.lit(None).cast(f.dataType).alias(f.name) for f in none.fields[1:]]).distinct()
+    deltas = [written(start, "paths")]
+    while True:
+        # what each hop improved; the last row of a node is its best, as distances only fall
+        known = reduce(DataFrame.unionByName, deltas).groupBy("source", "node").agg(F.min("distance").alias("_least"))
+        reached = asked.join(known, (asked["source"] == known["source"]) & (asked["target"] == known["node"]), "left")
+        bound = reached.groupBy(asked["source"]).agg(F.when(F.count_if(F.col("_least").isNull()) == 0, F.max("_least")).alias("_bound"))
+        step = deltas[-1].select("source", F.col("node").alias("previous"), "distance").join(hop, "previous")
+        far = F.round(F.col("distance") + F.col("_e.length"), 9).alias("distance")
+        best = step.select("source", F.col("_to").alias("node"), F.struct(far, "previous", "_e.segment_id", "_e.reverse").alias("_s")).groupBy("source", "node").agg(F.min("_s").alias("_s"))
+        fresh = best.join(bound, "source").filter(F.col("_bound").isNull() | (F.col("_s.distance") < F.col("_bound")))
+        fresh = fresh.join(known, ["source", "node"], "left").filter(F.col("_least").isNull() | (F.col("_s.distance") < F.col("_least")))
+        delta = written(fresh.select("source", "node", "_s.*"), "paths")
+        if delta.isEmpty():
+            discard(delta)
+            break
+        deltas.append(delta)
+    last = reduce(DataFrame.unionByName, [d.withColumn("hops", F.lit(k)) for k, d in enumerate(deltas)]).groupBy("source", "node").agg(F.min_by(F.struct("distance", "hops"), F.struct("distance", "hops")).alias("_b"))
+    ends = asked.join(last, (asked["source"] == last["source"]) & (asked["target"] == last["node"]))
+    found = ends.select(asked["source"], "target", "_b.distance", "_b.hops", F.col("target").alias("at"), F.array().cast("array<struct<segment_id: string, reverse: boolean>>").alias("segments"))
+    found = written(found, "walks")
+    for k in range(len(deltas) - 1, 0, -1):
+        # a node's best row of k edges lies in the k-th table, and that of the node before it in the table before
+        edge = deltas[k].select("source", F.col("node").alias("at"), "previous", F.struct("segment_id", "reverse").alias("_edge")).withColumn("_k", F.lit(k))
+        due = F.col("hops") - F.size("segments")
+        met = found.withColumn("_k", due).join(edge, ["source", "at", "_k"], "left")
+        found = met.select("source", "target", "distance", "hops", F.coalesce("previous", "at").alias("at"), F.when(F.col("_edge").isNull(), F.col("segments")).otherwise(F.concat(F.array("_edge"), "segments")).alias("segments"))
+        if k % STEPS == 1:
+            found = written(found, "walks")
+    found = written(found.drop("at"), "routes")
+    discard(*deltas, hop, asked)
+    return found
+
+
 def path(found: dict[tuple[str, str], tuple[str, str, bool]], source: str, target: str) -> list[tuple[str, bool]]:
     """The edges (segment_id, reverse) from source to target, from (source, target) -> last edge."""
     out = []

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 RADIUS_M, DISTANCE_WEIGHT, HEADING_WEIGHT, STREET_RADIUS_M = 30.0, 0.7, 0.3, 39.0
-#: Rows of roads or zones, by cells, that are broadcast at most: some tens of MB.
-MOST_BROADCAST = 500_000
+#: Bytes of roads or zones, copied to their cells, that are broadcast at most. 170,000 roads of three legs
+#: make some 3 million rows of 64 bytes.
+MOST_BROADCAST = 256 << 20
 
 
 def bearing(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
@@ -38,19 +39,28 @@ def _covering(df: DataFrame, left: Column, bottom: Column, right: Column, top: C
     return df.select("*", xs).select("*", ys)
 
 
-def in_grid(points: DataFrame, wide: DataFrame, size: float, test: Column, most_rows: int = MOST_BROADCAST) -> DataFrame:
+def _bytes(df: DataFrame) -> int:
+    """About how many bytes the rows of a table take."""
+    each = F.lit(32)
+    for f in df.schema.fields:
+        kind = f.dataType.typeName()
+        each = each + F.coalesce({"string": F.octet_length(f.name), "binary": F.octet_length(f.name), "array": 32 * F.size(f.name)}.get(kind, F.lit(8)), F.lit(0))
+    return df.agg(F.sum(each.cast("long"))).first()[0] or 0
+
+
+def in_grid(points: DataFrame, wide: DataFrame, size: float, test: Column, most_bytes: int = MOST_BROADCAST) -> DataFrame:
     """Points joined (left) to rows that cover cells, where the test holds: an equality join on cells.
 
-    Up to most_rows of the covering rows are broadcast, so the points aren't moved and no cell is too
+    Up to most_bytes of the covering rows are broadcast, so the points aren't moved and no cell is too
     full; beyond that both sides are dealt by cell. The rows that come out are the same.
     """
     here = points.withColumns({"_px": _cell(F.col("x"), size), "_py": _cell(F.col("y"), size)})
-    few = wide.limit(most_rows + 1).count() <= most_rows
+    few = _bytes(wide) <= most_bytes
     on = (F.col("_px") == F.col("_cx")) & (F.col("_py") == F.col("_cy")) & test
-    return here.join(F.broadcast(wide) if few else wide, on, "left").drop("_px", "_py", "_cx", "_cy")
+    return here.join(F.broadcast(wide) if few else wide.hint("merge"), on, "left").drop("_px", "_py", "_cx", "_cy")
 
 
-def candidates(points: DataFrame, roads: DataFrame, radius: float = RADIUS_M) -> DataFrame:
+def candidates(points: DataFrame, roads: DataFrame, radius: float = RADIUS_M, **options) -> DataFrame:
     """Points with each road within the radius; a point without any stays once, with nulls, and so does
     one without coordinates.
 
@@ -60,7 +70,7 @@ def candidates(points: DataFrame, roads: DataFrame, radius: float = RADIUS_M) ->
     size = max(radius, 50.0)
     wide = _covering(roads, F.least("x0", "x1") - radius, F.least("y0", "y1") - radius, F.greatest("x0", "x1") + radius, F.greatest("y0", "y1") + radius, size)
     distance = segment_distance(F.col("x"), F.col("y"), F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"))
-    return in_grid(points, wide, size, distance <= radius).withColumn("distance_m", F.when(F.col("segment_id").isNotNull(), distance))
+    return in_grid(points, wide, size, distance <= radius, **options).withColumn("distance_m", F.when(F.col("segment_id").isNotNull(), distance))
 
 
 def match_scores(df: DataFrame, radius: float = RADIUS_M) -> DataFrame:
@@ -134,18 +144,19 @@ def street_key(street: Column) -> Column:
     return F.regexp_replace(F.upper(street), "[^A-Z0-9]", "")
 
 
-def pavement(roads: DataFrame, ratings: DataFrame, as_of: int | None, radius: float = STREET_RADIUS_M, size: float | None = None, places: int = 6) -> DataFrame:
+def pavement(roads: DataFrame, ratings: DataFrame, as_of: int | None, radius: float = STREET_RADIUS_M, size: float | None = None, places: int = 6, legs: DataFrame | None = None) -> DataFrame:
     """Roads with the nearest rating of the same street within the radius, inspected up to as_of or at no
     known time; all ratings without as_of. Of equally near ratings (to some places) the latest counts, then
     an unknown one, then the higher one.
 
     The join is by street and grid cell, so a long street costs what lies near, not all its pairs. size is
-    the side of a cell in the unit of the coordinates, which may be metres or degrees.
+    the side of a cell in the unit of the coordinates, which may be metres or degrees. legs (segment_id, street,
+    x0, y0, x1, y1) are the straight pieces of the roads, where these aren't straight themselves.
     """
     size = size or max(radius, 50.0)
     some = F.lit(True) if as_of is None else F.col("inspected").isNull() | (F.col("inspected") <= as_of)
     r = ratings.filter(some).select(street_key(F.col("street")).alias("_key"), F.col("x").alias("_x"), F.col("y").alias("_y"), "inspected", "rating", _cell(F.col("x"), size).alias("_px"), _cell(F.col("y"), size).alias("_py"))
-    wide = _covering(roads.withColumn("_street", street_key(F.col("street"))), F.least("x0", "x1") - radius, F.least("y0", "y1") - radius, F.greatest("x0", "x1") + radius, F.greatest("y0", "y1") + radius, size)
+    wide = _covering((roads if legs is None else legs).withColumn("_street", street_key(F.col("street"))), F.least("x0", "x1") - radius, F.least("y0", "y1") - radius, F.greatest("x0", "x1") + radius, F.greatest("y0", "y1") + radius, size)
     far = segment_distance(F.col("_x"), F.col("_y"), F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"))
     met = wide.join(r, (F.col("_street") == F.col("_key")) & (F.col("_cx") == F.col("_px")) & (F.col("_cy") == F.col("_py"))).withColumn("_far", far).filter(F.col("_far") <= radius)
     best = met.groupBy("segment_id").agg(F.min_by("rating", F.struct(F.round("_far", places), F.coalesce(-F.col("inspected"), F.lit(0)), -F.col("rating"))).alias("pavement_rating"))

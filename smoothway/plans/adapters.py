@@ -142,6 +142,22 @@ VIEWS: dict[str, tuple[str, dict[str, str]]] = {
         "x2": "CAST((s_suppkey * 61) % 2000 + 90 AS DOUBLE)",
         "y2": "CAST((s_suppkey * 97) % 1500 + 30 AS DOUBLE)",
     }),
+    "bent_roads": ("supplier", {
+        "segment_id": "concat('s', CAST(s_suppkey AS VARCHAR(20)))",
+        "street": "concat(' Main-', CAST(s_suppkey % 25 AS VARCHAR(20)), ' st. ')",
+        "traffic_direction": "CASE s_suppkey % 3 WHEN 0 THEN 'W' WHEN 1 THEN 'A' ELSE 'T' END",
+        "from_node": "concat('n', CAST(s_suppkey % 40 AS VARCHAR(20)))",
+        "to_node": "concat('n', CAST((s_suppkey * 7 + 3) % 40 AS VARCHAR(20)))",
+        "n_points": "CAST(2 + s_suppkey % 3 AS INT)",
+        "x0": "CAST((s_suppkey * 61) % 2000 AS DOUBLE)",
+        "y0": "CAST((s_suppkey * 97) % 1500 AS DOUBLE)",
+        "x1": "CAST((s_suppkey * 61) % 2000 + 40 + s_suppkey % 30 AS DOUBLE)",
+        "y1": "CAST((s_suppkey * 97) % 1500 + 25 - s_suppkey % 40 AS DOUBLE)",
+        "x2": "CAST((s_suppkey * 61) % 2000 + 60 - s_suppkey % 20 AS DOUBLE)",
+        "y2": "CAST((s_suppkey * 97) % 1500 + 55 - s_suppkey % 20 AS DOUBLE)",
+        "x3": "CAST((s_suppkey * 61) % 2000 + 95 + s_suppkey % 17 AS DOUBLE)",
+        "y3": "CAST((s_suppkey * 97) % 1500 + 10 + s_suppkey % 23 AS DOUBLE)",
+    }),
     "humps": ("part", {
         "hump_id": "p_partkey",
         "street": "concat('MAIN ', CAST(p_partkey % 30 AS VARCHAR(20)), ' ST')",

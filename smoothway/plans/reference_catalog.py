@@ -80,7 +80,8 @@ def _(read):
     return found.select("segment_id", "hump_count", F.round(total, 6).alias("shares"))
 
 
-_RINGS = """placed AS (SELECT s.*, (s.x0 + s.x2) / 2 AS mx, (s.y0 + s.y2) / 2 AS my FROM road_shapes s)"""
+_RINGS = """measured AS (SELECT *, sqrt(power(x1 - x0, 2) + power(y1 - y0, 2)) AS one, sqrt(power(x2 - x1, 2) + power(y2 - y1, 2)) AS two FROM road_shapes),
+ placed AS (SELECT *, CASE WHEN one >= two THEN x0 + (one + two) / 2 / one * (x1 - x0) ELSE x1 + (two - one) / 2 / two * (x2 - x1) END AS mx, CASE WHEN one >= two THEN y0 + (one + two) / 2 / one * (y1 - y0) ELSE y1 + (two - one) / 2 / two * (y2 - y1) END AS my FROM measured)"""
 
 
 def _rings(read) -> DataFrame:
@@ -402,8 +403,9 @@ def _(read):
 
 
 def _nodes(read) -> DataFrame:
-    """Ends of roads in the first zone that covers them."""
-    ends = read("road_segments").select(F.col("from_node").alias("node"), F.col("x0").alias("x"), F.col("y0").alias("y")).groupBy("node").agg(F.min(F.struct("x", "y")).alias("p"))
+    """Ends of roads, both of each, in the first zone that covers them."""
+    at = lambda node, k: read("road_segments").select(F.col(node).alias("node"), F.col(f"x{k}").alias("x"), F.col(f"y{k}").alias("y"))
+    ends = at("from_node", 0).unionByName(at("to_node", 1)).groupBy("node").agg(F.min(F.struct("x", "y")).alias("p"))
     return spatial.in_zones(ends.select("node", "p.x", "p.y"), read("zones")).filter("location_id is not null")
 
 
@@ -411,7 +413,7 @@ def _centres(read) -> DataFrame:
     return read("zones").select("location_id", (F.col("x0") + F.col("width") / 2).alias("cx"), (F.col("y0") + F.col("height") / 2).alias("cy"))
 
 
-NODES = """ends AS (SELECT from_node AS node, min(x0) AS x, arg_min(y0, (x0, y0)) AS y FROM road_segments GROUP BY 1), nodes AS (SELECT node, e.x, e.y, min(location_id) AS location_id FROM ends e JOIN zones z ON e.x BETWEEN z.x0 AND z.x0 + z.width AND e.y BETWEEN z.y0 AND z.y0 + z.height GROUP BY 1, 2, 3),
+NODES = """ends AS (SELECT node, min(x) AS x, arg_min(y, (x, y)) AS y FROM (SELECT from_node AS node, x0 AS x, y0 AS y FROM road_segments UNION ALL SELECT to_node, x1, y1 FROM road_segments) GROUP BY 1), nodes AS (SELECT node, e.x, e.y, min(location_id) AS location_id FROM ends e JOIN zones z ON e.x BETWEEN z.x0 AND z.x0 + z.width AND e.y BETWEEN z.y0 AND z.y0 + z.height GROUP BY 1, 2, 3),
  firsts AS (SELECT * FROM (SELECT n.*, row_number() OVER (PARTITION BY location_id ORDER BY round(sqrt(power(n.x - (z.x0 + z.width / 2), 2) + power(n.y - (z.y0 + z.height / 2), 2)), 6), node) AS rn FROM nodes n JOIN zones z USING (location_id)) WHERE rn = 1),
  seconds AS (SELECT * FROM (SELECT n.location_id, n.node, row_number() OVER (PARTITION BY n.location_id ORDER BY round(sqrt(power(n.x - f.x, 2) + power(n.y - f.y, 2)), 6) DESC, n.node DESC) AS rn FROM nodes n JOIN firsts f USING (location_id) WHERE n.node <> f.node) WHERE rn = 1)"""
 
@@ -422,13 +424,48 @@ def _(read):
 
 
 def _routes(read) -> DataFrame:
-    """A route for each pair of zones that trips join, by the shortest paths between all anchors."""
+    """A route for each pair of zones that trips join, by the shortest paths between the anchors of these pairs."""
     both = profiles.anchors(_nodes(read), _centres(read))
     ends = both.select("location_id", F.explode(F.array_compact(F.array("first", "second"))).alias("node"))
-    edges = routing.directed_edges(read("road_segments"))
-    paths = routing.shortest_paths(edges, ends.select("node").distinct())
     asked = zones.od_statistics(zones.valid_trips(read("trips"))).select("pickup_zone", "dropoff_zone", (F.col("median_miles") * 1609.344).alias("length"))
-    return profiles.chosen_routes(asked, ends, paths)
+    return profiles.chosen_routes(asked, ends, _between(read, asked, ends))
+
+
+def _between(read, asked: DataFrame, ends: DataFrame) -> DataFrame:
+    """Paths from the nodes of a pickup zone to those of the zones that trips join it to."""
+    side = lambda zone, node: ends.select(F.col("location_id").alias(zone), F.col("node").alias(node))
+    pairs = asked.join(side("pickup_zone", "source"), "pickup_zone").join(side("dropoff_zone", "target"), "dropoff_zone")
+    return routing.paths_to(routing.directed_edges(read("road_segments")), pairs.select("source", "target"))
+
+
+@query("g2_paths_to_targets")
+def _(read):
+    """From the anchors of each pickup zone to those of the zones that its trips go to."""
+    both = profiles.anchors(_nodes(read), _centres(read))
+    ends = both.select("location_id", F.explode(F.array_compact(F.array("first", "second"))).alias("node"))
+    found = _between(read, zones.od_statistics(zones.valid_trips(read("trips"))), ends)
+    return found.select("source", "target", F.round("distance", 6).alias("distance"), "hops", F.array_join(F.transform("segments", lambda s: F.concat(s["segment_id"], F.when(s["reverse"], "-").otherwise("+"))), " ").alias("segments"))
+
+
+@query("g4_accepted_routes")
+def _(read):
+    """A route for each trip, accepted as soon as one is within 15 % of the trip's length."""
+    trips = zones.valid_trips(read("trips")).select("trip_id", "pickup_zone", "dropoff_zone", (F.col("miles") * 1609.344).alias("length"))
+    nodes = _nodes(read).select("location_id", "node")
+    return profiles.accepted_routes(trips, nodes, _between(read, trips.select("pickup_zone", "dropoff_zone").distinct(), nodes))
+
+
+@query("g4_route_templates")
+def _(read):
+    """The chosen route of each pair of zones with its edges."""
+    both = profiles.anchors(_nodes(read), _centres(read))
+    ends = both.select("location_id", F.explode(F.array_compact(F.array("first", "second"))).alias("node"))
+    asked = zones.od_statistics(zones.valid_trips(read("trips"))).select("pickup_zone", "dropoff_zone", (F.col("median_miles") * 1609.344).alias("length"))
+    paths = _between(read, asked, ends)
+    chosen = profiles.chosen_routes(asked, ends, paths)
+    edges = paths.select(F.col("source").alias("start_node"), F.col("target").alias("end_node"), "segments")
+    found = chosen.join(edges, ["start_node", "end_node"], "left")
+    return found.select("pickup_zone", "dropoff_zone", "start_node", "end_node", "skip_reason", F.array_join("segments.segment_id", " ").alias("route_segment_ids"), F.array_join(F.transform("segments.reverse", lambda r: r.cast("int").cast("string")), "").alias("route_reverse_flags"))
 
 
 @query("g4_chosen_routes")

@@ -26,4 +26,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet and read it back: lineage ends there."""
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    found.written_at = path
+    return found
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete written tables from which all that is needed has been written in turn."""
+    for table in tables:
+        spark = table.sparkSession
+        at = spark._jvm.org.apache.hadoop.fs.Path(table.written_at)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
