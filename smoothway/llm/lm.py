@@ -15,7 +15,6 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,31 +22,63 @@ from smoothway.llm.store import discard, written
 
 ORDER, BACKOFF = 3, 0.4
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+#: A byte that is none of a word; bytes that are hashed together; the polynomial's number.
+GAP, PIECE, KEY = re.compile(rb"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"), 1 << 20, 0x9E3779B97F4A7C15
 #: What stands before the first word of a text, as a hash.
 START = np.uint64(0x5851F42D4C957F2D)
 #: Parts of the contexts that are dealt one after another; each needs so much less room on disk.
-SLICES = 2
+SLICES = 3
 LOW = 0x7FFFFFFF
 #: A context with more rows than this, or than this share of all rows, is too frequent for one place.
 MOST_ROWS, OFTEN = 4_000_000, 0.001
 #: Counters by which frequent contexts are found, and one text in so many that is looked at for that.
 SLOTS, LOOKED_AT = 1 << 16, 16
+#: The context of no words, as a hash.
+NOTHING = 1
 #: Rows in a batch that a task hands to Spark.
 BATCH = 1 << 19
 #: Logarithms are whole numbers of this unit, so that sums don't depend on the order of rows.
 UNIT = 1e-9
 
 
-def words_of(text: bytes | None) -> list[bytes]:
-    """Words of a text: A-Z in lower case, runs of digits, letters and all beyond ASCII."""
-    return WORD.findall(text.lower()) if text else []
+def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A number for each byte (0: none of a word, A-Z as a-z), and the powers of KEY and of its inverse."""
+    rng = np.random.default_rng(11)
+    value = rng.integers(1, 1 << 63, size=256, dtype=np.uint64)
+    value[[b for b in range(128) if not WORD.match(bytes([b]))]] = 0
+    value[65:91] = value[97:123]
+    powers = [np.concatenate([np.ones(1, dtype=np.uint64), np.full(2 * PIECE - 1, k, dtype=np.uint64)]) for k in (KEY, pow(KEY, -1, 1 << 64))]
+    return value, *(np.cumprod(p, dtype=np.uint64) for p in powers)
 
 
 def _hashed(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of the texts, and how many each text has."""
-    each = [words_of(t) for t in texts]
-    sizes = np.fromiter(map(len, each), dtype=np.int64, count=len(each))
-    return np.fromiter((xxhash.xxh3_64_intdigest(w) for words in each for w in words), dtype=np.uint64, count=int(sizes.sum())), sizes
+    """Hashes of all words of the texts, and how many each text has.
+
+    A word's hash is a polynomial of its bytes' numbers. Texts are hashed together, piece by piece: sums of
+    all bytes up to each place give every word's polynomial as a difference, brought back to power 0.
+    """
+    value, up, down = _hashed.tables = getattr(_hashed, "tables", None) or _tables()
+    whole = b"\0".join(t or b"" for t in texts) + b"\0"
+    hashes, firsts, at = [], [], 0
+    while at < len(whole):
+        to = GAP.search(whole, min(at + PIECE, len(whole)) - 1).end()
+        part = np.frombuffer(whole, dtype=np.uint8, count=to - at, offset=at)
+        if len(part) > len(up):  # a word longer than a piece
+            up, down = (np.concatenate([p, np.full(len(part) - len(p), p[1], dtype=np.uint64)]) for p in (up, down))
+            up[2 * PIECE :], down[2 * PIECE :] = up[2 * PIECE - 1] * np.cumprod(up[2 * PIECE :], dtype=np.uint64), down[2 * PIECE - 1] * np.cumprod(down[2 * PIECE :], dtype=np.uint64)
+        known = value[part]
+        edge = np.flatnonzero(np.diff((known != 0).astype(np.int8), prepend=np.int8(0)))
+        start, end = edge[::2], edge[1::2]
+        sums = np.cumsum(known * up[: len(part)], dtype=np.uint64)
+        x = (sums[end - 1] - np.where(start > 0, sums[start - 1], 0)) * down[start]
+        x ^= x >> np.uint64(32)
+        x *= np.uint64(0xD6E8FEB86659FD93)
+        hashes.append(x ^ x >> np.uint64(32))
+        firsts.append(start + at)
+        at = to
+    ends = np.cumsum(np.fromiter((len(t or b"") + 1 for t in texts), dtype=np.int64, count=len(texts)))
+    sizes = np.diff(np.searchsorted(np.concatenate(firsts), ends) if firsts else np.zeros(len(texts), dtype=np.int64), prepend=0)
+    return np.concatenate(hashes) if hashes else np.zeros(0, dtype=np.uint64), sizes
 
 
 def _contexts(words: np.ndarray, sizes: np.ndarray, order: int) -> np.ndarray:
@@ -88,13 +119,14 @@ def _frequent(rows: DataFrame, order: int) -> tuple[int, ...]:
 
 
 def gram_rows(rows: DataFrame, order: int, part: int | None, parts: int, frequent: tuple[int, ...] | None, summed: bool = False) -> DataFrame:
-    """Rows (row, context, word, times, counts, shorter) of all n-grams of a part of the contexts, part None
-    for the frequent ones (all, if these are None): how often the text has one, and how often it counts (0 where the text isn't known).
+    """Rows (row, context, word, times, shorter) of all n-grams of a part of the contexts, part None for the
+    frequent ones (all, if these are None). times is how often the text has one, below 0 where the text isn't
+    known, as it then doesn't count.
 
     shorter has the hashes of the contexts of fewer words, longest first, for texts that aren't known; others
     never need them. With summed only known texts matter, and a row has the sum of many (row is null).
     """
-    kind = "row long, context long, word long, times int, counts int, shorter array<long>"
+    kind = "row long, context long, word long, times int, shorter array<long>"
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = np.full(SLOTS, frequent is None)
@@ -113,11 +145,12 @@ def gram_rows(rows: DataFrame, order: int, part: int | None, parts: int, frequen
             fewer = [_contexts(words, sizes, k).view(np.int64) for k in range(order - 1, 0, -1)] if not summed else []
             for k in range(0, len(at), BATCH):
                 i, n = at[k : k + BATCH], times[k : k + BATCH].astype(np.int32)
-                lists = np.where(known[i], 0, len(fewer))
+                own = known[i]
+                lists = np.where(own, 0, len(fewer))
                 flat = np.stack([c[i][lists > 0] for c in fewer], axis=1).ravel() if fewer else np.zeros(0, dtype=np.int64)
-                shorter = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lists)]).astype(np.int32)), pa.array(flat))
-                out = [pa.nulls(len(i), pa.int64()) if summed else pa.array(row[i]), pa.array(context[i].view(np.int64)), pa.array(words[i].view(np.int64)), pa.array(n), pa.array(n * known[i]), shorter]
-                yield pa.RecordBatch.from_arrays(out, names=["row", "context", "word", "times", "counts", "shorter"])
+                shorter = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lists)]).astype(np.int32)), pa.array(flat), mask=pa.array(own))
+                out = [pa.nulls(len(i), pa.int64()) if summed else pa.array(row[i]), pa.array(context[i].view(np.int64)), pa.array(words[i].view(np.int64)), pa.array(np.where(own, n, -n)), shorter]
+                yield pa.RecordBatch.from_arrays(out, names=["row", "context", "word", "times", "shorter"])
 
     return rows.select("row", "text", "known").mapInArrow(explode, kind)
 
@@ -125,13 +158,13 @@ def gram_rows(rows: DataFrame, order: int, part: int | None, parts: int, frequen
 def _counted(grams: DataFrame) -> DataFrame:
     """Each row with the counts of its n-gram and its context, one shuffle by context."""
     gram, context = Window.partitionBy("context", "word"), Window.partitionBy("context")
-    return grams.repartition("context").withColumn("n", F.sum("counts").over(gram)).withColumn("of", F.sum("counts").over(context))
+    return grams.repartition("context").withColumn("n", F.sum(F.greatest("times", F.lit(0))).over(gram)).withColumn("of", F.sum(F.greatest("times", F.lit(0))).over(context))
 
 
 def _joined(grams: DataFrame) -> DataFrame:
     """The same for frequent contexts: count tables, summed in the tasks before they are shuffled, are
     joined to the rows (a stored table); those of n-grams with more than a share OFTEN by broadcast."""
-    table = grams.groupBy("context", "word").agg(F.sum("counts").alias("n"))
+    table = grams.groupBy("context", "word").agg(F.sum(F.greatest("times", F.lit(0))).alias("n"))
     table = written(table.join(table.groupBy("context").agg(F.sum("n").alias("of")), "context"), "lm-table")
     least = max(1.0, OFTEN * (table.agg(F.sum("n")).first()[0] or 0))
     hot = F.broadcast(table.filter(F.col("n") > least))  # fewer than 1 / OFTEN rows
@@ -170,16 +203,24 @@ def backoff_scores(docs: DataFrame, corpus: DataFrame | None = None, learn: Colu
             discard(grams)
         sums.append(scored.filter("shorter is null"))
         more.append(_shortened(scored))
+    table = None
     for k in range(order - 1, 0, -1):
         left = reduce(DataFrame.unionByName, more)
         if left.isEmpty():
             break
-        table = written(gram_rows(rows, k, None, 1, None, summed=True).groupBy("context", "word").agg(F.sum("counts").alias("n")), "lm-table")
+        if k == 1 and table is not None:  # each word has one n-gram of each order
+            grams, longer = table.select(F.lit(NOTHING).alias("context"), "word", "n"), table
+        else:
+            grams, longer = gram_rows(rows, k, None, 1, None, summed=True).withColumn("n", F.col("times")), table
+        table = written(grams.groupBy("context", "word").agg(F.sum("n").alias("n")), "lm-table")
         of = table.groupBy("context").agg(F.sum("n").alias("of"))  # without a context, one row
         scored = written(_summed(left.join(table, ["context", "word"], "left").join(of if k > 1 else F.broadcast(of), "context", "left"), order - k, backoff, last=k == 1), "lm-scored")
-        discard(table)
+        if longer is not None:
+            discard(longer)
         sums.append(scored.filter("shorter is null"))
         more = [_shortened(scored)]
+    if table is not None:
+        discard(table)
     totals = [F.sum(c).alias(c) for c in ("score", "backed", "n_tokens")]
     whole = reduce(DataFrame.unionByName, sums).groupBy("row").agg(*totals)
     found = rows.filter("row >= 0").drop("text", "known").join(whole, "row", "left").fillna(0, ["score", "backed", "n_tokens"])
@@ -198,5 +239,5 @@ def _summed(counted: DataFrame, lost: int, backoff: float, last: bool) -> DataFr
     met = F.lit(True) if last else F.coalesce(F.col("n") > 0, F.lit(False))
     count = lambda c: _log(F.greatest(F.col(c), F.lit(1)))  # noqa: E731  (greatest skips nulls)
     score = count("n") - count("of") + lost * _log(F.lit(backoff))
-    key = [F.when(~met, F.col(c)).alias(c) for c in ("word", "shorter")]
-    return counted.groupBy("row", *key).agg(F.sum(F.when(met, score * F.col("times"))).alias("score"), F.sum(F.col("times") * int(lost > 0)).alias("backed"), F.sum("times").alias("n_tokens"), F.sum("times").cast("int").alias("times"))
+    key, times = [F.when(~met, F.col(c)).alias(c) for c in ("word", "shorter")], F.abs("times")
+    return counted.groupBy("row", *key).agg(F.sum(F.when(met, score * times)).alias("score"), F.sum(times * int(lost > 0)).alias("backed"), F.sum(times).alias("n_tokens"), (-F.sum(times)).cast("int").alias("times"))

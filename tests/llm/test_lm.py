@@ -104,6 +104,19 @@ def test_contexts_are_frequent_by_their_rows_however_many_there_are(spark, monke
 def test_a_text_sends_each_ngram_once(spark):
     rows = spark.createDataFrame([(0, "a b a b a b a b", True), (1, "a b", False)], "row long, text string, known boolean")
     grams = lm.gram_rows(rows, 2, None, 1, None).collect()
-    assert sorted((r["row"], r["times"], r["counts"], len(r["shorter"])) for r in grams) == [(0, 1, 1, 0), (0, 3, 3, 0), (0, 4, 4, 0), (1, 1, 0, 1), (1, 1, 0, 1)]
+    assert sorted((r["row"], r["times"], len(r["shorter"] or [])) for r in grams) == [(0, 1, 0), (0, 3, 0), (0, 4, 0), (1, -1, 1), (1, -1, 1)]
     summed = lm.gram_rows(rows, 2, None, 1, None, summed=True).collect()
-    assert {r["row"] for r in summed} == {None} and sum(r["counts"] for r in summed) == 8
+    assert {r["row"] for r in summed} == {None} and sum(r["times"] for r in summed) == 8
+
+
+def test_words_have_their_own_hashes_in_pieces_of_any_size(monkeypatch):
+    texts = ["Aa bb aA, x" * 9, None, "", "é9 " * 50 + "w" * 700, "?!", "bb"] + [f"w{k} ab{k}" for k in range(3000)]
+    raw = [t if t is None else t.encode() for t in texts]
+    hashes, sizes = lm._hashed(raw)
+    assert sizes.tolist() == [len(_words(t)) for t in texts]
+    said = [w for t in texts for w in _words(t)]
+    assert len(set(zip(said, hashes.tolist(), strict=True))) == len(set(said)) == len(set(hashes.tolist()))
+    monkeypatch.setattr(lm, "PIECE", 64)
+    monkeypatch.setattr(lm._hashed, "tables", lm._tables())
+    again = lm._hashed(raw)
+    assert again[0].tolist() == hashes.tolist() and again[1].tolist() == sizes.tolist()
