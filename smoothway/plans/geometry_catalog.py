@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from smoothway.operators import polylines, roads
+from smoothway.operators import polygons, polylines, roads
 from smoothway.plans.adapters import oracle
 from smoothway.plans.registry import query, rounded
 
@@ -78,3 +78,82 @@ def _(read):
     made = rows.select("segment_id", roads.one_line(parts).isNotNull().alias("sound"), names.alias("asked"))
     # a line where one was asked for and none where not; any other outcome shows as such
     return made.select("segment_id", F.when(F.col("sound") == (F.col("asked") == "line"), F.col("asked")).otherwise("wrong").alias("state"))
+
+
+# --- polygons --------------------------------------------------------------------------------------
+
+
+def _ring(*points: tuple[str, str]):
+    p = lambda x, y: F.struct(F.expr(x).cast("double").alias("x"), F.expr(y).cast("double").alias("y"))
+    return F.array(*[p(x, y) for x, y in (*points, points[0])])
+
+
+def corners(read) -> DataFrame:
+    """Zones without their upper right corner: the lower half and the left of the upper half of each box."""
+    half, up = "x0 + floor(width / 2)", "y0 + floor(height / 2)"
+    ring = _ring(("x0", "y0"), ("x0 + width", "y0"), ("x0 + width", up), (half, up), (half, "y0 + height"), ("x0", "y0 + height"))
+    return read("zones").select("location_id", "borough", ring.alias("ring"))
+
+
+def _boxes(rows: DataFrame, width: str, height: str) -> DataFrame:
+    return rows.withColumn("ring", _ring(("x0", "y0"), (f"x0 + {width}", "y0"), (f"x0 + {width}", f"y0 + {height}"), ("x0", f"y0 + {height}")))
+
+
+PARTS = """parts AS (SELECT location_id, x0 AS l, y0 AS b, x0 + width AS r, y0 + floor(height / 2) AS t FROM zones UNION ALL SELECT location_id, x0, y0 + floor(height / 2), x0 + floor(width / 2), y0 + height FROM zones),
+ sizes AS (SELECT location_id, sum((r - l) * (t - b)) AS whole FROM parts GROUP BY 1)"""
+
+
+@query("j22_polygon_shares", oracle(["zones", "road_segments"], """SELECT id, location_id, round(sum((least(x1, r) - greatest(x0, l)) * (least(y1, t) - greatest(y0, b))) / any_value((x1 - x0) * (y1 - y0)), 6) AS share FROM (SELECT segment_id AS id, x0, y0, x1, y1 FROM road_segments) JOIN parts ON least(x1, r) > greatest(x0, l) AND least(y1, t) > greatest(y0, b) GROUP BY 1, 2""", PARTS))
+def _(read):
+    """Shares of the boxes of roads in zones that aren't convex."""
+    one = _boxes(read("road_segments").withColumnRenamed("segment_id", "id"), "(x1 - x0)", "(y1 - y0)").select("id", "ring")
+    found = polygons.overlaid(one, corners(read).select("location_id", "ring"))
+    return found.select("id", "location_id", F.round("share", 6).alias("share"))
+
+
+@query("j30_park_areas", oracle(["zones", "pavement"], """SELECT location_id, round(coalesce(n, 0), 6) AS park_area, round(coalesce(n, 0) / whole, 6) AS park_area_ratio FROM sizes LEFT JOIN (SELECT location_id, CAST(count(DISTINCT (i, j)) AS DOUBLE) AS n FROM
+ (SELECT DISTINCT i, j FROM (SELECT y, x, h, unnest(range(CAST(x AS BIGINT), CAST(x AS BIGINT) + w)) AS i FROM (SELECT x, y, CAST(20 + rating AS BIGINT) AS w, CAST(12 + rating AS BIGINT) AS h FROM pavement)), LATERAL (SELECT unnest(range(CAST(y AS BIGINT), CAST(y AS BIGINT) + h)) AS j)) JOIN parts ON i >= l AND i < r AND j >= b AND j < t GROUP BY 1) USING (location_id)""", PARTS))
+def _(read):
+    """Parks are boxes about rated points, many of which overlap; the SQL counts unit squares."""
+    parks = _boxes(read("pavement").selectExpr("x AS x0", "y AS y0", "20 + rating AS w", "12 + rating AS h"), "w", "h").select("ring")
+    return rounded(polygons.covered_areas(corners(read).select("location_id", "ring"), parks))
+
+
+def _tiles(read) -> DataFrame:
+    """Zones as tiles that adjoin."""
+    at = read("zones").selectExpr("location_id", "borough", "CAST((location_id % 5) * 400 AS DOUBLE) AS x0", "CAST(location_id div 5 * 300 AS DOUBLE) AS y0")
+    return _boxes(at, "400", "300").select("location_id", "borough", "ring")
+
+
+TILES = """tiles AS (SELECT location_id, borough, location_id % 5 AS c, location_id // 5 AS r FROM zones), sides AS (SELECT t.borough, CASE WHEN d.dc = 0 THEN 400.0 ELSE 300.0 END AS len, n.borough AS other FROM tiles t CROSS JOIN (VALUES (1, 0), (-1, 0), (0, 1), (0, -1)) d(dc, dr) LEFT JOIN tiles n ON n.c = t.c + d.dc AND n.r = t.r + d.dr)"""
+
+
+@query("a31_borough_outlines", oracle(["zones"], "SELECT borough, round(any_value(area), 6) AS area, round(CAST(sum(len) FILTER (other IS DISTINCT FROM borough) AS DOUBLE), 6) AS outline FROM sides JOIN (SELECT borough, CAST(count(*) * 120000.0 AS DOUBLE) AS area FROM tiles GROUP BY 1) USING (borough) GROUP BY 1", TILES))
+def _(read):
+    """Area and length of each borough's outlines; holes count less than nothing in the first."""
+    found = polygons.dissolved(_tiles(read), "borough").withColumn("len", roads.line_length(F.col("ring")))
+    return rounded(found.groupBy("borough").agg(F.sum("area").alias("area"), F.sum("len").alias("outline")))
+
+
+@query("j25_adjacent_polygons", oracle(["zones"], "SELECT a.location_id AS a, b.location_id AS b FROM tiles a JOIN tiles b ON a.location_id < b.location_id AND abs(a.c - b.c) <= 1 AND abs(a.r - b.r) <= 1", TILES))
+def _(read):
+    return polygons.adjacent(_tiles(read))
+
+
+@query("g6_regions")
+def _(read):
+    return polygons.regions(corners(read).select("location_id", "ring"), 8)
+
+
+@query("g7_snapped_points", oracle(["zones"], f"""SELECT region, round(mx, 6) AS x, round(CASE WHEN region % 2 = 0 THEN my ELSE my END, 6) AS y, false AS snapped FROM (SELECT location_id % 5 AS region, avg(200 + 400 * (location_id % 5)) AS mx, avg(150 + 300 * (location_id // 5)) AS my FROM zones GROUP BY 1)"""))
+def _(read):
+    """Columns of tiles: their mean point lies in the middle one."""
+    of = read("zones").selectExpr("location_id", "location_id % 5 AS region")
+    x, y = polygons.inner_point(F.col("ring"))
+    return rounded(polygons.region_points(_tiles(read).select("location_id", "ring", x.alias("x"), y.alias("y")), of))
+
+
+@query("g8_inner_points", oracle(["zones"], "SELECT location_id, borough, round(whole, 6) AS area, round(x0 + floor(width / 2) / 2, 6) AS x, round(y0 + (floor(height / 2) + height) / 2, 6) AS y FROM zones JOIN sizes USING (location_id)", PARTS))
+def _(read):
+    """The level line of such a zone runs half way between its middle, where it has corners, and its top."""
+    return rounded(polygons.zone_master(corners(read)).drop("ring"))
