@@ -119,14 +119,16 @@ def _frequent(rows: DataFrame, order: int) -> tuple[int, ...]:
 
 
 def gram_rows(rows: DataFrame, order: int, part: int | None, parts: int, frequent: tuple[int, ...] | None, summed: bool = False) -> DataFrame:
-    """Rows (row, context, word, times, shorter) of all n-grams of a part of the contexts, part None for the
+    """Rows (row, context, word, times, c...) of all n-grams of a part of the contexts, part None for the
     frequent ones (all, if these are None). times is how often the text has one, below 0 where the text isn't
     known, as it then doesn't count.
 
-    shorter has the hashes of the contexts of fewer words, longest first, for texts that aren't known; others
-    never need them. With summed only known texts matter, and a row has the sum of many (row is null).
+    For texts that aren't known, c2 and so on are the contexts of n-grams of two words and more; others never
+    need them. With summed only known texts matter, and a row has the sum of many (row is null).
     """
-    kind = "row long, context long, word long, times int, shorter array<long>"
+    less = [] if summed else list(range(2, order))
+    names = ["row", "context", "word", "times", *[f"c{k}" for k in less]]
+    kind = "row long, context long, word long, times int" + "".join(f", c{k} long" for k in less)
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = np.full(SLOTS, frequent is None)
@@ -142,15 +144,12 @@ def gram_rows(rows: DataFrame, order: int, part: int | None, parts: int, frequen
                 key ^= row[at].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
             _, first, times = np.unique(key, return_index=True, return_counts=True)
             at = at[first]
-            fewer = [_contexts(words, sizes, k).view(np.int64) for k in range(order - 1, 0, -1)] if not summed else []
+            fewer = [_contexts(words, sizes, k).view(np.int64) for k in less]
             for k in range(0, len(at), BATCH):
                 i, n = at[k : k + BATCH], times[k : k + BATCH].astype(np.int32)
                 own = known[i]
-                lists = np.where(own, 0, len(fewer))
-                flat = np.stack([c[i][lists > 0] for c in fewer], axis=1).ravel() if fewer else np.zeros(0, dtype=np.int64)
-                shorter = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lists)]).astype(np.int32)), pa.array(flat), mask=pa.array(own))
-                out = [pa.nulls(len(i), pa.int64()) if summed else pa.array(row[i]), pa.array(context[i].view(np.int64)), pa.array(words[i].view(np.int64)), pa.array(np.where(own, n, -n)), shorter]
-                yield pa.RecordBatch.from_arrays(out, names=["row", "context", "word", "times", "shorter"])
+                out = [pa.nulls(len(i), pa.int64()) if summed else pa.array(row[i]), pa.array(context[i].view(np.int64)), pa.array(words[i].view(np.int64)), pa.array(np.where(own, n, -n))]
+                yield pa.RecordBatch.from_arrays([*out, *[pa.array(c[i], mask=own) for c in fewer]], names=names)
 
     return rows.select("row", "text", "known").mapInArrow(explode, kind)
 
@@ -201,24 +200,30 @@ def backoff_scores(docs: DataFrame, corpus: DataFrame | None = None, learn: Colu
         scored = written(_summed((_counted if part is not None else _joined)(grams).filter("row >= 0"), 0, backoff, last=order == 1), "lm-scored")
         if part is None:
             discard(grams)
-        sums.append(scored.filter("shorter is null"))
-        more.append(_shortened(scored))
+        sums.append(scored.filter("word is null").select("row", "score", "backed", "n_tokens"))
+        more.append(_shortened(scored, order - 1))
     table = None
     for k in range(order - 1, 0, -1):
         left = reduce(DataFrame.unionByName, more)
         if left.isEmpty():
             break
-        if k == 1 and table is not None:  # each word has one n-gram of each order
-            grams, longer = table.select(F.lit(NOTHING).alias("context"), "word", "n"), table
-        else:
-            grams, longer = gram_rows(rows, k, None, 1, None, summed=True).withColumn("n", F.col("times")), table
-        table = written(grams.groupBy("context", "word").agg(F.sum("n").alias("n")), "lm-table")
-        of = table.groupBy("context").agg(F.sum("n").alias("of"))  # without a context, one row
-        scored = written(_summed(left.join(table, ["context", "word"], "left").join(of if k > 1 else F.broadcast(of), "context", "left"), order - k, backoff, last=k == 1), "lm-scored")
-        if longer is not None:
-            discard(longer)
-        sums.append(scored.filter("shorter is null"))
-        more = [_shortened(scored)]
+        longer, tables, more = table, [], []
+        for part in range(slices if k > 1 else 1):
+            if k == 1 and longer is not None:  # each word has one n-gram of each order
+                grams = longer.select(F.lit(NOTHING).alias("context"), "word", "n")
+            else:
+                grams = gram_rows(rows, k, part, slices if k > 1 else 1, (), summed=True).withColumn("n", F.col("times"))
+            table = written(grams.groupBy("context", "word").agg(F.sum("n").alias("n")), "lm-table")
+            of = table.groupBy("context").agg(F.sum("n").alias("of"))  # without a context, one row
+            asked = left.filter(F.col("context").bitwiseAND(F.lit(LOW)) % slices == part) if k > 1 else left
+            scored = written(_summed(asked.join(table, ["context", "word"], "left").join(of if k > 1 else F.broadcast(of), "context", "left"), order - k, backoff, last=k == 1), "lm-scored")
+            sums.append(scored.filter("word is null").select("row", "score", "backed", "n_tokens"))
+            more.append(_shortened(scored, k - 1))
+            tables.append(table)
+        words = [written(t.groupBy("word").agg(F.sum("n").alias("n")), "lm-words") for t in tables] if k == 2 else []
+        discard(*tables, *([longer] if longer is not None else []))
+        table = written(reduce(DataFrame.unionByName, words), "lm-words") if words else None
+        discard(*words)
     if table is not None:
         discard(table)
     totals = [F.sum(c).alias(c) for c in ("score", "backed", "n_tokens")]
@@ -228,9 +233,11 @@ def backoff_scores(docs: DataFrame, corpus: DataFrame | None = None, learn: Colu
     return found.select(F.col("doc_id").alias(doc_id), "n_tokens", F.col("backed").alias("n_backed_off"), F.round(log_prob, 6).alias("log_prob"), F.when(F.col("n_tokens") > 0, F.round(F.exp(-log_prob / F.col("n_tokens")), 6)).alias("perplexity"))
 
 
-def _shortened(scored: DataFrame) -> DataFrame:
-    """The n-grams without a count, each with the next shorter context."""
-    return scored.filter("shorter is not null").select("row", F.get("shorter", F.lit(0)).alias("context"), "word", "times", F.slice("shorter", 2, F.size("shorter")).alias("shorter"))
+def _shortened(scored: DataFrame, order: int) -> DataFrame:
+    """The n-grams without a count, each with the context of an n-gram of order words."""
+    rest = [c for c in scored.columns if c[0] == "c" and c[1:].isdigit() and int(c[1:]) < order]
+    context = F.col(f"c{order}") if order > 1 else F.lit(NOTHING).cast("long")
+    return scored.filter("word is not null").select("row", context.alias("context"), "word", "times", *rest)
 
 
 def _summed(counted: DataFrame, lost: int, backoff: float, last: bool) -> DataFrame:
@@ -239,5 +246,6 @@ def _summed(counted: DataFrame, lost: int, backoff: float, last: bool) -> DataFr
     met = F.lit(True) if last else F.coalesce(F.col("n") > 0, F.lit(False))
     count = lambda c: _log(F.greatest(F.col(c), F.lit(1)))  # noqa: E731  (greatest skips nulls)
     score = count("n") - count("of") + lost * _log(F.lit(backoff))
-    key, times = [F.when(~met, F.col(c)).alias(c) for c in ("word", "shorter")], F.abs("times")
+    names = ["word", *[c for c in counted.columns if c[0] == "c" and c[1:].isdigit()]]
+    key, times = [F.when(~met, F.col(c)).alias(c) for c in names], F.abs("times")
     return counted.groupBy("row", *key).agg(F.sum(F.when(met, score * times)).alias("score"), F.sum(times * int(lost > 0)).alias("backed"), F.sum(times).alias("n_tokens"), (-F.sum(times)).cast("int").alias("times"))

@@ -53,6 +53,13 @@ def _docs(spark, texts):
     return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
 
 
+@pytest.mark.parametrize("order", [1, 2, 4])
+def test_other_orders(spark, order, monkeypatch):
+    monkeypatch.setattr("tests.llm.test_lm.ORDER", order)
+    found = lm.backoff_scores(_docs(spark, TEXTS), corpus=_docs(spark, TEXTS[:4]), order=order)
+    _same({r["doc_id"]: r for r in found.collect()}, TEXTS, TEXTS[:4])
+
+
 @pytest.mark.parametrize("slices", [1, 3])
 def test_every_ngram_of_three_words_counts(spark, slices):
     _same({r["doc_id"]: r for r in lm.backoff_scores(_docs(spark, TEXTS), slices=slices).collect()}, TEXTS, TEXTS)
@@ -103,8 +110,8 @@ def test_contexts_are_frequent_by_their_rows_however_many_there_are(spark, monke
 
 def test_a_text_sends_each_ngram_once(spark):
     rows = spark.createDataFrame([(0, "a b a b a b a b", True), (1, "a b", False)], "row long, text string, known boolean")
-    grams = lm.gram_rows(rows, 2, None, 1, None).collect()
-    assert sorted((r["row"], r["times"], len(r["shorter"] or [])) for r in grams) == [(0, 1, 0), (0, 3, 0), (0, 4, 0), (1, -1, 1), (1, -1, 1)]
+    grams = lm.gram_rows(rows, 3, None, 1, None).collect()
+    assert sorted((r["row"], r["times"], r["c2"] is None) for r in grams) == [(0, 1, True), (0, 1, True), (0, 3, True), (0, 3, True), (1, -1, False), (1, -1, False)]
     summed = lm.gram_rows(rows, 2, None, 1, None, summed=True).collect()
     assert {r["row"] for r in summed} == {None} and sum(r["times"] for r in summed) == 8
 
