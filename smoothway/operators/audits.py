@@ -10,6 +10,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from smoothway.operators.polygons import nearest_on_ring
+from smoothway.operators.spatial import inside_polygon
+
 # Seconds that a table may be old, share of quarantined rows, and limits of a request.
 MOST_AGE_S, MOST_QUARANTINED = 10_800, 0.1
 MOST_ROUTES, MOST_SEGMENTS, MOST_BATCH = 10, 300, 1_000
@@ -107,7 +110,7 @@ def request_violations(routes: DataFrame) -> DataFrame:
 
 
 def output_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    """Rows of each named table; Spark reads them from Parquet footers."""
+    """Rows of each named table, by a scan of no columns."""
     each = [df.agg(F.count("*").alias("rows")).select(F.lit(n).alias("name"), "rows") for n, df in tables.items()]
     out = each[0]
     for df in each[1:]:
@@ -139,3 +142,55 @@ def ranked_output(table: DataFrame, key: list[str], scores: list[str], rank: str
         *count_where(null_keys=some([F.col(k).isNull() for k in key]), excluded=some([F.coalesce(F.col(k).isin(*excluded), F.lit(False)) for k in key]), outside=some([outside(c) for c in scores]), not_positive=~F.coalesce(F.col(positive) > 0, F.lit(False))),
         F.coalesce((F.min(rank) == 1) & (F.max(rank) == F.count("*")) & (F.count_distinct(rank) == F.count("*")), F.count("*") == 0).alias("ranks_whole"),
     )
+
+
+def score_output(table: DataFrame, scores: list[str]) -> DataFrame:
+    """What breaks the rules of zone scores: repeated zones, and scores outside 0 to 1 (an unknown one breaks nothing)."""
+    each = table.groupBy("location_id").agg(F.count("*").alias("_n"), *[F.count_if(F.coalesce(~F.col(c).between(0, 1), F.lit(False))).alias(c) for c in scores])
+    return each.agg(F.count_if(F.col("_n") > 1).alias("repeated"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in scores])
+
+
+def profile_output(table: DataFrame, zones: DataFrame) -> DataFrame:
+    """What breaks the rules of zone profiles: null and repeated zones, zones that only one side has, counts,
+    densities, jobs and areas below 0, and shares outside 0 to 1 (a millionth more is rounding), which only warn."""
+    named = lambda *ends: [c for c in table.columns if any(e in c for e in ends)]
+    some = lambda cs: reduce(lambda a, b: a | b, cs, F.lit(False))
+    below = some([F.coalesce(F.col(c).cast("double") < 0, F.lit(False)) for c in named("_count", "_density", "_jobs", "_area_km2")])
+    wide = some([F.coalesce(~F.col(c).between(0, 1.000001), F.lit(False)) for c in table.columns if c.endswith("_ratio")])
+    own = table.groupBy("location_id").agg(F.count("*").alias("_n"), F.count_if(below).alias("_below"), F.count_if(wide).alias("_wide"))
+    both = own.withColumn("_own", F.lit(True)).join(zones.select("location_id").distinct().withColumn("_known", F.lit(True)), "location_id", "full")
+    return both.agg(
+        F.coalesce(F.sum(F.when(F.col("location_id").isNull() & F.col("_own"), F.col("_n"))), F.lit(0)).alias("null_zones"),
+        *count_where(repeated=(F.col("_n") > 1) & F.col("location_id").isNotNull(), unknown=F.col("_known").isNull() & F.col("location_id").isNotNull(), missing=F.col("_own").isNull()),
+        F.coalesce(F.sum("_below"), F.lit(0)).alias("below_zero"),
+        F.coalesce(F.sum("_wide"), F.lit(0)).alias("warned_ratios"),
+    )
+
+
+def region_output(regions: DataFrame, mapping: DataFrame, zones: DataFrame, count: int) -> DataFrame:
+    """What breaks the rules of regions (region, ring list, x, y) and of the zones' mapping to them: zones that
+    are mapped twice, not at all, or unknown; ids other than 1 to count; regions without zones or a shape; and
+    regions whose point lies in none of their rings by more than a centimetre."""
+    mapped = mapping.groupBy("location_id").agg(F.count("*").alias("_n"))
+    sides = mapped.withColumn("_own", F.lit(True)).join(zones.select("location_id").distinct().withColumn("_known", F.lit(True)), "location_id", "full")
+    one = sides.agg(*count_where(mapped_twice=F.col("_n") > 1, unmapped=F.col("_own").isNull(), unknown_zones=F.col("_known").isNull()))
+    near = lambda r: inside_polygon(F.col("x"), F.col("y"), r) | (nearest_on_ring(F.col("x"), F.col("y"), r)["far"] <= 0.01)
+    used = mapping.select("region").distinct().withColumn("_used", F.lit(True))
+    listed = regions.join(used, "region", "left")
+    two = listed.agg(
+        F.abs(F.count("*") - count).alias("wrong_number"),
+        *count_where(odd_ids=~F.col("region").between(1, count), no_zones=F.col("_used").isNull(), no_shape=F.coalesce(F.size("rings"), F.lit(0)) < 1, points_outside=~F.coalesce(F.exists("rings", near), F.lit(False)) & (F.size("rings") > 0)),
+        (F.count("*") - F.count_distinct("region")).alias("repeated_ids"),
+    )
+    return one.crossJoin(two)  # a row each
+
+
+def master_output(table: DataFrame, without_shape: list[int]) -> DataFrame:
+    """What breaks the rules of a zone master (location_id, ring, x, y): null and repeated zones, missing shapes
+    other than those allowed, points that aren't there just where a shape is, and points outside their shape."""
+    has = F.col("ring").isNotNull()
+    outside = ~F.coalesce(inside_polygon(F.col("x"), F.col("y"), F.col("ring")), F.lit(False))
+    bad = count_where(no_shape=~has & ~F.coalesce(F.col("location_id").isin(*without_shape), F.lit(False)), odd_points=has != F.col("x").isNotNull(), outside=has & F.col("x").isNotNull() & outside)
+    plain = table.agg(*count_where(null_zones=F.col("location_id").isNull()), *bad)
+    again = table.filter("location_id is not null").groupBy("location_id").agg(F.count("*").alias("_n")).agg(F.count_if(F.col("_n") > 1).alias("repeated"))
+    return plain.crossJoin(again)  # a row each

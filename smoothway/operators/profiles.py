@@ -73,9 +73,11 @@ def hospitals(facilities: DataFrame, beds: DataFrame) -> DataFrame:
 
 
 def by_code(rows: DataFrame, crosswalk: DataFrame, code: str) -> DataFrame:
-    """Rows with the zone of their block; the crosswalk has one row a code."""
-    one = crosswalk.groupBy(code).agg(F.min("location_id").alias("location_id"))
-    return rows.join(one, code)
+    """Rows with the zone of their block; a crosswalk in which a code has several zones is refused."""
+    again = crosswalk.groupBy(code).agg(F.count("*").alias("_n")).filter("_n > 1")
+    if not again.isEmpty():
+        raise ValueError(f"the crosswalk repeats codes, as {again.agg(F.min(code)).first()[0]}")
+    return rows.join(crosswalk.select(code, "location_id"), code)
 
 
 def merged(base: DataFrame, key: str, *tables: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -32,7 +32,7 @@ def whole_number(c: Column) -> Column:
 
 def source_date(c: Column) -> Column:
     """A date in the first of the known formats that fits; null if none does."""
-    text = F.regexp_replace(text_or_null(c), r"\\.000$", "")
+    text = F.regexp_replace(text_or_null(c), r"\.000$", "")
     return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)).cast("date") for f in DATE_FORMATS])
 
 

@@ -76,6 +76,11 @@ def is_version(text: Column) -> Column:
     return text.rlike(r"^(0|[1-9][0-9]*)(\.(0|[1-9][0-9]*)){2}$")
 
 
+def is_run_id(text: Column) -> Column:
+    """Whether a text may be part of a path: letters, digits and _ . : + - alone."""
+    return text.rlike(r"^[A-Za-z0-9_.:+-]+\z")
+
+
 def with_window(df: DataFrame, first_us: int, as_of_us: int) -> DataFrame:
     """The batch's window where a row has no period of its own, and the time that it holds for."""
     return df.withColumns({"first_us": F.coalesce("first_us", F.lit(first_us)), "as_of_us": F.lit(as_of_us)})

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 HOUR_US = 3_600_000_000
 
@@ -143,3 +145,22 @@ def concurrency(df: DataFrame, start: str, end: str, bucket: int) -> DataFrame:
     each = df.filter(F.col(end) > F.col(start)).select("*", F.explode(F.sequence(F.floor(F.col(start) / bucket), F.floor((F.col(end) - 1) / bucket))).alias("bucket"))
     overlap = F.least(F.col(end), (F.col("bucket") + 1) * bucket) - F.greatest(F.col(start), F.col("bucket") * bucket)
     return each.groupBy("bucket").agg(F.sum(overlap).alias("busy"), F.count("*").alias("tasks"))
+
+
+@F.pandas_udf(T.StringType())
+def digits17(values: pd.Series) -> pd.Series:
+    """A number in 17 significant digits, without trailing zeros, as C's %.17g writes it."""
+    return values.map(lambda v: None if v != v else format(v, ".17g"))
+
+
+def iso_time(time: Column) -> Column:
+    """A time as 2026-01-05T12:00:00, with six places of a second only where it has a fraction."""
+    fraction = F.unix_micros(time) % 1_000_000
+    return F.concat(F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss"), F.when(fraction == 0, "").otherwise(F.concat(F.lit("."), F.lpad(fraction.cast("string"), 6, "0"))))
+
+
+def stable_trip_id(version: str, row: str, times: list[str], zones: list[str], miles: str) -> Column:
+    """The first 24 hexadecimal digits of a hash over what makes a trip: its reader's version, its row in the
+    file, its times, its zones and its length."""
+    parts = [F.lit(version), F.col(row).cast("string"), *map(iso_time, map(F.col, times)), *[F.col(z).cast("string") for z in zones], digits17(F.col(miles))]
+    return F.substring(F.sha2(F.concat_ws("|", *parts), 256), 1, 24)

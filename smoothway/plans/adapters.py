@@ -39,6 +39,13 @@ VIEWS: dict[str, tuple[str, dict[str, str]]] = {
         "ingested": "event_id * 3 % 1000 + event_id",
         "hour": "event_id @div 1000",
     }),
+    "timed_records": ("events", {
+        "event_id": "event_id",
+        "minute": "CASE WHEN event_id % 5 = 0 THEN NULL ELSE CAST(event_id * 7 % 180 AS INT) END",
+        "arrived_min": "CAST(event_id * 11 % 180 AS INT)",
+        "value": "CASE WHEN event_id % 35 = 0 THEN '{\"event_id\": \"broken' WHEN event_id % 5 = 0 THEN concat('{\"event_id\": ', CAST(event_id AS VARCHAR(20)), ', \"event_time\": \"soon\"}') "
+        "ELSE concat('{\"event_id\": ', CAST(event_id AS VARCHAR(20)), ', \"event_time\": \"2026-01-05T', lpad(CAST(event_id * 7 % 180 @div 60 AS VARCHAR(20)), 2, '0'), ':', lpad(CAST(event_id * 7 % 180 % 60 AS VARCHAR(20)), 2, '0'), ':00Z\"}') END",
+    }),
     "hourly_signals": ("lineitem", {
         "segment_id": "concat('s', CAST(l_suppkey % 400 AS VARCHAR(20)))",
         "vehicle_profile_id": "CAST(1 + l_partkey % 5 AS INT)",

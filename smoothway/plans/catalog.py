@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from smoothway.functions import quality as q
 from smoothway.operators import audits, hourly, routing, sequence, serving, spatial, standard, weather, zones
-from smoothway.plans import geometry_catalog, reference_catalog, storage_catalog  # noqa: F401  (their queries register themselves)
+from smoothway.plans import artifact_catalog, geometry_catalog, reference_catalog, storage_catalog  # noqa: F401  (their queries register themselves)
 from smoothway.plans.adapters import BASE_US, HOUR_US, oracle
 from smoothway.plans.registry import ORACLES, QUERIES, query, rounded
 

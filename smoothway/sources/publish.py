@@ -6,7 +6,7 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,13 +29,16 @@ def replace_partitions(df: DataFrame, path: str, by: tuple[str, ...] = (DATE, HO
     """Put df's rows in place of its partitions of the table at path; returns the number of rows.
 
     The rows are staged beside the table, read back and counted; then each old partition is renamed
-    to a backup and the staged one takes its place. If that fails half way, the backups return. only
+    to a backup and the staged one takes its place (between the two renames that partition isn't
+    there; readers that can't bear it go by write_snapshot's pointer). If that fails half way, the
+    backups return. df is computed once: its rows are counted while they are staged. only
     names the partitions that are replaced even where df has no rows for them (an empty one is
     deleted); an empty df that may not be empty is an error.
     """
     spark, run = df.sparkSession, uuid.uuid4().hex
     stage = f"{path}/_stage-{run}"
-    df.write.partitionBy(*by).parquet(stage)
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.partitionBy(*by).parquet(stage)
     fs, at = _fs(spark, path)
     schema = df.select(*[c for c in df.columns if c not in by], *by).schema
     staged = spark.read.schema(schema).option("basePath", stage).parquet(stage)
@@ -45,7 +48,7 @@ def replace_partitions(df: DataFrame, path: str, by: tuple[str, ...] = (DATE, HO
     try:
         if not rows and not may_be_empty:
             raise ValueError("no rows to write")
-        if rows != df.count():
+        if rows != seen.get["rows"]:
             raise ValueError("the staged rows aren't those that were to be written")
         names = ["/".join(f"{k}={p[k]}" for k in by) for p in parts]
         empty = ["/".join(f"{k}={p[k]}" for k in by) for p in only or []]
@@ -71,28 +74,48 @@ def replace_partitions(df: DataFrame, path: str, by: tuple[str, ...] = (DATE, HO
     return rows
 
 
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    put_bytes(spark, path, text.encode())
+
+
+def put_bytes(spark: SparkSession, path: str, content: bytes) -> None:
+    """Write a small file under another name and rename it over the old one, so readers find one or the other."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    fs, at = _fs(spark, path)
+    next_path = at(f"{path}.next-{uuid.uuid4().hex}")
+    out = fs.create(next_path, True)
+    out.write(bytearray(content))
+    out.close()
+    ways = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 1)
+    ways[0] = getattr(jvm.org.apache.hadoop.fs, "Options$Rename").OVERWRITE
+    whole = fs.makeQualified(at(path))
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(whole.toUri(), conf).rename(fs.makeQualified(next_path), whole, ways)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file, whole."""
+    return spark.read.text(path, wholetext=True).first()["value"]
+
+
 def write_snapshot(df: DataFrame, root: str, **facts) -> str:
-    """Write df as a version of its own, read it back, and only then point to it; returns the version."""
-    spark, version = df.sparkSession, uuid.uuid4().hex
-    df.write.mode("error").parquet(f"{root}/version={version}")
+    """Write df as a version of its own, read it back, and only then point to it; returns the version.
+
+    df is computed once: its rows are counted while they are written. The pointer is replaced by one rename.
+    """
+    spark, version, seen = df.sparkSession, uuid.uuid4().hex, Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("error").parquet(f"{root}/version={version}")
     back = spark.read.parquet(f"{root}/version={version}")
     kinds = lambda x: [(f.name, f.dataType) for f in x.schema]
     rows = back.count()
-    if kinds(back) != kinds(df) or rows != df.count():
+    if kinds(back) != kinds(df) or rows != seen.get["rows"]:
         raise ValueError("the snapshot isn't what was to be written")
-    manifest = json.dumps({"version": version, "rows": rows, **facts}, sort_keys=True)
-    fs, at = _fs(spark, root)
-    out = fs.create(at(f"{root}/next.json"), True)
-    out.write(bytearray(manifest.encode()))
-    out.close()
-    fs.delete(at(f"{root}/active.json"), False)
-    fs.rename(at(f"{root}/next.json"), at(f"{root}/active.json"))
+    put_text(spark, f"{root}/active.json", json.dumps({"version": version, "rows": rows, **facts}, sort_keys=True))
     return version
 
 
 def active_manifest(spark: SparkSession, root: str) -> dict:
     """What the pointer says; its rows and version must be there."""
-    found = json.loads(spark.read.text(f"{root}/active.json", wholetext=True).first()["value"])
+    found = json.loads(read_text(spark, f"{root}/active.json"))
     if not {"version", "rows"} <= set(found):
         raise ValueError("the manifest lacks its version or rows")
     return found
@@ -112,8 +135,8 @@ def compact(spark: SparkSession, path: str, by: tuple[str, ...] = (DATE, HOUR),
     """Rewrite partitions of many files into files of about target_bytes; one row a partition looked at.
 
     A partition is skipped if it has fewer than least_files or isn't settled (a condition on newest,
-    the time of its last file). Its rows are dealt to tasks at random, so equal rows don't share one,
-    and replaced as replace_partitions does, with the count read back.
+    the time of its last file). Its rows are dealt to tasks by their file and place, so equal rows don't
+    share one and a task that runs again deals alike, and replaced as replace_partitions does, with the count read back.
     """
     # folders' names are kept as text: 00 isn't 0
     kinds = spark.read.parquet(path).drop(*by).schema.fields
@@ -125,7 +148,8 @@ def compact(spark: SparkSession, path: str, by: tuple[str, ...] = (DATE, HOUR),
         pieces = spark.createDataFrame([(*[str(r[k]) for k in by], -(-r["bytes"] // target_bytes)) for r in chosen], ", ".join([f"{k} string" for k in by] + ["_pieces long"]))
         names = pieces.select(*[F.col(k).alias(f"_{k}") for k in by], "_pieces")
         on = [F.col(k).cast("string") == F.col(f"_{k}") for k in by]
-        rows = table.join(F.broadcast(names), on).withColumn("_piece", F.floor(F.rand(7) * F.col("_pieces")))
+        placed = table.select("*", F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("_place"))
+        rows = placed.join(F.broadcast(names), on).withColumn("_piece", F.pmod("_place", "_pieces"))
         replace_partitions(rows.repartition(*by, "_piece").select(*table.columns), path, by)
     done = {tuple(r[k] for k in by) for r in chosen}
     return spark.createDataFrame([(*[str(r[k]) for k in by], r["files"], tuple(r[k] for k in by) in done, r["why"]) for r in found], ", ".join([f"{k} string" for k in by] + ["files long", "compacted boolean", "why string"]))

@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import gzip
+import uuid
+from collections.abc import Iterator
+from functools import reduce
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,6 +46,77 @@ def write_features(df: DataFrame, path: str) -> None:
     df.write.option("compression", "gzip").text(path)
 
 
+def write_collection(df: DataFrame, path: str, order: list[str]) -> int:
+    """Feature rows (value, from feature_lines, with the columns of order) as one gzipped FeatureCollection.
+
+    Tasks write their share as gzip members, a feature a line, in ranges of the order; a member for the head,
+    for the comma between two parts and for the tail make one document of them. The parts are joined by
+    the file system where it can, else copied one after another, in pieces. Returns the number of parts.
+    """
+    spark = df.sparkSession
+    parts = f"{path}.parts-{uuid.uuid4().hex}"
+
+    def commas(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = True
+        for batch in batches:
+            rows = batch.column(0).to_pylist()
+            yield pa.RecordBatch.from_arrays([pa.array([v if first and not k else "," + v for k, v in enumerate(rows)], pa.string())], names=["value"])
+            first = first and not rows
+
+    df.repartitionByRange(*order).sortWithinPartitions(*order).select("value").mapInArrow(commas, "value string").write.option("compression", "gzip").text(parts)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path
+    fs = at(path).getFileSystem(conf)
+    listed = sorted((s.getPath() for s in fs.listStatus(at(parts)) if s.getPath().getName().startswith("part-")), key=lambda p: p.getName())
+    empty = gzip.compress(b"")
+    whole = [p for p in listed if fs.getFileStatus(p).getLen() > len(empty)]  # a part without rows is an empty member
+
+    def member(name: str, text: str):
+        place = at(f"{parts}/{name}")
+        out = fs.create(place, True)
+        out.write(bytearray(gzip.compress(text.encode(), mtime=0)))
+        out.close()
+        return place
+
+    pieces = [member("_head", '{"type":"FeatureCollection","features":[\n')]
+    for k, p in enumerate(whole):
+        pieces += [p] if not k else [member(f"_comma-{k}", ","), p]
+    pieces.append(member("_tail", "]}\n"))
+    joined = pieces[0]
+    try:
+        rest = spark.sparkContext._gateway.new_array(at, len(pieces) - 1)
+        for k, p in enumerate(pieces[1:]):
+            rest[k] = p
+        fs.concat(joined, rest)
+    except Exception as e:  # most stores can't; any other fault shows again in the copy
+        if "UnsupportedOperation" not in f"{type(e).__name__} {e}":
+            raise
+        joined = at(f"{parts}/_whole")
+        out = fs.create(joined, True)
+        for p in pieces:
+            source = fs.open(p)
+            jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, 1 << 20, False)
+            source.close()
+        out.close()
+    fs.delete(at(path), False)
+    if not fs.rename(joined, at(path)):
+        raise OSError(f"{path} couldn't be put in place")
+    fs.delete(at(parts), True)
+    return len(whole)
+
+
+def json_rows(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
+    """Rows of a JSON file that is one list of objects, or has one a line; what doesn't fit is null."""
+    return spark.read.schema(schema).json(path, multiLine=True, mode="PERMISSIVE")
+
+
+def together(frames: list[DataFrame]) -> DataFrame:
+    """Frames of several hours as one, by the names of their columns; what a frame lacks is null."""
+    if not frames:
+        raise ValueError("no frames")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
 def csv(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
     return spark.read.schema(schema).csv(path, header=True, mode="PERMISSIVE")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,13 +46,16 @@ def progress_figures(progress: dict, now_s: float, name: str = "events") -> dict
     """Figures of one batch from its progress: rows, rates, milliseconds, and lags in seconds and offsets."""
     seen = progress.get("observedMetrics", {}).get(name, {})
     offsets = [(s.get("endOffset"), s.get("latestOffset")) for s in progress.get("sources", [])]
+    latest = seen.get("latest")
+    if isinstance(latest, str):  # a time, as progress writes it
+        latest = datetime.fromisoformat(latest).timestamp()
     total = lambda x: sum(map(total, x.values())) if isinstance(x, dict) else int(x)
     known = [(a, b) for a, b in offsets if isinstance(a, dict) and isinstance(b, dict)]
     return {
         "rows": progress.get("numInputRows"),
         "rows_per_second": progress.get("processedRowsPerSecond"),
         "batch_ms": progress.get("durationMs", {}).get("triggerExecution"),
-        "event_lag_s": now_s - seen["latest"] if seen.get("latest") is not None else None,
+        "event_lag_s": now_s - latest if latest is not None else None,
         "offset_lag": sum(total(b) - total(a) for a, b in known) if known else None,
         "end_offset": sum(total(a) for a, _ in known) if known else None,
     }
@@ -64,6 +69,13 @@ def source_options(least: int | None = None, most: int | None = None, delay: str
     return {k: str(v) for k, v in named.items() if v}
 
 
+def in_window(rows: DataFrame, first_us: int, end_us: int, arrived: str = "timestamp", time_field: str = "event_time") -> DataFrame:
+    """Envelopes whose event lies in [first, end), microseconds; one without a readable time goes by its arrival."""
+    told = F.try_to_timestamp(F.get_json_object(F.col("value").cast("string"), f"$.{time_field}"))
+    at = F.unix_micros(F.coalesce(told, F.col(arrived)))
+    return rows.filter((at >= first_us) & (at < end_us))
+
+
 def windowed_counts(stream: DataFrame, time: str, keys: list[str], window: str = "1 hour", late: str = "10 minutes") -> DataFrame:
     """Counts by window and keys; rows that come later than the watermark allows are left out."""
     return stream.withWatermark(time, late).groupBy(F.window(time, window).alias("window"), *keys).agg(F.count("*").alias("n"))
