@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Rows and bytes that reach a Python worker at once; very long texts then can't fill its memory.
-BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "512", "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "128", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
 
 
 #: Shuffle files of a job that has ended are of no use to any other, as lineage ends with its table.
