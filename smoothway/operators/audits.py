@@ -194,3 +194,8 @@ def master_output(table: DataFrame, without_shape: list[int]) -> DataFrame:
     plain = table.agg(*count_where(null_zones=F.col("location_id").isNull()), *bad)
     again = table.filter("location_id is not null").groupBy("location_id").agg(F.count("*").alias("_n")).agg(F.count_if(F.col("_n") > 1).alias("repeated"))
     return plain.crossJoin(again)  # a row each
+
+
+def preparation_counts(roads: DataFrame, **present: Column) -> DataFrame:
+    """Roads, and how many of them have each of the named things."""
+    return roads.agg(F.count("*").alias("roads"), *count_where(**present))

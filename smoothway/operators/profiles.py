@@ -201,6 +201,14 @@ def accepted_routes(asked: DataFrame, nodes: DataFrame, paths: DataFrame, most:
     return found.select("trip_id", *[F.coalesce(f"_first.{c}", f"_best.{c}").alias(c) for c in ("start_node", "end_node", "distance")], F.col("_first").isNotNull().alias("accepted"), reason.alias("skip_reason"))
 
 
+def with_templates(trips: DataFrame, templates: DataFrame) -> DataFrame:
+    """Trips with the template of their pair of zones: state is routed, skipped (the template carries a reason) or
+    missing (there is none, which is an error). A pair has one template."""
+    known = templates.withColumn("_known", F.lit(True))
+    met = trips.join(known, ["pickup_zone", "dropoff_zone"], "left")
+    return met.withColumn("state", F.when(F.col("_known").isNull(), "missing").when(F.col("skip_reason").isNotNull(), "skipped").otherwise("routed")).drop("_known")
+
+
 def route_summary(routes: DataFrame, trips: DataFrame) -> DataFrame:
     """Pairs and trips by the reason that they have no route; null where they have one."""
     counted = trips.groupBy("pickup_zone", "dropoff_zone").agg(F.count("*").alias("trips"))

@@ -226,3 +226,51 @@ def _(read):
     rows = read("hour_events").withColumn("hour", F.floor((F.col("event_us") - BASE_US) / HOUR_US))
     frames = [rows.filter("hour = 0").select("hour", "speed_mps", "event_us", "event_id"), rows.filter("hour = 2").withColumn("note", F.lit("late")), rows.filter("hour = 3")]
     return scans.together(frames).groupBy("hour").agg(F.count("*").alias("rows"))
+
+
+# --- guards: the other answer ----------------------------------------------------------------------
+
+
+@query("f20_fresh_table", oracle(["sensor_events"], "SELECT CAST(3600 AS DOUBLE) AS age_seconds, CAST(0 AS BIGINT) AS orphan_profiles, count(*) > 0 AS passed FROM sensor_events"))
+def _(read):
+    """An hour after the newest event, with all profiles known."""
+    rows = read("sensor_events")
+    now = rows.agg(F.max("event_us")).first()[0] + HOUR_US
+    return rounded(audits.freshness_and_orphans(rows, rows.select("vehicle_profile_id"), now, "event_us"))
+
+
+@query("f23_no_environment", oracle(["pavement"], "SELECT CAST(count(*) = 0 AS BIGINT) AS empty, CAST(0 AS BIGINT) AS repeated_ids, CAST(0 AS BIGINT) AS ratings_out_of_range FROM pavement WHERE rating > 90"))
+def _(read):
+    return audits.environment_guard(read("pavement").filter("rating > 90"), "street", "rating")
+
+
+@query("f24_no_reference", oracle(["road_features"], "SELECT CAST(count(*) = 0 AS BIGINT) AS empty, CAST(0 AS BIGINT) AS further_dates, count(*) AS no_id, count(*) AS no_shape FROM road_features WHERE object_id < 0"))
+def _(read):
+    return audits.reference_guard(read("road_features").filter("object_id < 0"), "segment_id", "built", "length_ft")
+
+
+@query("f27_sound_partition", oracle(["hourly_scores"], "SELECT count(*) AS rows, count(*) FILTER (NOT vertical_score <= 100) AS vertical, count(*) FILTER (NOT vertical_score <= 100) = 0 AND count(*) > 0 AS passed FROM hourly_scores WHERE vehicle_profile_id = 3"))
+def _(read):
+    return audits.gate(read("hourly_scores").filter("vehicle_profile_id = 3"), {"vertical": F.col("vertical_score") <= 100})
+
+
+@query("f28_broken_snapshot", oracle(["road_segments"], "SELECT count(*) AS rows, count(*) FILTER (traffic_direction = 'T') AS direction, count(*) FILTER (traffic_direction = 'T') = 0 AS passed FROM road_segments"))
+def _(read):
+    """Two-way roads come with a direction that there isn't."""
+    way = F.nullif("traffic_direction", F.lit("T"))
+    return audits.gate(read("road_segments").select(way.alias("traffic_direction")), {"direction": F.col("traffic_direction").isin("W", "A", "T")})
+
+
+_FOOT = "greatest(0, least(1, ((hx - x0) * (x1 - x0) + (hy - y0) * (y1 - y0)) / ((x1 - x0) * (x1 - x0) + (y1 - y0) * (y1 - y0))))"
+_DEGREES = f"""near AS (SELECT hump_id, humps, segment_id, round(sqrt(power(hx - (x0 + t * (x1 - x0)), 2) + power(hy - (y0 + t * (y1 - y0)), 2)) / 100000, 10) AS far FROM (SELECT *, {_FOOT} AS t FROM (SELECT h.hump_id, h.humps, h.x AS hx, h.y AS hy, r.segment_id, r.x0, r.y0, r.x1, r.y1
+ FROM humps h JOIN road_segments r ON regexp_replace(upper(r.street), '[^A-Z0-9]', '', 'g') = regexp_replace(upper(h.street), '[^A-Z0-9]', '', 'g')))),
+ nearest AS (SELECT hump_id, humps, segment_id FROM (SELECT *, row_number() OVER (PARTITION BY hump_id ORDER BY far, segment_id) AS rn FROM near WHERE far <= {{radius}}) WHERE rn = 1)"""
+
+
+@query("j32_degree_humps", oracle(["humps", "road_segments"], "SELECT r.segment_id, CAST(coalesce(sum(humps), 0) AS INT) AS hump_count FROM road_segments r LEFT JOIN nearest n USING (segment_id) GROUP BY 1", _DEGREES.format(radius=0.00035)))
+def _(read):
+    """All humps, whenever installed, by degrees."""
+    degrees = lambda df, *names: df.withColumns({c: F.col(c) / 100_000 for c in names})
+    humps = degrees(read("humps"), "x", "y").withColumn("installed", F.lit(None).cast("int"))
+    found = roads.speed_humps(degrees(read("road_segments"), "x0", "y0", "x1", "y1"), humps, 0, 0.00035, size=0.0005, places=10)
+    return found.select("segment_id", "hump_count")

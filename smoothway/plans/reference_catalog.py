@@ -9,6 +9,7 @@ from smoothway.functions import quality as q
 from smoothway.operators import audits, profiles, roads, routing, serving, spatial, weather, zones
 from smoothway.plans.adapters import BASE_US, HOUR_US, oracle
 from smoothway.plans.registry import query, rounded
+from smoothway.sources import scans
 
 # --- road reference --------------------------------------------------------------------------------
 
@@ -136,7 +137,7 @@ def _(read):
     rows = read("sensor_events")
     one = rows.filter("speed_mps >= 17").select("event_id", F.lit("OUT_OF_RANGE").alias("reject_reason"), "speed_mps")
     two = rows.filter("speed_mps < 17 and heading is null").select(F.lit("MISSING_REQUIRED_FIELD").alias("reject_reason"), "event_id")
-    return one.unionByName(two, allowMissingColumns=True).groupBy("reject_reason").agg(F.count("*").alias("rows"))
+    return scans.together([one, two]).groupBy("reject_reason").agg(F.count("*").alias("rows"))
 
 
 # --- guards and audits -----------------------------------------------------------------------------
@@ -228,7 +229,7 @@ def _(read):
 
 @query("a32_quality_counts", oracle(["road_features"], "SELECT count(*) AS roads, count(*) FILTER (length_ft <> '') AS measured, count(*) FILTER (trim(street) <> '') AS named FROM road_features"))
 def _(read):
-    return read("road_features").agg(F.count("*").alias("roads"), *audits.count_where(measured=F.col("length_ft") != "", named=F.trim("street") != ""))
+    return audits.preparation_counts(read("road_features"), measured=F.col("length_ft") != "", named=F.trim("street") != "")
 
 
 # --- weather and serving ---------------------------------------------------------------------------
@@ -509,10 +510,9 @@ def _(read):
 def _(read):
     """A trip of a pair without a template is an error; one whose template was skipped carries the reason."""
     skipped = F.when(F.col("location_id") % 5 == 0, "NO_DIRECTED_ROUTE")
-    known = read("zones").select(F.col("location_id").alias("dropoff_zone"), F.lit(True).alias("_known"), skipped.alias("skip_reason"))
-    met = read("trips").join(known, "dropoff_zone", "left")
-    state = F.when(F.col("_known").isNull(), "missing").when(F.col("skip_reason").isNotNull(), "skipped").otherwise("routed")
-    return met.groupBy(state.alias("state")).agg(F.count("*").alias("trips"))
+    ends = read("zones").select(F.col("location_id").alias("dropoff_zone"), skipped.alias("skip_reason"))
+    pairs = read("trips").select("pickup_zone", "dropoff_zone").distinct().join(ends, "dropoff_zone")
+    return profiles.with_templates(read("trips"), pairs).groupBy("state").agg(F.count("*").alias("trips"))
 
 
 @query("m28_trip_ids", oracle(["trips"], "SELECT trip_id, substr(sha256(concat_ws('|', request_us, pickup_zone, dropoff_zone)), 1, 24) AS stable_id FROM trips"))
