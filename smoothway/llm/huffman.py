@@ -101,11 +101,13 @@ class Codebook:
 def encode(ids: np.ndarray, writer: tuple[np.ndarray, np.ndarray], limit: int, step: int = STEP) -> tuple[bytes, np.ndarray]:
     """The bit string of some ids, and the bits from each checkpoint to the next."""
     code, length = writer
-    bits, place = [], np.arange(limit, dtype=np.uint32)
+    wide = 16 if limit <= 16 else 32
+    lifted = (code << np.uint32(wide - limit)).astype(f">u{wide // 8}")
+    kept, bits = np.tri(limit + 1, wide, -1, dtype=bool), []  # of a code of k bits, the first k
     for at in range(0, len(ids), AT_ONCE):
         part = ids[at : at + AT_ONCE]
-        spread = (code[part][:, None] >> (limit - 1 - place)) & 1
-        bits.append(spread.astype(np.uint8)[place < length[part][:, None]])
+        spread = np.unpackbits(lifted[part].view(np.uint8).reshape(-1, wide // 8), axis=1)
+        bits.append(spread[kept[length[part]]])
     gaps = np.add.reduceat(length[ids].astype(np.int64), np.arange(0, len(ids), step)) if len(ids) else np.zeros(0, dtype=np.int64)
     return np.packbits(np.concatenate(bits or [np.zeros(0, dtype=np.uint8)])).tobytes(), gaps
 
