@@ -42,16 +42,17 @@ def classify(df: DataFrame, required: list[str], ranges: dict[str, tuple], key:
     """Add reject_reason (null for good rows) and reject_detail.
 
     The first reason that applies counts. Of good rows with equal keys the one with the greatest
-    `latest` columns stays good; rows that were rejected before take no part in that and aren't
-    moved: only the good ones are dealt by key. Every input row comes out once.
+    `latest` columns stays good. Every input row comes out once, and is read and parsed once: rejected
+    rows go through the same window, each with a number of its own as its key, so they spread over all tasks.
     """
     missing, ranged = missing_columns(required), out_of_range(ranges)
     reason = F.when(F.col(corrupt).isNotNull(), MALFORMED).when(F.size(missing) > 0, MISSING).when(F.size(ranged) > 0, OUT_OF_RANGE)
     detail = F.when(F.col(corrupt).isNotNull(), F.lit(None)).when(F.size(missing) > 0, F.concat_ws(", ", missing)).when(F.size(ranged) > 0, F.concat_ws(", ", ranged))
     first = df.withColumn("reject_reason", reason).withColumn("reject_detail", detail)
-    rank = F.row_number().over(Window.partitionBy(*key).orderBy(*[F.desc(c) for c in latest]))
-    good = first.filter("reject_reason is null").withColumn("reject_reason", F.when(rank > 1, DUPLICATE))
-    return good.unionByName(first.filter("reject_reason is not null"))
+    good = F.col("reject_reason").isNull()
+    own = first.withColumn("_own", F.when(~good, F.monotonically_increasing_id()))
+    rank = F.row_number().over(Window.partitionBy("_own", *[F.when(F.col("_own").isNull(), F.col(k)) for k in key]).orderBy(*[F.desc(c) for c in latest]))
+    return own.withColumn("_rank", rank).withColumn("reject_reason", F.when(good & (F.col("_rank") > 1), DUPLICATE).otherwise(F.col("reject_reason"))).drop("_own", "_rank")
 
 
 def passed(df: DataFrame) -> DataFrame:

@@ -159,6 +159,19 @@ def _(read):
     return found.agg(F.count_if(F.col("rows") > 0).alias("batches"), F.sum("rows").alias("rows"), F.round(F.min("event_lag_s"), 3).alias("least_lag"), F.count_if(F.col("state") == "started").alias("started"), F.count_if(F.col("state") == "ended").alias("ended"))
 
 
+@query("k11_json_lines", oracle(["timed_records"], "SELECT value, arrived_min FROM timed_records"))
+def _(read):
+    """Three batches are published as lines; a second run publishes nothing anew."""
+    rows = _timed(read).select("value", F.lit(None).cast("string").alias("none"), "timestamp")
+    spark, path = rows.sparkSession, fresh_path(rows.sparkSession, "lines")
+    rows.repartition(3).write.parquet(f"{path}/in")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    for _ in range(2):
+        raw.into_lines(stream, f"{path}/out", f"{path}/state").awaitTermination()
+    found = spark.read.schema("value string, none string, timestamp timestamp").json(f"{path}/out")
+    return found.select("value", ((F.unix_micros("timestamp") - BASE_US) / 60_000_000).cast("int").alias("arrived_min"))
+
+
 # --- rules of outputs ------------------------------------------------------------------------------
 
 

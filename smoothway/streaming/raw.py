@@ -89,3 +89,15 @@ def into_hours(stream: DataFrame, path: str, checkpoint: str, trigger: dict | No
     """
     rows = envelopes(stream)
     return (rows.coalesce(files) if files else rows).writeStream.format("parquet").option("checkpointLocation", checkpoint).partitionBy(DATE, HOUR).outputMode("append").trigger(**(trigger or {"availableNow": True})).start(path)
+
+
+def into_lines(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Publish each batch as JSON lines in a folder of its own, so that a batch that runs again replaces itself.
+
+    Null fields are written out, as consumers expect all of them.
+    """
+
+    def publish(batch: DataFrame, number: int) -> None:
+        batch.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")).write.mode("overwrite").text(f"{path}/batch={number}")
+
+    return stream.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
