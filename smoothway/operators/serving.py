@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from smoothway.operators.quantiles import exact_quantiles
+
 # Share of the worst segments of a route, and the mix of mean and worst mean.
 WORST_SHARE, MEAN_WEIGHT, WORST_WEIGHT = 0.25, 0.7, 0.3
 
@@ -87,5 +89,6 @@ def with_window(df: DataFrame, first_us: int, as_of_us: int) -> DataFrame:
 
 
 def percentiles(df: DataFrame, key: str, value: str, shares: dict[str, float], places: int) -> DataFrame:
-    """Exact percentiles between neighbours, rounded half to even."""
-    return df.filter(F.col(value).isNotNull()).groupBy(key).agg(*[F.bround(F.percentile(value, p), places).alias(n) for n, p in shares.items()])
+    """Exact percentiles between neighbours, rounded half to even; no task holds all values of a key."""
+    found = exact_quantiles(df, tuple(shares.values()), key, value)
+    return found.groupBy(key).agg(*[F.bround(F.max(F.when(F.col("share") == p, F.col("quantile"))), places).alias(n) for n, p in shares.items()])
