@@ -7,6 +7,8 @@ expression, the oracle's: only the time functions differ.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 #: Microseconds of 2026-01-05 00:00 UTC, a fixed value.
@@ -219,10 +221,17 @@ VIEWS: dict[str, tuple[str, dict[str, str]]] = {
 }
 
 
+def _spark_text(expression: str) -> str:
+    """An expression of a view for Spark. Its round takes the shortest decimal digits of a number, the oracle's the
+    number times 100 (0.145 is 14.499...), so two places are rounded as whole numbers."""
+    expression = re.sub(r"\bround\(([^(),]+), 2\)", r"round((\1) * 100) / 100", expression)
+    return expression.replace("@div", "div").replace("AS VARCHAR(20)", "AS STRING")
+
+
 def spark_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     table, columns = VIEWS[name]
     source = spark.read.parquet(f"{sf_dir}/{table}.parquet")
-    return source.selectExpr(*[f"{e.replace('@div', 'div').replace('AS VARCHAR(20)', 'AS STRING')} AS {c}" for c, e in columns.items()])
+    return source.selectExpr(*[f"{_spark_text(e)} AS {c}" for c, e in columns.items()])
 
 
 def oracle_view(name: str) -> str:
