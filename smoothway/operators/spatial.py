@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -86,11 +88,47 @@ def match_scores(df: DataFrame, radius: float = RADIUS_M) -> DataFrame:
     return df.withColumn("heading_diff_deg", diff).withColumn("match_score", F.when(F.col("segment_id").isNotNull(), score))
 
 
-def best_match(df: DataFrame, key: str = "event_id") -> DataFrame:
-    """The best candidate of each event and how many there were."""
-    order = Window.partitionBy(key).orderBy(F.desc_nulls_last(F.round("match_score", 9)), F.asc_nulls_last(F.round("distance_m", 9)), F.asc_nulls_last(F.round("heading_diff_deg", 9)), F.asc_nulls_last("segment_id"))
-    ranked = df.withColumns({"_rank": F.row_number().over(order), "candidate_count": F.count("segment_id").over(Window.partitionBy(key))})
-    return ranked.filter("_rank = 1").drop("_rank")
+def best_match(df: DataFrame, *by: str) -> DataFrame:
+    """The best candidate of each event and how many there were; by names the columns that tell events apart
+    (event_id). Candidates are compared before they are dealt, so only one an event is moved from each task."""
+    by = by or ("event_id",)
+    # falling, nulls last: no score is a null that goes behind, and of numbers the negative rises
+    falling = F.round("match_score", 9)
+    order = [falling.isNull(), -falling]
+    for c in (F.round("distance_m", 9), F.round("heading_diff_deg", 9), F.col("segment_id")):
+        order += [c.isNull(), c]
+    rest = [c for c in df.columns if c not in by]
+    ranked = F.struct(*[c.alias(f"_{k}") for k, c in enumerate(order)], *rest)
+    best = df.groupBy(*by).agg(F.min(ranked).alias("_best"), F.count("segment_id").alias("candidate_count"))
+    return best.select(*[F.col(c) if c in by else F.col("_best")[c].alias(c) for c in df.columns], "candidate_count")
+
+
+def parts(df: DataFrame) -> int:
+    """Tasks for few rows that make many: by their own size they would be put into one."""
+    spark = df.sparkSession
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+
+
+def places(points: DataFrame, *by: str) -> DataFrame:
+    """The distinct values of by, dealt to many tasks."""
+    return points.select(*by).distinct().repartition(parts(points), *by)
+
+
+def once_a_place(points: DataFrame, find: Callable[[DataFrame], DataFrame], *by: str) -> DataFrame:
+    """Points joined to what find makes of the distinct values of by: events at one place are looked for once.
+
+    find keeps these columns and each of their values, null too. The work then grows with places and not with
+    events, but for the rows that come out.
+    """
+    found = find(places(points, *by)).withColumnsRenamed({c: f"_at_{c}" for c in by})
+    same = [F.col(c).eqNullSafe(F.col(f"_at_{c}")) for c in by]
+    return points.join(found, same).drop(*[f"_at_{c}" for c in by])
+
+
+def match(points: DataFrame, roads: DataFrame, radius: float = RADIUS_M, **options) -> DataFrame:
+    """The best road of each point by distance and heading; points alike in both are matched once."""
+    at = ("x", "y", "heading")
+    return once_a_place(points, lambda p: best_match(match_scores(candidates(p, roads, radius, **options), radius), *at), *at)
 
 
 def match_quarantine(matched: DataFrame, raw: DataFrame, run: str) -> DataFrame:

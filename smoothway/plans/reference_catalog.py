@@ -119,7 +119,7 @@ def _(read):
 
 
 def _unmatched(read) -> DataFrame:
-    found = spatial.best_match(spatial.match_scores(spatial.candidates(read("sensor_events"), read("road_segments"))))
+    found = spatial.match(read("sensor_events"), read("road_segments").select("segment_id", "x0", "y0", "x1", "y1", "traffic_direction"))
     raw = read("sensor_events").select("event_id", F.concat(F.lit("record "), F.col("event_id").cast("string")).alias("raw_record"))
     return spatial.match_quarantine(found, raw.unionByName(raw), "run-1")
 
