@@ -419,12 +419,13 @@ MATCHED = f"""angled AS (SELECT *, CASE traffic_direction WHEN 'W' THEN {_HD(_FW
 
 @query("j1_road_candidates", oracle(["sensor_events", "road_segments"], "SELECT e.event_id, n.segment_id, round(n.distance_m, 6) AS distance_m FROM sensor_events e LEFT JOIN near n USING (event_id)", NEAR))
 def _(read):
-    return rounded(spatial.candidates(read("sensor_events"), read("road_segments")).select("event_id", "segment_id", "distance_m"))
+    at = lambda p: rounded(spatial.candidates(p, read("road_segments")).select("x", "y", "segment_id", "distance_m"))
+    return spatial.once_a_place(read("sensor_events").select("event_id", "x", "y"), at, "x", "y").select("event_id", "segment_id", "distance_m")
 
 
 @query("j3_map_matching", oracle(["sensor_events", "road_segments"], "SELECT e.event_id, b.segment_id, round(b.match_score, 6) AS match_score, coalesce(b.candidate_count, 0) AS candidate_count FROM sensor_events e LEFT JOIN best b ON b.event_id = e.event_id AND b.rn = 1", NEAR, MATCHED))
 def _(read):
-    found = spatial.best_match(spatial.match_scores(spatial.candidates(read("sensor_events"), read("road_segments"))))
+    found = spatial.match(read("sensor_events"), read("road_segments").select("segment_id", "x0", "y0", "x1", "y1", "traffic_direction"))
     return rounded(found.select("event_id", "segment_id", "match_score", "candidate_count"))
 
 
