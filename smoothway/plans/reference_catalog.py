@@ -59,13 +59,13 @@ _T = "greatest(0, least(1, ((p.x - x{a}) * (x{b} - x{a}) + (p.y - y{a}) * (y{b}
 @query("m5_line_distance", oracle(["road_shapes", "pavement"], f"""SELECT shape_id, round(min(least({_LEG.format(a=0, b=1)}, {_LEG.format(a=1, b=2)})), 6) AS nearest, round(any_value(sqrt(power(x1 - x0, 2) + power(y1 - y0, 2)) + sqrt(power(x2 - x1, 2) + power(y2 - y1, 2))), 6) AS length
  FROM (SELECT s.*, p.x AS px, p.y AS py, struct_pack(x := p.x, y := p.y) AS p, {_T.format(a=0, b=1)} AS t0, {_T.format(a=1, b=2)} AS t1 FROM road_shapes s JOIN pavement p ON p.x >= s.x0 - 60 AND p.x <= s.x0 + 150 AND p.y >= s.y0 - 85 AND p.y <= s.y0 + 90) GROUP BY 1"""))
 def _(read):
-    """The nearest rated point in a box around each bent line, by cells."""
-    shapes = _shapes(read).withColumns({"a": F.element_at("line", 1)["x"], "b": F.element_at("line", 1)["y"]})
+    """The nearest rated point in a box around each bent line, by cells; a place that was rated often counts once."""
+    shapes = _shapes(read).withColumns({"a": F.element_at("line", 1)["x"], "b": F.element_at("line", 1)["y"], "length": roads.line_length(F.col("line"))})
     wide = spatial._covering(shapes, F.col("a") - 60, F.col("b") - 85, F.col("a") + 150, F.col("b") + 90, 100.0)
     inside = F.col("x").between(F.col("a") - 60, F.col("a") + 150) & F.col("y").between(F.col("b") - 85, F.col("b") + 90)
-    met = spatial.in_grid(read("pavement").select("x", "y"), wide, 100.0, inside).filter("shape_id is not null")
+    met = spatial.in_grid(spatial.places(read("pavement"), "x", "y"), wide, 100.0, inside).filter("shape_id is not null")
     far = roads.line_distance(F.col("x"), F.col("y"), F.col("line"))
-    return rounded(met.groupBy("shape_id").agg(F.min(far).alias("nearest"), F.first(roads.line_length(F.col("line"))).alias("length")))
+    return rounded(met.groupBy("shape_id").agg(F.min(far).alias("nearest"), F.first("length").alias("length")))
 
 
 HUMPS = """near AS (SELECT hump_id, humps, segment_id, round(sqrt(power(hx - (x0 + t * (x1 - x0)), 2) + power(hy - (y0 + t * (y1 - y0)), 2)), 6) AS far FROM (SELECT h.hump_id, h.humps, h.x AS hx, h.y AS hy, r.segment_id, r.x0, r.y0, r.x1, r.y1, greatest(0, least(1, ((h.x - x0) * (x1 - x0) + (h.y - y0) * (y1 - y0)) / ((x1 - x0) * (x1 - x0) + (y1 - y0) * (y1 - y0)))) AS t
