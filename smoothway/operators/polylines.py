@@ -31,28 +31,37 @@ def share_along(x: Column, y: Column) -> Column:
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), t))
 
 
-def candidates(points: DataFrame, roads: DataFrame, radius: float = spatial.RADIUS_M, key: str = "event_id", **options) -> DataFrame:
+def candidates(points: DataFrame, roads: DataFrame, radius: float = spatial.RADIUS_M, key: str | tuple[str, ...] = "event_id", **options) -> DataFrame:
     """Points with each road within the radius: distance_m to its line, the leg that is nearest (the first
     of equally near ones) and along_m, the place of its foot from the line's start.
 
-    A point without a road near, or without coordinates, stays once with nulls. key tells points apart.
+    A point without a road near, or without coordinates, stays once with nulls. key (one column or several) tells
+    points apart.
     The leg's bearing isn't the road's: the columns bx0, by0, bx1, by1 have the line's two ends.
     """
     ends = {"bx0": F.element_at("line", 1)["x"], "by0": F.element_at("line", 1)["y"], "bx1": F.element_at("line", -1)["x"], "by1": F.element_at("line", -1)["y"]}
     near = spatial.candidates(points, legs(roads.withColumns(ends)), radius, **options)
-    near = near.withColumn("along_m", F.col("offset_m") + share_along(F.col("x"), F.col("y")) * F.col("leg_m")).repartition(key)
-    # both this window and that of the best match are dealt by the key alone, so points move once
-    first = Window.partitionBy(key, "segment_id").orderBy(F.round("distance_m", 6), "leg")
+    near = near.withColumn("along_m", F.col("offset_m") + share_along(F.col("x"), F.col("y")) * F.col("leg_m"))
+    by = (key,) if isinstance(key, str) else key
+    # both this window and the best match are dealt by the key alone, so points move once
+    near = near.repartition(spatial.parts(near), *by)
+    first = Window.partitionBy(*by, "segment_id").orderBy(F.round("distance_m", 6), "leg")
     return near.withColumn("_n", F.row_number().over(first)).filter("_n = 1").drop("_n", "x0", "y0", "x1", "y1", "leg_m", "offset_m")
 
 
-def match(points: DataFrame, roads: DataFrame, radius: float = spatial.RADIUS_M, key: str = "event_id", **options) -> DataFrame:
-    """The best road of each point by distance and heading, with its leg and the place along it.
+def match(points: DataFrame, roads: DataFrame, radius: float = spatial.RADIUS_M, **options) -> DataFrame:
+    """The best road of each point by distance and heading, with its leg and the place along it; points alike in
+    both are matched once.
 
     A road's bearing is that from its first point to its last, turned round for direction A.
     """
-    found = candidates(points, roads, radius, key, **options).withColumnsRenamed({f"b{c}": c for c in ("x0", "y0", "x1", "y1")})
-    return spatial.best_match(spatial.match_scores(found, radius), key)
+    at = ("x", "y", "heading")
+
+    def best(places: DataFrame) -> DataFrame:
+        found = candidates(places, roads, radius, at, **options).withColumnsRenamed({f"b{c}": c for c in ("x0", "y0", "x1", "y1")})
+        return spatial.best_match(spatial.match_scores(found, radius), *at)
+
+    return spatial.once_a_place(points, best, *at)
 
 
 def pavement(roads: DataFrame, ratings: DataFrame, as_of: int | None, **options) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from smoothway.operators import polygons, polylines, roads
+from smoothway.operators import polygons, polylines, roads, spatial
 from smoothway.plans.adapters import oracle
 from smoothway.plans.registry import query, rounded
 
@@ -37,13 +37,17 @@ _BEST = f"""angled AS (SELECT *, CASE traffic_direction WHEN 'W' THEN {_HD(_FWD)
 
 @query("j1_polyline_candidates", oracle(["sensor_events", "bent_roads"], "SELECT e.event_id, segment_id, leg, round(distance_m, 6) AS distance_m, round(along_m, 4) AS along_m FROM sensor_events e LEFT JOIN near USING (event_id)", LEGS, _NEAR))
 def _(read):
-    found = polylines.candidates(read("sensor_events"), bent(read))
-    return found.select("event_id", "segment_id", "leg", F.round("distance_m", 6).alias("distance_m"), F.round("along_m", 4).alias("along_m"))
+    def at(places: DataFrame) -> DataFrame:
+        found = polylines.candidates(places, bent(read).select("segment_id", "line"), key=("x", "y"))
+        return found.select("x", "y", "segment_id", "leg", F.round("distance_m", 6).alias("distance_m"), F.round("along_m", 4).alias("along_m"))
+
+    found = spatial.once_a_place(read("sensor_events").select("event_id", "x", "y"), at, "x", "y")
+    return found.select("event_id", "segment_id", "leg", "distance_m", "along_m")
 
 
 @query("j3_polyline_matching", oracle(["sensor_events", "bent_roads"], "SELECT e.event_id, b.segment_id, b.leg, round(b.match_score, 6) AS match_score, round(b.along_m, 4) AS along_m, coalesce(b.candidate_count, 0) AS candidate_count FROM sensor_events e LEFT JOIN best b ON b.event_id = e.event_id AND b.place = 1", LEGS, _NEAR, _BEST))
 def _(read):
-    found = polylines.match(read("sensor_events"), bent(read))
+    found = polylines.match(read("sensor_events"), bent(read).select("segment_id", "traffic_direction", "line"))
     return found.select("event_id", "segment_id", "leg", F.round("match_score", 6).alias("match_score"), F.round("along_m", 4).alias("along_m"), "candidate_count")
 
 
