@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from smoothway.operators.spatial import STREET_RADIUS_M, in_polygons, segment_distance, street_key
+from smoothway.operators.spatial import STREET_RADIUS_M, in_polygons, parts, segment_distance, street_key
 from smoothway.operators.zones import representative
 
 # Kinds of features, status, roadways and directions that vehicles use; metres in a foot.
@@ -148,12 +148,15 @@ def speed_humps(roads: DataFrame, humps: DataFrame, as_of: int, radius: float =
     """
     size = size or max(radius, 50.0)
     cell = lambda v: F.floor(v / size).cast("int")
-    known = humps.filter(F.col("installed").isNull() | (F.col("installed") <= as_of)).select("hump_id", street_key(F.col("street")).alias("_key"), F.col("x").alias("_x"), F.col("y").alias("_y"), "humps", cell(F.col("x")).alias("_px"), cell(F.col("y")).alias("_py"))
+    known = humps.filter(F.col("installed").isNull() | (F.col("installed") <= as_of)).select("hump_id", street_key(F.col("street")).alias("_key"), F.col("x").alias("_x"), F.col("y").alias("_y"), "humps")
+    # humps of a street at one place have the same nearest road
+    spots = known.select("_key", "_x", "_y").distinct().select("*", cell(F.col("_x")).alias("_px"), cell(F.col("_y")).alias("_py"))
     span = lambda a, b: F.explode(F.sequence(cell(F.least(a, b) - radius), cell(F.greatest(a, b) + radius)))
     wide = (roads if legs is None else legs).select("segment_id", street_key(F.col("street")).alias("_street"), "x0", "y0", "x1", "y1", span("x0", "x1").alias("_cx")).select("*", span("y0", "y1").alias("_cy"))
     far = segment_distance(F.col("_x"), F.col("_y"), F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"))
-    met = wide.join(known, (F.col("_street") == F.col("_key")) & (F.col("_cx") == F.col("_px")) & (F.col("_cy") == F.col("_py"))).withColumn("_far", F.round(far, places)).filter(F.col("_far") <= radius)
-    nearest = met.groupBy("hump_id").agg(F.min(F.struct("_far", "segment_id")).alias("_near"), F.first("humps").alias("humps"))
+    met = wide.join(spots, (F.col("_street") == F.col("_key")) & (F.col("_cx") == F.col("_px")) & (F.col("_cy") == F.col("_py"))).withColumn("_far", F.round(far, places)).filter(F.col("_far") <= radius)
+    at = met.groupBy("_key", "_x", "_y").agg(F.min(F.struct("_far", "segment_id")).alias("_near"))
+    nearest = known.join(at, ["_key", "_x", "_y"]).repartition(parts(known), "hump_id").groupBy("hump_id").agg(F.min("_near").alias("_near"), F.first("humps").alias("humps"))
     count = F.greatest(F.col("humps"), F.lit(0))
     shares = F.when(count > 0, F.transform(F.sequence(F.lit(1), count), lambda i: i / (count + 1))).otherwise(F.array().cast("array<double>"))
     each = nearest.select("_near.segment_id", count.alias("humps"), shares.alias("shares"))

@@ -193,11 +193,16 @@ def pavement(roads: DataFrame, ratings: DataFrame, as_of: int | None, radius: fl
     """
     size = size or max(radius, 50.0)
     some = F.lit(True) if as_of is None else F.col("inspected").isNull() | (F.col("inspected") <= as_of)
-    r = ratings.filter(some).select(street_key(F.col("street")).alias("_key"), F.col("x").alias("_x"), F.col("y").alias("_y"), "inspected", "rating", _cell(F.col("x"), size).alias("_px"), _cell(F.col("y"), size).alias("_py"))
-    wide = _covering((roads if legs is None else legs).withColumn("_street", street_key(F.col("street"))), F.least("x0", "x1") - radius, F.least("y0", "y1") - radius, F.greatest("x0", "x1") + radius, F.greatest("y0", "y1") + radius, size)
+    # ratings of a street at one place are equally near all roads: the one that counts there is chosen before they meet any
+    age, low = F.coalesce(-F.col("inspected"), F.lit(0)).alias("_age"), (-F.col("rating")).alias("_low")
+    r = ratings.filter(some).select(street_key(F.col("street")).alias("_key"), F.col("x").alias("_x"), F.col("y").alias("_y"), age, low, "rating").distinct()
+    r = r.groupBy("_key", "_x", "_y").agg(F.min(F.struct("_age", "_low", "rating")).alias("_first"))
+    r = r.select("_key", "_x", "_y", "_first.*", _cell(F.col("_x"), size).alias("_px"), _cell(F.col("_y"), size).alias("_py"))
+    pieces = (roads if legs is None else legs).select("segment_id", street_key(F.col("street")).alias("_street"), "x0", "y0", "x1", "y1")
+    wide = _covering(pieces, F.least("x0", "x1") - radius, F.least("y0", "y1") - radius, F.greatest("x0", "x1") + radius, F.greatest("y0", "y1") + radius, size)
     far = segment_distance(F.col("_x"), F.col("_y"), F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"))
     met = wide.join(r, (F.col("_street") == F.col("_key")) & (F.col("_cx") == F.col("_px")) & (F.col("_cy") == F.col("_py"))).withColumn("_far", far).filter(F.col("_far") <= radius)
-    best = met.groupBy("segment_id").agg(F.min_by("rating", F.struct(F.round("_far", places), F.coalesce(-F.col("inspected"), F.lit(0)), -F.col("rating"))).alias("pavement_rating"))
+    best = met.groupBy("segment_id").agg(F.min_by("rating", F.struct(F.round("_far", places), "_age", "_low")).alias("pavement_rating"))
     found = roads.select("segment_id").join(best, "segment_id", "left")
     return found.select("segment_id", "pavement_rating", pavement_class(F.col("pavement_rating")).alias("pavement_condition"))
 
