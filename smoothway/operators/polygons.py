@@ -16,8 +16,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from smoothway.operators.spatial import inside_polygon, ring_box
+from smoothway.operators.spatial import inside_polygon, parts, ring_box
 from smoothway.operators.zones import safe_ratio
+from smoothway.sources.scratch import written
 
 #: Rings in one cell beyond which it is cut in four, and how often that may happen.
 MOST_RINGS, MOST_CUTS = 64, 8
@@ -83,6 +84,31 @@ def _clip(ring: np.ndarray, low: tuple[float, float], high: tuple[float, float])
     return ring
 
 
+def _clip_all(rings: list[np.ndarray], low: np.ndarray, size: float) -> list[np.ndarray]:
+    """Each ring's part in its box (low, with sides of size). Where all edges run along the axes, corners outside
+    move to the box's nearest points, all rings at once; others are clipped one by one."""
+    sizes = np.array([len(r) for r in rings], np.int64)
+    if not sizes.sum():
+        return rings
+    flat, ends = np.concatenate(rings), np.cumsum(sizes)
+    of, first = np.repeat(np.arange(len(rings)), sizes), ends - sizes
+    after = np.arange(len(flat)) + 1
+    after[ends[sizes > 0] - 1] = first[sizes > 0]
+    low, high = low[of], low[of] + size
+    slanted = np.bincount(of, ((flat != flat[after]).all(axis=1)) | ~np.isfinite(flat).all(axis=1), len(rings)) > 0
+    moved = np.clip(flat, low, high)
+    out = []
+    for k, r in enumerate(np.split(moved, ends[:-1])):
+        if slanted[k]:
+            r = _clip(rings[k], tuple(low[first[k]]), tuple(high[first[k]]))
+        elif len(r):
+            r = r[(r != np.roll(r, 1, axis=0)).any(axis=1)]
+            if len(r) and (np.ptp(r, axis=0) == 0).any():
+                r = r[:0]
+        out.append(r)
+    return out
+
+
 def common_area(groups: list[list[np.ndarray]]) -> float:
     """The area of what lies in at least one ring of each group.
 
@@ -119,13 +145,17 @@ def common_area(groups: list[list[np.ndarray]]) -> float:
         left = a[live, 0] + (low - a[live, 1]) / d[live, 1] * d[live, 0]
         right = a[live, 0] + (high - a[live, 1]) / d[live, 1] * d[live, 0]
         order = np.argsort(left + right, kind="stable")
-        inside, open_ = np.zeros(len(rings), dtype=bool), np.zeros(len(groups), dtype=np.int64)
-        for here, after in zip(order[:-1], order[1:], strict=True):
-            r = of[live[here]]
-            inside[r] = not inside[r]
-            open_[group[r]] += 1 if inside[r] else -1
-            if (open_ > 0).all():
-                total += (left[after] - left[here] + right[after] - right[here]) / 2 * (high - low)
+        r = of[live[order]]
+        # an edge enters its ring if an even number of the ring's edges lie left of it, else it leaves
+        alike = np.argsort(r, kind="stable")
+        start = np.flatnonzero(np.r_[True, np.diff(r[alike]) != 0])
+        nth = np.empty(len(r), np.int64)
+        nth[alike] = np.arange(len(r)) - np.repeat(start, np.diff(np.r_[start, len(r)]))
+        step = np.zeros((len(groups), len(r)), np.int64)
+        step[group[r], np.arange(len(r))] = 1 - 2 * (nth % 2)
+        open_ = (np.cumsum(step, axis=1)[:, :-1] > 0).all(axis=0)
+        wide = np.diff(left[order]) + np.diff(right[order])
+        total += float(wide[open_].sum()) / 2 * (high - low)
     return float(total)
 
 
@@ -146,11 +176,13 @@ def in_cells(df: DataFrame, key: str, size: float, name: str) -> DataFrame:
     def clip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cx, cy = (batch.column(c).to_numpy() for c in ("cx", "cy"))
-            made = [_clip(r, (x * size, y * size), ((x + 1) * size, (y + 1) * size)) for r, x, y in zip(_points(batch.column("ring")), cx, cy, strict=True)]
+            made = _clip_all(_points(batch.column("ring")), np.stack([cx, cy], axis=1) * size, size)
             kept = pa.array([k for k, r in enumerate(made) if len(r) > 2], pa.int64())
-            rings = [[{"x": x, "y": y} for x, y in made[k].tolist()] for k in kept.to_pylist()]
-            kinds = pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())]))
-            yield pa.RecordBatch.from_arrays([batch.column(key).take(kept), batch.column("cx").take(kept), batch.column("cy").take(kept), pa.array(rings, kinds)], names=[key, "cx", "cy", name])
+            rings = [r for r in made if len(r) > 2]
+            xy = np.concatenate([np.zeros((0, 2)), *rings])
+            offsets = np.cumsum([0, *map(len, rings)], dtype=np.int32)
+            listed = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([xy[:, 0].copy(), xy[:, 1].copy()], names=["x", "y"]))
+            yield pa.RecordBatch.from_arrays([batch.column(key).take(kept), batch.column("cx").take(kept), batch.column("cy").take(kept), listed], names=[key, "cx", "cy", name])
 
     return wide.mapInArrow(clip, f"{key} {kind}, cx long, cy long, {name} {RING}")
 
@@ -184,14 +216,17 @@ def covered_areas(zones: DataFrame, parks: DataFrame, size: float = 500.0) -> Da
     four, again and again, so that no task meets a whole crowd. A zone without parks has 0.
     """
     areas = zones.select("location_id", F.abs(signed_area(F.col("ring"))).alias("_whole"))
-    ring = parks.select("ring").filter("ring is not null").distinct().withColumn("id", F.monotonically_increasing_id())
+    ring = parks.select("ring").filter("ring is not null").distinct().repartition(parts(parks)).withColumn("id", F.lit(0))
     found, zone_rings = None, zones.select("location_id", "ring")
     for cut in range(MOST_CUTS + 1):
         side = size / 2**cut
-        pieces = in_cells(ring, "id", side, "_park")
+        # written, as both the areas and the next cut read them; else each cut would do all those before it twice
+        pieces = written(in_cells(ring, "id", side, "_park").select("cx", "cy", "_park"), "pieces")
         each = pieces.groupBy("cx", "cy").agg(F.count("*").alias("_n"), F.slice(F.collect_set("_park"), 1, MOST_RINGS + 1).alias("_parks") if cut < MOST_CUTS else F.collect_set("_park").alias("_parks"))
+        each = written(each, "cells")
         full = F.size("_parks") > MOST_RINGS if cut < MOST_CUTS else F.lit(False)
-        part = in_cells(zone_rings, "location_id", side, "_zone").join(each.filter(~full).select("cx", "cy", "_parks"), ["cx", "cy"])
+        zone_pieces = written(in_cells(zone_rings, "location_id", side, "_zone"), "zones")
+        part = zone_pieces.join(each.filter(~full).select("cx", "cy", "_parks"), ["cx", "cy"])
         kind = zones.schema["location_id"].dataType.simpleString()
 
         def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,15 +235,15 @@ def covered_areas(zones: DataFrame, parks: DataFrame, size: float = 500.0) -> Da
                 areas = [common_area([[z], ps]) for z, ps in zip(_points(batch.column("_zone")), parks_of, strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column("location_id"), pa.array(areas, pa.float64())], names=["location_id", "area"])
 
-        made = part.select("location_id", "_zone", "_parks").mapInArrow(measure, f"location_id {kind}, area double")
+        made = part.select("location_id", "_zone", "_parks").repartition(parts(part)).mapInArrow(measure, f"location_id {kind}, area double")
         found = made if found is None else found.unionByName(made)
         crowded = each.filter(full)
         if cut == MOST_CUTS or crowded.isEmpty():
             break
         # only the pieces in crowded cells go on
         keys = crowded.select("cx", "cy")
-        ring = pieces.join(keys, ["cx", "cy"]).select(F.col("_park").alias("ring")).distinct().withColumn("id", F.monotonically_increasing_id())
-        zone_rings = in_cells(zone_rings, "location_id", side, "_zone").join(keys, ["cx", "cy"]).select("location_id", F.col("_zone").alias("ring"))
+        ring = pieces.join(keys, ["cx", "cy"]).select(F.col("_park").alias("ring")).distinct().repartition(parts(pieces)).withColumn("id", F.lit(0))
+        zone_rings = zone_pieces.join(keys, ["cx", "cy"]).select("location_id", F.col("_zone").alias("ring"))
     summed = found.groupBy("location_id").agg(F.sum("area").alias("park_area"))
     out = areas.join(summed, "location_id", "left").withColumn("park_area", F.coalesce("park_area", F.lit(0.0)))
     return out.select("location_id", "park_area", safe_ratio(F.col("park_area"), F.col("_whole")).alias("park_area_ratio"))
