@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 from smoothway.sources.partitions import DATE, HOUR
 
 TARGET_BYTES = 128 << 20
+#: Rows that a task sorts and writes at most, about.
+ROWS_PER_TASK = 1_000_000
 
 
 def _fs(spark: SparkSession, path: str):
@@ -158,5 +160,8 @@ def compact(spark: SparkSession, path: str, by: tuple[str, ...] = (DATE, HOUR),
 def write_sorted(df: DataFrame, path: str, order: list[str], rows_per_file: int = 100_000) -> None:
     """Files of about rows_per_file rows in an order over all of them, ZSTD: least and greatest values of a
     file then tell whether a reader needs it."""
-    pieces = max(1, -(-df.count() // rows_per_file))
-    df.repartitionByRange(pieces, *order).sortWithinPartitions(*order).write.option("compression", "zstd").parquet(path)
+    files = max(1, -(-df.count() // rows_per_file))
+    # a task writes several files one after another: each task reports to the driver, each file doesn't
+    tasks = min(files, max(4 * df.sparkSession.sparkContext.defaultParallelism, -(-files * rows_per_file // ROWS_PER_TASK)))
+    kept = df.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+    kept.write.option("compression", "zstd").option("maxRecordsPerFile", rows_per_file).parquet(path)
