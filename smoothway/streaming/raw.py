@@ -84,11 +84,13 @@ def windowed_counts(stream: DataFrame, time: str, keys: list[str], window: str =
 def into_hours(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, files: int | None = None) -> StreamingQuery:
     """Append envelopes to the table at path, cut by hour; the checkpoint makes each file count once.
 
-    files bounds the tasks, so the files of an hour, that write a batch. Late rows go to the hour of
-    their event, which readers filter by time again.
+    files bounds the files of an hour that a batch writes: its rows are dealt to so many tasks at most, other
+    hours to other tasks. Late rows go to the hour of their event, which readers filter by time again.
     """
     rows = envelopes(stream)
-    return (rows.coalesce(files) if files else rows).writeStream.format("parquet").option("checkpointLocation", checkpoint).partitionBy(DATE, HOUR).outputMode("append").trigger(**(trigger or {"availableNow": True})).start(path)
+    if files:
+        rows = rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), DATE, HOUR, F.pmod(F.xxhash64("value", "timestamp"), F.lit(files)))
+    return rows.writeStream.format("parquet").option("checkpointLocation", checkpoint).partitionBy(DATE, HOUR).outputMode("append").trigger(**(trigger or {"availableNow": True})).start(path)
 
 
 def into_lines(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
