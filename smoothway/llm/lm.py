@@ -1,21 +1,21 @@
 """Language-model scores: stupid backoff over n-gram counts of a corpus.
 
-An n-gram of a document is a row: its context (the words before its last) and its last word, the two
-as 64-bit hashes, and how often the document has it. Spark deals the rows by context, so the counts of
-an n-gram and of its context meet in one place; those of contexts too frequent for one place are count
-tables that are joined. What has no count goes on to a shorter context, for which the corpus' n-grams
-are counted in the tasks before they are dealt.
+An entry is an n-gram of a document: its context (the words before its last) and its last word, the two
+as 64-bit hashes, and how often the document has it. A task packs its entries by bucket, and Spark deals the
+packs, so the counts of an n-gram and of its context meet in one place, which sorts arrays of about PACKED
+entries. A context too frequent for one place is spread over several, each of which gets its sums. What has
+no count goes on to a shorter context, for which the corpus' n-grams are counted before they are packed.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smoothway.llm.store import discard, written
@@ -37,6 +37,8 @@ SLOTS, LOOKED_AT = 1 << 16, 16
 NOTHING = 1
 #: Rows in a batch that a task hands to Spark.
 BATCH = 1 << 19
+#: Entries that a task packs at once, and that a bucket has about; buckets over which a frequent context is spread.
+PACKED, SPREAD = 1 << 20, 64
 #: Logarithms are whole numbers of this unit, so that sums don't depend on the order of rows.
 UNIT = 1e-9
 
@@ -97,25 +99,47 @@ def _slot(context: np.ndarray) -> np.ndarray:
     return (context >> np.uint64(48)).astype(np.int64)
 
 
-def _frequent(rows: DataFrame, order: int) -> tuple[int, ...]:
-    """Slots of contexts that may be too frequent for one place; at most SLOTS.
+def _tally(rows: DataFrame, orders: Iterable[int]) -> DataFrame:
+    """How many n-grams each slot of contexts (what: order) and of n-grams (what: -order) has, in one text of LOOKED_AT."""
+    orders = list(orders)
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = {what: np.zeros(SLOTS, dtype=np.int64) for k in orders for what in (k, -k)}
+        for batch in batches:
+            words, sizes = _hashed(batch.column(0).cast(pa.binary()).to_pylist())
+            for k in orders:
+                context = _contexts(words, sizes, k)
+                counts[k] += np.bincount(_slot(context), minlength=SLOTS)
+                counts[-k] += np.bincount(_slot(_gram(context, words)), minlength=SLOTS)
+        for what, n in counts.items():
+            at = np.nonzero(n)[0]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), what, dtype=np.int32)), pa.array(at.astype(np.int32)), pa.array(n[at])], names=["what", "slot", "n"])
+
+    looked = rows.filter(F.pmod(F.xxhash64("row", "text", F.lit(11)), F.lit(LOOKED_AT)) == 0).select("text")
+    return looked.mapInArrow(tally, "what int, slot int, n long").groupBy("what", "slot").agg(F.sum("n").alias("n"))
+
+
+def _frequents(rows: DataFrame, orders: Iterable[int]) -> tuple[dict[int, tuple[int, ...]], int]:
+    """Slots of contexts and n-grams that may be too frequent for one place, by order and -order, at most SLOTS
+    each; and about how many words there are.
 
     Looked for in one text of LOOKED_AT, as range partitioning does, since it only decides where
     rows go: the counts cover all rows and are the same whatever is found here.
     """
+    orders = list(orders)
+    found = written(_tally(rows, orders), "lm-slots")
+    whole = found.filter(F.col("what") == orders[0]).agg(F.sum("n")).first()[0] or 0
+    least = max(min(MOST_ROWS / LOOKED_AT, whole * OFTEN) / 2, 4 * whole / SLOTS)
+    slots = {what: () for k in orders for what in (k, -k)}
+    for r in found.filter(F.col("n") > least).collect():
+        slots[r["what"]] += (r["slot"],)
+    discard(found)
+    return {what: tuple(sorted(found)) for what, found in slots.items()}, whole * LOOKED_AT
 
-    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(SLOTS, dtype=np.int64)
-        for batch in batches:
-            counts += np.bincount(_slot(_contexts(*_hashed(batch.column(0).cast(pa.binary()).to_pylist()), order)), minlength=SLOTS)
-        at = np.nonzero(counts)[0]
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(counts[at])], names=["slot", "n"])
 
-    looked = rows.filter(F.pmod(F.xxhash64("row", F.lit(11)), F.lit(LOOKED_AT)) == 0).select("text")
-    slots = looked.mapInArrow(tally, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
-    found = slots.collect()
-    least = min(MOST_ROWS / LOOKED_AT, sum(r["n"] for r in found) * OFTEN) / 2
-    return tuple(sorted(r["slot"] for r in found if r["n"] > least))
+def _frequent(rows: DataFrame, order: int) -> tuple[int, ...]:
+    """Slots of contexts of one order that may be too frequent for one place."""
+    return _frequents(rows, [order])[0][order]
 
 
 def gram_rows(rows: DataFrame, order: int, part: int | None, parts: int, frequent: tuple[int, ...] | None, summed: bool = False) -> DataFrame:
@@ -154,25 +178,202 @@ def gram_rows(rows: DataFrame, order: int, part: int | None, parts: int, frequen
     return rows.select("row", "text", "known").mapInArrow(explode, kind)
 
 
-def _counted(grams: DataFrame) -> DataFrame:
-    """Each row with the counts of its n-gram and its context, one shuffle by context."""
-    gram, context = Window.partitionBy("context", "word"), Window.partitionBy("context")
-    return grams.repartition("context").withColumn("n", F.sum(F.greatest("times", F.lit(0))).over(gram)).withColumn("of", F.sum(F.greatest("times", F.lit(0))).over(context))
+class _Deal:
+    """Where the entries of an order go. An entry is (row, context, word, times, shorter contexts...): an n-gram of
+    a text, which counts if times is above 0; of no text (row COUNT) it only counts.
 
+    A context's entries lie in one bucket. Those of a frequent one are spread over several by n-gram, those of a
+    frequent n-gram by row; what a bucket then can't count for itself, each of them gets as a sum.
+    """
 
-def _joined(grams: DataFrame) -> DataFrame:
-    """The same for frequent contexts: count tables, summed in the tasks before they are shuffled, are
-    joined to the rows (a stored table); those of n-grams with more than a share OFTEN by broadcast."""
-    table = grams.groupBy("context", "word").agg(F.sum(F.greatest("times", F.lit(0))).alias("n"))
-    table = written(table.join(table.groupBy("context").agg(F.sum("n").alias("of")), "context"), "lm-table")
-    least = max(1.0, OFTEN * (table.agg(F.sum("n")).first()[0] or 0))
-    hot = F.broadcast(table.filter(F.col("n") > least))  # fewer than 1 / OFTEN rows
-    few = grams.join(hot.select("context", "word"), ["context", "word"], "left_anti").join(table.filter(F.col("n") <= least), ["context", "word"])
-    return few.unionByName(grams.join(hot, ["context", "word"]))
-
+    def __init__(self, order: int, slots: dict[int, tuple[int, ...]], buckets: int, parts: int):
+        self.order, self.buckets, self.parts = order, min(buckets, 1 << 20), parts
+        self.spread = min(self.buckets, SPREAD) if order > 1 else self.buckets
+        self.often, self.grams = np.full(SLOTS, order == 1), np.zeros(SLOTS, dtype=bool)
+        self.often[list(slots[order])] = self.grams[list(slots[-order])] = True
+
+    def part(self, context: np.ndarray) -> np.ndarray:
+        return (context & np.uint64(LOW)).astype(np.int64) % self.parts
+
+    def _everywhere(self, row: int, key: np.ndarray, context: np.ndarray, word: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Sums by key, as entries for all buckets over which their contexts are spread."""
+        place, new = _groups(key)
+        at, n = np.repeat(place[new], self.spread), np.repeat(_sums(times[place], new), self.spread)
+        to = (self._home(context[at]) + np.tile(np.arange(self.spread), len(new))) % self.buckets
+        return to, np.full(len(at), row), context[at], word[at], n
+
+    def _home(self, context: np.ndarray) -> np.ndarray:
+        return (context >> np.uint64(16) & np.uint64(0xFFFFFFFF)).astype(np.int64) % self.buckets
+
+    def packed(self, part: int, row: np.ndarray, context: np.ndarray, word: np.ndarray, times: np.ndarray, *less: np.ndarray) -> pa.RecordBatch:
+        """The entries of a part of the contexts as a row for each bucket; equal ones become one."""
+        gram, hot = _gram(context, word), self.often[_slot(context)]
+        to = self._home(context)
+        added = []
+        if hot.any():
+            most = hot & self.grams[_slot(gram)]
+            by = np.where(most, row.astype(np.uint64) * np.uint64(KEY) >> np.uint64(32), gram >> np.uint64(8) & np.uint64(0xFFFFFFFF))
+            to = np.where(hot, (to + by.astype(np.int64) % self.spread) % self.buckets, to)
+            at = np.flatnonzero(hot & (times > 0))
+            added.append(self._everywhere(WHOLE, context[at], context[at], np.zeros(len(at), dtype=np.uint64), times[at]))
+            at = np.flatnonzero(most & (times > 0))
+            added.append(self._everywhere(COUNT, gram[at], context[at], word[at], times[at]))
+            times = np.where(most, -np.abs(times), times)
+            stay = np.flatnonzero(~most | (row >= 0))
+            to, row, context, word, times, gram, *less = (c[stay] for c in (to, row, context, word, times, gram, *less))
+            more = sum(len(x[0]) for x in added)
+            to, row, context, word, times = (np.concatenate([c, *[x[k] for x in added]]) for k, c in enumerate((to, row, context, word, times)))
+            gram, less = np.concatenate([gram, _gram(context[len(gram) :], word[len(gram) :])]), [np.concatenate([c, np.zeros(more, dtype=np.uint64)]) for c in less]
+        key = to.astype(np.uint64) << np.uint64(44) | (row.astype(np.uint64) & np.uint64(0xFFFFF)) << np.uint64(24) | gram >> np.uint64(40)
+        place = np.argsort(key)
+        to, row, context, word, times, *less = (c[place] for c in (to, row, context, word, times, *less))
+        new = np.flatnonzero(np.concatenate([np.ones(min(1, len(to)), dtype=bool), (to[1:] != to[:-1]) | (row[1:] != row[:-1]) | (context[1:] != context[:-1]) | (word[1:] != word[:-1])]))
+        times = _sums(times, new).astype(np.int32)
+        to, row, context, word, *less = (c[new] for c in (to, row, context, word, *less))
+        edge = np.flatnonzero(np.concatenate([np.ones(min(1, len(to)), dtype=bool), to[1:] != to[:-1]]))
+        packs, ends = [], np.append(edge[1:], len(to))[: len(edge)]
+        for a, b in zip(edge, ends, strict=True):
+            asked = np.flatnonzero(times[a:b] < 0) + a
+            packs.append(b"".join([c[a:b].tobytes() for c in (row, context, word, times)] + [c[asked].tobytes() for c in less]))
+        return _batch(part, to[edge], ends - edge, packs)
+
+    def unpacked(self, n: int, pack: bytes) -> list[np.ndarray]:
+        row, context, word = (np.frombuffer(pack, dtype=t, count=n, offset=8 * n * k) for k, t in enumerate((np.int64, np.uint64, np.uint64)))
+        times = np.frombuffer(pack, dtype=np.int32, count=n, offset=24 * n)
+        less = np.zeros((max(0, self.order - 2), n), dtype=np.uint64)
+        if len(less):
+            less[:, times < 0] = np.frombuffer(pack, dtype=np.uint8, offset=28 * n).copy().view(np.uint64).reshape(len(less), -1)
+        return [row, context, word, times.astype(np.int64), *less]
+
+
+#: Rows of entries that count n-grams of no text, and of sums of all n-grams of a context.
+COUNT, WHOLE = -1, -2
+#: A row for each bucket: entries of a part of the contexts, or sums of texts (part SUMS).
+SUMS, KIND = -1, "part int, bucket int, n int, pack binary"
+
+
+def _batch(part: int, bucket: np.ndarray, n: np.ndarray, packs: list[bytes]) -> pa.RecordBatch:
+    columns = [np.full(len(bucket), part, dtype=np.int32), bucket.astype(np.int32), n.astype(np.int32)]
+    return pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(packs, type=pa.binary())], names=["part", "bucket", "n", "pack"])
+
+
+def _gram(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    x = (context * np.uint64(0x9E3779B97F4A7C15) ^ word) * np.uint64(0x9FB21C651E98DF25)
+    return x ^ x >> np.uint64(32)
+
+
+def _groups(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of the keys, and where in it each key is first."""
+    place = np.argsort(key)
+    key = key[place]
+    return place, np.flatnonzero(np.concatenate([np.ones(min(1, len(key)), dtype=bool), key[1:] != key[:-1]]))
+
+
+def _sums(values: np.ndarray, new: np.ndarray) -> np.ndarray:
+    return np.add.reduceat(values, new) if len(new) else values[:0]
+
+
+def _packs(rows: DataFrame, deal: _Deal, part: int, summed: bool) -> DataFrame:
+    """Entries of the texts' n-grams of a part of the contexts, packed by bucket; with summed only counts of known texts."""
+    k = deal.order
+    less = [] if summed else list(range(k - 1, 1, -1))
 
-def _log(n: Column) -> Column:
-    return F.round(F.log(n) / UNIT).cast("long")
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            words, sizes = _hashed(batch.column(1).cast(pa.binary()).to_pylist())
+            context = _contexts(words, sizes, k) if k > 1 else np.full(len(words), NOTHING, dtype=np.uint64)
+            known = np.repeat(batch.column(2).to_numpy(zero_copy_only=False), sizes)
+            here = known if summed else np.ones(len(words), dtype=bool)
+            at = np.flatnonzero(here & (deal.part(context) == part) if deal.parts > 1 else here)
+            row = np.full(len(at), COUNT) if summed else np.repeat(batch.column(0).to_numpy(), sizes)[at]
+            held.append((row, context[at], words[at], np.where(known[at], 1, -1), *[_contexts(words, sizes, c)[at] for c in less]))
+            size += len(at)
+            if size >= PACKED:
+                yield deal.packed(part, *(np.concatenate(c) for c in zip(*held, strict=True)))
+                held, size = [], 0
+        if size:
+            yield deal.packed(part, *(np.concatenate(c) for c in zip(*held, strict=True)))
+
+    texts = rows.filter("known") if summed else rows
+    return texts.select("row", "text", "known").mapInArrow(explode, KIND)
+
+
+def _met(packs: DataFrame, deal: _Deal, after: _Deal | None, lost: int, backoff: float, homes: int) -> DataFrame:
+    """Of each text's n-grams that have a count: sums of their scores, how many lost a part of their context and how
+    many there are, packed by the text's home, one of some buckets. The others as entries of the order after this
+    one; of the last order all have a count."""
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [deal.unpacked(n, pack) for b in batches for n, pack in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+        if not held:
+            return
+        row, context, word, times, *less = (np.concatenate(c) for c in zip(*held, strict=True))
+        del held
+        place, new = _groups(_gram(context, word))
+        first, own = place[new], times[place]
+        n = _sums(np.where(row[place] != WHOLE, np.maximum(own, 0), 0), new)
+        whole = _sums(np.where(row[place] == WHOLE, own, 0), new)
+        by, start = _groups(context[first])
+        share = np.where(deal.often[_slot(context[first])], whole, n)[by]
+        of = np.empty(len(first), dtype=np.int64)
+        of[by] = np.repeat(_sums(share, start), np.diff(np.append(start, len(by))))
+        score = _units(n) - _units(of) + lost * int(_units(np.array(backoff)))
+        group = np.repeat(np.arange(len(new)), np.diff(np.append(new, len(place))))
+        asked = row[place] >= 0
+        met = asked & (n > 0)[group] if after else asked
+        at, group = place[met], group[met]
+        sums = _by_row([row[at], score[group] * np.abs(times[at]), np.abs(times[at]) * int(lost > 0), np.abs(times[at])])
+        to = _home_of(sums[0], homes)
+        by, start = _groups(to)
+        ends = np.append(start[1:], len(by))[: len(start)]
+        yield _batch(SUMS, to[by[start]], ends - start, [b"".join(c[by[a:z]].tobytes() for c in sums) for a, z in zip(start, ends, strict=True)])
+        if after:
+            at = place[asked & ~met]
+            shorter = less[0][at] if after.order > 1 else np.full(len(at), NOTHING, dtype=np.uint64)
+            parts = after.part(shorter)
+            for p in range(after.parts):
+                i = parts == p
+                if i.any():
+                    yield after.packed(p, row[at[i]], shorter[i], word[at[i]], -np.abs(times[at[i]]), *[c[at[i]] for c in less[1:]])
+
+    return packs.repartitionById(deal.buckets, F.col("bucket")).select("n", "pack").mapInArrow(meet, KIND)
+
+
+def _home_of(row: np.ndarray, homes: int) -> np.ndarray:
+    return (row.astype(np.uint64) * np.uint64(KEY) >> np.uint64(32)).astype(np.int64) % homes
+
+
+def _by_row(columns: list[np.ndarray]) -> list[np.ndarray]:
+    """Sums of the columns after the first by the first."""
+    place, new = _groups(columns[0])
+    return [columns[0][place[new]], *[_sums(c[place], new) for c in columns[1:]]]
+
+
+def _added(packs: DataFrame, homes: int) -> DataFrame:
+    """Rows (row, score, backed, n_tokens) of packed sums; a task holds those of the texts that are at home there."""
+    names = ["row", "score", "backed", "n_tokens"]
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, most = [], 0, PACKED
+        for b in batches:
+            for n, pack in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                held.append(np.frombuffer(pack, dtype=np.int64).reshape(4, n))
+                size += n
+                if size > most:
+                    held = [np.array(_by_row(list(np.concatenate(held, axis=1))))]
+                    size = held[0].shape[1]
+                    most = size + PACKED
+        if held:
+            sums = _by_row(list(np.concatenate(held, axis=1)))
+            for k in range(0, len(sums[0]), BATCH):
+                yield pa.RecordBatch.from_arrays([pa.array(c[k : k + BATCH]) for c in sums], names=names)
+
+    return packs.repartitionById(homes, F.col("bucket")).select("n", "pack").mapInArrow(add, ", ".join(f"{c} long" for c in names))
+
+
+def _units(n: np.ndarray) -> np.ndarray:
+    return np.rint(np.log(np.where(n > 0, n, 1)) / UNIT).astype(np.int64)
 
 
 def backoff_scores(docs: DataFrame, corpus: DataFrame | None = None, learn: Column | None = None, doc_id: str = "doc_id", text: str = "text", order: int = ORDER, backoff: float = BACKOFF, slices: int = SLICES) -> DataFrame:
@@ -192,60 +393,30 @@ def backoff_scores(docs: DataFrame, corpus: DataFrame | None = None, learn: Colu
     rows = written(read, "lm-rows", "zstd")
     if corpus is not None:  # its texts come without a row, so they are counted and never scored
         rows = rows.unionByName(written(corpus.select(F.lit(-1).cast("long").alias("row"), F.lit(None).cast(docs.schema[doc_id].dataType).alias("doc_id"), F.col(text).alias("text"), F.lit(True).alias("known")), "lm-corpus", "zstd"))
-    sums, more, frequent = [], [], _frequent(rows, order) if order > 1 else (0,)
-    for part in [*range(slices), None]:
-        grams = gram_rows(rows, order, part, slices, frequent)
-        if part is None:
-            grams = written(grams, "lm-frequent")
-        scored = written(_summed((_counted if part is not None else _joined)(grams).filter("row >= 0"), 0, backoff, last=order == 1), "lm-scored")
-        if part is None:
-            discard(grams)
-        sums.append(scored.filter("word is null").select("row", "score", "backed", "n_tokens"))
-        more.append(_shortened(scored, order - 1))
-    table = None
-    for k in range(order - 1, 0, -1):
-        left = reduce(DataFrame.unionByName, more)
-        if left.isEmpty():
+    deals = {}
+    slots, words = _frequents(rows, range(order, 0, -1))
+    for k in range(1, order + 1):
+        parts = slices if k > 1 else 1
+        deals[k] = _Deal(k, slots, max(docs.sparkSession.sparkContext.defaultParallelism, -(-words // (parts * PACKED))), parts)
+    homes = max(docs.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // PACKED))
+    left, sums, before = None, [], []
+    for k in range(order, 0, -1):
+        if left is not None and left.isEmpty():
             break
-        longer, tables, more = table, [], []
-        for part in range(slices if k > 1 else 1):
-            if k == 1 and longer is not None:  # each word has one n-gram of each order
-                grams = longer.select(F.lit(NOTHING).alias("context"), "word", "n")
-            else:
-                grams = gram_rows(rows, k, part, slices if k > 1 else 1, (), summed=True).withColumn("n", F.col("times"))
-            table = written(grams.groupBy("context", "word").agg(F.sum("n").alias("n")), "lm-table")
-            of = table.groupBy("context").agg(F.sum("n").alias("of"))  # without a context, one row
-            asked = left.filter(F.col("context").bitwiseAND(F.lit(LOW)) % slices == part) if k > 1 else left
-            scored = written(_summed(asked.join(table, ["context", "word"], "left").join(of if k > 1 else F.broadcast(of), "context", "left"), order - k, backoff, last=k == 1), "lm-scored")
-            sums.append(scored.filter("word is null").select("row", "score", "backed", "n_tokens"))
-            more.append(_shortened(scored, k - 1))
-            tables.append(table)
-        words = [written(t.groupBy("word").agg(F.sum("n").alias("n")), "lm-words") for t in tables] if k == 2 else []
-        discard(*tables, *([longer] if longer is not None else []))
-        table = written(reduce(DataFrame.unionByName, words), "lm-words") if words else None
-        discard(*words)
-    if table is not None:
-        discard(table)
+        scored = []
+        for part in range(deals[k].parts):
+            packs = _packs(rows, deals[k], part, summed=left is not None)
+            if left is not None:
+                packs = packs.unionByName(left.filter(F.col("part") == part))
+            scored.append(written(_met(packs, deals[k], deals.get(k - 1), order - k, backoff, homes), "lm-scored"))
+        found = reduce(DataFrame.unionByName, scored)
+        sums.append(written(_added(found.filter(F.col("part") == SUMS), homes), "lm-sums"))
+        left = found.filter(F.col("part") != SUMS)
+        discard(*before)
+        before = scored
+    discard(*before)
     totals = [F.sum(c).alias(c) for c in ("score", "backed", "n_tokens")]
     whole = reduce(DataFrame.unionByName, sums).groupBy("row").agg(*totals)
     found = rows.filter("row >= 0").drop("text", "known").join(whole, "row", "left").fillna(0, ["score", "backed", "n_tokens"])
     log_prob = F.col("score") * UNIT
     return found.select(F.col("doc_id").alias(doc_id), "n_tokens", F.col("backed").alias("n_backed_off"), F.round(log_prob, 6).alias("log_prob"), F.when(F.col("n_tokens") > 0, F.round(F.exp(-log_prob / F.col("n_tokens")), 6)).alias("perplexity"))
-
-
-def _shortened(scored: DataFrame, order: int) -> DataFrame:
-    """The n-grams without a count, each with the context of an n-gram of order words."""
-    rest = [c for c in scored.columns if c[0] == "c" and c[1:].isdigit() and int(c[1:]) < order]
-    context = F.col(f"c{order}") if order > 1 else F.lit(NOTHING).cast("long")
-    return scored.filter("word is not null").select("row", context.alias("context"), "word", "times", *rest)
-
-
-def _summed(counted: DataFrame, lost: int, backoff: float, last: bool) -> DataFrame:
-    """Sums of each row's words that have a count: their scores, how many lost a part of their context, and
-    how many there are; each other word as it is, with its shorter contexts. Of the last context all have one."""
-    met = F.lit(True) if last else F.coalesce(F.col("n") > 0, F.lit(False))
-    count = lambda c: _log(F.greatest(F.col(c), F.lit(1)))  # noqa: E731  (greatest skips nulls)
-    score = count("n") - count("of") + lost * _log(F.lit(backoff))
-    names = ["word", *[c for c in counted.columns if c[0] == "c" and c[1:].isdigit()]]
-    key, times = [F.when(~met, F.col(c)).alias(c) for c in names], F.abs("times")
-    return counted.groupBy("row", *key).agg(F.sum(F.when(met, score * times)).alias("score"), F.sum(times * int(lost > 0)).alias("backed"), F.sum(times).alias("n_tokens"), (-F.sum(times)).cast("int").alias("times"))

@@ -127,3 +127,53 @@ def test_words_have_their_own_hashes_in_pieces_of_any_size(monkeypatch):
     monkeypatch.setattr(lm._hashed, "tables", lm._tables())
     again = lm._hashed(raw)
     assert again[0].tolist() == hashes.tolist() and again[1].tolist() == sizes.tolist()
+
+
+def _dealt(spark, texts, order, buckets=8):
+    docs = spark.createDataFrame([(k, t, True) for k, t in enumerate(texts)], "row long, text string, known boolean").repartition(3)
+    slots, words = lm._frequents(docs, [3, 2, 1])
+    deal = lm._Deal(order, slots, buckets, 1)
+    return words, deal, lm._packs(docs, deal, 0, summed=False).collect()
+
+
+def test_ngrams_are_dealt_in_packs_and_not_row_by_row(spark, monkeypatch):
+    monkeypatch.setattr(lm, "LOOKED_AT", 1)
+    texts = [f"w{k} x{k} y{k} z{k}" for k in range(3000)]
+    words, deal, packs = _dealt(spark, texts, 3)
+    assert words == 12000 and sum(p["n"] for p in packs) >= 12000
+    assert len(packs) <= 8 * 3  # at most one for each bucket of a task, however many n-grams there are
+
+
+@pytest.mark.parametrize("order", [3, 2, 1])
+def test_what_is_frequent_is_spread_over_buckets_and_counted_in_each(spark, monkeypatch, order):
+    monkeypatch.setattr(lm, "LOOKED_AT", 1)
+    monkeypatch.setattr(lm, "OFTEN", 0.02)
+    texts = ["a b c"] * 3000 + [f"a b d{k}" for k in range(300)]
+    _, deal, packs = _dealt(spark, texts, order)
+    assert deal.often.any() and deal.grams.any()
+    held = {}
+    for p in packs:
+        held.setdefault(p["bucket"], []).append(deal.unpacked(p["n"], p["pack"]))
+    asked = [sum((e[0] >= 0).sum() for e in entries) for entries in held.values()]
+    assert len(asked) == 8 and max(asked) <= 2 * sum(asked) / 8
+
+
+def test_frequent_words_of_every_order_have_the_same_scores(spark, monkeypatch):
+    monkeypatch.setattr(lm, "LOOKED_AT", 1)
+    monkeypatch.setattr(lm, "OFTEN", 0.02)
+    monkeypatch.setattr(lm, "PACKED", 50)
+    texts = ["a b c"] * 60 + [f"a b c v{k % 7} a b v{k % 5} c a" for k in range(60)] + [f"b a u{k} a c b a b" for k in range(30)] + ["a " * 90]
+    docs = _docs(spark, texts)
+    some = lm.backoff_scores(docs, learn=docs["doc_id"] % 3 > 0)
+    _same({r["doc_id"]: r for r in some.collect()}, texts, [t for k, t in enumerate(texts) if k % 3 > 0])
+
+
+def test_sums_of_texts_grow_with_texts_and_not_with_buckets(spark):
+    rows = spark.createDataFrame([(k, "a b c d e f g h i j" if k % 2 else f"x{k} y z", True) for k in range(200)], "row long, text string, known boolean")
+    made = []
+    for buckets in (2, 20):
+        deal = lm._Deal(3, {3: (), -3: ()}, buckets, 1)
+        found = lm._met(lm._packs(rows, deal, 0, summed=False), deal, None, 0, 0.4, 4)
+        assert lm._added(found, 4).agg({"n_tokens": "sum", "row": "count"}).first().asDict() == {"sum(n_tokens)": 1300, "count(row)": 200}
+        made.append(found.count())
+    assert made[0] <= 2 * 4 and made[1] <= 20 * 4
