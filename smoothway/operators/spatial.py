@@ -201,9 +201,11 @@ def pavement(roads: DataFrame, ratings: DataFrame, as_of: int | None, radius: fl
     pieces = (roads if legs is None else legs).select("segment_id", street_key(F.col("street")).alias("_street"), "x0", "y0", "x1", "y1")
     wide = _covering(pieces, F.least("x0", "x1") - radius, F.least("y0", "y1") - radius, F.greatest("x0", "x1") + radius, F.greatest("y0", "y1") + radius, size)
     far = segment_distance(F.col("_x"), F.col("_y"), F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"))
+    n = parts(roads)  # such rows take few bytes in a shuffle and many in a task
+    wide, r = wide.repartition(n, "_street", "_cx", "_cy"), r.repartition(n, "_key", "_px", "_py")
     met = wide.join(r, (F.col("_street") == F.col("_key")) & (F.col("_cx") == F.col("_px")) & (F.col("_cy") == F.col("_py"))).withColumn("_far", far).filter(F.col("_far") <= radius)
-    best = met.groupBy("segment_id").agg(F.min_by("rating", F.struct(F.round("_far", places), "_age", "_low")).alias("pavement_rating"))
-    found = roads.select("segment_id").join(best, "segment_id", "left")
+    best = met.repartition(n, "segment_id").groupBy("segment_id").agg(F.min_by("rating", F.struct(F.round("_far", places), "_age", "_low")).alias("pavement_rating"))
+    found = roads.select("segment_id").repartition(n, "segment_id").join(best, "segment_id", "left")
     return found.select("segment_id", "pavement_rating", pavement_class(F.col("pavement_rating")).alias("pavement_condition"))
 
 
