@@ -152,16 +152,21 @@ def speed_humps(roads: DataFrame, humps: DataFrame, as_of: int, radius: float =
     # humps of a street at one place have the same nearest road
     spots = known.select("_key", "_x", "_y").distinct().select("*", cell(F.col("_x")).alias("_px"), cell(F.col("_y")).alias("_py"))
     span = lambda a, b: F.explode(F.sequence(cell(F.least(a, b) - radius), cell(F.greatest(a, b) + radius)))
-    wide = (roads if legs is None else legs).select("segment_id", street_key(F.col("street")).alias("_street"), "x0", "y0", "x1", "y1", span("x0", "x1").alias("_cx")).select("*", span("y0", "y1").alias("_cy"))
+    pieces = (roads if legs is None else legs).select("segment_id", street_key(F.col("street")).alias("_street"), "x0", "y0", "x1", "y1")
+    wide = pieces.select("*", span("x0", "x1").alias("_cx")).select("*", span("y0", "y1").alias("_cy"))
     far = segment_distance(F.col("_x"), F.col("_y"), F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"))
+    n = parts(known)  # such rows take few bytes in a shuffle and many in a task
+    wide, spots = wide.repartition(n, "_street", "_cx", "_cy"), spots.repartition(n, "_key", "_px", "_py")
     met = wide.join(spots, (F.col("_street") == F.col("_key")) & (F.col("_cx") == F.col("_px")) & (F.col("_cy") == F.col("_py"))).withColumn("_far", F.round(far, places)).filter(F.col("_far") <= radius)
-    at = met.groupBy("_key", "_x", "_y").agg(F.min(F.struct("_far", "segment_id")).alias("_near"))
-    nearest = known.join(at, ["_key", "_x", "_y"]).repartition(parts(known), "hump_id").groupBy("hump_id").agg(F.min("_near").alias("_near"), F.first("humps").alias("humps"))
+    at = met.repartition(n, "_key", "_x", "_y").groupBy("_key", "_x", "_y").agg(F.min(F.struct("_far", "segment_id")).alias("_near"))
+    nearest = known.repartition(n, "_key", "_x", "_y").join(at, ["_key", "_x", "_y"]).repartition(n, "hump_id").groupBy("hump_id").agg(F.min("_near").alias("_near"), F.first("humps").alias("humps"))
     count = F.greatest(F.col("humps"), F.lit(0))
-    shares = F.when(count > 0, F.transform(F.sequence(F.lit(1), count), lambda i: i / (count + 1))).otherwise(F.array().cast("array<double>"))
-    each = nearest.select("_near.segment_id", count.alias("humps"), shares.alias("shares"))
-    summed = each.groupBy("segment_id").agg(F.sum("humps").cast("int").alias("hump_count"), F.array_sort(F.flatten(F.collect_list("shares"))).alias("hump_fractions"))
-    found = roads.select("segment_id").join(summed, "segment_id", "left")
+    # a road's records of as many humps have the same shares, so they are counted first
+    alike = nearest.select("_near.segment_id", count.alias("_humps")).groupBy("segment_id", "_humps").agg(F.count("*").alias("_n"))
+    shares = lambda n: F.when(n > 0, F.transform(F.sequence(F.lit(1), n), lambda i: i / (n + 1))).otherwise(F.array().cast("array<double>"))
+    each = F.transform(F.collect_list(F.struct("_humps", "_n")), lambda a: F.flatten(F.array_repeat(shares(a["_humps"]), a["_n"].cast("int"))))
+    summed = alike.repartition(n, "segment_id").groupBy("segment_id").agg(F.sum(F.col("_humps") * F.col("_n")).cast("int").alias("hump_count"), F.array_sort(F.flatten(each)).alias("hump_fractions"))
+    found = roads.select("segment_id").repartition(n, "segment_id").join(summed, "segment_id", "left")
     return found.select("segment_id", F.coalesce("hump_count", F.lit(0)).alias("hump_count"), F.coalesce("hump_fractions", F.array().cast("array<double>")).alias("hump_fractions"))
 
 

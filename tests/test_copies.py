@@ -64,6 +64,12 @@ def test_ratings_and_humps_at_one_place_meet_a_road_once(spark, sf_dir, copies,
     assert 0 < counts[1] <= 2 * counts[0]  # other copies may be known at the date
 
 
+@pytest.mark.parametrize("name", ["j32_degree_pavement", "j12_speed_humps", "j32_degree_humps"])
+def test_roads_stay_dealt_to_all_tasks(spark, sf_dir, name):
+    found = catalog.QUERIES[name](spark, sf_dir)
+    assert found.rdd.getNumPartitions() >= spatial.parts(found)  # few bytes, so Spark puts what it may into one task
+
+
 def test_points_without_coordinates_or_heading_stay(spark):
     points = spark.createDataFrame([(1, 5.0, 5.0, 90.0), (2, 5.0, 5.0, 90.0), (3, 5.0, 5.0, None), (4, None, 5.0, 90.0), (5, None, None, None), (6, 900.0, 5.0, 90.0)], "event_id int, x double, y double, heading double")
     lines = spark.createDataFrame([("a", 0.0, 0.0, 10.0, 0.0, "W"), ("b", 0.0, 9.0, 10.0, 9.0, "T")], "segment_id string, x0 double, y0 double, x1 double, y1 double, traffic_direction string")
