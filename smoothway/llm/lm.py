@@ -398,7 +398,7 @@ def backoff_scores(docs: DataFrame, corpus: DataFrame | None = None, learn: Colu
     for k in range(1, order + 1):
         parts = slices if k > 1 else 1
         deals[k] = _Deal(k, slots, max(docs.sparkSession.sparkContext.defaultParallelism, -(-words // (parts * PACKED))), parts)
-    homes = max(docs.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // PACKED))
+    homes = max(docs.sparkSession.sparkContext.defaultParallelism, -(-words // (4 * PACKED)))  # each reads some 100 MB of packs
     left, sums, before = None, [], []
     for k in range(order, 0, -1):
         if left is not None and left.isEmpty():
