@@ -4,7 +4,8 @@ An entry is an n-gram of a document: its context (the words before its last) and
 as 64-bit hashes, and how often the document has it. A task packs its entries by bucket, and Spark deals the
 packs, so the counts of an n-gram and of its context meet in one place, which sorts arrays of about PACKED
 entries. A context too frequent for one place is spread over several, each of which gets its sums. What has
-no count goes on to a shorter context, for which the corpus' n-grams are counted before they are packed.
+no count goes on to a shorter context, for which the corpus' n-grams are counted before they are packed. Single
+words aren't: a word is as often a context of one word as it is there, if the ends of texts follow words too.
 """
 
 from __future__ import annotations
@@ -23,9 +24,9 @@ from smoothway.llm.store import discard, written
 ORDER, BACKOFF = 3, 0.4
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 #: A byte that is none of a word; bytes that are hashed together; the polynomial's number.
-GAP, PIECE, KEY = re.compile(rb"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"), 1 << 20, 0x9E3779B97F4A7C15
-#: What stands before the first word of a text, as a hash.
-START = np.uint64(0x5851F42D4C957F2D)
+GAP, PIECE, KEY = re.compile(rb"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"), 1 << 15, 0x9E3779B97F4A7C15
+#: What stands before the first word of a text and after its last, as hashes; the number by which contexts are mixed.
+START, END, MIX = np.uint64(0x5851F42D4C957F2D), np.uint64(0xD1342543DE82EF95), 0x9FB21C651E98DF25
 #: Parts of the contexts that are dealt one after another; each needs so much less room on disk.
 SLICES = 3
 LOW = 0x7FFFFFFF
@@ -68,11 +69,15 @@ def _hashed(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         if len(part) > len(up):  # a word longer than a piece
             up, down = (np.concatenate([p, np.full(len(part) - len(p), p[1], dtype=np.uint64)]) for p in (up, down))
             up[2 * PIECE :], down[2 * PIECE :] = up[2 * PIECE - 1] * np.cumprod(up[2 * PIECE :], dtype=np.uint64), down[2 * PIECE - 1] * np.cumprod(down[2 * PIECE :], dtype=np.uint64)
-        known = value[part]
-        edge = np.flatnonzero(np.diff((known != 0).astype(np.int8), prepend=np.int8(0)))
+        known = value.take(part)
+        within = known != 0
+        edge = np.flatnonzero(np.concatenate([within[:1], within[1:] != within[:-1]]))
         start, end = edge[::2], edge[1::2]
-        sums = np.cumsum(known * up[: len(part)], dtype=np.uint64)
-        x = (sums[end - 1] - np.where(start > 0, sums[start - 1], 0)) * down[start]
+        known *= up[: len(part)]
+        sums = np.cumsum(known, out=known)
+        x = sums.take(end - 1)
+        x -= np.where(start > 0, sums.take(start - 1), 0)  # at -1 the last, which isn't used
+        x *= down.take(start)
         x ^= x >> np.uint64(32)
         x *= np.uint64(0xD6E8FEB86659FD93)
         hashes.append(x ^ x >> np.uint64(32))
@@ -90,11 +95,16 @@ def _contexts(words: np.ndarray, sizes: np.ndarray, order: int) -> np.ndarray:
     out = np.full(len(words), order, dtype=np.uint64)
     for back in range(order - 1, 0, -1):
         before = np.where(place >= back, np.roll(words, back), START)
-        out = (out ^ before) * np.uint64(0x9FB21C651E98DF25)
+        out = (out ^ before) * np.uint64(MIX)
         out ^= out >> np.uint64(32)
     return out
 
 
+def _last(context: np.ndarray) -> np.ndarray:
+    """The words that contexts of one word are, from their hashes."""
+    return (context ^ context >> np.uint64(32)) * np.uint64(pow(MIX, -1, 1 << 64)) ^ np.uint64(2)
+
+
 def _slot(context: np.ndarray) -> np.ndarray:
     return (context >> np.uint64(48)).astype(np.int64)
 
@@ -188,12 +198,13 @@ class _Deal:
 
     def __init__(self, order: int, slots: dict[int, tuple[int, ...]], buckets: int, parts: int):
         self.order, self.buckets, self.parts = order, min(buckets, 1 << 20), parts
+        self.times = np.dtype(np.int32 if order > 1 else np.int64)  # counts of words come as sums
         self.spread = min(self.buckets, SPREAD) if order > 1 else self.buckets
         self.often, self.grams = np.full(SLOTS, order == 1), np.zeros(SLOTS, dtype=bool)
         self.often[list(slots[order])] = self.grams[list(slots[-order])] = True
 
     def part(self, context: np.ndarray) -> np.ndarray:
-        return (context & np.uint64(LOW)).astype(np.int64) % self.parts
+        return _of(context & np.uint64(0xFFFF), self.parts, 16)
 
     def _everywhere(self, row: int, key: np.ndarray, context: np.ndarray, word: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, ...]:
         """Sums by key, as entries for all buckets over which their contexts are spread."""
@@ -203,34 +214,35 @@ class _Deal:
         return to, np.full(len(at), row), context[at], word[at], n
 
     def _home(self, context: np.ndarray) -> np.ndarray:
-        return (context >> np.uint64(16) & np.uint64(0xFFFFFFFF)).astype(np.int64) % self.buckets
+        return _of(context >> np.uint64(16) & np.uint64(0xFFFFFFFF), self.buckets, 32)
 
     def packed(self, part: int, row: np.ndarray, context: np.ndarray, word: np.ndarray, times: np.ndarray, *less: np.ndarray) -> pa.RecordBatch:
         """The entries of a part of the contexts as a row for each bucket; equal ones become one."""
-        gram, hot = _gram(context, word), self.often[_slot(context)]
-        to = self._home(context)
-        added = []
-        if hot.any():
-            most = hot & self.grams[_slot(gram)]
-            by = np.where(most, row.astype(np.uint64) * np.uint64(KEY) >> np.uint64(32), gram >> np.uint64(8) & np.uint64(0xFFFFFFFF))
-            to = np.where(hot, (to + by.astype(np.int64) % self.spread) % self.buckets, to)
-            at = np.flatnonzero(hot & (times > 0))
-            added.append(self._everywhere(WHOLE, context[at], context[at], np.zeros(len(at), dtype=np.uint64), times[at]))
-            at = np.flatnonzero(most & (times > 0))
+        gram, to = _gram(context, word), self._home(context)
+        hot = np.flatnonzero(self.often[_slot(context)])
+        if len(hot):
+            by, most = gram[hot], self.grams[_slot(gram[hot])]
+            by = np.where(most, row[hot].astype(np.uint64) * np.uint64(KEY) >> np.uint64(32), by >> np.uint64(8) & np.uint64(0xFFFFFFFF))
+            to[hot] = (to[hot] + _of(by, self.spread, 32)) % self.buckets
+            counts = times[hot] > 0
+            at = hot[counts & (word[hot] != END)]
+            added = [self._everywhere(WHOLE, context[at], context[at], np.zeros(len(at), dtype=np.uint64), times[at])]
+            at = hot[counts & most]
             added.append(self._everywhere(COUNT, gram[at], context[at], word[at], times[at]))
-            times = np.where(most, -np.abs(times), times)
-            stay = np.flatnonzero(~most | (row >= 0))
-            to, row, context, word, times, gram, *less = (c[stay] for c in (to, row, context, word, times, gram, *less))
+            at = hot[most]
+            times = times.copy()
+            times[at] = -np.abs(times[at])
+            stay = np.ones(len(row), dtype=bool)
+            stay[at[row[at] < 0]] = False
+            to, row, context, word, times = (np.concatenate([c[stay], *[x[k] for x in added]]) for k, c in enumerate((to, row, context, word, times)))
             more = sum(len(x[0]) for x in added)
-            to, row, context, word, times = (np.concatenate([c, *[x[k] for x in added]]) for k, c in enumerate((to, row, context, word, times)))
-            gram, less = np.concatenate([gram, _gram(context[len(gram) :], word[len(gram) :])]), [np.concatenate([c, np.zeros(more, dtype=np.uint64)]) for c in less]
+            gram, less = np.concatenate([gram[stay], _gram(context[len(context) - more :], word[len(word) - more :])]), [np.concatenate([c[stay], np.zeros(more, dtype=np.uint64)]) for c in less]
         key = to.astype(np.uint64) << np.uint64(44) | (row.astype(np.uint64) & np.uint64(0xFFFFF)) << np.uint64(24) | gram >> np.uint64(40)
         place = np.argsort(key)
-        to, row, context, word, times, *less = (c[place] for c in (to, row, context, word, times, *less))
-        new = np.flatnonzero(np.concatenate([np.ones(min(1, len(to)), dtype=bool), (to[1:] != to[:-1]) | (row[1:] != row[:-1]) | (context[1:] != context[:-1]) | (word[1:] != word[:-1])]))
-        times = _sums(times, new).astype(np.int32)
-        to, row, context, word, *less = (c[new] for c in (to, row, context, word, *less))
-        edge = np.flatnonzero(np.concatenate([np.ones(min(1, len(to)), dtype=bool), to[1:] != to[:-1]]))
+        new = np.flatnonzero(_differ(key[place]) | _differ(row[place]) | _differ(gram[place]))
+        times, at = _sums(times[place], new).astype(self.times), place[new]
+        to, row, context, word, *less = (c[at] for c in (to, row, context, word, *less))
+        edge = np.flatnonzero(_differ(to))
         packs, ends = [], np.append(edge[1:], len(to))[: len(edge)]
         for a, b in zip(edge, ends, strict=True):
             asked = np.flatnonzero(times[a:b] < 0) + a
@@ -239,10 +251,10 @@ class _Deal:
 
     def unpacked(self, n: int, pack: bytes) -> list[np.ndarray]:
         row, context, word = (np.frombuffer(pack, dtype=t, count=n, offset=8 * n * k) for k, t in enumerate((np.int64, np.uint64, np.uint64)))
-        times = np.frombuffer(pack, dtype=np.int32, count=n, offset=24 * n)
+        times = np.frombuffer(pack, dtype=self.times, count=n, offset=24 * n)
         less = np.zeros((max(0, self.order - 2), n), dtype=np.uint64)
         if len(less):
-            less[:, times < 0] = np.frombuffer(pack, dtype=np.uint8, offset=28 * n).copy().view(np.uint64).reshape(len(less), -1)
+            less[:, times < 0] = np.frombuffer(pack, dtype=np.uint8, offset=(24 + self.times.itemsize) * n).copy().view(np.uint64).reshape(len(less), -1)
         return [row, context, word, times.astype(np.int64), *less]
 
 
@@ -262,11 +274,20 @@ def _gram(context: np.ndarray, word: np.ndarray) -> np.ndarray:
     return x ^ x >> np.uint64(32)
 
 
+def _of(number: np.ndarray, parts: int, bits: int) -> np.ndarray:
+    """In which of some parts a number of so many bits lies, if all parts are as wide."""
+    return (number * np.uint64(parts) >> np.uint64(bits)).astype(np.int64)
+
+
+def _differ(values: np.ndarray) -> np.ndarray:
+    """Which values differ from the one before; the first does."""
+    return np.concatenate([np.ones(min(1, len(values)), dtype=bool), values[1:] != values[:-1]])
+
+
 def _groups(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The order of the keys, and where in it each key is first."""
     place = np.argsort(key)
-    key = key[place]
-    return place, np.flatnonzero(np.concatenate([np.ones(min(1, len(key)), dtype=bool), key[1:] != key[:-1]]))
+    return place, np.flatnonzero(_differ(key[place]))
 
 
 def _sums(values: np.ndarray, new: np.ndarray) -> np.ndarray:
@@ -274,7 +295,8 @@ def _sums(values: np.ndarray, new: np.ndarray) -> np.ndarray:
 
 
 def _packs(rows: DataFrame, deal: _Deal, part: int, summed: bool) -> DataFrame:
-    """Entries of the texts' n-grams of a part of the contexts, packed by bucket; with summed only counts of known texts."""
+    """Entries of the texts' n-grams of a part of the contexts, packed by bucket; with summed only counts of known texts.
+    Those of two words also count the ends of known texts."""
     k = deal.order
     less = [] if summed else list(range(k - 1, 1, -1))
 
@@ -283,11 +305,17 @@ def _packs(rows: DataFrame, deal: _Deal, part: int, summed: bool) -> DataFrame:
         for batch in batches:
             words, sizes = _hashed(batch.column(1).cast(pa.binary()).to_pylist())
             context = _contexts(words, sizes, k) if k > 1 else np.full(len(words), NOTHING, dtype=np.uint64)
-            known = np.repeat(batch.column(2).to_numpy(zero_copy_only=False), sizes)
+            knows = batch.column(2).to_numpy(zero_copy_only=False)
+            known = np.repeat(knows, sizes)
             here = known if summed else np.ones(len(words), dtype=bool)
             at = np.flatnonzero(here & (deal.part(context) == part) if deal.parts > 1 else here)
             row = np.full(len(at), COUNT) if summed else np.repeat(batch.column(0).to_numpy(), sizes)[at]
             held.append((row, context[at], words[at], np.where(known[at], 1, -1), *[_contexts(words, sizes, c)[at] for c in less]))
+            if k == 2:
+                last = _contexts(np.append(words, START), np.array([len(words) + 1]), 2)[np.cumsum(sizes)[knows & (sizes > 0)]]
+                last = last[deal.part(last) == part]
+                held.append((np.full(len(last), COUNT), last, np.full(len(last), END), np.ones(len(last), dtype=np.int64)))
+                size += len(last)
             size += len(at)
             if size >= PACKED:
                 yield deal.packed(part, *(np.concatenate(c) for c in zip(*held, strict=True)))
@@ -300,44 +328,59 @@ def _packs(rows: DataFrame, deal: _Deal, part: int, summed: bool) -> DataFrame:
 
 
 def _met(packs: DataFrame, deal: _Deal, after: _Deal | None, lost: int, backoff: float, homes: int) -> DataFrame:
-    """Of each text's n-grams that have a count: sums of their scores, how many lost a part of their context and how
-    many there are, packed by the text's home, one of some buckets. The others as entries of the order after this
-    one; of the last order all have a count."""
+    """Of each text's n-grams that have a count: sums of their scores and how many there are, packed by the text's
+    home, one of some buckets. The others as entries of the order after this one, of which the order of single words
+    also gets its counts, as those of contexts; of the last order all have a count."""
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [deal.unpacked(n, pack) for b in batches for n, pack in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+        held, bucket = [], None
+        for b in batches:
+            for n, pack, bucket in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                held.append(deal.unpacked(n, pack))
         if not held:
             return
         row, context, word, times, *less = (np.concatenate(c) for c in zip(*held, strict=True))
         del held
-        place, new = _groups(_gram(context, word))
+        gram = _gram(context, word)
+        place, new = _groups(gram)
         first, own = place[new], times[place]
-        n = _sums(np.where(row[place] != WHOLE, np.maximum(own, 0), 0), new)
-        whole = _sums(np.where(row[place] == WHOLE, own, 0), new)
-        by, start = _groups(context[first])
-        share = np.where(deal.often[_slot(context[first])], whole, n)[by]
+        total = row[place] == WHOLE
+        n, whole = _sums(np.where(total, 0, np.maximum(own, 0)), new), _sums(np.where(total, own, 0), new)
+        of_first = context[first]
+        often = deal.often[_slot(of_first)]
+        by, start = _groups(of_first)
+        size = np.diff(np.append(start, len(by)))
+        share = np.where(word[first] == END, 0, np.where(often, whole, n))[by]
         of = np.empty(len(first), dtype=np.int64)
-        of[by] = np.repeat(_sums(share, start), np.diff(np.append(start, len(by))))
+        of[by] = np.repeat(_sums(share, start), size)
         score = _units(n) - _units(of) + lost * int(_units(np.array(backoff)))
         group = np.repeat(np.arange(len(new)), np.diff(np.append(new, len(place))))
         asked = row[place] >= 0
         met = asked & (n > 0)[group] if after else asked
         at, group = place[met], group[met]
-        sums = _by_row([row[at], score[group] * np.abs(times[at]), np.abs(times[at]) * int(lost > 0), np.abs(times[at])])
+        sums = _by_row([row[at], score[group] * np.abs(times[at]), np.abs(times[at])])
         to = _home_of(sums[0], homes)
-        by, start = _groups(to)
-        ends = np.append(start[1:], len(by))[: len(start)]
-        yield _batch(SUMS, to[by[start]], ends - start, [b"".join(c[by[a:z]].tobytes() for c in sums) for a, z in zip(start, ends, strict=True)])
-        if after:
-            at = place[asked & ~met]
-            shorter = less[0][at] if after.order > 1 else np.full(len(at), NOTHING, dtype=np.uint64)
-            parts = after.part(shorter)
-            for p in range(after.parts):
-                i = parts == p
-                if i.any():
-                    yield after.packed(p, row[at[i]], shorter[i], word[at[i]], -np.abs(times[at[i]]), *[c[at[i]] for c in less[1:]])
+        by_home, home = _groups(to)
+        ends = np.append(home[1:], len(to))[: len(home)]
+        yield _batch(SUMS, to[by_home[home]], ends - home, [b"".join(c[by_home[a:z]].tobytes() for c in sums) for a, z in zip(home, ends, strict=True)])
+        if not after:
+            return
+        at = place[asked & ~met]
+        if after.order == 1:
+            elsewhere = often & deal.grams[_slot(gram[first])] & (deal._home(of_first) != bucket)  # each of some buckets has these counts
+            words, times_of = _last(of_first[by[start]]), _sums(np.where(elsewhere, 0, n)[by], start)
+            is_word = np.flatnonzero((times_of > 0) & (words != START))
+            count = len(is_word)
+            yield after.packed(0, np.append(row[at], np.full(count, COUNT)), np.full(len(at) + count, NOTHING, dtype=np.uint64), np.append(word[at], words[is_word]), np.append(-np.abs(times[at]), times_of[is_word]))
+            return
+        shorter = less[0][at]
+        parts = after.part(shorter)
+        for p in range(after.parts):
+            i = parts == p
+            if i.any():
+                yield after.packed(p, row[at[i]], shorter[i], word[at[i]], -np.abs(times[at[i]]), *[c[at[i]] for c in less[1:]])
 
-    return packs.repartitionById(deal.buckets, F.col("bucket")).select("n", "pack").mapInArrow(meet, KIND)
+    return packs.repartitionById(deal.buckets, F.col("bucket")).select("n", "pack", "bucket").mapInArrow(meet, KIND)
 
 
 def _home_of(row: np.ndarray, homes: int) -> np.ndarray:
@@ -351,14 +394,14 @@ def _by_row(columns: list[np.ndarray]) -> list[np.ndarray]:
 
 
 def _added(packs: DataFrame, homes: int) -> DataFrame:
-    """Rows (row, score, backed, n_tokens) of packed sums; a task holds those of the texts that are at home there."""
-    names = ["row", "score", "backed", "n_tokens"]
+    """Rows (row, score, n_tokens) of packed sums; a task holds those of the texts that are at home there."""
+    names = ["row", "score", "n_tokens"]
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, most = [], 0, PACKED
         for b in batches:
             for n, pack in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                held.append(np.frombuffer(pack, dtype=np.int64).reshape(4, n))
+                held.append(np.frombuffer(pack, dtype=np.int64).reshape(len(names), n))
                 size += n
                 if size > most:
                     held = [np.array(_by_row(list(np.concatenate(held, axis=1))))]
@@ -405,12 +448,13 @@ def backoff_scores(docs: DataFrame, corpus: DataFrame | None = None, learn: Colu
             break
         scored = []
         for part in range(deals[k].parts):
-            packs = _packs(rows, deals[k], part, summed=left is not None)
-            if left is not None:
-                packs = packs.unionByName(left.filter(F.col("part") == part))
-            scored.append(written(_met(packs, deals[k], deals.get(k - 1), order - k, backoff, homes), "lm-scored"))
+            packs = [] if left is None else [left.filter(F.col("part") == part)]
+            if left is None or k > 1:  # counts of single words are among what is left
+                packs.append(_packs(rows, deals[k], part, summed=left is not None))
+            scored.append(written(_met(reduce(DataFrame.unionByName, packs), deals[k], deals.get(k - 1), order - k, backoff, homes), "lm-scored"))
         found = reduce(DataFrame.unionByName, scored)
-        sums.append(written(_added(found.filter(F.col("part") == SUMS), homes), "lm-sums"))
+        added = _added(found.filter(F.col("part") == SUMS), homes)
+        sums.append(written(added.withColumn("backed", F.col("n_tokens") if k < order else F.lit(0).cast("long")), "lm-sums"))
         left = found.filter(F.col("part") != SUMS)
         discard(*before)
         before = scored

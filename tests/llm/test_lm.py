@@ -177,3 +177,46 @@ def test_sums_of_texts_grow_with_texts_and_not_with_buckets(spark):
         assert lm._added(found, 4).agg({"n_tokens": "sum", "row": "count"}).first().asDict() == {"sum(n_tokens)": 1300, "count(row)": 200}
         made.append(found.count())
     assert made[0] <= 2 * 4 and made[1] <= 20 * 4
+
+
+@pytest.mark.parametrize("often", [0.02, 1.0])
+def test_words_are_counted_as_contexts_and_ends_of_texts(spark, monkeypatch, often):
+    monkeypatch.setattr(lm, "LOOKED_AT", 1)
+    monkeypatch.setattr(lm, "OFTEN", often)
+    monkeypatch.setattr(lm, "PACKED", 500)
+    texts = ["a b c"] * 400 + [f"a b d{k} c a b" for k in range(50)] + ["z", "only", "", None, "?!"] + ["a"] * 100
+    docs = spark.createDataFrame([(k, t, k % 5 > 0) for k, t in enumerate(texts)], "row long, text string, known boolean").repartition(3)
+    slots, _ = lm._frequents(docs, [2, 1])
+    two, one = (lm._Deal(k, slots, 8, parts) for k, parts in ((2, 2), (1, 1)))
+    assert two.grams.any() == (often < 1)
+    counts = Counter()
+    for part in range(2):
+        found = lm._met(lm._packs(docs, two, part, summed=True), two, one, 1, BACKOFF, 4)
+        for p in found.filter(f"part <> {lm.SUMS}").collect():
+            row, _, word, times = one.unpacked(p["n"], p["pack"])
+            kept = (row == lm.WHOLE) & (p["bucket"] == 0)  # a sum of all words, which each bucket gets
+            counts["all"] += times[kept].sum()
+            kept = (row == lm.COUNT) & (~one.grams[lm._slot(lm._gram(lm.np.full(len(word), lm.NOTHING, dtype=lm.np.uint64), word))] | (p["bucket"] == 0))
+            counts.update(dict(zip(word[kept].tolist(), [0] * kept.sum(), strict=True)))
+            for w, n in zip(word[kept].tolist(), times[kept].tolist(), strict=True):
+                counts[w] += n
+    said = Counter(w for k, t in enumerate(texts) if k % 5 for w in _words(t))
+    names = dict(zip(lm._hashed([w.encode() for w in said])[0].tolist(), said, strict=True))
+    assert counts.pop("all") == sum(said.values())
+    assert {names[w]: n for w, n in counts.items()} == said
+
+
+def test_texts_are_not_read_again_for_single_words(spark, monkeypatch):
+    orders, packs = [], lm._packs
+    monkeypatch.setattr(lm, "_packs", lambda rows, deal, *rest, **more: orders.append(deal.order) or packs(rows, deal, *rest, **more))
+    docs = _docs(spark, TEXTS)
+    some = lm.backoff_scores(docs, learn=docs["doc_id"] < 4)
+    _same({r["doc_id"]: r for r in some.collect()}, TEXTS, TEXTS[:4])
+    assert orders == [3, 3, 3, 2, 2, 2]
+
+
+def test_counts_of_words_may_be_beyond_32_bits():
+    deal = lm._Deal(1, {1: (), -1: ()}, 2, 1)
+    batch = deal.packed(0, *(lm.np.array(c, dtype=t) for c, t in (([lm.COUNT], "i8"), ([lm.NOTHING], "u8"), ([99], "u8"), ([1 << 33], "i8"))))
+    entries = [e for n, pack in zip(*(batch.column(k).to_pylist() for k in (2, 3)), strict=True) for e in zip(*(c.tolist() for c in deal.unpacked(n, pack)), strict=True)]
+    assert sorted(entries) == [(lm.WHOLE, 1, 0, 1 << 33)] * 2 + [(lm.COUNT, 1, 99, 1 << 33)]
