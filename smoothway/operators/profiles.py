@@ -216,8 +216,11 @@ def route_summary(routes: DataFrame, trips: DataFrame) -> DataFrame:
 
 
 def newest_build(builds: DataFrame, month: int) -> DataFrame:
-    """The build to use for a month: the newest of that month, else the newest before; later ones never."""
-    order = [F.desc("month"), F.desc("day"), F.desc("written")]
+    """The build to use for a month: the newest of that month, else the newest before; later ones never.
+
+    Of builds written at the same time it is the one with the least id, as they are listed.
+    """
+    order = [F.desc("month"), F.desc("day"), F.desc("written"), F.asc("build_id")]
     return builds.filter(F.col("month") <= month).orderBy(*order).limit(1)
 
 
